@@ -5,12 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orrery.llm.common import table
+from orrery.llm.common import fold, table
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
+def _held_out():
+    return F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.language_id import fit_on_folds, predict
+
+    docs = table(spark, sf_dir, "documents")
+    return predict(docs, fit_on_folds(docs), keep=["doc_id"]).select("doc_id", _held_out(), "lang_pred", "score")
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -20,6 +32,17 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_decode(docs, Vocabulary.load(public_tokenizers.path(PIECE_MODEL)), keep=["doc_id"]))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.toxicity import fit_on_folds, score
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit_on_folds(docs, table(spark, sf_dir, "labels"))
+    scored = score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", _held_out(), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op7_sentencepiece": op7_sentencepiece,
+    "op9_toxicity": op9_toxicity,
 }

@@ -1,3 +1,80 @@
 """DuckDB SQL for the queries of :mod:`orrery.llm.queries` that SQL can express."""
 
-ORACLE_SQL: dict[str, str] = {}
+_OP1 = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), numbered AS (
+  SELECT *, (strlen(text) + 3) // 4 + 4 AS cost, row_number() OVER w - 1 AS i,
+    sum((strlen(text) + 3) // 4 + 4) OVER (w ROWS UNBOUNDED PRECEDING) AS upto,
+    first_value(role) OVER w = 'system' AS has_sys, first_value((strlen(text) + 3) // 4 + 4) OVER w AS first_cost,
+    length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g'))
+      + length(regexp_replace(text, '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g')) + 10 AS shown
+  FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), measured AS (
+  SELECT *, CASE WHEN has_sys THEN first_cost ELSE 0 END AS sys_cost, has_sys AND i = 0 AS is_sys FROM numbered
+), placed AS (
+  SELECT *, CASE WHEN is_sys THEN 0 ELSE upto - cost - sys_cost END AS start, CASE WHEN is_sys THEN 0 ELSE cost END AS own,
+    greatest(2048 - 256 - sys_cost, 512) AS usable FROM measured
+), spanned AS (
+  SELECT *, 2 * (start // usable) + CASE WHEN start + own > (start // usable + 1) * usable THEN 1 ELSE 0 END AS span FROM placed
+), heads AS (
+  SELECT conv_id, span, min(i) AS h, min(start) AS h_start FROM spanned GROUP BY ALL
+), repeated AS (
+  SELECT sum(r.shown) AS chars, h.conv_id FROM heads h JOIN spanned r ON r.conv_id = h.conv_id
+    AND (r.is_sys AND h.h > 0 OR NOT r.is_sys AND r.i < h.h AND r.i >= h.h - 2 AND h.h_start - r.start <= 256) GROUP BY ALL
+), whole AS (
+  SELECT conv_id, count(*) AS n_turns, sum(shown) AS chars,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+    coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY i), '') AS lost
+  FROM spanned GROUP BY conv_id
+)
+SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, turns_sha256, CAST(length(lost) AS BIGINT) AS loss_chars, sha256(lost) AS loss_sha256,
+  CAST(whole.chars + coalesce(repeated.chars, 0) AS BIGINT) AS formatted_chars
+FROM whole LEFT JOIN repeated USING (conv_id)
+"""
+
+_OP4 = r"""
+WITH docs AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), lines AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM docs
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+), repeated AS (
+  SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+  SELECT keyed.*, top IS NOT NULL AND top <> doc_id AS gone FROM keyed LEFT JOIN repeated USING (key)
+)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+_OP5 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), i -> w[i:i + 2]) WHEN len(w) > 0 THEN [w] ELSE [] END) AS s FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT u, v FROM common JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * c >= 85 * (x.n + y.n - c)
+), reach(root, doc_id) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reach.root, links.v FROM reach JOIN links ON links.u = reach.doc_id
+), parts AS (
+  SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN parts USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat_format": _OP1,
+    "op4_line_dedup": _OP4,
+    "op5_minhash": _OP5,
+}

@@ -16,6 +16,15 @@ def _held_out():
     return F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out")
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.chat import digests, format_windows
+
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return digests(format_windows(turns))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orrery.llm.language_id import fit_on_folds, predict
 
@@ -23,6 +32,19 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(docs, fit_on_folds(docs), keep=["doc_id"]).select("doc_id", _held_out(), "lang_pred", "score")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.line_dedup import dedup_lines
+
+    out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.minhash import Settings, near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), Settings(shingle=3, percent=85))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -42,7 +64,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op2_language_id": op2_language_id,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_minhash": op5_minhash,
     "op7_sentencepiece": op7_sentencepiece,
     "op9_toxicity": op9_toxicity,
 }

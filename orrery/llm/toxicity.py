@@ -31,12 +31,12 @@ from orrery.llm.words import word_hashes
 class Settings:
     positives: int = 4_000
     unlabelled: int = 12_000
-    words: int = 2_048
+    words: int = 256
     least_documents: int = 8
     prior: float | None = None  # of toxic documents; None: their share among the training rows with a label
-    steps: int = 300
+    steps: int = 600
     rate: float = 0.05
-    decay: float = 2e-4
+    decay: float = 1e-4
 
 
 @dataclass

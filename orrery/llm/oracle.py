@@ -35,6 +35,18 @@ SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, turns_sha256, CAST(length(lo
 FROM whole LEFT JOIN repeated USING (conv_id)
 """
 
+_OP3 = r"""
+WITH vectors AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE)))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 GROUP BY vec_id
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
 _OP4 = r"""
 WITH docs AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
@@ -75,6 +87,7 @@ FROM documents d JOIN parts USING (doc_id) LEFT JOIN sizes USING (doc_id)
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": _OP1,
+    "op3_top_k": _OP3,
     "op4_line_dedup": _OP4,
     "op5_minhash": _OP5,
 }

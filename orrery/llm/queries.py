@@ -32,6 +32,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(docs, fit_on_folds(docs), keep=["doc_id"]).select("doc_id", _held_out(), "lang_pred", "score")
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.kdtree import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orrery.llm.line_dedup import dedup_lines
 
@@ -66,6 +72,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_language_id": op2_language_id,
+    "op3_top_k": op3_top_k,
     "op4_line_dedup": op4_line_dedup,
     "op5_minhash": op5_minhash,
     "op7_sentencepiece": op7_sentencepiece,

@@ -51,6 +51,12 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Settings(shingle=3, percent=85))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_top_k": op3_top_k,
     "op4_line_dedup": op4_line_dedup,
     "op5_minhash": op5_minhash,
+    "op6_decontaminate": op6_decontaminate,
     "op7_sentencepiece": op7_sentencepiece,
     "op9_toxicity": op9_toxicity,
 }

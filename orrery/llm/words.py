@@ -10,6 +10,8 @@ import numpy as np
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: For words without punctuation: all ASCII but letters and digits separates.
+NOT_ALNUM = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 _VALUES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _VALUES[ord("A") : ord("Z") + 1] = _VALUES[ord("a") : ord("z") + 1]
 _P = 0x9E3779B97F4A7C15
@@ -37,9 +39,9 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def word_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each word, and for each text the number of its first word."""
-    inside = ~_SPACE[raw]
+    inside = ~separators[raw]
     before = np.empty_like(inside)
     before[1:] = inside[:-1]
     after = np.empty_like(inside)
@@ -53,9 +55,9 @@ def word_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word, and for each text the number of its first word."""
-    starts, ends, firsts = word_bounds(raw, offsets)
+    starts, ends, firsts = word_bounds(raw, offsets, separators)
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):  # pieces of whole words, so that memory stays bounded in a long text

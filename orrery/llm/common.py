@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +16,20 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers once, so that they need not have it installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_orrery_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="orrery-"), f"{package.name}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(target))
+    sc._orrery_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -100,6 +116,7 @@ def map_texts(docs: DataFrame, text_col: str, make, fields: str, keep: list[str]
     """
     from pyspark.sql.types import StructType
 
+    ship(docs.sparkSession)
     new = StructType.fromDDL(fields)
     names = {n.lower() for n in new.names}
     kept = [n for n in (docs.columns if keep is None else keep) if n.lower() not in names]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.common import flat_bytes, text_slices, written
+from orrery.llm.common import flat_bytes, ship, text_slices, written
 from orrery.llm.words import NOT_ALNUM, combine, word_hashes
 
 
@@ -153,6 +153,7 @@ def _scan(docs: DataFrame, bloom: np.ndarray, s: Settings, reach: int | None, id
 
 def contaminated(docs: DataFrame, items: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, score, similarity, start_word, end_word`` of training rows that hold a test item or an edited copy."""
+    ship(docs.sparkSession)
     s = settings
     tests = written(_items(items, s, item_id_col, item_text_col), "items")
     reach = tests.agg(F.max(F.size("words"))).first()[0] or 0

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import written
+from orrery.llm.common import ship, written
 
 
 @dataclass(frozen=True)
@@ -160,6 +160,7 @@ def _searched(blocks: DataFrame, shards: DataFrame, k: int) -> DataFrame:
 
 def top_k(vectors: DataFrame, is_query: Column, settings: Settings = Settings(), id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` best of all other rows for every row where ``is_query``."""
+    ship(vectors.sparkSession)
     s = settings
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), integral(F.col(vector_col)).alias("v"), F.coalesce(is_query, F.lit(False)).alias("q")).where("id is not null and v is not null")
     rows = written(rows.groupBy("id").agg(F.min("v").alias("v"), F.max("q").alias("q")).withColumn("dim", F.size("v")), "vectors")

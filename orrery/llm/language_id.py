@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import flat_bytes, fold, map_texts
+from orrery.llm.common import flat_bytes, fold, map_texts, ship
 from orrery.llm.hashtable import HashTable
 
 ORDER = 3
@@ -98,6 +98,7 @@ def fit(docs: DataFrame, order: int = ORDER, train_bytes: int = TRAIN_BYTES) ->
     """Learns from the rows of ``docs (doc_id, text, lang)``; those with a null in any are left out."""
     if not 1 <= order <= 6:
         raise ValueError("order is 1 to 6 bytes")
+    ship(docs.sparkSession)
     docs = docs.select("doc_id", "text", "lang").dropna().where("lang <> 'und'")
     sizes = docs.groupBy("lang").agg(F.sum(F.octet_length("text").cast("double")).alias("size"))
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from orrery.llm.common import fold, table
 
+#: Stands in for a secret key; a real run passes its own to ``pseudonymise_documents``.
+PII_KEY = b"example key of the registered query"
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
@@ -66,6 +68,13 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_decode(docs, Vocabulary.load(public_tokenizers.path(PIECE_MODEL)), keep=["doc_id"]))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.quality import classify
+
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return classify(table(spark, sf_dir, "documents"), trusted)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orrery.llm.toxicity import fit_on_folds, score
 
@@ -75,6 +84,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", _held_out(), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.pii import KINDS, pseudonymise_documents
+
+    out = pseudonymise_documents(table(spark, sf_dir, "documents"), PII_KEY, keep=["doc_id"])
+    counts = [F.size(F.filter("pii_spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return out.select("doc_id", F.col("pii_text").alias("text"), "n_pii", *counts)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_language_id": op2_language_id,
@@ -83,5 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_minhash": op5_minhash,
     "op6_decontaminate": op6_decontaminate,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
+    "op10_pii": op10_pii,
 }

@@ -88,8 +88,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orrery.llm.pii import KINDS, pseudonymise_documents
 
     out = pseudonymise_documents(table(spark, sf_dir, "documents"), PII_KEY, keep=["doc_id"])
-    counts = [F.size(F.filter("pii_spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
-    return out.select("doc_id", F.col("pii_text").alias("text"), "n_pii", *counts)
+
+    def count(kind: str):
+        return F.size(F.filter("pii_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return out.select("doc_id", F.col("pii_text").alias("text"), "n_pii", *map(count, KINDS))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -126,11 +126,11 @@ def train(row: np.ndarray, column: np.ndarray, positive: np.ndarray, unlabelled:
     return w, float(bias)
 
 
-def score(docs: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with ``score double``; only the text is read."""
+def score(docs: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None, name: str = "score") -> DataFrame:
+    """``docs`` with the column ``name`` (double); only the text is read."""
     if model is None:
         kept = docs.columns if keep is None else keep
-        return docs.select(*[c for c in kept if c.lower() != "score"], F.lit(0.0).alias("score"))
+        return docs.select(*[F.col(f"`{c}`") for c in kept if c.lower() != name.lower()], F.lit(0.0).alias(name))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most settings.words words
 
     def make():
@@ -149,7 +149,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", keep: li
 
         return compute
 
-    return map_texts(docs, text_col, make, "score double", keep)
+    return map_texts(docs, text_col, make, f"{name} double", keep)
 
 
 def fit_on_folds(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:

@@ -7,12 +7,13 @@ at exactly that similarity (``miss``; pairs above it are missed far more rarely)
 
 1. Texts with equal shingle sets are one class, represented by its smallest id.
 2. Half keys that no other class has are dropped; the rest are combined to table keys.
-3. In each table bucket every class is compared with the smallest and the largest id there. Candidates are
-   confirmed on the full sets, and give components.
-4. Buckets that still hold several components: the classes outside the bucket's largest component are
-   compared with all classes of other components there. So a bucket of copies costs rows in proportion
-   to its size, and no link between different texts is left out. There is no cap.
-5. The components of all confirmed links are the result.
+3. Classes with too few shingles in common with all other classes left can't have a link and go.
+4. In each table bucket every class is compared with the one that has the fewest shingles of its own, the
+   bucket's center. Candidates are confirmed on the full sets, and give components.
+5. Buckets that still hold several components: the classes outside the bucket's largest component are
+   joined exactly with those of other components, by their rarest shingles. So a bucket of copies costs
+   rows in proportion to its size, and no link between different texts is left out. There is no cap.
+6. The components of all confirmed links are the result.
 
 Defined results: a null or empty text, or one without words, has an empty set and is linked with nothing;
 a text of fewer words than a shingle has its word sequence as its one shingle. Rows that share an id
@@ -28,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.llm.common import flat_bytes, map_texts, written
@@ -98,9 +99,41 @@ def _table_keys(classes: DataFrame, settings: Settings) -> DataFrame:
     return live.select("id", "n", F.explode(keys).alias("key"))
 
 
-def _alike(a: str, b: str, settings: Settings):
-    """Sizes that admit the similarity."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * settings.percent
+def _promising(sets: DataFrame, settings: Settings) -> DataFrame:
+    """``id, n, shared`` of the classes that can have a link: ``shared`` shingles occur in other classes too.
+
+    A link needs ``percent`` of either set in common, so classes with fewer shared shingles go.
+    """
+    shingles = sets.select("id", F.explode("members").alias("s"))
+    own = shingles.groupBy("s").agg(F.count("*").alias("c"), F.min("id").alias("id")).where("c = 1").groupBy("id").agg(F.count("*").alias("own"))
+    shared = F.col("n") - F.coalesce("own", F.lit(0))
+    return written(sets.select("id", "n").join(own, "id", "left").select("id", "n", shared.alias("shared")).where(F.col("shared") * 100 >= F.col("n") * settings.percent), "promising")
+
+
+def _may_link(a: str, b: str, settings: Settings):
+    """Whether sizes and shared shingles of two classes (structs ``n, shared``) admit the similarity."""
+    common = F.least(f"{a}.shared", f"{b}.shared")
+    return common * 100 >= (F.col(f"{a}.n") + F.col(f"{b}.n") - common) * settings.percent
+
+
+def _cross_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Every pair ``u, v`` of different components, one of them marked ``few``, that can be similar enough.
+
+    An exact prefix join over ``rows (id, n, members, few, component)``: with all sets ordered from rare to frequent
+    shingles, a pair whose first common shingle has place i and j has at most n - i and n - j in common, and needs
+    percent (n + n') / (100 + percent). So copies of one text that each differ a lot meet only in what is rare.
+    """
+    p = settings.percent
+    shingles = rows.select("id", "n", "few", "component", F.explode("members").alias("s"))
+    frequency = shingles.groupBy("s").agg(F.count("*").alias("df"))
+    place = F.row_number().over(Window.partitionBy("id").orderBy("df", "s")) - 1
+    ranked = shingles.join(frequency, "s").withColumn("i", place).where((F.col("n") - F.col("i")) * 100 >= F.col("n") * p).where("df > 1")
+    ranked = written(ranked.select("s", "i", "id", "n", "few", "component"), "prefixes")
+    x = ranked.where("few").select("s", F.col("i").alias("xi"), F.col("id").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"))
+    y = ranked.select("s", F.col("i").alias("yi"), F.col("id").alias("y"), F.col("n").alias("yn"), F.col("component").alias("yc"))
+    most = F.least(F.col("xn") - F.col("xi"), F.col("yn") - F.col("yi"))
+    pairs = x.join(y, "s").where((F.col("xc") != F.col("yc")) & (most * (100 + p) >= (F.col("xn") + F.col("yn")) * p))
+    return written(pairs.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct(), "cross")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
@@ -118,23 +151,24 @@ def links(docs: DataFrame, signed: DataFrame, settings: Settings, id_col: str =
     of_class = signed.select("id", "n_shingles", "halves", "s1", "s2").join(classes, ["id", "s1", "s2"]).dropDuplicates(["id", "s1", "s2"]).select("id", F.col("n_shingles").alias("n"), "halves")
     keys = _table_keys(of_class, settings)
     bucket = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    rows = written(keys.join(bucket, "key"), "buckets")
+    rows = written(keys.join(bucket, "key").select("key", "id"), "buckets")
     wanted = rows.select("id").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi")
     sets = written(map_texts(texts, "text", lambda: _signer(settings, True), "n bigint, members array<bigint>", ["id"]), "sets")
-    sizes = sets.select("id", "n")
-    stars = rows.select("id", "n", F.explode(F.array("low", "high")).alias("center")).where("id <> center").select(F.greatest("id", "center").alias("u"), F.least("id", "center").alias("v")).distinct()
-    stars = stars.join(sizes.select(F.col("id").alias("u"), F.col("n").alias("un")), "u").join(sizes.select(F.col("id").alias("v"), F.col("n").alias("vn")), "v").where(_alike("un", "vn", settings)).select("u", "v")
+    found = _promising(sets, settings).select("id", F.struct("n", "shared").alias("x"))
+    sets = sets.join(found.select("id"), "id", "left_semi")
+    rows = written(rows.join(found, "id"), "promising")
+    center = rows.groupBy("key").agg(F.min(F.struct((F.col("x.n") - F.col("x.shared")).alias("own"), "id", "x")).alias("c"), F.count("*").alias("k")).where("k > 1")
+    stars = rows.join(center.select("key", "c"), "key").where((F.col("id") != F.col("c.id")) & _may_link("x", "c.x", settings))
+    stars = written(stars.select(F.greatest("id", "c.id").alias("u"), F.least("id", "c.id").alias("v")).distinct(), "stars")
     found = written(_confirmed(stars, sets, settings), "links")
     parts = connected_components(found)
-    placed = rows.select("key", "id", "n").join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = rows.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     counts = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
     mixed = counts.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("k")).where("k > 1").select("key", "main")
     placed = placed.join(mixed, "key")
-    few = placed.where("component <> main").select("key", F.col("id").alias("a"), F.col("n").alias("an"), F.col("component").alias("ac"))
-    rest = placed.select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"))
-    cross = few.join(rest, "key").where((F.col("ac") != F.col("bc")) & _alike("an", "bn", settings))
-    cross = written(cross.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().join(stars, ["u", "v"], "left_anti"), "cross")
+    apart = placed.groupBy("id").agg(F.max(F.col("component") != F.col("main")).alias("few"), F.first("component").alias("component"))
+    cross = _cross_pairs(apart.join(sets, "id"), settings)
     more = written(_confirmed(cross, sets, settings), "links")
     if not more.isEmpty():
         parts = connected_components(found.unionByName(more))

@@ -1,19 +1,17 @@
-"""Schemas of the catalog's tables."""
+"""Schemas of the catalog's tables, as DDL."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 OBSERVED, INFERRED, SYNTHETIC = "Observed", "Inferred", "Synthetic"
 
-RAW_STAR = T.StructType.fromDDL(
+RAW_STAR = (
     "source_id bigint, ra double, dec_deg double, parallax double, parallax_error double, magnitude float, bp_rp float"
 )
-RAW_PLANET = T.StructType.fromDDL(
+RAW_PLANET = (
     "row_ord bigint, planet_name string, hostname string, ra double, dec_deg double, semi_major_au float, period_days float, "
     "radius_earth float, eq_temp_kelvin float, discovery_method string"
 )
-STAR = T.StructType.fromDDL(
+STAR = (
     "source_id bigint, x double, y double, z double, magnitude float, color_index float, has_planets boolean, quality string, "
     "color_quality string, planets array<struct<planet_name:string,semi_major_au:float,period_days:float,radius_earth:float,"
     "eq_temp_kelvin:float,quality:string,eq_temp_quality:string>>"

@@ -73,7 +73,7 @@ def _scan(spark: SparkSession, files: list[_File], fields: dict[str, str], fold_
     if missing:
         raise SourceError(f"{files[0].path} lacks the columns {', '.join(missing)}")
     schema = ", ".join([f"c{i} string" for i in range(len(names))] + ["bad string"])
-    rows = spark.read.csv([f.path for f in files], schema=schema, header=True, enforceSchema=True, mode="PERMISSIVE", columnPruning=False, columnNameOfCorruptRecord="bad", quote='"', escape='"', multiLine=multi_line, **options)
+    rows = spark.read.option("columnPruning", False).csv([f.path for f in files], schema=schema, header=True, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord="bad", quote='"', escape='"', multiLine=multi_line, **options)
     ordinals = F.create_map(*[x for f in files for x in (F.lit(f.path.rsplit("/", 1)[-1]), F.lit(f.ordinal))])
     picked = [F.col(f"c{known.index(f)}").alias(name) for f, name in fields.items()]  # the first of that name
     return rows.select(

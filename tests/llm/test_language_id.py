@@ -1,0 +1,81 @@
+import math
+import zlib
+
+from orrery.llm.language_id import Coder, build, fit, fit_on_folds, predict
+from orrery.llm.common import flat_bytes
+
+import numpy as np
+import pyarrow as pa
+
+
+def brute_costs(train, text, order):
+    """PPM, method C without exclusions, symbol by symbol."""
+    langs = sorted(train)
+    counts = {x: {} for x in langs}
+    for x, docs in train.items():
+        for d in docs:
+            raw = b"\n" * order + d.encode()
+            for i in range(order, len(raw)):
+                for n in range(order + 1):
+                    counts[x].setdefault(raw[i - n : i], {}).setdefault(raw[i], 0)
+                    counts[x][raw[i - n : i]][raw[i]] += 1
+    out = []
+    for x in langs:
+        raw, bits = b"\n" * order + text.encode(), 0.0
+        for i in range(order, len(raw)):
+            for n in range(order, -1, -1):
+                seen = counts[x].get(raw[i - n : i])
+                if seen is None:
+                    continue
+                total, distinct = sum(seen.values()), len(seen)
+                if raw[i] in seen:
+                    bits -= math.log2(seen[raw[i]] / (total + distinct))
+                    break
+                bits -= math.log2(distinct / (total + distinct))
+            else:
+                bits += 8
+        out.append(bits)
+    return out
+
+
+TRAIN = {"de": ["der hund und die katze schlafen", "über die straße"], "en": ["the dog and the cat sleep", "over the road the man goes", "a"]}
+
+
+def test_code_lengths_equal_brute_force(spark):
+    rows = [(i, d, x) for i, (x, d) in enumerate((x, d) for x, ds in TRAIN.items() for d in ds)]
+    model = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), order=3, train_bytes=10**9)
+    texts = ["the hund", "", "Z\U0001f600", "a\nb", "the cat " * 50, "über"]
+    got = Coder(model).lengths(*flat_bytes(pa.array(texts))) / 4096
+    for t, g in zip(texts, got, strict=True):
+        assert np.allclose(g, brute_costs(TRAIN, t, 3), atol=0.01 + 0.0005 * len(t.encode()))
+
+
+def test_predictions(spark, documents):
+    rows = [(i, TRAIN["de"][i % 2] * 3, "de") for i in range(30)] + [(i + 100, TRAIN["en"][i % 2] * 3, "en") for i in range(30)]
+    odd = [(900, None, None), (901, "", "en"), (902, "123 !?", "de"), (None, "the dog", "en"), (903, "die katze", None), (904, "the cat " * 20_000, "en"), (904, "the cat", "en")]
+    docs = documents(rows + odd, extra="lang_pred")
+    model = fit_on_folds(docs)
+    out = predict(docs, model)
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "lang_pred", "score"]
+    got = [(r["doc_id"], r["text"], r["lang"], r["lang_pred"], r["score"]) for r in out.collect()]
+    assert len(got) == len(rows + odd)
+    for i, text, lang, pred, score in got:
+        if i in (900, 901, 902):
+            assert (pred, score) == ("und", 0.0)
+        else:
+            assert pred == (lang or ("en" if i is None else "de")) and 0 < score <= 1
+    # Labels of held-out rows don't matter, nor those of the rows that are predicted.
+    held = [(i, t, "xx" if zlib.crc32(str(i).encode()) % 5 == 0 else x) for i, t, x in rows]
+    assert fit_on_folds(documents(held)).langs == ["de", "en"]
+
+
+def test_nothing_learnt(spark, documents):
+    docs = documents([(1, "text", None)])
+    assert [tuple(r) for r in predict(docs, fit_on_folds(docs), keep=["doc_id"]).collect()] == [(1, "und", 0.0)]
+    empty = documents([])
+    assert predict(empty, fit_on_folds(empty)).count() == 0
+
+
+def test_build_is_exact_for_one_symbol():
+    model = build(["x"], np.zeros(1, int), np.array([0x0A0A0A61], np.uint64), np.array([3]), 3)
+    assert Coder(model).lengths(np.frombuffer(b"a", np.uint8), np.array([0, 1]))[0, 0] == round(-math.log2(3 / 4) * 4096)

@@ -33,6 +33,7 @@ class Settings:
     unlabelled: int = 12_000
     words: int = 256
     least_documents: int = 8
+    least_z: float = 6.0  # standard errors by which a word's shares in the two samples differ
     prior: float | None = None  # of toxic documents; None: their share among the training rows with a label
     steps: int = 600
     rate: float = 0.05
@@ -78,13 +79,15 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     n_p, n_u = sampled.agg(F.sum("p"), F.sum("u")).first()
     if not n_p or not n_u:
         return None
-    rate_p, rate_u = F.col("p") / n_p, F.col("u") / n_u
+    p, u = F.col("p"), F.col("u")
+    share = (p + u) / (n_p + n_u)
+    z = F.abs(p / n_p - u / n_u) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-12)) * (1 / n_p + 1 / n_u))
     vocabulary = (
         sampled.select(F.explode("words").alias("word"), "p", "u")
         .groupBy("word")
         .agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
-        .where(F.col("p") + F.col("u") >= settings.least_documents)
-        .orderBy((-F.abs(rate_p - rate_u) / F.sqrt(rate_p + rate_u)), "word")
+        .where((p + u >= settings.least_documents) & (z >= settings.least_z))
+        .orderBy(-z, "word")
         .limit(settings.words)
         .select("word")
         .toPandas()["word"]

@@ -1,0 +1,83 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from orrery.llm.toxicity import Settings, fit_on_folds, score, train
+
+SCHEMA = "doc_id long, quality int, toxic int"
+TOXIC = ["vile", "scum", "rotten"]
+
+
+def corpus(n=900):
+    r = random.Random(2)
+    vocabulary = ["".join(r.choice("abcdefg") for _ in range(4)) for _ in range(200)]
+    docs, labels = [], []
+    for i in range(n):
+        toxic = r.random() < 0.15
+        w = [r.choice(vocabulary) for _ in range(r.randint(10, 80))]
+        if toxic:
+            for _ in range(r.randint(1, 3)):
+                w.insert(r.randrange(len(w)), r.choice(TOXIC).upper())
+        docs.append((i, " ".join(w), "en"))
+        if r.random() < 0.5:
+            labels.append((i, 1, int(toxic)))
+        else:
+            labels.append((i, 1, None))
+    truth = {i: any(x.upper() in t for x in TOXIC) for i, t, _ in docs}
+    return docs, labels, truth
+
+
+def test_held_out_accuracy(spark, documents):
+    docs, labels, truth = corpus(1500)
+    model = fit_on_folds(documents(docs), spark.createDataFrame(labels, SCHEMA))
+    got = {r["doc_id"]: r["score"] for r in score(documents(docs), model, keep=["doc_id"]).collect()}
+    held = [i for i in truth if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert len(held) > 100
+    right = sum((got[i] >= 0.5) == truth[i] for i in held) / len(held)
+    assert right >= 0.97
+    assert all(0 <= s <= 1 for s in got.values())
+
+
+def test_held_out_labels_are_not_learnt(spark, documents):
+    docs, labels, _ = corpus(900)
+    flipped = [(i, q, t if zlib.crc32(str(i).encode()) % 5 or t is None else 1 - t) for i, q, t in labels]
+    models = [fit_on_folds(documents(docs), spark.createDataFrame(x, SCHEMA)) for x in (labels, flipped)]
+    assert np.array_equal(models[0].words, models[1].words) and np.array_equal(models[0].weights, models[1].weights)
+
+
+def test_odd_rows(spark, documents):
+    docs, labels, _ = corpus(900)
+    model = fit_on_folds(documents(docs), spark.createDataFrame([*labels, *labels[:5], (None, 1, 1), (10**6, 1, 1)], SCHEMA))
+    odd = [(1, None, "en"), (2, "", "en"), (None, "vile scum", "en"), (3, "vile", "en"), (3, "vile", "en"), (4, "word " * 50_000 + "vile scum rotten", "en")]
+    out = score(documents(odd), model)
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "score"]
+    rows = out.collect()
+    assert len(rows) == 6
+    empty = {r["score"] for r in rows if not r["text"]}
+    assert len(empty) == 1 and empty.pop() < 0.5
+    assert all(r["score"] > 0.5 for r in rows if r["text"] and "vile" in r["text"])
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, 0)], [(5, 1, None)]])
+def test_nothing_confirmed(spark, documents, labels):
+    docs = documents([(k, "a b c", "en") for k in range(8)])
+    model = fit_on_folds(docs, spark.createDataFrame(labels, SCHEMA))
+    assert {r["score"] for r in score(docs, model).collect()} == {0.0}
+    assert score(documents([]), None).count() == 0
+
+
+def test_bounds_hold(spark, documents):
+    docs, labels, _ = corpus(900)
+    model = fit_on_folds(documents(docs), spark.createDataFrame(labels, SCHEMA), Settings(positives=20, unlabelled=60, words=10, least_documents=2, least_z=1.0))
+    assert len(model.words) <= 10
+
+
+def test_risk_is_corrected_by_the_prior():
+    """One word splits the samples; the trained probabilities follow the prior, not the sample sizes."""
+    rng = np.random.default_rng(0)
+    positive = np.r_[np.ones(200, bool), np.zeros(1000, bool)]
+    has = np.r_[np.ones(200, bool), rng.random(1000) < 0.1]
+    w, b = train(np.flatnonzero(has), np.zeros(has.sum(), int), positive, ~positive, 1, 0.1, Settings())
+    assert b + w[0] > 0 > b

@@ -30,7 +30,7 @@ from orrery.llm.words import NOT_ALNUM, combine, word_hashes
 @dataclass(frozen=True)
 class Settings:
     n: int = 3  # words of a seed
-    segment: int = 3  # n-grams of an item for each seed
+    segment: int = 2  # n-grams of an item for each seed
     similarity: float = 0.5
     least_words: int = 6
     bits: int = 24  # the Bloom filter has 2 ** bits

@@ -18,6 +18,12 @@ def with_coordinates(stars: DataFrame) -> DataFrame:
     return stars.withColumns(dict(zip("xyz", cartesian(F.col("ra"), F.col("dec_deg"), F.col("parallax")), strict=True)))
 
 
+def require_coordinates(stars: DataFrame) -> DataFrame:
+    """Fails the job at a star without coordinates; narrow, checked as rows pass."""
+    missing = F.raise_error(F.concat(F.lit("star without coordinates: "), F.col("source_id").cast("string"))).cast("double")
+    return stars.withColumns({c: F.coalesce(F.col(c), missing) for c in "xyz"})
+
+
 @dataclass(frozen=True)
 class Catalog:
     """Lazy tables of a run; what isn't used isn't computed."""
@@ -31,12 +37,20 @@ class Catalog:
     def manifest(self) -> DataFrame:
         return chunks.chunk_metadata(self.stars)
 
+    def register_views(self, prefix: str = "catalog") -> None:
+        """Temporary views for Spark SQL: ``<prefix>_stars``, ``_chunks`` and, with planets, ``_hosts`` and ``_matches``."""
+        named = {"stars": self.stars, "chunks": self.manifest, "hosts": self.hosts, "matches": self.matches}
+        for name, df in named.items():
+            if df is not None:
+                df.createOrReplaceTempView(f"{prefix}_{name}")
+
 
 def build(stars: DataFrame, planets: DataFrame | None = None, config: CatalogConfig = CatalogConfig()) -> Catalog:
     """The catalog of typed ``stars`` and, if given, ``planets``."""
     placed = with_coordinates(filter_stars(stars, config))
     if planets is None:
         return Catalog(impute.without_planets(placed, config))
+    placed = require_coordinates(placed)
     hosts = crossmatch.group_hosts(planets)
     matches = crossmatch.match_hosts(hosts, placed, config)
     enriched = crossmatch.attach_planets(placed, planets, matches)

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from orrery.config import CatalogConfig
 from orrery.operators import chunks, crossmatch, impute, quality
 from orrery.plans import sinks
-from orrery.plans.catalog import with_coordinates
+from orrery.plans.catalog import require_coordinates, with_coordinates
 from orrery.plans.checkpoint import staged
-from orrery.sources.csv_files import read_planet_csv, read_star_csv
+from orrery.sources.csv_files import planet_counts, planet_rows, read_planet_csv, read_star_csv
 
 
 def parser() -> argparse.ArgumentParser:
@@ -40,7 +40,7 @@ def build_catalog(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     out, mark = args.output_path.rstrip("/"), config.fingerprint(args.gaia_path, args.exoplanet_path or "")
     parsed = staged(spark, out, "parsed", mark, args.resume, lambda: quality.parse_stars(read_star_csv(spark, args.gaia_path), config))
     sinks.write_rejects(quality.rejects(parsed), f"{out}/rejects")
-    placed = with_coordinates(quality.kept_stars(parsed))
+    placed = require_coordinates(with_coordinates(quality.kept_stars(parsed)))
     stats = parsed.agg(F.count("*").alias("total_rows"), F.count("skip_reason").alias("skipped_rows"))
     if args.exoplanet_path:
         planets = read_planet_csv(spark, args.exoplanet_path)
@@ -49,6 +49,7 @@ def build_catalog(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         sinks.write_unmatched(crossmatch.unmatched_hosts(hosts, matches), f"{out}/unmatched_hosts.txt")
         enriched = crossmatch.attach_planets(placed, planets, matches)
         catalog = staged(spark, out, "catalog", mark, args.resume, lambda: impute.infer(enriched, config))
+        stats = stats.join(planet_counts(planet_rows(spark, args.exoplanet_path)), F.lit(True))
         stats = stats.join(crossmatch.match_statistics(hosts, matches), F.lit(True)).join(impute.inference_counters(enriched, catalog), F.lit(True))  # one row each
     else:
         catalog = staged(spark, out, "catalog", mark, args.resume, lambda: impute.without_planets(placed, config))

@@ -103,14 +103,14 @@ def read_star_csv(spark: SparkSession, path: str, multi_line: bool = False) -> D
     return _read(spark, path, STAR_FIELDS, False, None, multi_line)
 
 
-def read_planet_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Planets that have names, a position, a distance and a period; ``row_ord`` is their order.
+def planet_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All planet rows, typed, with ``usable``: well-formed, with names, a position, a distance and a period.
 
-    Lines that begin with # are comments, names are matched in any case. Raises ``SourceError`` if none is left.
+    Lines that begin with # are comments, column names are matched in any case; ``row_ord`` is the rows' order.
     """
     rows = _read(spark, path, PLANET_FIELDS, True, "#", False, comment="#", ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
     real = lambda c, kind="float": parse_real(F.col(c), kind).alias(c)
-    parsed = rows.where("not malformed").select(
+    parsed = rows.select(
         (F.col("file_ord").cast("bigint") * F.lit(1 << 48) + F.col("in_scan")).alias("row_ord"),
         trimmed(F.col("planet_name")).alias("planet_name"),
         trimmed(F.col("hostname")).alias("hostname"),
@@ -121,8 +121,26 @@ def read_planet_csv(spark: SparkSession, path: str) -> DataFrame:
         real("radius_earth"),
         real("eq_temp_kelvin"),
         trimmed(F.col("discovery_method")).alias("discovery_method"),
+        "malformed",
     )
-    kept = parsed.where("length(planet_name) > 0 and length(hostname) > 0").dropna(subset=["ra", "dec_deg", "semi_major_au", "period_days"])
+    named = F.coalesce((F.length("planet_name") > 0) & (F.length("hostname") > 0), F.lit(False))
+    complete = F.lit(True)
+    for c in ("ra", "dec_deg", "semi_major_au", "period_days"):
+        complete = complete & F.col(c).isNotNull()
+    return parsed.withColumn("usable", ~F.col("malformed") & named & complete).drop("malformed")
+
+
+def planet_counts(rows: DataFrame) -> DataFrame:
+    """One row: ``planets_parsed`` and ``planets_skipped``."""
+    return rows.agg(F.count_if("usable").alias("planets_parsed"), F.count_if(~F.col("usable")).alias("planets_skipped"))
+
+
+def read_planet_csv(spark: SparkSession, path: str, dedupe: bool = False) -> DataFrame:
+    """The usable planets. Raises ``SourceError`` if there are none. ``dedupe`` keeps the first row of a planet name."""
+    kept = planet_rows(spark, path).where("usable").drop("usable")
     if kept.isEmpty():
         raise SourceError(f"{path} has no usable planets")
+    if dedupe:
+        row = F.struct("row_ord", *[c for c in kept.columns if c != "row_ord"])
+        kept = kept.groupBy(F.col("planet_name").alias("__name")).agg(F.min_by(row, "row_ord").alias("r")).select("r.*")
     return kept

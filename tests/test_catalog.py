@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from orrery.config import CatalogConfig
 from orrery.operators import chunks, crossmatch, impute, quality
 from orrery.plans import cli, sinks
-from orrery.plans.catalog import build, with_coordinates
+from orrery.plans.catalog import build, require_coordinates, with_coordinates
 from orrery.schemas import RAW_PLANET, RAW_STAR
-from orrery.sources.csv_files import SourceError, read_planet_csv, read_star_csv
+from orrery.sources.csv_files import SourceError, planet_counts, planet_rows, read_planet_csv, read_star_csv
 
 HEADER = "source_id,ra,dec,parallax,parallax_error,phot_g_mean_mag,bp_rp\n"
 PLANETS = "pl_name,hostname,ra,dec,pl_orbsmax,pl_orbper,pl_rade,pl_eqt,discoverymethod\n"
@@ -68,6 +68,9 @@ def test_planet_csv(spark, tmp_path):
     rows = {r["planet_name"]: r for r in read_planet_csv(spark, str(f)).collect()}
     assert sorted(rows) == ["b", "e"]
     assert rows["b"]["radius_earth"] is None and rows["b"]["eq_temp_kelvin"] == 400 and rows["e"]["radius_earth"] is None
+    assert planet_counts(planet_rows(spark, str(f))).first().asDict() == {"planets_parsed": 2, "planets_skipped": 3}
+    f.write_text(PLANETS + "e,Host,1,2,0.5,10,7,,RV\ne,Host,1,2,0.5,10,8,,RV\n")
+    assert [r["radius_earth"] for r in read_planet_csv(spark, str(f), dedupe=True).collect()] == [7]
     f.write_text(PLANETS)
     with pytest.raises(SourceError):
         read_planet_csv(spark, str(f))
@@ -218,3 +221,12 @@ def test_stream_equals_batch(spark, tmp_path):
         q.processAllAvailable()
         q.stop()
         assert sorted(map(repr, spark.table(name).collect())) == sorted(map(repr, make(rows).collect()))
+
+
+def test_views_and_missing_coordinates(spark):
+    s = stars(spark, [(1, 0, 0, 1000, 5.0, 0.65), (2, 0, 0, 1000, 5.0, None)])
+    build(s, planets(spark, [("x", 0, 0)])).register_views("t")
+    assert spark.sql("SELECT s.source_id FROM t_stars s JOIN t_matches USING (source_id)").count() == 1
+    assert spark.sql("SELECT star_count FROM t_chunks").first()[0] == 2
+    with pytest.raises(Exception, match="without coordinates"):
+        require_coordinates(with_coordinates(s).withColumn("x", F.when(F.col("source_id") == 1, F.col("x")))).collect()

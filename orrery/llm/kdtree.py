@@ -177,19 +177,22 @@ def top_k(vectors: DataFrame, is_query: Column, settings: Settings = Settings(),
     kth = kth.groupBy("dim", "block").agg(F.map_from_entries(F.collect_list(F.struct("query_id", "least"))).alias("kth"))  # block_rows at most
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["dim", "block", "query_ids", "queries", "least", "shard"]
+        types = [pa.int32(), pa.int64(), *[pa.binary()] * 3, pa.int64()]
         for batch in batches:
-            out = []
-            for r in batch.to_pylist():
+            for i in range(batch.num_rows):
+                (r,) = batch.slice(i, 1).to_pylist()
                 known = dict(r["kth"] or [])
-                ids = np.frombuffer(r["query_ids"], np.int64)
-                least = _pack(np.array([x if (x := known.get(int(i))) is not None else np.iinfo(np.int64).min for i in ids], np.int64))
-                out += [r | {"least": least, "shard": x} for x in r["all"] if x != r["home"]]
-            names = ["dim", "block", "query_ids", "queries", "least", "shard"]
-            types = [pa.int32(), pa.int64(), *[pa.binary()] * 3, pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in zip(names, types, strict=True)], names)
+                least = [x if (x := known.get(int(q))) is not None else np.iinfo(np.int64).min for q in np.frombuffer(r["query_ids"], np.int64)]
+                r["least"] = _pack(np.array(least, np.int64))
+                others = [x for x in r["all"] if x != r["home"]]
+                for at in range(0, len(others), 16):  # a block is large, so few copies at once
+                    part = others[at : at + 16]
+                    yield pa.RecordBatch.from_arrays([pa.array([r[c]] * len(part) if c != "shard" else part, t) for c, t in zip(names, types, strict=True)], names)
 
     rest = blocks.join(kth, ["dim", "block"], "left").mapInArrow(fill, "dim int, block bigint, query_ids binary, queries binary, least binary, shard bigint")
-    found = home.unionByName(_searched(rest, shards, s.k)).select("query_id", "vec_id", "score")
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, s.k)
-    ranked = found.groupBy("query_id").agg(best.alias("best")).select("query_id", F.posexplode("best").alias("at", "x"))
+    found = home.unionByName(_searched(rest, shards, s.k)).select("query_id", F.struct((-F.col("score")).alias("s"), "vec_id").alias("x"), F.pmod(F.xxhash64("vec_id"), F.lit(256)).alias("part"))
+    best = lambda c: F.slice(F.array_sort(c), 1, s.k)  # noqa: E731  in two steps, as every shard sends k
+    found = found.groupBy("query_id", "part").agg(best(F.collect_list("x")).alias("best")).groupBy("query_id").agg(best(F.flatten(F.collect_list("best"))).alias("best"))
+    ranked = found.select("query_id", F.posexplode("best").alias("at", "x"))
     return ranked.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.s")).alias("score"))

@@ -24,5 +24,5 @@ def parse_id(text: Column) -> Column:
 def parse_real(text: Column, kind: str = "double") -> Column:
     """A floating-point number of ``kind``; null if the text isn't one. Hex, suffixes and blanks inside don't count."""
     value = F.lower(trimmed(text))
-    spelt = F.regexp_replace(value, "^([+-]?)inf$", "$1infinity")
+    spelt = F.regexp_replace(value, "^[+-]nan$", "nan")
     return F.when(value.rlike(REAL), spelt.try_cast(kind))

@@ -156,7 +156,7 @@ def classify(docs: DataFrame, trusted: DataFrame, settings: Settings = Settings(
     scored = written(perplexities(flagged, probabilities, settings), "perplexities")
     known = scored.where("trusted and perplexity is not null")
     cut = F.percentile_approx("perplexity", settings.quantile, 10_000)
-    by_lang = known.where("lang is not null").groupBy("lang").agg(cut.alias("own"))
+    by_lang = written(known.where("lang is not null").groupBy("lang").agg(cut.alias("own")), "thresholds")  # so that Spark knows its size
     overall = known.agg(cut).first()[0]
     out = scored.join(by_lang, "lang", "left").withColumn("threshold", F.coalesce("own", F.lit(overall).cast("double")))
     return out.select("doc_id", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)).alias("kept"))

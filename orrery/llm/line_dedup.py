@@ -61,6 +61,18 @@ class LineRuns:
         runs = [run for level in self.levels for run in level]
         return runs[0] if len(runs) == 1 else self._merged(runs)
 
+    def admit(self, rows: DataFrame) -> DataFrame:
+        """For an endless feed of batches: the rows of ``rows (h1, h2, id, ...)`` whose hash no earlier batch had; the batch is added.
+
+        So the first batch that brings a line keeps it. Each run is merge-anti-joined by itself, without merging the runs first.
+        """
+        fresh = rows
+        for run in [run for level in self.levels for run in level]:
+            fresh = fresh.join(run.select(*_KEY).hint("merge"), _KEY, "left_anti")
+        fresh = written(fresh, "fresh")
+        self.add(rows)
+        return fresh
+
 
 def hashed_lines(docs: DataFrame, id_col: str, text_col: str, least_chars: int) -> DataFrame:
     """``id, t, pos, h1, h2`` of the lines that are long enough; t tells texts with one id apart."""

@@ -36,7 +36,7 @@ _COUNT_SLICE = 8 << 20
 class Settings:
     head: int = 1 << 18  # most frequent 4-grams that are scored in place
     quantile: float = 0.99
-    broadcast_ids: int = 2_000_000  # trusted ids up to this number are broadcast; beyond it they are joined by a shuffle
+    broadcast_ids: int = 500_000  # trusted ids up to this number are broadcast; beyond it they are joined by a shuffle
 
 
 def _flagged(docs: DataFrame, trusted: DataFrame, s: Settings) -> DataFrame:

@@ -55,6 +55,15 @@ def test_levels(spark):
     assert sorted((r["h1"], r["n_docs"], r["top"]) for r in store.runs().collect()) == [(0, 5, 40), (1, 10, 41), (2, 15, 42)]
 
 
+def test_feed_keeps_the_first(spark):
+    store, seen = LineRuns(spark, fanout=2), set()
+    for b in range(5):
+        keys = [k % (7 + 3 * b) for k in range(5 * b, 5 * b + 12)]
+        fresh = store.admit(spark.createDataFrame([(k, k, 100 * b + j) for j, k in enumerate(keys)], "h1 long, h2 long, id long"))
+        assert sorted((r["h1"], r["id"]) for r in fresh.collect()) == sorted((k, 100 * b + j) for j, k in enumerate(keys) if k not in seen)
+        seen |= set(keys)
+
+
 def test_empty(documents):
     assert dedup_lines(documents([])).count() == 0
 

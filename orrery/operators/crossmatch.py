@@ -13,6 +13,11 @@ from orrery.functions.astro import ARCSEC_PER_RADIAN, normal_name, separation_ar
 _PLANET = ["planet_name", "semi_major_au", "period_days", "radius_earth", "eq_temp_kelvin"]
 
 
+def _fits(rows: DataFrame, n: int) -> bool:
+    """Whether there are at most ``n`` rows; stops counting beyond."""
+    return rows.limit(n + 1).count() <= n
+
+
 def group_hosts(planets: DataFrame) -> DataFrame:
     """``host, n_planets, ra, dec_deg``: one row a normalised host name, at its first planet's position."""
     first = F.min_by(F.struct("ra", "dec_deg"), "row_ord")
@@ -48,7 +53,7 @@ def match_nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = Ca
     around = hosts.select("host", F.col("ra").alias("h_ra"), F.col("dec_deg").alias("h_dec"), *grid(hosts))
     for g in axes:
         around = around.withColumn(g, F.explode(F.sequence(F.col(g) - 1, F.col(g) + 1)))
-    if hosts.limit(config.broadcast_hosts + 1).count() <= config.broadcast_hosts:
+    if _fits(hosts, config.broadcast_hosts):
         around = F.broadcast(around)
     placed = stars.select("source_id", F.col(_order(stars)).alias("ord"), "ra", "dec_deg", *grid(stars))
     sep = separation_arcsec(F.col("h_ra"), F.col("h_dec"), F.col("ra"), F.col("dec_deg"))
@@ -80,10 +85,16 @@ def match_statistics(hosts: DataFrame, matches: DataFrame) -> DataFrame:
     return joined.select("*", (F.col("total_hosts") - matched).alias("unmatched"), F.coalesce(F.try_divide(matched, F.col("total_hosts")), F.lit(0.0)).alias("match_rate"))
 
 
-def attach_planets(stars: DataFrame, planets: DataFrame, matches: DataFrame) -> DataFrame:
-    """Stars with ``planets``, ordered by host and row; an empty array without any. A star may have several hosts."""
+def attach_planets(stars: DataFrame, planets: DataFrame, matches: DataFrame, config: CatalogConfig = CatalogConfig()) -> DataFrame:
+    """Stars with ``planets``, ordered by host and row; an empty array without any. A star may have several hosts.
+
+    Up to ``config.broadcast_hosts`` planets are broadcast, so that the stars don't shuffle; beyond it both sides do.
+    """
     rows = planets.withColumn("host", normal_name(F.col("hostname"))).join(matches.select("host", "source_id"), "host")
     lists = rows.groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("host", "row_ord", *_PLANET))).alias("p"))
     lists = lists.select("source_id", F.transform("p", lambda x: F.struct(*[x[c].alias(c) for c in _PLANET])).alias("planets"))
+    planet_type = lists.schema["planets"].dataType
+    if _fits(planets, config.broadcast_hosts):
+        lists = F.broadcast(lists)
     out = stars.join(lists, "source_id", "left")
-    return out.withColumn("planets", F.coalesce("planets", F.array().cast(lists.schema["planets"].dataType)))
+    return out.withColumn("planets", F.coalesce("planets", F.array().cast(planet_type)))

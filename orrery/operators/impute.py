@@ -27,7 +27,8 @@ def bin_medians(stars: DataFrame, config: CatalogConfig = CatalogConfig()) -> Da
 def impute_colors(stars: DataFrame, config: CatalogConfig = CatalogConfig()) -> DataFrame:
     """Stars with ``filled_bp_rp``: observed, else the median of its bin, the bin above, the bin below, else null.
 
-    Stars with a colour pass by; only those without one are joined, on the cell, with up to three bins each.
+    The bins are few (a row a cell and half magnitude) and offer their values beforehand, so that the stars are joined
+    once; Spark broadcasts the bins if it finds them small, else both sides shuffle on cell and bin.
     """
     placed = with_cells(stars, config).withColumn("mag_bin", magnitude_bin(F.col("magnitude")))
     medians = bin_medians(stars, config)

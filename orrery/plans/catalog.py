@@ -53,5 +53,5 @@ def build(stars: DataFrame, planets: DataFrame | None = None, config: CatalogCon
     placed = require_coordinates(placed)
     hosts = crossmatch.group_hosts(planets)
     matches = crossmatch.match_hosts(hosts, placed, config)
-    enriched = crossmatch.attach_planets(placed, planets, matches)
+    enriched = crossmatch.attach_planets(placed, planets, matches, config)
     return Catalog(impute.infer(enriched, config), hosts, matches, enriched)

@@ -47,7 +47,7 @@ def build_catalog(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         hosts = crossmatch.group_hosts(planets)
         matches = staged(spark, out, "matches", mark, args.resume, lambda: crossmatch.match_hosts(hosts, placed, config))
         sinks.write_unmatched(crossmatch.unmatched_hosts(hosts, matches), f"{out}/unmatched_hosts.txt")
-        enriched = crossmatch.attach_planets(placed, planets, matches)
+        enriched = crossmatch.attach_planets(placed, planets, matches, config)
         catalog = staged(spark, out, "catalog", mark, args.resume, lambda: impute.infer(enriched, config))
         stats = stats.join(planet_counts(planet_rows(spark, args.exoplanet_path)), F.lit(True))
         stats = stats.join(crossmatch.match_statistics(hosts, matches), F.lit(True)).join(impute.inference_counters(enriched, catalog), F.lit(True))  # one row each

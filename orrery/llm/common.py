@@ -14,11 +14,16 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker handles at once; a longer text is handled alone.
 SLICE_BYTES = 1 << 20
+ARROW_BYTES = 8 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers once, so that they need not have it installed."""
+    """Sends this package to the Python workers once, so that they need not have it installed.
+
+    Also lowers the session's bytes of an Arrow batch: long texts would make large ones in both processes.
+    """
     sc = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     if getattr(sc, "_orrery_shipped", False):
         return
     package = Path(__file__).resolve().parents[1]

@@ -3,8 +3,9 @@
 Texts are cut at the places no piece crosses (before a run of spaces, around newlines). The
 distinct segments of a batch become one flat symbol array; each round finds the best-ranked
 adjacent pair of every segment at once (segmented minimum), merges its occurrences from the left
-and compacts the arrays, until no segment has a pair left. Characters outside the vocabulary
-become byte pieces. Decoding gathers the pieces' bytes.
+and compacts the arrays, until no segment has a pair left. Where the merged piece can form a pair that goes
+before the other occurrences, only the leftmost is merged in that round. Characters outside the
+vocabulary become byte pieces. Decoding gathers the pieces' bytes.
 
 Defined results: a null text counts as empty; an empty text has no ids and decodes to an empty
 text. The ids and decoded texts are those of the sentencepiece library for models without text
@@ -14,6 +15,7 @@ normalisation (``Vocabulary.load`` refuses others).
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 from dataclasses import dataclass
 
@@ -29,6 +31,8 @@ _MARK = "▁"
 _NONE = np.int32(np.iinfo(np.int32).max)
 #: Distinct segments that a Python worker remembers; beyond it starts anew.
 CACHE_SEGMENTS = 200_000
+#: Pairs of a segment that have to be merged one by one, from which on an agenda does it: long runs of one character.
+LONG = 64
 
 
 @dataclass
@@ -108,7 +112,7 @@ class Merger:
         return out
 
     def _agenda(self, symbols: list[int]) -> list[int]:
-        """Merges one segment by an agenda: for pieces whose equal scores need strict left-to-right order."""
+        """Merges one segment by an agenda, for long runs whose pairs have to be merged one by one."""
         after, before = [*range(1, len(symbols)), -1], [-1, *range(len(symbols) - 1)]
         rank, pairs, n = self.rank, self.pairs, self.n
         agenda: list[tuple[int, int, int, int, int]] = []
@@ -149,20 +153,24 @@ class Merger:
             best_of = np.repeat(best, sizes)
             hit = (rank == best_of) & (pair >= 0)
             over = best == _NONE
-            risky = np.logical_or.reduceat(hit & self.risky[pair], starts)
-            for k in np.flatnonzero(risky & ~over):
+            hits = np.add.reduceat(hit, starts, dtype=np.int64)
+            risky = (hits > 1) & np.logical_or.reduceat(hit & self.risky[pair], starts)
+            long = risky & (hits > LONG)
+            for k in np.flatnonzero(long):
                 out = self._agenda(sym[starts[k] : starts[k] + sizes[k]].tolist())
                 done_sym.append(np.array(out, np.int32))
                 done_seg.append(np.full(len(out), seg[starts[k]]))
-            if (over | risky).any():
+            one = np.repeat(risky, sizes)
+            if (over | long).any():
                 ended = np.repeat(over, sizes)
                 done_sym.append(sym[ended])
                 done_seg.append(seg[ended])
-                live = ~np.repeat(over | risky, sizes)
-                sym, seg, pair, hit = sym[live], seg[live], pair[live], hit[live]
+                live = ~np.repeat(over | long, sizes)
+                sym, seg, pair, hit, one = sym[live], seg[live], pair[live], hit[live], one[live]
                 if not len(sym):
                     break
             at = np.flatnonzero(hit)
+            at = at[~one[at] | np.r_[True, seg[at[1:]] != seg[at[:-1]]]]  # only the leftmost where the next may not wait
             run = np.flatnonzero(np.r_[True, at[1:] != at[:-1] + 1])  # of overlapping pairs, every second from the left
             place = np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))
             at = at[place % 2 == 0]
@@ -172,7 +180,9 @@ class Merger:
             shifted = at - np.arange(len(at))
             sym, seg, pair = sym[live], seg[live], pair[live]
             pair[shifted] = -1
-            touched = np.unique(np.r_[shifted, shifted[shifted > 0] - 1])
+            near = np.zeros(len(sym) + 1, bool)
+            near[shifted] = near[shifted - 1] = True  # -1 is the spare last place
+            touched = np.flatnonzero(near[:-1])
             touched = touched[touched + 1 < len(sym)]
             pair[touched] = -1
             touched = touched[seg[touched] == seg[touched + 1]]
@@ -198,7 +208,7 @@ class Merger:
         if len(self.cache) > CACHE_SEGMENTS:
             self._forget()
         cache = self.cache
-        new = list({w for words in cut for w in words}.difference(cache))
+        new = list(set(itertools.chain.from_iterable(cut)).difference(cache))
         if new:
             ids, sizes = self.encode_segments(new)
             cache.update(zip(new, range(len(cache), len(cache) + len(new)), strict=True))
@@ -208,7 +218,7 @@ class Merger:
             self.starts = np.r_[self.starts, self.used + np.cumsum(sizes) - sizes]
             self.sizes = np.r_[self.sizes, sizes]
             self.used += len(ids)
-        rows = np.fromiter((cache[w] for words in cut for w in words), np.int64, sum(map(len, cut)))
+        rows = np.array(list(map(cache.__getitem__, itertools.chain.from_iterable(cut))), np.int64)
         sizes = self.sizes[rows]
         ends = np.r_[0, np.cumsum(sizes)]
         flat = self.ids[np.repeat(self.starts[rows] - ends[:-1], sizes) + np.arange(ends[-1])]

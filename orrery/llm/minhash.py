@@ -17,7 +17,7 @@ at exactly that similarity (``miss``; pairs above it are missed far more rarely)
 
 Defined results: a null or empty text, or one without words, has an empty set and is linked with nothing;
 a text of fewer words than a shingle has its word sequence as its one shingle. Rows that share an id
-are separate texts. Rows with a null id are linked with nothing: their component is null and they are
+are separate texts, but where that id is the smallest of several classes their links are joined. Rows with a null id are linked with nothing: their component is null and they are
 not kept. Ties need no rule: components are named by their smallest id.
 """
 

@@ -54,9 +54,9 @@ class Vocabulary:
         byte_ids = [i for i in range(n) if sp.is_byte(i)]
         if len(byte_ids) != 256 or byte_ids[-1] - byte_ids[0] != 255:
             raise ValueError("the model has no byte fallback")
-        probe = " Ａ  éﬁ "
-        if sp.decode(sp.encode(probe)) != probe or sp.encode("a")[:1] == sp.encode("xa")[1:2]:
-            raise ValueError("the model normalises texts")
+        probe = " Ａ  éﬁ "  # full width, a ligature, repeated and outer spaces
+        if sp.decode(sp.encode(probe)) != probe or not sp.id_to_piece(sp.encode("a")[0]).startswith(_MARK):
+            raise ValueError("the model normalises texts, or adds no space before them")
         special = {i for i in range(n) if sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)}
         scores = np.array([np.nan if i in special else sp.get_score(i) for i in range(n)])
         return cls(pieces, scores, sp.unk_id(), byte_ids[0])

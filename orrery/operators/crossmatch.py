@@ -13,7 +13,7 @@ from orrery.functions.astro import ARCSEC_PER_RADIAN, normal_name, separation_ar
 _PLANET = ["planet_name", "semi_major_au", "period_days", "radius_earth", "eq_temp_kelvin"]
 
 
-def _fits(rows: DataFrame, n: int) -> bool:
+def fits(rows: DataFrame, n: int) -> bool:
     """Whether there are at most ``n`` rows; stops counting beyond."""
     return rows.limit(n + 1).count() <= n
 
@@ -36,12 +36,13 @@ def match_names(hosts: DataFrame, stars: DataFrame) -> DataFrame:
     return hosts.select("host").join(named, "host").groupBy("host").agg(F.min("s")["id"].alias("source_id"))
 
 
-def match_nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = CatalogConfig()) -> DataFrame:
+def match_nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = CatalogConfig(), few: bool | None = None) -> DataFrame:
     """``host, source_id, sep_arcsec``: the nearest star within the radius (strictly), ties to the earliest.
 
     Both sides are put on a grid of unit vectors whose cells are a little wider than the radius's chord, so
     the match lies in the host's cell or one of its 26 neighbours: an equi-join on the cell. Unit vectors have
-    no wrap at 0 degrees and no special poles. Hosts are broadcast up to ``config.broadcast_hosts``.
+    no wrap at 0 degrees and no special poles. Hosts are broadcast up to ``config.broadcast_hosts``;
+    ``few`` says whether that holds if the caller knows it already.
     """
     theta = config.proximity_arcsec / ARCSEC_PER_RADIAN
     width = max(2 * math.sin(min(theta, math.pi) / 2) * 1.0001, 1e-4)
@@ -53,7 +54,7 @@ def match_nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = Ca
     around = hosts.select("host", F.col("ra").alias("h_ra"), F.col("dec_deg").alias("h_dec"), *grid(hosts))
     for g in axes:
         around = around.withColumn(g, F.explode(F.sequence(F.col(g) - 1, F.col(g) + 1)))
-    if _fits(hosts, config.broadcast_hosts):
+    if fits(hosts, config.broadcast_hosts) if few is None else few:
         around = F.broadcast(around)
     placed = stars.select("source_id", F.col(_order(stars)).alias("ord"), "ra", "dec_deg", *grid(stars))
     sep = separation_arcsec(F.col("h_ra"), F.col("h_dec"), F.col("ra"), F.col("dec_deg"))
@@ -62,13 +63,13 @@ def match_nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = Ca
     return best.select("host", F.col("m.source_id").alias("source_id"), F.col("m.sep").alias("sep_arcsec"))
 
 
-def match_hosts(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = CatalogConfig()) -> DataFrame:
+def match_hosts(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = CatalogConfig(), few: bool | None = None) -> DataFrame:
     """``host, source_id, match_pass`` (1 name, 2 position) of all matched hosts."""
     if "designation" not in stars.columns:
-        return match_nearest(hosts, stars, config).select("host", "source_id", F.lit(2).alias("match_pass"))
+        return match_nearest(hosts, stars, config, few).select("host", "source_id", F.lit(2).alias("match_pass"))
     named = match_names(hosts, stars)
     left = hosts.join(named, "host", "left_anti")
-    near = match_nearest(left, stars, config)
+    near = match_nearest(left, stars, config, few)
     return named.select("host", "source_id", F.lit(1).alias("match_pass")).unionByName(near.select("host", "source_id", F.lit(2).alias("match_pass")))
 
 
@@ -85,7 +86,7 @@ def match_statistics(hosts: DataFrame, matches: DataFrame) -> DataFrame:
     return joined.select("*", (F.col("total_hosts") - matched).alias("unmatched"), F.coalesce(F.try_divide(matched, F.col("total_hosts")), F.lit(0.0)).alias("match_rate"))
 
 
-def attach_planets(stars: DataFrame, planets: DataFrame, matches: DataFrame, config: CatalogConfig = CatalogConfig()) -> DataFrame:
+def attach_planets(stars: DataFrame, planets: DataFrame, matches: DataFrame, config: CatalogConfig = CatalogConfig(), few: bool | None = None) -> DataFrame:
     """Stars with ``planets``, ordered by host and row; an empty array without any. A star may have several hosts.
 
     Up to ``config.broadcast_hosts`` planets are broadcast, so that the stars don't shuffle; beyond it both sides do.
@@ -94,7 +95,7 @@ def attach_planets(stars: DataFrame, planets: DataFrame, matches: DataFrame, con
     lists = rows.groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("host", "row_ord", *_PLANET))).alias("p"))
     lists = lists.select("source_id", F.transform("p", lambda x: F.struct(*[x[c].alias(c) for c in _PLANET])).alias("planets"))
     planet_type = lists.schema["planets"].dataType
-    if _fits(planets, config.broadcast_hosts):
+    if fits(planets, config.broadcast_hosts) if few is None else few:
         lists = F.broadcast(lists)
     out = stars.join(lists, "source_id", "left")
     return out.withColumn("planets", F.coalesce("planets", F.array().cast(planet_type)))

@@ -69,7 +69,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from orrery.llm.quality import classify
+    from orrery.llm.word_quality import classify
 
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return classify(table(spark, sf_dir, "documents"), trusted)

@@ -13,6 +13,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: For words without punctuation: all ASCII but letters and digits separates.
 NOT_ALNUM = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 _VALUES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+EXACT = _VALUES.copy()  # for hashes that tell A-Z from a-z
 _VALUES[ord("A") : ord("Z") + 1] = _VALUES[ord("a") : ord("z") + 1]
 _P = 0x9E3779B97F4A7C15
 _P_INVERSE = pow(_P, -1, 1 << 64)
@@ -58,6 +59,11 @@ def word_bounds(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _
 def word_hashes(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word, and for each text the number of its first word."""
     starts, ends, firsts = word_bounds(raw, offsets, separators)
+    return run_hashes(raw, starts, ends), firsts
+
+
+def run_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _VALUES) -> np.ndarray:
+    """Hash of each run of bytes from a start to its end."""
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):  # pieces of whole words, so that memory stays bounded in a long text
@@ -66,11 +72,11 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _
         piece = raw[base : ends[to - 1]]
         up, down = _tables(len(piece) + 1)
         sums = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum(_VALUES[piece] * up[: len(piece)], out=sums[1:])
+        np.cumsum(values[piece] * up[: len(piece)], out=sums[1:])
         s, e = starts[at:to] - base, ends[at:to] - base
         out[at:to] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
         at = to
-    return out, firsts
+    return out
 
 
 _STEPS = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -1,0 +1,99 @@
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from orrery.llm.quality import discounts
+from orrery.llm.word_quality import Settings, classify
+
+
+def split(text):
+    return re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+|[^0-9A-Za-z\x80-\U0010ffff\s]+", text)
+
+
+def grams(text):
+    w = ["<s>", "<s>", *split(text), "</s>"]
+    return [tuple(w[i - 2 : i + 1]) for i in range(2, len(w))]
+
+
+def brute_model(texts):
+    tables = {3: Counter(g for t in texts if split(t) for g in grams(t))}
+    for n in (2, 1):
+        tables[n] = Counter(g[1:] for g in tables[n + 1])
+    d = {n: discounts(Counter(t.values())) for n, t in tables.items()}
+    contexts = defaultdict(list)
+    for n, t in tables.items():
+        for g, c in t.items():
+            contexts[n, g[:-1]].append(c)
+    cut = lambda n, c: d[n][min(c, 3) - 1]
+
+    def p(g):
+        n = len(g)
+        if n == 0:
+            return 1 / (len(tables[1]) + 1)
+        seen = contexts.get((n, g[:-1]))
+        if seen is None:
+            return p(g[1:])
+        c = tables[n].get(g, 0)
+        return ((c - cut(n, c)) / sum(seen) if c else 0) + sum(cut(n, x) for x in seen) / sum(seen) * p(g[1:])
+
+    return p
+
+
+def perplexity(p, text):
+    return math.exp(-sum(math.log(p(g)) for g in grams(text)) / len(grams(text)))
+
+
+def corpus():
+    """Sentences of one order, and the same words in another."""
+    r = random.Random(3)
+    sentence = lambda: " ".join(r.choice(x) for x in (["The", "A"], ["cat", "dog", "über"], ["sat", "ran"], ["on", "by"], ["the"], ["mat.", "hill.", "road,"]))
+    good = [(i, "\n".join(sentence() for _ in range(r.randint(2, 12))), "en" if i % 2 else "de") for i in range(400)]
+    mixed = []
+    for i in range(10):
+        w = " ".join(sentence() for _ in range(10)).split(" ")
+        r.shuffle(w)
+        mixed.append((1000 + i, " ".join(w), "en"))
+    return good, mixed
+
+
+def held_out(i):
+    return zlib.crc32(str(i).encode()) % 5 == 0
+
+
+@pytest.mark.parametrize("settings", [Settings(bits=20), Settings(head=7, bits=5, broadcast_ids=3)])
+def test_equals_brute_force(spark, documents, settings):
+    good, mixed = corpus()
+    odd = [(2000, None, "en"), (2001, "", "en"), (2002, " \n\t ", "en"), (2003, "The cat", None), (2004, "The cat sat", "fr"), (None, "The cat sat on", "en"), (2005, "a dog", "en"), (2005, "THE CAT!!", "en"), (2006, "the mat. " * 10_000, "de")]
+    trusted = [i for i, *_ in good if i % 4] + [9999]
+    rows = good + mixed + odd
+    p = brute_model([t for i, t, _ in good if i in trusted and not held_out(i)])
+    ids = spark.createDataFrame([(i,) for i in trusted] * 2 + [(None,)], "doc_id long")
+    got = defaultdict(list)
+    for r in classify(documents(rows, extra="perplexity"), ids, settings).collect():
+        got[r["doc_id"]].append(r)
+    assert sum(map(len, got.values())) == len(rows)
+    for i in {i for i, *_ in rows}:
+        theirs = sorted(perplexity(p, t) for j, t, _ in rows if j == i and t and split(t))
+        assert np.allclose(sorted(r["perplexity"] for r in got[i] if r["perplexity"] is not None), theirs, rtol=1e-9), i
+    by_lang = {x: sorted(perplexity(p, t) for i, t, y in good if i in trusted and y == x and held_out(i)) for x in ("en", "de")}
+    for i, _, lang in good[:6]:
+        assert got[i][0]["threshold"] == pytest.approx(by_lang[lang][math.ceil(settings.quantile * len(by_lang[lang])) - 1])
+    assert got[2003][0]["threshold"] == got[2004][0]["threshold"]  # of all held-out trusted documents
+    assert not any(got[i][0]["kept"] for i in (2000, 2001, 2002))
+    assert not any(got[i][0]["kept"] for i, *_ in mixed)  # right words in a wrong order
+    rest = [got[i][0]["kept"] for i, *_ in good if i not in trusted]
+    assert sum(rest) >= 0.85 * len(rest)
+
+
+def test_few_or_no_trusted_documents(spark, documents):
+    docs = documents([(1, "some text", "en"), (2, "other text", "en")])
+    for i in (1, 2, 5):  # one document is both learnt from and the threshold
+        ids = spark.createDataFrame([(i,)], "doc_id long")
+        assert {r["doc_id"] for r in classify(docs, ids, Settings(bits=10)).where("kept").collect()} >= ({i} if i < 3 else set())
+    assert [tuple(r)[1:] for r in classify(docs, ids, Settings(bits=10)).collect()] == [(None, None, False)] * 2
+    assert classify(documents([]), ids).count() == 0

@@ -1,9 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment (operator 6).
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment (operator 6).
 
-Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. Every test item is cut into
-segments of ``segment`` consecutive n-grams; the n-gram of a segment that the fewest training rows hold,
-counted over all of them, is a seed. So an item has seeds all along, however often it was copied, and an
-edited copy keeps some. The text around seeds in a training row is a passage; it is aligned with every item
+Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. Every n-gram of a test item that
+any training row holds is a seed; none is left out for a rarer neighbour, which could be the very one that an
+edited copy lost. With a ``segment`` over 1 only the n-gram of each segment of so many that the fewest rows hold is one.
+The text around seeds in a training row is a passage; it is aligned with every item
 that has one of its seeds. The best local alignment (match +2, mismatch and gap -1) over twice the item's
 words is the similarity. Rows scan the texts against a Bloom filter of fixed size; joins by n-gram are exact.
 
@@ -30,7 +30,7 @@ from orrery.llm.words import NOT_ALNUM, combine, word_hashes
 @dataclass(frozen=True)
 class Settings:
     n: int = 3  # words of a seed
-    segment: int = 2  # n-grams of an item for each seed
+    segment: int = 1  # n-grams of an item for each seed; 1: all are seeds, so an edited copy is found by any that it kept
     similarity: float = 0.5
     least_words: int = 6
     bits: int = 24  # the Bloom filter has 2 ** bits

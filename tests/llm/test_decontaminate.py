@@ -76,3 +76,16 @@ def test_short_items_need_all_words(spark, documents):
     items = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
     docs = documents([(1, "x alpha beta gamma delta y", "en"), (2, "x alpha beta gamma y", "en")])
     assert [r["doc_id"] for r in contaminated(docs, items, Settings()).collect()] == [1]
+
+
+@pytest.mark.parametrize("offset", range(4))
+def test_edited_copy_beside_an_exact_one(spark, documents, offset):
+    """The exact copy makes the n-grams that the edited copies kept the more frequent ones."""
+    r = random.Random(offset)
+    items = {k: words(r, 24) for k in range(20)}
+    docs = [(k, " ".join(w), "en") for k, w in items.items()]
+    for k, w in items.items():
+        docs.append((100 + k, " ".join("other" if i % 4 == offset else x for i, x in enumerate(w)), "en"))
+    tests = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in contaminated(documents(docs), tests).collect()}
+    assert found == {(k, k) for k in items} | {(100 + k, k) for k in items}

@@ -1,7 +1,8 @@
 """Toxicity by non-negative positive-unlabelled learning (operator 9).
 
 Confirmed toxic documents are the positives; a sample of all training texts, whatever their labels,
-is the unlabelled set. A linear model over the presence of words minimises the class-prior-corrected
+is the unlabelled set. A linear model over the presence of words (runs of letters, digits and non-ASCII characters,
+so that what is attached to a word does not hide it) minimises the class-prior-corrected
 risk  ``pi E_p[l(g)] + max(0, E_u[l(-g)] - pi E_p[l(-g)])``  with the logistic loss, in numpy. Where the
 bracket falls below zero the step goes the other way, as in the non-negative estimator of Kiryo et al.
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from orrery.llm.common import drop_scratch, flat_bytes, fold, map_texts, written
 from orrery.llm.hashtable import HashTable
-from orrery.llm.words import word_hashes
+from orrery.llm.words import NOT_ALNUM, word_hashes
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,7 @@ def _sample(rows: DataFrame, n: int) -> DataFrame:
 def _word_sets():
     def compute(texts):
         raw, offsets = flat_bytes(texts)
-        hashes, firsts = word_hashes(raw, offsets)
+        hashes, firsts = word_hashes(raw, offsets, NOT_ALNUM)
         sets = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(firsts[:-1], firsts[1:], strict=True)]
         ends = np.r_[0, np.cumsum([len(s) for s in sets])]
         return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*sets, np.zeros(0, np.int64)])))]
@@ -143,7 +144,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", keep: li
 
         def compute(texts):
             raw, offsets = flat_bytes(texts)
-            hashes, firsts = word_hashes(raw, offsets)
+            hashes, firsts = word_hashes(raw, offsets, NOT_ALNUM)
             column = table.find(hashes)
             at = np.flatnonzero(column >= 0)
             pairs = np.unique(np.searchsorted(firsts, at, side="right").astype(np.int64) * n - n + column[at])

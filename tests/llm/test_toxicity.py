@@ -81,3 +81,13 @@ def test_risk_is_corrected_by_the_prior():
     has = np.r_[np.ones(200, bool), rng.random(1000) < 0.1]
     w, b = train(np.flatnonzero(has), np.zeros(has.sum(), int), positive, ~positive, 1, 0.1, Settings())
     assert b + w[0] > 0 > b
+
+
+def test_attached_characters_do_not_hide_a_word(spark, documents):
+    docs, labels, _ = corpus(900)
+    model = fit_on_folds(documents(docs), spark.createDataFrame(labels, SCHEMA))
+    hidden = [(k, t, "en") for k, t in enumerate(["vile###", "scum!!", "***rotten", "(Vile),", "abcd, scum; abcd"])]
+    assert all(r["score"] > 0.5 for r in score(documents(hidden), model).collect())
+    attached = [(i, t.replace(" ", "!! ").replace("VILE", "VILE" + "#" * (i % 7)), lang) for i, t, lang in docs]  # and in the texts it learns from
+    model = fit_on_folds(documents(attached), spark.createDataFrame(labels, SCHEMA))
+    assert all(r["score"] > 0.5 for r in score(documents([(1, "vile", "en"), (2, "scum", "en")]), model).collect())

@@ -81,10 +81,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 print(f"Sol chunk: {r['star_count']} stars, {r['planet_star_count']} with planets")
         return 0
     errors = verify_catalog(spark, args.output_path)
-    rows = errors.orderBy("ix", "iy", "iz").limit(20).collect()
-    for r in rows:
+    found = 0
+    for found, r in enumerate(errors.orderBy("ix", "iy", "iz").toLocalIterator(), start=1):
         print(f"chunk {r['ix']}_{r['iy']}_{r['iz']}: manifest {r['star_count']}, found {r['found']}, outside {r['outside']}")
-    if rows:
+    if found:
+        print(f"{found} faulty chunks")
         return 1
     out = args.output_path.rstrip("/")
     for r in chunks.sol_sample(sinks.read_chunks(spark, f"{out}/chunks")).collect():

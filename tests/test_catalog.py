@@ -230,3 +230,11 @@ def test_views_and_missing_coordinates(spark):
     assert spark.sql("SELECT star_count FROM t_chunks").first()[0] == 2
     with pytest.raises(Exception, match="without coordinates"):
         require_coordinates(with_coordinates(s).withColumn("x", F.when(F.col("source_id") == 1, F.col("x")))).collect()
+
+
+def test_verify_prints_every_faulty_chunk(spark, monkeypatch, capsys):
+    errors = spark.range(45).selectExpr("int(id) ix", "0 iy", "-1 iz", "2L star_count", "1L found", "0L outside")
+    monkeypatch.setattr(cli, "verify_catalog", lambda *_: errors)
+    assert cli.main(["verify", "--output-path", "unused"], spark) == 1
+    lines = capsys.readouterr().out.splitlines()
+    assert [x.split(":")[0] for x in lines[:-1]] == [f"chunk {i}_0_-1" for i in range(45)] and lines[-1] == "45 faulty chunks"

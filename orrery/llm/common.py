@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -15,15 +16,18 @@ from pyspark.sql import functions as F
 #: Bytes of text that a Python worker handles at once; a longer text is handled alone.
 SLICE_BYTES = 1 << 20
 ARROW_BYTES = 8 << 20
+#: Bytes of a row group of scratch tables with arrays.
+WIDE_BYTES = 16 << 20
 
 
 def ship(spark: SparkSession) -> None:
     """Sends this package to the Python workers once, so that they need not have it installed.
 
-    Also lowers the session's bytes of an Arrow batch: long texts would make large ones in both processes.
+    Also sets the session's bytes of an Arrow batch, unless the caller has: long texts would make large ones in both processes.
     """
     sc = spark.sparkContext
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     if getattr(sc, "_orrery_shipped", False):
         return
     package = Path(__file__).resolve().parents[1]
@@ -42,10 +46,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only a session without that setting, as in tests, gets a folder of its own.
+    Only a local session without that setting, as in tests, gets a folder of its own; on a cluster its absence is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="orrery-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -60,10 +66,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: cuts the lineage and survives lost executors."""
+def written(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
+    """``df`` as a table in the shared folder: cuts the lineage and survives lost executors.
+
+    ``wide`` rows, with arrays of hashes, get small row groups and no dictionaries, which hashes don't gain from.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    if wide:
+        writer = writer.option("parquet.block.size", WIDE_BYTES).option("parquet.enable.dictionary", False)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -112,12 +124,13 @@ def flat_bytes(column: pa.Array) -> tuple:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def map_texts(docs: DataFrame, text_col: str, make, fields: str, keep: list[str] | None = None) -> DataFrame:
+def map_texts(docs: DataFrame, text_col: str, make, fields: str, keep: list[str] | None = None, also: list[str] | None = None) -> DataFrame:
     """Adds columns that a numpy function computes from a text column, in Arrow batches.
 
     ``make()`` is called once a task and returns a function from one Arrow string column (up to
     ``SLICE_BYTES`` or one longer text) to the arrays of ``fields`` (a DDL string). ``keep`` names the
-    columns of ``docs`` to pass through, all by default; one named like a new field is replaced.
+    columns of ``docs`` to pass through, all by default; one named like a new field is replaced. The function
+    gets the columns ``also`` as further arrays.
     """
     from pyspark.sql.types import StructType
 
@@ -126,15 +139,16 @@ def map_texts(docs: DataFrame, text_col: str, make, fields: str, keep: list[str]
     names = {n.lower() for n in new.names}
     kept = [n for n in (docs.columns if keep is None else keep) if n.lower() not in names]
     schema = StructType([docs.schema[n] for n in kept] + list(new))
-    read = docs.select(*[F.col(f"`{n}`") for n in kept], F.col(f"`{text_col}`").alias("__text"))
+    also = also or []
+    read = docs.select(*[F.col(f"`{n}`") for n in kept], *[F.col(f"`{n}`").alias(f"__{i}") for i, n in enumerate([text_col, *also])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
-            at = batch.num_columns - 1
+            at = len(kept)
             for a, b in text_slices(batch.column(at)):
                 part = batch.slice(a, b - a)
-                arrays = compute(part.column(at))
+                arrays = compute(*part.columns[at:])
                 yield pa.RecordBatch.from_arrays([*part.columns[:at], *arrays], names=[*kept, *new.names])
 
     return read.mapInArrow(run, schema)

@@ -2,9 +2,10 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from orrery.llm.components import connected_components
-from orrery.llm.minhash import Settings, near_duplicates
+from orrery.llm.minhash import Settings, _level, level, near_duplicates
 
 
 def brute(rows, n, percent):
@@ -46,6 +47,8 @@ def corpus(seed=1):
     passage = " ".join(base[20:80])
     texts += [f"{' '.join(word() for _ in range(40))} {passage}" for _ in range(40)]  # share a passage, no near copies
     texts += [texts[0]] * 30 + [texts[1].upper() + "  \n"] * 3 + ["one", "ONE ", "one two", "one", "", None, " \n ", "a b c", "A B C d", " ", "long " * 30_000, " ".join(base) * 2]
+    many = [f"w{k}" for k in range(4200)]  # sets in two and in four pieces
+    texts += [" ".join(many), " ".join(many[:4000]), " ".join([*many[:3700], "x", "y", "z"]), " ".join(many[:2100]), " ".join(many[:1900])]
     ids = r.sample(range(-500, 5000), len(texts))
     return list(zip(ids, texts, strict=True))
 
@@ -64,6 +67,19 @@ def test_null_and_repeated_ids(documents):
     assert got == [("1", 1, True), ("2", 1, False), ("2", 1, False), ("3", 3, True), ("None", None, False)]
 
 
+def test_texts_of_one_id_are_separate(documents):
+    """Each text of a repeated id keeps the links of its own, also where the id is the smallest of several classes."""
+    x, y, z = (" ".join(f"{c}{k}" for k in range(200)) for c in "xyz")
+    rows = [(5, x), (5, y), (5, y), (9, x + " end"), (1, y + " end"), (7, z), (5, z + " end"), (8, x + " END"), (2, z + " fin")]
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_duplicates(documents([(i, t, "en") for i, t in rows])).collect())
+    assert got == sorted([(5, 196, 5, True), (5, 196, 1, False), (5, 196, 1, False), (9, 197, 5, False), (1, 197, 1, True), (7, 196, 2, False), (5, 197, 2, False), (8, 197, 5, False), (2, 197, 2, True)])
+
+
+def test_levels(spark):
+    sizes = [0, 1, 2, 2047, 2048, 2049, 4095, 4096, 4097, 8192, 8193, 10**9]
+    assert [r[0] for r in spark.createDataFrame([(n,) for n in sizes], "n bigint").select(_level(F.col("n"))).collect()] == [level(n) for n in sizes]
+
+
 def test_empty(documents):
     assert near_duplicates(documents([])).count() == 0
 

@@ -1,14 +1,20 @@
 """PII pseudonyms by format-preserving Feistel permutations (operator 10).
 
 Validated values are replaced within the text: card numbers (Luhn), IBANs (mod 97), US social security
-numbers, phone numbers (NANP), IPv4 addresses, dates, e-mail addresses, and keys of a known form. Each
-kind numbers the values of its format; a keyed Feistel network over that range, with cycle-walking, permutes
-the numbers. So a pseudonym is valid in the same format, keeps separators and widths, and can be
-inverted with the key; equal values get equal pseudonyms in all documents, whatever their separators.
-Values that fail validation stay as they are.
+numbers, phone numbers (NANP, or international with a +), IPv4 and IPv6 addresses, dates, e-mail addresses with
+their domain up to its last label, and secrets: keys of known forms, bearer tokens, private-key blocks, and what is
+assigned to a word such as password. Numbers and dates are numbered within their format and permuted by a
+keyed Feistel network over that range, with cycle-walking; texts of letters and digits by one over their two halves,
+each character within its class. A round draws more bits from its keyed stream than the half that it changes has,
+whatever the length. So a pseudonym is valid in the same format, keeps separators and widths, and equal
+values get equal pseudonyms in all documents, whatever their separators (IPv6: whatever is spelt alike; dates in
+another spelling where that spelling admits the new date). ``restore_documents`` inverts it with the key and the spans.
+Keys have any length; values that
+fail validation stay as they are, as do letters beyond ASCII in a value.
 
 Defined results: a null text stays null, an empty one empty, with no finds; rows with null or repeated ids are
-treated like others. Where finds overlap the earlier one counts, at one place the longer.
+treated like others, an empty table gives an empty one, and a column named like a result is replaced. Texts
+and values have any length. Where finds overlap the earlier one counts, at one place the longer.
 """
 
 from __future__ import annotations
@@ -16,8 +22,10 @@ from __future__ import annotations
 import datetime
 import functools
 import hashlib
+import ipaddress
 import math
 import re
+import struct
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -27,6 +35,19 @@ from orrery.llm.common import map_texts
 
 KINDS = ("card", "iban", "ssn", "phone", "ip", "date", "email", "secret")
 _ROUNDS = 8
+_CACHED = 256  # characters of a value that is remembered
+
+
+class Stream:
+    """Keyed bytes of any number for a tweak, a round and a half."""
+
+    def __init__(self, key: bytes, tweak: str) -> None:
+        self.base = hashlib.blake2b(tweak.encode(), key=hashlib.blake2b(key).digest(), digest_size=64)
+
+    def take(self, i: int, half: bytes, n: int) -> bytes:
+        h = self.base.copy()
+        h.update(b"%d:" % i + half)
+        return hashlib.shake_256(h.digest()).digest(n)
 
 
 class Permutation:
@@ -36,12 +57,11 @@ class Permutation:
         self.size = size
         self.a = max(1, math.isqrt(size - 1) + 1)
         self.b = -(-size // self.a)
-        self.base = hashlib.blake2b(tweak.encode(), key=key[:64], digest_size=32)
+        self.stream = Stream(key, f"{tweak}|{size}")
+        self.width = self.a.bit_length() // 8 + 1  # bytes that hold either half
 
     def _round(self, i: int, half: int) -> int:
-        h = self.base.copy()
-        h.update(b"%d:%d" % (i, half))
-        return int.from_bytes(h.digest(), "big")
+        return int.from_bytes(self.stream.take(i, half.to_bytes(self.width, "big"), self.width + 8), "big")
 
     def _once(self, x: int) -> int:
         left, right = divmod(x, self.b)
@@ -74,7 +94,44 @@ class Permutation:
         return x
 
 
-Turn = Callable[[str, int], int]  # (tweak and size as one text, number) -> number
+def permute_symbols(key: bytes, tweak: str, radices: tuple[int, ...], symbols: list[int], back: bool = False) -> list[int]:
+    """Permutes the symbols (each below its radix): a Feistel network whose halves are those of the sequence."""
+    if len(symbols) < 2:
+        only = [Permutation(key, tweak, r) for r in radices]
+        return [p.inverse(x) if back else p.forward(x) for p, x in zip(only, symbols, strict=True)]
+    stream, cut = Stream(key, tweak), len(symbols) // 2
+    halves, sizes = [list(symbols[:cut]), list(symbols[cut:])], [radices[:cut], radices[cut:]]
+    for i in reversed(range(_ROUNDS)) if back else range(_ROUNDS):
+        at = i % 2
+        drawn = struct.unpack(f">{len(sizes[at])}Q", stream.take(i, bytes(halves[1 - at]), 8 * len(sizes[at])))
+        halves[at] = [(x - d if back else x + d) % r for x, d, r in zip(halves[at], drawn, sizes[at], strict=True)]
+    return halves[0] + halves[1]
+
+
+class Cipher:
+    """The permutations of a key, forwards or backwards; remembers short values."""
+
+    def __init__(self, key: bytes, back: bool = False) -> None:
+        self.key, self.back = key, back
+        self.permutation = functools.lru_cache(4_096)(functools.partial(Permutation, key))
+        self._number = functools.lru_cache(65_536)(self._permute)
+        self._symbols = functools.lru_cache(65_536)(lambda tweak, radices, symbols: permute_symbols(key, tweak, radices, list(symbols), back))
+
+    def _permute(self, tweak: str, size: int, x: int) -> int:
+        p = self.permutation(tweak, size)
+        return p.inverse(x) if self.back else p.forward(x)
+
+    def number(self, tweak: str, size: int, x: int, fits: Callable[[int], bool] = lambda x: True) -> int:
+        """The image of ``x`` among the numbers that fit (as ``x`` does): walks until one fits."""
+        x = self._number(tweak, size, x)
+        while not fits(x):
+            x = self._number(tweak, size, x)
+        return x
+
+    def symbols(self, tweak: str, radices: tuple[int, ...], symbols: tuple[int, ...]) -> list[int]:
+        if len(symbols) > _CACHED:
+            return permute_symbols(self.key, tweak, radices, list(symbols), self.back)
+        return self._symbols(tweak, radices, symbols)
 
 
 def _luhn(digits: str) -> int:
@@ -92,78 +149,106 @@ def _put(digits: str, shape: str) -> str:
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
 
-def _classes(value: str, turn: Turn, tweak: str, lower: str = _LOWER) -> str:
-    """Permutes all ASCII letters and digits of a value together, each within its class."""
-    alphabets = [next((x for x in (_DIGITS, lower, _UPPER) if c in x), c) for c in value]
-    shape = "".join(x[0] for x in alphabets)
-    number = 0
-    for c, x in zip(value, alphabets, strict=True):
-        number = number * len(x) + x.index(c)
-    number = turn(f"{tweak}|{shape}|{math.prod(map(len, alphabets))}", number)
-    out = []
-    for x in reversed(alphabets):
-        number, at = divmod(number, len(x))
-        out.append(x[at])
-    return "".join(reversed(out))
-
-
-def _card(m: re.Match, turn: Turn) -> str | None:
+def _classes(value: str, cipher: Cipher, tweak: str, lower: str = _LOWER, upper: str = _UPPER, fits: Callable[[str], bool] = lambda x: True) -> str:
+    """Permutes all ASCII letters and digits of a value together, each within its class, among the values that fit."""
+    alphabet = {c: x for x in (_DIGITS, lower, upper) for c in x}
+    at = [i for i, c in enumerate(value) if c in alphabet]
+    if not at:
+        return value
+    sets = [alphabet[value[i]] for i in at]
+    tweak = f"{tweak}|{len(lower)}|" + "".join(alphabet[c][0] if c in alphabet else c for c in value)
+    radices = tuple(map(len, sets))
+    out = list(value)
+    while True:
+        new = cipher.symbols(tweak, radices, tuple(x.index(out[i]) for i, x in zip(at, sets, strict=True)))
+        for i, x, k in zip(at, sets, new, strict=True):
+            out[i] = x[k]
+        if fits(text := "".join(out)):
+            return text
+
+
+def _card(m: re.Match, cipher: Cipher) -> str | None:
     digits = re.sub(r"\D", "", m.group())
     if not 13 <= len(digits) <= 19 or int(digits[-1]) != _luhn(digits[:-1]) or len(set(digits)) == 1:
         return None
     n = len(digits) - 2
-    body = digits[0] + str(turn(f"card|{len(digits)}|{10**n}", int(digits[1:-1]))).zfill(n)
-    return _put(body + str(_luhn(body)), m.group())
+
+    def whole(x: int) -> str:
+        body = digits[0] + str(x).zfill(n)
+        return body + str(_luhn(body))
+
+    return _put(whole(cipher.number(f"card|{len(digits)}|{digits[0]}", 10**n, int(digits[1:-1]), lambda x: len(set(whole(x))) > 1)), m.group())
 
 
 def _iban_check(country: str, body: str) -> str:
     return str(98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97).zfill(2)
 
 
-def _iban(m: re.Match, turn: Turn) -> str | None:
+def _iban(m: re.Match, cipher: Cipher) -> str | None:
     plain = re.sub(r"\s", "", m.group())
     if not 15 <= len(plain) <= 34 or _iban_check(plain[:2], plain[4:]) != plain[2:4]:
         return None
-    body = _classes(plain[4:], turn, "iban" + plain[:2])
+    body = _classes(plain[4:], cipher, "iban" + plain[:2])
     return _put(plain[:2] + _iban_check(plain[:2], body) + body, m.group())
 
 
 _AREAS = 898  # 001 to 899 but 666
 
 
-def _ssn(m: re.Match, turn: Turn) -> str | None:
+def _ssn(m: re.Match, cipher: Cipher) -> str | None:
     area, group, serial = (int(x) for x in re.findall(r"\d+", m.group()))
     if area in (0, 666) or area > 899 or not group or not serial:
         return None
     number = (area - 1 - (area > 666)) * 99 * 9999 + (group - 1) * 9999 + serial - 1
-    rest, serial = divmod(turn(f"ssn|{_AREAS * 99 * 9999}", number), 9999)
+    rest, serial = divmod(cipher.number("ssn", _AREAS * 99 * 9999, number), 9999)
     area, group = divmod(rest, 99)
     return _put(f"{area + 1 + (area >= 665):03}{group + 1:02}{serial + 1:04}", m.group())
 
 
-def _phone(m: re.Match, turn: Turn) -> str | None:
+def _nanp(local: str) -> bool:
+    return local[0] not in "01" and local[3] not in "01"
+
+
+def _phone(m: re.Match, cipher: Cipher) -> str | None:
     digits = re.sub(r"\D", "", m.group())
     country, local = digits[:-10], digits[-10:]
-    if country not in ("", "1") or local[0] in "01" or local[3] in "01":
+    abroad = m.group()[0] == "+"
+    if len(digits) >= 10 and country in (("1",) if abroad else ("", "1")) and _nanp(local):
+        number = ((int(local[:3]) - 200) * 800 + int(local[3:6]) - 200) * 10_000 + int(local[6:])
+        rest, line = divmod(cipher.number("phone", 800 * 800 * 10_000, number), 10_000)
+        area, exchange = divmod(rest, 800)
+        return _put(f"{country}{area + 200}{exchange + 200}{line:04}", m.group())
+    if not abroad or not 8 <= len(digits) <= 15:
         return None
-    number = ((int(local[:3]) - 200) * 800 + int(local[3:6]) - 200) * 10_000 + int(local[6:])
-    rest, line = divmod(turn(f"phone|{800 * 800 * 10_000}", number), 10_000)
-    area, exchange = divmod(rest, 800)
-    return _put(f"{country}{area + 200}{exchange + 200}{line:04}", m.group())
+    head, rest = (digits[:1], digits[1:]) if digits[0] == "1" else (digits[:2], digits[2:])
+    n = len(rest)
+    new = cipher.number(f"phone+{head}|{n}", 10**n, int(rest), lambda x: head != "1" or n != 10 or not _nanp(str(x).zfill(n)))
+    return _put(head + str(new).zfill(n), m.group())
 
 
-def _ip(m: re.Match, turn: Turn) -> str | None:
+def _ip(m: re.Match, cipher: Cipher) -> str | None:
     octets = m.group().split(".")
     if any(int(o) > 255 or len(o) > 1 and o[0] == "0" for o in octets):
         return None
-    number = turn(f"ip|{1 << 32}", int.from_bytes(bytes(map(int, octets)), "big"))
+    number = cipher.number("ip", 1 << 32, int.from_bytes(bytes(map(int, octets)), "big"))
     return ".".join(map(str, number.to_bytes(4, "big")))
 
 
+def _ipv6(m: re.Match, cipher: Cipher) -> str | None:
+    value = m.group()
+    try:
+        ipaddress.IPv6Address(value)
+    except ValueError:
+        return None
+    if sum(map(bool, value.split(":"))) < 2 or not any(c.isdigit() for c in value):
+        return None
+    return _classes(value, cipher, "ipv6", "abcdef", "ABCDEF")
+
+
 _FIRST_DAY, _LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
 
-def _date(m: re.Match, turn: Turn) -> str | None:
+def _date(m: re.Match, cipher: Cipher) -> str | None:
     a, sep, b, c = re.match(r"(\d+)(\D)(\d+)\D(\d+)", m.group()).groups()
     order = "ymd" if len(a) == 4 else "dmy" if sep == "." or int(a) > 12 else "mdy"
     part = dict(zip(order, (a, b, c), strict=True))
@@ -173,83 +258,125 @@ def _date(m: re.Match, turn: Turn) -> str | None:
         return None
     if not _FIRST_DAY <= day <= _LAST_DAY:
         return None
-    new = datetime.date.fromordinal(_FIRST_DAY + turn(f"date|{_LAST_DAY - _FIRST_DAY + 1}", day - _FIRST_DAY))
-    padded = all(len(part[x]) == 2 for x in "md")
-    text = {"y": str(new.year), "m": f"{new.month:02}" if padded else str(new.month), "d": f"{new.day:02}" if padded else str(new.day)}
+
+    def fits(x: int) -> bool:
+        """Whether that day has a spelling of these widths that is read in this order."""
+        new = datetime.date.fromordinal(_FIRST_DAY + x)
+        return (len(part["m"]) == 2 or new.month < 10) and (len(part["d"]) == 2 or new.day < 10) and (order != "dmy" or sep == "." or new.day > 12)
+
+    new = datetime.date.fromordinal(_FIRST_DAY + cipher.number("date", _LAST_DAY - _FIRST_DAY + 1, day - _FIRST_DAY, fits))
+    text = {"y": str(new.year), "m": str(new.month).zfill(len(part["m"])), "d": str(new.day).zfill(len(part["d"]))}
     return sep.join(text[x] for x in order)
 
 
-def _email(m: re.Match, turn: Turn) -> str | None:
+def _email(m: re.Match, cipher: Cipher) -> str | None:
     local, _, domain = m.group().partition("@")
-    return _classes(local, turn, "email") + "@" + domain
+    own, _, last = domain.rpartition(".")
+    return _classes(local, cipher, "email") + "@" + _classes(own, cipher, "domain") + "." + last
 
 
-def _secret(m: re.Match, turn: Turn) -> str | None:
-    head, value = m.group(1) or m.group(3) or "", m.group(2) or m.group(4)
-    return head + _classes(value, turn, "secret", "abcdef" if re.fullmatch(r"[0-9a-f]+", value) else _LOWER)
+def _hex(value: str) -> bool:
+    return not re.search(r"[A-Zg-z]", value)
 
 
-_FIND = {
-    "email": (r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", _email, "@"),
-    "secret": (r"(?<![A-Za-z0-9])(AKIA)([0-9A-Z]{16})(?![A-Za-z0-9])|\b((?i:password|passwd|token|secret|api_key)\s?[=:]\s?[\"']?)([A-Za-z0-9]{8,128})(?![A-Za-z0-9])", _secret, ""),
-    "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _iban, ""),
-    "date": (r"(?<![\d./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\d/-]|\.\d)", _date, ""),
-    "ip": (r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)", _ip, "."),
-    "ssn": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _ssn, "-"),
-    "phone": (r"(?<![\w.])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)", _phone, ""),
-    "card": (r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\d])", _card, ""),
-}
-_PATTERNS = {k: (re.compile(p), f, mark) for k, (p, f, mark) in _FIND.items()}
+def _secret(m: re.Match, cipher: Cipher) -> str | None:
+    head, value = m.groups()
+    if not re.search(r"[A-Za-z0-9]", value):
+        return None
+    if _hex(value):
+        return head + _classes(value, cipher, "secret", "abcdef")
+    return head + _classes(value, cipher, "secret", fits=lambda x: not _hex(x))
+
+
+#: kind, pattern, maker, a text that the pattern needs. The patterns take linear time.
+_FIND = (
+    ("email", r"(?<![\w.%+-])\w[\w.%+-]*@[\w-]+(?:\.[\w-]+)+", _email, "@"),
+    ("secret", r"(?<![A-Za-z0-9])(AKIA|ASIA)([0-9A-Z]{16})(?![A-Za-z0-9])", _secret, "IA"),
+    ("secret", r"(?<![\w-])(gh[oprsu]_|github_pat_|glpat-)([A-Za-z0-9_-]{20,})", _secret, "g"),
+    ("secret", r"(?<![\w-])(xox[abeprs]-|sk-|sk_live_|pk_live_|AIza)((?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{16,})", _secret, ""),
+    ("secret", r"(?<![\w-])(eyJ)([A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+)", _secret, "eyJ"),
+    ("secret", r"\b([Bb]earer\s{1,4})((?=[A-Za-z._~+/=-]*[0-9])[A-Za-z0-9._~+/=-]{16,})", _secret, "earer"),
+    ("secret", r"(-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----)((?:(?!-----)[\s\S])+)", _secret, "PRIVATE KEY"),
+    ("secret", r"(?i:(?<![a-z0-9])((?:password|passwd|pwd|token|secret|api[_-]?key)\s?[=:]\s?[\"']?))([^\s\"'<>]{8,})", _secret, ""),
+    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _iban, ""),
+    ("date", r"(?<![\d./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\d/-]|\.\d)", _date, ""),
+    ("ip", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)", _ip, "."),
+    ("ip", r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:]|\.\d)", _ipv6, ":"),
+    ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _ssn, "-"),
+    ("phone", r"(?<![\w.])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)", _phone, ""),
+    ("phone", r"(?<![\w+])\+\d(?:[ .()-]{0,2}\d){7,14}(?!\d)", _phone, "+"),
+    ("card", r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\d])", _card, ""),
+)
+_PATTERNS = [(k, re.compile(p), f, mark) for k, p, f, mark in _FIND]
 _DIGIT = re.compile(r"\d")
 
+Span = tuple[int, int, str, int, int, int]  # start, end, kind, number of the pattern, start and end of the pseudonym
+
 
-def pseudonymise(text: str, key: bytes, turn: Turn | None = None) -> tuple[str, list[tuple[int, int, str]]]:
-    """(the text with pseudonyms, the finds as start, end, kind in the original text)."""
-    turn = turn or _turner(key)
+def pseudonymise(text: str, cipher: Cipher) -> tuple[str, list[Span]]:
+    """(the text with pseudonyms, the finds)."""
     digits = bool(_DIGIT.search(text))
     finds = []
-    for kind, (pattern, make, mark) in _PATTERNS.items():
+    for form, (kind, pattern, make, mark) in enumerate(_PATTERNS):
         if mark and mark not in text or not digits and kind not in ("email", "secret"):
             continue
         for m in pattern.finditer(text):
-            new = make(m, turn)
+            new = make(m, cipher)
             if new is not None:
-                finds.append((m.start(), -m.end(), kind, new))
-    if not finds:
-        return text, []
-    out, spans, at = [], [], 0
-    for start, end, kind, new in sorted(finds):
+                finds.append((m.start(), -m.end(), form, kind, new))
+    out, spans, at, length = [], [], 0, 0
+    for start, end, form, kind, new in sorted(finds):
         if start >= at:
             out += [text[at:start], new]
-            at = -end
-            spans.append((start, at, kind))
+            length += start - at
+            spans.append((start, -end, kind, form, length, length + len(new)))
+            at, length = -end, length + len(new)
     return "".join([*out, text[at:]]), spans
 
 
-def _turner(key: bytes) -> Turn:
-    @functools.lru_cache(4_096)
-    def permutation(tweak: str) -> Permutation:
-        return Permutation(key, tweak, int(tweak.rpartition("|")[2]))
+def restore(text: str, spans: list[tuple[int, int, int]], back: Cipher) -> str:
+    """The original text, given each pseudonym's ``form, new_start, new_end`` and the key's cipher backwards."""
+    out, at = [], 0
+    for form, start, end in sorted(spans, key=lambda s: s[1]):
+        _, pattern, make, _ = _PATTERNS[form]
+        m = pattern.fullmatch(text[start:end])
+        old = make(m, back) if m else None
+        if old is None:
+            raise ValueError(f"no pseudonym at {start} to {end}")
+        out += [text[at:start], old]
+        at = end
+    return "".join([*out, text[at:]])
 
-    @functools.lru_cache(65_536)
-    def turn(tweak: str, number: int) -> int:
-        return permutation(tweak).forward(number)
 
-    return turn
+_SPAN_FIELDS = {"start": pa.int32(), "end": pa.int32(), "kind": pa.string(), "form": pa.int32(), "new_start": pa.int32(), "new_end": pa.int32()}
 
 
 def pseudonymise_documents(docs: DataFrame, key: bytes, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with ``pii_text``, ``n_pii`` and ``pii_spans`` (start, end, kind in code points of the original text)."""
-    span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())])
+    """``docs`` with ``pii_text``, ``n_pii`` and ``pii_spans``: start, end in code points of the original text, kind, form, and new_start, new_end in ``pii_text``."""
 
     def make():
-        turn = _turner(key)
+        cipher = Cipher(key)
 
         def compute(texts):
-            done = [(None, []) if t is None else pseudonymise(t, key, turn) for t in texts.to_pylist()]
-            spans = pa.array([[dict(zip(("start", "end", "kind"), s, strict=True)) for s in x] for _, x in done], pa.list_(span))
+            done = [(None, []) if t is None else pseudonymise(t, cipher) for t in texts.to_pylist()]
+            spans = pa.array([[dict(zip(_SPAN_FIELDS, s, strict=True)) for s in x] for _, x in done], pa.list_(pa.struct(list(_SPAN_FIELDS.items()))))
             return [pa.array([t for t, _ in done], pa.string()), pa.array([len(x) for _, x in done], pa.int64()), spans]
 
         return compute
 
-    return map_texts(docs, text_col, make, "pii_text string, n_pii bigint, pii_spans array<struct<start:int,end:int,kind:string>>", keep)
+    return map_texts(docs, text_col, make, "pii_text string, n_pii bigint, pii_spans array<struct<start:int,end:int,kind:string,form:int,new_start:int,new_end:int>>", keep)
+
+
+def restore_documents(docs: DataFrame, key: bytes, text_col: str = "pii_text", spans_col: str = "pii_spans", keep: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``restored``, the text before ``pseudonymise_documents``; null where the text is. A null list of spans is none."""
+
+    def make():
+        back = Cipher(key, back=True)
+
+        def compute(texts, spans):
+            rows = zip(texts.to_pylist(), spans.to_pylist(), strict=True)
+            return [pa.array([None if t is None else restore(t, [(s["form"], s["new_start"], s["new_end"]) for s in found or []], back) for t, found in rows], pa.string())]
+
+        return compute
+
+    return map_texts(docs, text_col, make, "restored string", keep, [spans_col])

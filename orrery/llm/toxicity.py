@@ -1,17 +1,21 @@
 """Toxicity by non-negative positive-unlabelled learning (operator 9).
 
 Confirmed toxic documents are the positives; a sample of all training texts, whatever their labels,
-is the unlabelled set. A linear model over the presence of words (runs of letters, digits and non-ASCII characters,
-so that what is attached to a word does not hide it) minimises the class-prior-corrected
+is the unlabelled set. Features are words (runs of letters, digits and non-ASCII characters, so that what is attached
+to a word does not hide it), the first 4 and 6 bytes of words, which their inflected forms share, and whether such a beginning
+comes twice or three times. A linear model minimises the class-prior-corrected
 risk  ``pi E_p[l(g)] + max(0, E_u[l(-g)] - pi E_p[l(-g)])``  with the logistic loss, in numpy. Where the
-bracket falls below zero the step goes the other way, as in the non-negative estimator of Kiryo et al.
+bracket falls below zero the step goes the other way, as in the non-negative estimator of Kiryo et al. A feature whose
+shares in the two samples differ by z standard errors is scaled by z^4 / (z^4 + half_z^4), so that chance finds count for
+little; below ``least_scale`` it is left out.
 
-Bounds, all parameters of :class:`Settings`: documents in either sample, and words of the model. The
-samples are the documents with the smallest hash of their id; words are counted over whole texts.
+Bounds, all parameters of :class:`Settings`: documents in either sample. The samples are the documents with
+the smallest hash of their id; features are counted over whole texts, however long.
 
-Defined results: a null or empty text gets the score of a text without any word of the model. Without
-confirmed toxic documents, or without words that tell, every score is 0. Rows with a null or repeated id
-are scored like others. A column named like a result is replaced.
+Defined results: a null or empty text gets the score of a text without any feature of the model. Without
+confirmed toxic documents, or without training texts, every score is 0; one confirmed document is enough to learn from.
+Rows with a null or repeated id are scored like others; an empty table gives an empty one. A column named like a
+result is replaced.
 """
 
 from __future__ import annotations
@@ -25,41 +29,69 @@ from pyspark.sql import functions as F
 
 from orrery.llm.common import drop_scratch, flat_bytes, fold, map_texts, written
 from orrery.llm.hashtable import HashTable
-from orrery.llm.words import NOT_ALNUM, word_hashes
+from orrery.llm.words import NOT_ALNUM, mix, run_hashes, word_bounds
 
 
 @dataclass(frozen=True)
 class Settings:
     positives: int = 4_000
     unlabelled: int = 12_000
-    words: int = 256
-    least_documents: int = 8
-    least_z: float = 6.0  # standard errors by which a word's shares in the two samples differ
+    half_z: float = 5.0  # standard errors between the two samples at which a feature counts half
+    least_scale: float = 0.1
     prior: float | None = None  # of toxic documents; None: their share among the training rows with a label
-    steps: int = 600
-    rate: float = 0.05
+    steps: int = 300
+    rate: float = 0.1
     decay: float = 1e-4
 
 
 @dataclass
 class Model:
-    words: np.ndarray
+    features: np.ndarray  # keys, sorted
     weights: np.ndarray
     bias: float
 
 
+_BEGINNINGS = (4, 6)  # bytes
+_ROOT = np.uint64(~3 & (1 << 64) - 1)  # the last two bits of a key: how often the beginning comes again
+
+
+def _roots(raw: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(text, key) of the words, then of the beginnings of each size."""
+    starts, ends, firsts = word_bounds(raw, offsets, NOT_ALNUM)
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(firsts))
+    out = [(text, run_hashes(raw, starts, ends) & _ROOT)]
+    for size in _BEGINNINGS:
+        long = np.flatnonzero(ends - starts >= size)
+        out.append((text[long], mix(run_hashes(raw, starts[long], starts[long] + size) + np.uint64(size)) & _ROOT))
+    return out
+
+
+def _again(text: np.ndarray, key: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(text, key) of the beginnings that come twice, and three times."""
+    order = np.lexsort((key, text))
+    text, key = text[order], key[order]
+    same = (text[1:] == text[:-1]) & (key[1:] == key[:-1])
+    twice, thrice = np.flatnonzero(same), np.flatnonzero(same[1:] & same[:-1])
+    return [(text[twice], key[twice] | np.uint64(1)), (text[thrice], key[thrice] | np.uint64(2))]
+
+
 def _sample(rows: DataFrame, n: int) -> DataFrame:
     """``n`` ids at most, those with the smallest hashes."""
     return rows.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
 
 
-def _word_sets():
+def _feature_sets():
     def compute(texts):
-        raw, offsets = flat_bytes(texts)
-        hashes, firsts = word_hashes(raw, offsets, NOT_ALNUM)
-        sets = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(firsts[:-1], firsts[1:], strict=True)]
-        ends = np.r_[0, np.cumsum([len(s) for s in sets])]
-        return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*sets, np.zeros(0, np.int64)])))]
+        found = _roots(*flat_bytes(texts))
+        for text, key in found[1:]:
+            found = [*found, *_again(text, key)]
+        text, key = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((key, text))
+        text, key = text[order], key[order]
+        once = np.ones(len(text), bool)
+        once[1:] = (text[1:] != text[:-1]) | (key[1:] != key[:-1])
+        ends = np.searchsorted(text[once], np.arange(len(texts) + 1))
+        return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(key[once].view(np.int64)))]
 
     return compute
 
@@ -75,59 +107,52 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     ids = ids.unionByName(_sample(docs, settings.unlabelled).select("doc_id", F.lit(0).alias("p"), F.lit(1).alias("u")))
     ids = ids.groupBy("doc_id").agg(F.max("p").alias("p"), F.max("u").alias("u"))
     # At most settings.positives + settings.unlabelled ids: a broadcast of a set size.
-    sampled = map_texts(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "text", _word_sets, "words array<bigint>", ["doc_id", "p", "u"])
-    sampled = written(sampled.groupBy("doc_id", "p", "u").agg(F.min("words").alias("words")), "toxicity-sample")
+    sampled = map_texts(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "text", _feature_sets, "keys array<bigint>", ["doc_id", "p", "u"])
+    sampled = written(sampled.groupBy("doc_id", "p", "u").agg(F.min("keys").alias("keys")), "toxicity-sample", wide=True)
     n_p, n_u = sampled.agg(F.sum("p"), F.sum("u")).first()
     if not n_p or not n_u:
         return None
     p, u = F.col("p"), F.col("u")
     share = (p + u) / (n_p + n_u)
     z = F.abs(p / n_p - u / n_u) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-12)) * (1 / n_p + 1 / n_u))
-    vocabulary = (
-        sampled.select(F.explode("words").alias("word"), "p", "u")
-        .groupBy("word")
-        .agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
-        .where((p + u >= settings.least_documents) & (z >= settings.least_z))
-        .orderBy(-z, "word")
-        .limit(settings.words)
-        .select("word")
-        .toPandas()["word"]
-        .to_numpy(np.int64)
-    )
-    if not len(vocabulary):
-        return None
-    words = np.sort(vocabulary.view(np.uint64))
-    told = sampled.select("doc_id", "p", "u", F.filter("words", lambda w: w.isin(*[int(w) for w in words.view(np.int64)])).alias("words"))
-    rows = told.orderBy("doc_id").toPandas()
+    scale = F.pow(z, 4) / (F.pow(z, 4) + settings.half_z**4)
+    exploded = sampled.select("doc_id", "p", "u", F.explode("keys").alias("key"))
+    telling = exploded.groupBy("key").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).select("key", scale.alias("scale")).where(F.col("scale") >= settings.least_scale)
+    telling = written(telling, "telling")
+    features = telling.toPandas().sort_values("key")  # of a bounded sample
+    held = exploded.join(F.broadcast(telling.select("key")), "key").select("doc_id", "key").toPandas()
+    rows = sampled.select("doc_id", "p", "u").orderBy("doc_id").toPandas()
     drop_scratch(sampled)
-    table = HashTable(words)
-    sizes = rows["words"].map(len).to_numpy(np.int64)
-    columns = table.find(np.concatenate([np.asarray(w, np.int64) for w in rows["words"]]).view(np.uint64)) if sizes.sum() else np.zeros(0, np.int32)
-    weights, bias = train(np.repeat(np.arange(len(rows)), sizes), columns, rows["p"].to_numpy(bool), rows["u"].to_numpy(bool), len(words), prior, settings)
-    used = np.flatnonzero(weights)
-    return Model(words[used], weights[used], bias)
-
-
-def train(row: np.ndarray, column: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, n_words: int, prior: float, settings: Settings) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative risk, by Adam on the whole sample."""
-    n = len(positive)
-    w, bias = np.zeros(n_words), float(np.log(prior / (1 - prior)))
-    m, v = np.zeros(n_words + 1), np.zeros(n_words + 1)
+    drop_scratch(telling)
+    order = np.argsort(features["key"].to_numpy(np.int64).view(np.uint64))
+    keys, scales = features["key"].to_numpy(np.int64).view(np.uint64)[order], features["scale"].to_numpy(float)[order]
+    row = np.searchsorted(rows["doc_id"].to_numpy(np.int64), held["doc_id"].to_numpy(np.int64))
+    column = np.searchsorted(keys, held["key"].to_numpy(np.int64).view(np.uint64))
+    order = np.lexsort((column, row))  # sums in one order, whatever the order of the rows that came
+    weights, bias = train(row[order], column[order], rows["p"].to_numpy(bool), rows["u"].to_numpy(bool), scales, prior, settings)
+    return Model(keys, weights, bias)
+
+
+def train(row: np.ndarray, column: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, scales: np.ndarray, prior: float, settings: Settings) -> tuple[np.ndarray, float]:
+    """Weights and bias that minimise the non-negative risk over features of these scales, by Adam on the whole sample."""
+    n, size = len(positive), len(scales)
+    w, bias = np.zeros(size), float(np.log(prior / (1 - prior)))
+    m, v = np.zeros(size + 1), np.zeros(size + 1)
     share_p, share_u = positive / positive.sum(), unlabelled / unlabelled.sum()
     for step in range(1, settings.steps + 1):
-        g = bias + np.bincount(row, w[column], n)
+        g = bias + np.bincount(row, (w * scales)[column], n)
         p = 1 / (1 + np.exp(-np.clip(g, -40, 40)))
         below = np.logaddexp(0, g)  # the loss of calling a document clean
         rest = (share_u - prior * share_p) @ below
         slope = -prior * share_p * (1 - p)
         clean = (share_u - prior * share_p) * p
         slope = slope + clean if rest >= 0 else -clean
-        grad = np.r_[np.bincount(column, slope[row], n_words) + settings.decay * w, slope.sum()]
+        grad = np.r_[np.bincount(column, slope[row], size) * scales + settings.decay * w, slope.sum()]
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
         move = settings.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, bias = w - move[:-1], bias - move[-1]
-    return w, float(bias)
+    return w * scales, float(bias)
 
 
 def score(docs: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None, name: str = "score") -> DataFrame:
@@ -135,19 +160,22 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", keep: li
     if model is None:
         kept = docs.columns if keep is None else keep
         return docs.select(*[F.col(f"`{c}`") for c in kept if c.lower() != name.lower()], F.lit(0.0).alias(name))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most settings.words words
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # of bounded samples
 
     def make():
         found = shared.value
-        table = HashTable(found.words)
-        n = len(found.words)
+        table, n = HashTable(found.features), max(1, len(found.features))
+        again = HashTable(np.unique(found.features[(found.features & ~_ROOT) > 0] & _ROOT))
 
         def compute(texts):
-            raw, offsets = flat_bytes(texts)
-            hashes, firsts = word_hashes(raw, offsets, NOT_ALNUM)
-            column = table.find(hashes)
+            roots = _roots(*flat_bytes(texts))
+            for text, key in roots[1:]:
+                some = np.flatnonzero(again.find(key) >= 0)
+                roots = [*roots, *_again(text[some], key[some])]
+            text, key = (np.concatenate(x) for x in zip(*roots, strict=True))
+            column = table.find(key)
             at = np.flatnonzero(column >= 0)
-            pairs = np.unique(np.searchsorted(firsts, at, side="right").astype(np.int64) * n - n + column[at])
+            pairs = np.unique(text[at].astype(np.int64) * n + column[at])
             g = found.bias + np.bincount(pairs // n, found.weights[pairs % n], len(texts))
             return [pa.array(1 / (1 + np.exp(-np.clip(g, -700, 700))), pa.float64())]
 

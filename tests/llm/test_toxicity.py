@@ -1,8 +1,11 @@
+import collections
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orrery.llm.toxicity import Settings, fit_on_folds, score, train
 
@@ -44,7 +47,7 @@ def test_held_out_labels_are_not_learnt(spark, documents):
     docs, labels, _ = corpus(900)
     flipped = [(i, q, t if zlib.crc32(str(i).encode()) % 5 or t is None else 1 - t) for i, q, t in labels]
     models = [fit_on_folds(documents(docs), spark.createDataFrame(x, SCHEMA)) for x in (labels, flipped)]
-    assert np.array_equal(models[0].words, models[1].words) and np.array_equal(models[0].weights, models[1].weights)
+    assert np.array_equal(models[0].features, models[1].features) and np.array_equal(models[0].weights, models[1].weights)
 
 
 def test_odd_rows(spark, documents):
@@ -69,9 +72,98 @@ def test_nothing_confirmed(spark, documents, labels):
 
 
 def test_bounds_hold(spark, documents):
+    """A sample is the documents with the smallest hashes; those outside it change nothing."""
     docs, labels, _ = corpus(900)
-    model = fit_on_folds(documents(docs), spark.createDataFrame(labels, SCHEMA), Settings(positives=20, unlabelled=60, words=10, least_documents=2, least_z=1.0))
-    assert len(model.words) <= 10
+    settings = Settings(positives=20, unlabelled=60)
+    table = documents(docs)
+    train_rows = [i for i, _, _ in docs if zlib.crc32(str(i).encode()) % 5]
+    hashes = {r["doc_id"]: r["h"] for r in table.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    toxic = {i for i, _, t in labels if t == 1}
+    first = lambda ids, n: set(sorted(ids, key=lambda i: (hashes[i], i))[:n])
+    used = first(train_rows, 60) | first([i for i in train_rows if i in toxic], 20)
+    other = [(i, t if i in used else "vile nothing else", lang) for i, t, lang in docs]
+    one, two = (fit_on_folds(documents(d), spark.createDataFrame(labels, SCHEMA), settings) for d in (docs, other))
+    assert np.array_equal(one.features, two.features) and np.array_equal(one.weights, two.weights)
+
+
+def plain_features(text):
+    out, seen = set(), collections.Counter()
+    for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode()):
+        w = w.translate(bytes(c + 32 if 65 <= c <= 90 else c for c in range(256)))
+        out.add(("word", w))
+        for size in (4, 6):
+            if len(w) >= size:
+                seen[size, w[:size]] += 1
+    for key, n in seen.items():
+        out |= {(key, k) for k in (1, 2, 3) if n >= k}
+    return out
+
+
+def plain_scores(docs, labels, s):
+    """The same learning with dictionaries and dense matrices, over samples that hold everything."""
+    train_docs = [(i, t) for i, t in docs if zlib.crc32(str(i).encode()) % 5]
+    told = {i: x for i, x in labels if x is not None and zlib.crc32(str(i).encode()) % 5}
+    prior = min(max(sum(told.values()) / len(told), 1e-3), 0.9)
+    sets = [plain_features(t) for _, t in train_docs]
+    pos = np.array([told.get(i) == 1 for i, _ in train_docs])
+    n_p, n_u = pos.sum(), len(pos)
+    p, u = collections.Counter(), collections.Counter()
+    for x, is_p in zip(sets, pos, strict=True):
+        u.update(x)
+        if is_p:
+            p.update(x)
+    scale = {}
+    for f in u:
+        share = (p[f] + u[f]) / (n_p + n_u)
+        z = abs(p[f] / n_p - u[f] / n_u) / max(share * (1 - share) * (1 / n_p + 1 / n_u), 1e-12) ** 0.5
+        if z**4 / (z**4 + s.half_z**4) >= s.least_scale:
+            scale[f] = z**4 / (z**4 + s.half_z**4)
+    names = sorted(scale, key=repr)
+    x = np.array([[scale[f] * (f in d) for f in names] for d in sets])
+    w, bias, m, v = np.zeros(len(names)), np.log(prior / (1 - prior)), np.zeros(len(names) + 1), np.zeros(len(names) + 1)
+    for step in range(1, s.steps + 1):
+        g = x @ w + bias
+        q = 1 / (1 + np.exp(-g))
+        risk = np.logaddexp(0, g).mean() - prior * np.logaddexp(0, g)[pos].mean()
+        up = np.where(pos, -prior / n_p * (1 - q), 0)
+        down = q / n_u - np.where(pos, prior / n_p * q, 0)
+        slope = up + down if risk >= 0 else -down
+        grad = np.r_[x.T @ slope + s.decay * w, slope.sum()]
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
+        move = s.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        w, bias = w - move[:-1], bias - move[-1]
+    return {i: 1 / (1 + np.exp(-bias - sum(w[k] * scale[f] for k, f in enumerate(names) if f in plain_features(t)))) for i, t in docs}
+
+
+def test_query_equals_a_plain_version(spark):
+    from orrery.llm.queries import op9_toxicity
+
+    folder = "/root/testdata/sf0.001"
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    labels = [(r["doc_id"], r["toxic"]) for r in spark.read.parquet(f"{folder}/labels.parquet").collect()]
+    wanted = plain_scores(docs, labels, Settings())
+    got = {r["doc_id"]: r for r in op9_toxicity(spark, folder).collect()}
+    assert got.keys() == wanted.keys()
+    assert all(abs(got[i]["score"] - wanted[i]) < 1e-3 for i in wanted)
+    assert all(r["predicted"] == (r["score"] >= 0.5) and r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
+
+
+@pytest.mark.parametrize("confirmed", [1, 3, 10])
+def test_few_confirmed_documents_still_order(spark, documents, confirmed):
+    docs, labels, truth = corpus(300)
+    left, few = confirmed, []
+    for i, q, t in labels:
+        if t == 1 and zlib.crc32(str(i).encode()) % 5:
+            left -= 1
+            t = 1 if left >= 0 else None
+        few.append((i, q, t))
+    model = fit_on_folds(documents(docs), spark.createDataFrame(few, SCHEMA))
+    got = {r["doc_id"]: r["score"] for r in score(documents(docs), model, keep=["doc_id"]).collect()}
+    held = [i for i in truth if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert len(set(got.values())) > 1
+    if confirmed == 10:
+        toxic, clean = ([got[i] for i in held if truth[i] == x] for x in (True, False))
+        assert sum(a > b for a in toxic for b in clean) / (len(toxic) * len(clean)) > 0.8
 
 
 def test_risk_is_corrected_by_the_prior():
@@ -79,7 +171,7 @@ def test_risk_is_corrected_by_the_prior():
     rng = np.random.default_rng(0)
     positive = np.r_[np.ones(200, bool), np.zeros(1000, bool)]
     has = np.r_[np.ones(200, bool), rng.random(1000) < 0.1]
-    w, b = train(np.flatnonzero(has), np.zeros(has.sum(), int), positive, ~positive, 1, 0.1, Settings())
+    w, b = train(np.flatnonzero(has), np.zeros(has.sum(), int), positive, ~positive, np.ones(1), 0.1, Settings())
     assert b + w[0] > 0 > b
 
 

@@ -1,16 +1,19 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment (operator 6).
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment (operator 6).
 
-Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. Every n-gram of a test item that
-any training row holds is a seed; none is left out for a rarer neighbour, which could be the very one that an
-edited copy lost. With a ``segment`` over 1 only the n-gram of each segment of so many that the fewest rows hold is one.
-The text around seeds in a training row is a passage; it is aligned with every item
-that has one of its seeds. The best local alignment (match +2, mismatch and gap -1) over twice the item's
-words is the similarity. Rows scan the texts against a Bloom filter of fixed size; joins by n-gram are exact.
+Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. The n-grams of a test item that training
+rows hold are counted over all rows. Those that are ``common`` times as frequent as the item's median
+n-gram say little and are no seeds; all others are, at least half of them, so that no n-gram is left out for one a little
+rarer, which could be the very one that an edited copy lost. The text around seeds in a training row is a passage; it is
+joined with every item that has one of its seeds. A passage that in no stretch as long as an alignment can be has
+enough words of the item can't reach the score and goes; the others are aligned (match +2, mismatch and gap -1).
+The best score over twice the item's words is the similarity. Rows scan the texts against a Bloom filter whose size
+follows from the number of n-grams, ``most_bits`` at most, beyond which it only lets more through; joins by n-gram are exact.
 
 Defined results: pairs below ``similarity``, or whose score is below that of ``least_words`` words (or of all
 words of a shorter item), aren't returned; nor are items of fewer words than an n-gram, null or empty
-texts, and rows with a null id on either side. Rows that share an id are one document or item; its
-best passage counts, ties to the earliest.
+texts, and rows with a null id on either side. Rows that share an id are one document or item, with every one of its
+texts; the best alignment counts, ties to the earliest. Empty tables give an empty one. Texts have any length;
+other columns aren't read, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery.llm.common import flat_bytes, ship, text_slices, written
@@ -30,10 +33,10 @@ from orrery.llm.words import NOT_ALNUM, combine, word_hashes
 @dataclass(frozen=True)
 class Settings:
     n: int = 3  # words of a seed
-    segment: int = 1  # n-grams of an item for each seed; 1: all are seeds, so an edited copy is found by any that it kept
+    common: float = 64.0  # an n-gram that so many times more rows hold than the item's median n-gram isn't a seed
     similarity: float = 0.5
     least_words: int = 6
-    bits: int = 24  # the Bloom filter has 2 ** bits
+    most_bits: int = 27  # the Bloom filter has 2 ** 20 bits, or 16 for each n-gram, but 2 ** most_bits at most
 
 
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -68,6 +71,24 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return score, end - back, end
 
 
+def enough(score: int, length: int, s: Settings) -> bool:
+    """Whether an alignment's score with an item of so many words makes a find."""
+    return score >= max(2 * s.similarity * length, MATCH * min(s.least_words, length))
+
+
+def admits(item: np.ndarray, passage: np.ndarray, s: Settings) -> bool:
+    """False only if no alignment of the passage can make a find: too few of the item's words in any stretch.
+
+    An alignment with m matches and o other steps scores 2 m - o. To make a find, 2 m - o >= t with m <= length, so o <= 2 length - t
+    and it covers 3 length - t words of the passage at most.
+    """
+    t = max(2 * s.similarity * len(item), MATCH * min(s.least_words, len(item)))
+    reach = int(3 * len(item) - t)
+    held = np.r_[0, np.cumsum(np.isin(passage, item))]
+    most = int((held[reach:] - held[:-reach]).max()) if 0 < reach < len(held) - 1 else int(held[-1])
+    return MATCH * most >= t
+
+
 def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw, offsets = flat_bytes(column)
     return word_hashes(raw, offsets, NOT_ALNUM)
@@ -82,7 +103,7 @@ def _grams(hashes: np.ndarray, firsts: np.ndarray, n: int) -> tuple[np.ndarray,
 
 
 def _items(items: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFrame:
-    """``item_id, words, grams`` of the items."""
+    """``item_id, words, grams`` of the items' texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,7 +115,7 @@ def _items(items: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFra
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], *lists], ["item_id", "words", "grams"])
 
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).where("item_id is not null")
-    return rows.mapInArrow(run, "item_id bigint, words array<bigint>, grams array<bigint>").where(F.size("grams") > 0)
+    return rows.mapInArrow(run, "item_id bigint, words array<bigint>, grams array<bigint>").where(F.size("grams") > 0).distinct()
 
 
 def _bloom(grams: DataFrame, bits: int) -> np.ndarray:
@@ -115,10 +136,12 @@ def _in_bloom(bloom: np.ndarray, bits: int, grams: np.ndarray) -> np.ndarray:
     return found[(bloom[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool)]
 
 
-def _scan(docs: DataFrame, bloom: np.ndarray, s: Settings, reach: int | None, id_col: str, text_col: str) -> DataFrame:
-    """Without ``reach`` the grams in the filter, once a row: ``gram``. With it the passages around them,
-    ``reach`` words to either side: ``doc_id, start, words, grams``."""
-    shared = docs.sparkSession.sparkContext.broadcast(bloom)  # of fixed size
+def _scan(rows: DataFrame, grams: DataFrame, s: Settings, reach: int | None) -> DataFrame:
+    """Of ``rows (key, text)``, without ``reach`` the grams in the filter of ``grams (gram)``, once a row: ``gram``.
+    With it the passages around them, ``reach`` words to either side: ``key, start, words, grams``."""
+    count = grams.distinct().count()
+    bits = min(s.most_bits, max(20, (16 * count).bit_length()))
+    shared = rows.sparkSession.sparkContext.broadcast(_bloom(grams, bits))  # 2 ** most_bits bits at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,59 +150,82 @@ def _scan(docs: DataFrame, bloom: np.ndarray, s: Settings, reach: int | None, id
                 if len(hashes) < s.n:
                     continue
                 grams = combine(hashes, s.n)
-                hit = _in_bloom(shared.value, s.bits, grams)
+                hit = _in_bloom(shared.value, bits, grams)
                 text = np.searchsorted(firsts, hit, side="right") - 1
                 whole = hit + s.n <= firsts[text + 1]
                 hit, text = hit[whole], text[whole]
                 if not len(hit):
                     continue
                 if reach is None:
-                    _, once = np.unique(np.stack([text.astype(np.uint64), grams[hit]]), axis=1, return_index=True)
+                    order = np.lexsort((grams[hit], text))
+                    hit, text = hit[order], text[order]
+                    once = np.r_[True, (text[1:] != text[:-1]) | (grams[hit[1:]] != grams[hit[:-1]])]
                     yield pa.RecordBatch.from_arrays([pa.array(grams[hit[once]].view(np.int64))], ["gram"])
                     continue
                 cut = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (hit[1:] - hit[:-1] > 2 * reach)])
-                ids = batch.column(0)[a:b].to_pylist()
                 rows = []
                 for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(hit)], strict=True):
                     t = int(text[x])
                     start, end = max(int(firsts[t]), int(hit[x]) - reach), min(int(firsts[t + 1]), int(hit[y - 1]) + s.n + reach)
-                    rows.append((ids[t], start - int(firsts[t]), hashes[start:end].view(np.int64), np.unique(grams[hit[x:y]]).view(np.int64)))
-                types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)], ["doc_id", "start", "words", "grams"])
+                    rows.append((start - int(firsts[t]), hashes[start:end].view(np.int64), np.unique(grams[hit[x:y]]).view(np.int64)))
+                types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                keys = batch.column(0)[a:b].take(pa.array(text[cut]))
+                yield pa.RecordBatch.from_arrays([keys, *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True))], ["key", "start", "words", "grams"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
-    return rows.mapInArrow(run, "gram bigint" if reach is None else "doc_id bigint, start bigint, words array<bigint>, grams array<bigint>")
+    key = rows.schema["key"].dataType.simpleString()
+    return rows.mapInArrow(run, "gram bigint" if reach is None else f"key {key}, start bigint, words array<bigint>, grams array<bigint>")
 
 
-def contaminated(docs: DataFrame, items: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``doc_id, item_id, score, similarity, start_word, end_word`` of training rows that hold a test item or an edited copy."""
-    ship(docs.sparkSession)
-    s = settings
-    tests = written(_items(items, s, item_id_col, item_text_col), "items")
-    reach = tests.agg(F.max(F.size("words"))).first()[0] or 0
-    grams = tests.select("item_id", F.posexplode("grams").alias("at", "gram"))
-    counted = _scan(docs, _bloom(grams.select("gram"), s.bits), s, None, id_col, text_col).groupBy("gram").agg(F.count("*").alias("df"))
-    rarity = Window.partitionBy("item_id", "segment").orderBy("df", "at")
-    seeds = grams.join(counted, "gram").withColumn("segment", F.floor(F.col("at") / s.segment)).withColumn("place", F.row_number().over(rarity)).where("place = 1")
-    seeds = written(seeds.select("gram", "item_id").distinct(), "seeds")
-    passages = written(_scan(docs, _bloom(seeds.select("gram"), s.bits), s, reach, id_col, text_col).withColumn("pid", F.monotonically_increasing_id()), "passages")
-    pairs = passages.select("pid", F.explode("grams").alias("gram")).join(seeds, "gram").select("pid", "item_id").distinct()
-    known = tests.groupBy("item_id").agg(F.max("words").alias("item_words"))
-    pairs = pairs.join(passages.select("pid", "doc_id", "start", "words"), "pid").join(known, "item_id").select("doc_id", "item_id", "start", "words", "item_words")
+def _seeds(tests: DataFrame, rows: DataFrame, s: Settings) -> DataFrame:
+    """``gram, iid``: the n-grams of each item text that rows hold, without those far more frequent than its median one."""
+    grams = tests.select("iid", F.explode("grams").alias("gram")).distinct()
+    counted = _scan(rows, grams.select("gram"), s, None).groupBy("gram").agg(F.count("*").alias("df"))
+    held = written(grams.join(counted, "gram"), "held")
+    median = held.groupBy("iid").agg(F.median("df").alias("median"))  # an item's n-grams are bounded by its text
+    return written(held.join(median, "iid").where(F.col("df") <= F.col("median") * s.common).select("gram", "iid"), "seeds")
+
+
+def _best(pairs: DataFrame, s: Settings) -> DataFrame:
+    """``key, item_id, score, similarity, start_word, end_word``: the finds among ``pairs (key, item_id, start, words, item_words)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, wanted = (batch.column(i) for i in (3, 4))
+            bases, words, wanted = (batch.column(i) for i in (2, 3, 4))
             rows = []
             for i in range(batch.num_rows):
-                item = wanted[i].values.to_numpy()
-                score, start, end = align(item, words[i].values.to_numpy())
-                base = batch.column(2)[i].as_py()
-                if score >= max(2 * s.similarity * len(item), MATCH * min(s.least_words, len(item))):
-                    rows.append((batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), score, score / (MATCH * len(item)), base + start, base + end))
+                item, passage = wanted[i].values.to_numpy(), words[i].values.to_numpy()
+                if not admits(item, passage, s):
+                    continue
+                score, start, end = align(item, passage)
+                if enough(score, len(item), s):
+                    base = bases[i].as_py()
+                    rows.append((i, score, score / (MATCH * len(item)), base + start, base + end))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), [pa.int64()] * 3 + [pa.float64()] + [pa.int64()] * 2, strict=True)], ["doc_id", "item_id", "score", "similarity", "start_word", "end_word"])
+                at, *found = zip(*rows, strict=True)
+                kept = [batch.column(c).take(pa.array(at)) for c in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*kept, *(pa.array(c, k) for c, k in zip(found, [pa.int64(), pa.float64(), pa.int64(), pa.int64()], strict=True))], ["key", "item_id", "score", "similarity", "start_word", "end_word"])
+
+    key = pairs.schema["key"].dataType.simpleString()
+    aligned = pairs.mapInArrow(run, f"key {key}, item_id bigint, score bigint, similarity double, start_word bigint, end_word bigint")
+    best = aligned.groupBy("key", "item_id").agg(F.max(F.struct("similarity", "score", (-F.col("start_word")).alias("s"), (-F.col("end_word")).alias("e"))).alias("x"))
+    return best.select("key", "item_id", "x.score", "x.similarity", (-F.col("x.s")).alias("start_word"), (-F.col("x.e")).alias("end_word"))
 
-    aligned = pairs.mapInArrow(run, "doc_id bigint, item_id bigint, score bigint, similarity double, start_word bigint, end_word bigint")
-    best = aligned.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", "similarity", (-F.col("start_word")).alias("s"), "end_word")).alias("x"))
-    return best.select("doc_id", "item_id", "x.score", "x.similarity", (-F.col("x.s")).alias("start_word"), F.col("x.end_word").alias("end_word"))
+
+def contaminated_keys(docs: DataFrame, key: Column, items: DataFrame, settings: Settings = Settings(), text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``key, item_id, score, similarity, start_word, end_word`` of rows that hold a test item or an edited copy; ``key`` names the rows."""
+    ship(docs.sparkSession)
+    s = settings
+    rows = docs.select(key.alias("key"), F.col(f"`{text_col}`").alias("text")).where("key is not null")
+    tests = written(_items(items, s, item_id_col, item_text_col).withColumn("iid", F.monotonically_increasing_id()), "items")
+    reach = tests.agg(F.max(F.size("words"))).first()[0] or 0
+    seeds = _seeds(tests, rows, s)
+    passages = written(_scan(rows, seeds.select("gram"), s, reach).withColumn("pid", F.monotonically_increasing_id()), "passages", wide=True)
+    pairs = passages.select("pid", F.explode("grams").alias("gram")).join(seeds, "gram").select("pid", "iid").distinct()
+    pairs = pairs.join(passages.select("pid", "key", "start", "words"), "pid").join(tests.select("iid", "item_id", F.col("words").alias("item_words")), "iid")
+    return _best(pairs.select("key", "item_id", "start", "words", "item_words"), s)
+
+
+def contaminated(docs: DataFrame, items: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``doc_id, item_id, score, similarity, start_word, end_word`` of training rows that hold a test item or an edited copy."""
+    found = contaminated_keys(docs, F.col(f"`{id_col}`").cast("long"), items, settings, text_col, item_id_col, item_text_col)
+    return found.withColumnRenamed("key", "doc_id")

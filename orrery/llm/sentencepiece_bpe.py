@@ -3,18 +3,18 @@
 Texts are cut at the places no piece crosses (before a run of spaces, around newlines). The
 distinct segments of a batch become one flat symbol array; each round finds the best-ranked
 adjacent pair of every segment at once (segmented minimum), merges its occurrences from the left
-and compacts the arrays, until no segment has a pair left. Where the merged piece can form a pair that goes
-before the other occurrences, only the leftmost is merged in that round. Characters outside the
+and compacts the arrays, until no segment has a pair left. Where a merged occurrence makes a pair with a neighbour that
+goes before the other occurrences, those to its right wait for the next round. Characters outside the
 vocabulary become byte pieces. Decoding gathers the pieces' bytes.
 
 Defined results: a null text counts as empty; an empty text has no ids and decodes to an empty
-text. The ids and decoded texts are those of the sentencepiece library for models without text
+text. Texts have any length, also without a space; repeated rows are encoded alike, an empty table gives an empty one, and a
+column named like a result is replaced. The ids and decoded texts are those of the sentencepiece library for models without text
 normalisation (``Vocabulary.load`` refuses others).
 """
 
 from __future__ import annotations
 
-import heapq
 import itertools
 import re
 from dataclasses import dataclass
@@ -29,10 +29,8 @@ from orrery.llm.hashtable import HashTable
 
 _MARK = "▁"
 _NONE = np.int32(np.iinfo(np.int32).max)
-#: Distinct segments that a Python worker remembers; beyond it starts anew.
-CACHE_SEGMENTS = 200_000
-#: Pairs of a segment that have to be merged one by one, from which on an agenda does it: long runs of one character.
-LONG = 64
+#: Distinct segments, and their characters, that a Python worker remembers before it starts anew.
+CACHE_SEGMENTS, CACHE_CHARS = 200_000, 8_000_000
 
 
 @dataclass
@@ -84,7 +82,6 @@ class Merger:
                     merged.append(i)
                     for part in (a, b):  # merging to part can make a pair that goes before its other occurrences
                         risky[part] |= self.rank[i] <= self.rank[part]
-        self.pairs = dict(zip(keys, merged, strict=True))
         self.table, self.merged = HashTable(np.array(keys, np.uint64)), np.array([*merged, -1], np.int32)
         self.risky = risky
         words = [p for p in ids if len(p) > 1]
@@ -102,7 +99,7 @@ class Merger:
 
     def _forget(self) -> None:
         self.cache.clear()
-        self.ids, self.starts, self.sizes, self.used = np.zeros(1 << 16, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        self.ids, self.starts, self.sizes, self.used, self.chars = np.zeros(1 << 16, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0
 
     def _find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece that each pair merges to, or -1."""
@@ -111,28 +108,27 @@ class Merger:
         out[(left >= self.n) | (right >= self.n)] = -1
         return out
 
-    def _agenda(self, symbols: list[int]) -> list[int]:
-        """Merges one segment by an agenda, for long runs whose pairs have to be merged one by one."""
-        after, before = [*range(1, len(symbols)), -1], [-1, *range(len(symbols) - 1)]
-        rank, pairs, n = self.rank, self.pairs, self.n
-        agenda: list[tuple[int, int, int, int, int]] = []
-
-        def offer(i: int) -> None:
-            if i >= 0 and (j := after[i]) >= 0 and symbols[i] < n and symbols[j] < n and (m := pairs.get(symbols[i] * n + symbols[j])) is not None:
-                heapq.heappush(agenda, (int(rank[m]), i, symbols[i], symbols[j], m))
-
-        for i in range(len(symbols) - 1):
-            offer(i)
-        while agenda:
-            _, i, a, b, m = heapq.heappop(agenda)
-            if symbols[i] == a and (j := after[i]) >= 0 and symbols[j] == b:
-                symbols[i], symbols[j], after[i] = m, -1, after[j]
-                if after[j] >= 0:
-                    before[after[j]] = i
-                after[j] = -1
-                offer(before[i])
-                offer(i)
-        return [s for s in symbols if s >= 0]
+    def _in_turn(self, at: np.ndarray, sym: np.ndarray, seg: np.ndarray, pair: np.ndarray) -> np.ndarray:
+        """The places ``at`` (ascending) up to the first in each segment whose merge makes a pair that goes before the rest."""
+        some = np.flatnonzero(self.risky[pair[at]])
+        if not len(some):
+            return at
+        p, m = at[some], pair[at[some]]
+        left = np.maximum(p - 1, 0)
+        joined = np.r_[False, at[1:] == at[:-1] + 2][some]  # the one before has just become a piece
+        before = np.where(joined, pair[at[some - 1]], sym[left])
+        right = np.minimum(p + 2, len(sym) - 1)
+        first, second = self._find(before, m), self._find(m, sym[right])
+        stops = (p > 0) & (seg[left] == seg[p]) & (first >= 0) & (self.rank[first] <= self.rank[m])
+        stops |= (p + 2 < len(sym)) & (seg[right] == seg[p]) & (second >= 0) & (self.rank[second] <= self.rank[m])
+        stop = some[stops]
+        if not len(stop):
+            return at
+        of = seg[at[stop]]
+        lead = np.r_[True, of[1:] != of[:-1]]
+        stop, of = stop[lead], of[lead]
+        nearest = np.minimum(np.searchsorted(of, seg[at]), len(of) - 1)
+        return at[(of[nearest] != seg[at]) | (np.arange(len(at)) <= stop[nearest])]
 
     def encode_segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and sizes, in the order of the segments (none of them empty)."""
@@ -153,27 +149,17 @@ class Merger:
             best_of = np.repeat(best, sizes)
             hit = (rank == best_of) & (pair >= 0)
             over = best == _NONE
-            hits = np.add.reduceat(hit, starts, dtype=np.int64)
-            risky = (hits > 1) & np.logical_or.reduceat(hit & self.risky[pair], starts)
-            long = risky & (hits > LONG)
-            for k in np.flatnonzero(long):
-                out = self._agenda(sym[starts[k] : starts[k] + sizes[k]].tolist())
-                done_sym.append(np.array(out, np.int32))
-                done_seg.append(np.full(len(out), seg[starts[k]]))
-            one = np.repeat(risky, sizes)
-            if (over | long).any():
+            if over.any():
                 ended = np.repeat(over, sizes)
                 done_sym.append(sym[ended])
                 done_seg.append(seg[ended])
-                live = ~np.repeat(over | long, sizes)
-                sym, seg, pair, hit, one = sym[live], seg[live], pair[live], hit[live], one[live]
+                sym, seg, pair, hit = sym[~ended], seg[~ended], pair[~ended], hit[~ended]
                 if not len(sym):
                     break
             at = np.flatnonzero(hit)
-            at = at[~one[at] | np.r_[True, seg[at[1:]] != seg[at[:-1]]]]  # only the leftmost where the next may not wait
             run = np.flatnonzero(np.r_[True, at[1:] != at[:-1] + 1])  # of overlapping pairs, every second from the left
             place = np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))
-            at = at[place % 2 == 0]
+            at = self._in_turn(at[place % 2 == 0], sym, seg, pair)
             sym[at] = pair[at]
             live = np.ones(len(sym), bool)
             live[at + 1] = False
@@ -205,7 +191,7 @@ class Merger:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, and the offsets of each text in them."""
         cut = [self.pattern.findall(" " + t.replace(_MARK, " ")) if t else [] for t in texts]
-        if len(self.cache) > CACHE_SEGMENTS:
+        if len(self.cache) > CACHE_SEGMENTS or self.chars > CACHE_CHARS:
             self._forget()
         cache = self.cache
         new = list(set(itertools.chain.from_iterable(cut)).difference(cache))
@@ -218,6 +204,7 @@ class Merger:
             self.starts = np.r_[self.starts, self.used + np.cumsum(sizes) - sizes]
             self.sizes = np.r_[self.sizes, sizes]
             self.used += len(ids)
+            self.chars += sum(map(len, new))
         rows = np.array(list(map(cache.__getitem__, itertools.chain.from_iterable(cut))), np.int64)
         sizes = self.sizes[rows]
         ends = np.r_[0, np.cumsum(sizes)]

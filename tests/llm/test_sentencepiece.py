@@ -42,6 +42,16 @@ def test_random_texts(library, merger):
         same(library, merger, ["".join(r.choice(alphabet) for _ in range(r.randint(0, 80))) for _ in range(1500)])
 
 
+def test_long_runs_go_through_the_rounds(library, merger):
+    """Long runs of equal characters and short cycles, without a space: merges that make pairs which go first."""
+    runs = [c * 10_000 for c in " aeo-=_.*#/\\0é日▁\n\t"] + [c * 3_001 for c in ("ab", "aab", "the", "  a", "-=", "an", "na", "erer", "1212", "=-=", "oo0", "|-", "éa", "ss s")]
+    same(library, merger, runs)
+    r = random.Random(9)
+    for alphabet in ("a", "ab", "-=", " ", "aA", "es", "0", "=_", "oO", "in", "er", "ton"):
+        same(library, merger, ["".join(r.choice(alphabet) * r.randint(1, 300) for _ in range(12)) for _ in range(40)])
+        same(library, merger, ["".join(r.choice(alphabet) for _ in range(600)) for _ in range(20)])
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(max_size=40), max_size=5))
 def test_any_text(texts):
@@ -62,6 +72,11 @@ def test_cache_starts_anew(library, merger, monkeypatch):
     monkeypatch.setattr("orrery.llm.sentencepiece_bpe.CACHE_SEGMENTS", 10)
     for k in range(5):
         same(library, merger, [f"word{k}{j} and more" for j in range(20)])
+    monkeypatch.setattr("orrery.llm.sentencepiece_bpe.CACHE_SEGMENTS", 1 << 20)
+    monkeypatch.setattr("orrery.llm.sentencepiece_bpe.CACHE_CHARS", 5_000)
+    for k in range(6):
+        same(library, merger, [f"{k}x" * 2_000, "short"])
+        assert merger.chars < 20_000
 
 
 def test_documents(spark, documents, library):

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orrery.llm.kdtree import Settings, build_tree, search, top_k
+from orrery.llm.kdtree import Settings, build_tree, cell_borders, cell_of, search, top_k
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -57,6 +57,47 @@ def test_search_prunes():
     assert len(nodes) > 60
 
 
+def test_cells_and_their_borders():
+    rng = np.random.default_rng(4)
+    points = np.concatenate([rng.integers(-50, 50, (300, 3)), np.zeros((200, 3), np.int64), np.full((100, 3), 7)])
+    borders = cell_borders(points, 16)
+    cells = cell_of(points, borders)
+    assert set(cells.tolist()) <= set(range(16)) and len(set(cells.tolist())) > 8
+    assert len(set(cells[300:500].tolist())) == 1
+    assert set(cell_of(np.ones((5, 3), np.int64), cell_borders(np.ones((400, 3), np.int64), 8)).tolist()) == {0}
+
+
+def test_cells_are_passed_by(spark):
+    """Clustered vectors: blocks visit far fewer cells than there are, and the result is that of brute force."""
+    rng = np.random.default_rng(8)
+    centers = rng.normal(size=(24, 6)) * 4
+    rows = [(int(i), [float(x) for x in centers[i % 24] + rng.normal(size=6) * 0.05]) for i in range(2400)]
+    visited = []
+    settings = Settings(shard_rows=50, block_rows=8, leaf_rows=8)
+    got = {}
+    for r in top_k(spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA), F.col("vec_id") % 50 == 0, settings, visited=visited).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert {i: sorted(x) for i, x in got.items()} == brute(rows, settings.k)
+    blocks, cells = visited[0], 2400 // 50
+    assert len(visited) > 2 and sum(visited) < blocks * cells / 4
+
+
+def test_too_large_components_raise(spark):
+    df = spark.createDataFrame([(50, [3e38], 0), (1, [1.0], 0)], SCHEMA)
+    with pytest.raises(Exception, match="does not fit a long"):
+        top_k(df, F.col("vec_id") == 50).count()
+
+
+def test_clashing_columns_and_long_vectors(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(i), [float(x) for x in rng.normal(size=3000)]) for i in range(0, 120)]
+    df = spark.createDataFrame([(i, v, 0, 1, 2) for i, v in rows], "vec_id long, embedding array<float>, score int, dim int, cell int")
+    got = {}
+    for r in top_k(df, F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert {i: sorted(x) for i, x in got.items()} == brute(rows, 5)
+
+
 def test_no_rows(spark):
     assert top_k(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 50 == 0).count() == 0
     assert top_k(spark.createDataFrame([(1, [1.0], 0)], SCHEMA), F.col("vec_id") % 50 == 0).count() == 0

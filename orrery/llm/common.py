@@ -89,6 +89,12 @@ def drop_scratch(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def collected(df: DataFrame) -> dict:
+    """The columns of a small ``df`` as numpy arrays, by Arrow, without a Python object for each row."""
+    rows = df.toArrow()
+    return {c: rows[c].to_numpy() for c in rows.column_names}
+
+
 def fold(doc_id: Column | str) -> Column:
     """crc32 of the id as text, mod 5; 0 is held out. A null id has a null fold."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import flat_bytes, ship, text_slices, written
+from orrery.llm.common import collected, flat_bytes, ship, text_slices, written
 from orrery.llm.words import NOT_ALNUM, combine, word_hashes
 
 
@@ -122,9 +122,9 @@ def _bloom(grams: DataFrame, bits: int) -> np.ndarray:
     """A bit array of fixed size that has two bits of each gram, built on the executors."""
     at = F.explode(F.array(F.col("gram").bitwiseAND(F.lit((1 << bits) - 1)), F.shiftrightunsigned("gram", 64 - bits)))
     words = grams.select(at.alias("at")).select(F.shiftrightunsigned("at", 5).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(31)).cast("int")).alias("bit"))
-    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # 2 ** (bits - 5) at most
+    rows = collected(words.groupBy("word").agg(F.bit_or("bit").alias("bits")))  # 2 ** (bits - 5) at most
     out = np.zeros(1 << (bits - 5), np.uint32)
-    out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).astype(np.uint32)
+    out[rows["word"]] = rows["bits"].astype(np.uint32)
     return out
 
 

@@ -24,10 +24,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import drop_scratch, ship, written
+from orrery.llm.common import collected, drop_scratch, ship, written
 
 
 @dataclass(frozen=True)
@@ -207,11 +208,11 @@ def _shards(vectors: DataFrame, s: Settings) -> DataFrame:
 def _cell_boxes(shards: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """By dimension the cells with vectors, and their boxes as lo and hi."""
     sides = shards.select("dim", "cell", F.posexplode(F.arrays_zip("lo", "hi")).alias("at", "x")).groupBy("dim", "cell", "at").agg(F.min("x.lo").alias("lo"), F.max("x.hi").alias("hi"))
-    rows = sides.orderBy("dim", "cell", "at").toPandas()  # settings.cell_numbers rows at most for each dimension
+    rows = collected(sides.orderBy("dim", "cell", "at"))  # settings.cell_numbers rows at most for each dimension
     out = {}
-    for dim, part in rows.groupby("dim"):
-        lo, hi = (part[c].to_numpy(np.int64).reshape(-1, dim) for c in ("lo", "hi"))
-        out[int(dim)] = part["cell"].to_numpy(np.int64)[::dim], lo, hi
+    for dim in np.unique(rows["dim"]).tolist():
+        here = rows["dim"] == dim
+        out[dim] = rows["cell"][here][::dim], *(rows[c][here].reshape(-1, dim) for c in ("lo", "hi"))
     return out
 
 
@@ -307,11 +308,11 @@ def top_k(vectors: DataFrame, is_query: Column, settings: Settings = Settings(),
     rows = written(rows.groupBy("id").agg(F.min("v").alias("v"), F.max("q").alias("q")).withColumn("dim", F.size("v")), "vectors", wide=True)
     sizes = {r["dim"]: r["n"] for r in rows.groupBy("dim").agg(F.count("*").alias("n"), F.count_if("q").alias("queries")).where("queries > 0").collect()}  # a row a dimension
     rows = rows.where(F.col("dim").isin([int(d) for d in sizes]))
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(s.sample_rows).select("dim", "v").toPandas()
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(s.sample_rows).select("dim", "v").toArrow()
     borders = {}
     for dim, n in sizes.items():
-        held = sample.loc[sample["dim"] == dim, "v"]
-        points = np.array(held.tolist(), np.int64).reshape(len(held), dim)
+        held = sample.filter(pc.equal(sample["dim"], dim))
+        points = _matrix(held["v"], held.num_rows) if held.num_rows else np.zeros((0, dim), np.int64)
         borders[dim] = cell_borders(points, max(1, min(s.cells, s.cell_numbers // dim, n // s.shard_rows)))
     placed = written(_placed(rows, borders), "placed", wide=True)
     shards = written(_shards(placed.select("id", "v", "dim", "cell"), s), "shards", wide=True)

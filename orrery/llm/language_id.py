@@ -113,12 +113,12 @@ def fit(docs: DataFrame, order: int = ORDER, train_bytes: int = TRAIN_BYTES) ->
                     yield pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(uniq), pa.string()), pa.array(uniq.view(np.int64)), pa.array(n)], ["lang", "gram", "n"])
 
     counted = sample.select("text", "lang").mapInArrow(count, "lang string, gram bigint, n bigint")
-    rows = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()  # of a bounded sample
-    if rows.empty:
+    rows = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()  # of a bounded sample
+    if not rows.num_rows:
         return None
-    langs = sorted(rows["lang"].unique())
-    code = rows["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(np.int64)
-    return build(langs, code, rows["gram"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64), order)
+    langs = sorted(pc.unique(rows["lang"]).to_pylist())
+    code = pc.index_in(rows["lang"], pa.array(langs)).to_numpy().astype(np.int64)
+    return build(langs, code, rows["gram"].to_numpy().view(np.uint64), rows["n"].to_numpy(), order)
 
 
 class Coder:

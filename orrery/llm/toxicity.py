@@ -6,8 +6,9 @@ to a word does not hide it), the first 4 and 6 bytes of words, which their infle
 comes twice or three times. A linear model minimises the class-prior-corrected
 risk  ``pi E_p[l(g)] + max(0, E_u[l(-g)] - pi E_p[l(-g)])``  with the logistic loss, in numpy. Where the
 bracket falls below zero the step goes the other way, as in the non-negative estimator of Kiryo et al. A feature whose
-shares in the two samples differ by z standard errors is scaled by z^4 / (z^4 + half_z^4), so that chance finds count for
-little; below ``least_scale`` it is left out.
+shares in the two samples differ by z standard errors (the root of the likelihood ratio, which holds for small counts too) is
+scaled by z^4 / (z^4 + half_z^4), so that chance finds count for little, relative to the most telling feature, so that few
+confirmed documents do; below ``least_scale`` it is left out.
 
 Bounds, all parameters of :class:`Settings`: documents in either sample. The samples are the documents with
 the smallest hash of their id; features are counted over whole texts, however long.
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import drop_scratch, flat_bytes, fold, map_texts, written
+from orrery.llm.common import collected, drop_scratch, flat_bytes, fold, map_texts, written
 from orrery.llm.hashtable import HashTable
 from orrery.llm.words import NOT_ALNUM, mix, run_hashes, word_bounds
 
@@ -114,22 +115,23 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         return None
     p, u = F.col("p"), F.col("u")
     share = (p + u) / (n_p + n_u)
-    z = F.abs(p / n_p - u / n_u) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-12)) * (1 / n_p + 1 / n_u))
-    scale = F.pow(z, 4) / (F.pow(z, 4) + settings.half_z**4)
+    term = lambda x, n: F.when(x > 0, x * F.log(x / (share * n))).otherwise(0.0)
+    z4 = F.pow(2 * (term(p, n_p) + term(u, n_u)), 2)  # the likelihood ratio is about z^2
+    scale = z4 / (z4 + settings.half_z**4)
     exploded = sampled.select("doc_id", "p", "u", F.explode("keys").alias("key"))
-    telling = exploded.groupBy("key").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).select("key", scale.alias("scale")).where(F.col("scale") >= settings.least_scale)
-    telling = written(telling, "telling")
-    features = telling.toPandas().sort_values("key")  # of a bounded sample
-    held = exploded.join(F.broadcast(telling.select("key")), "key").select("doc_id", "key").toPandas()
-    rows = sampled.select("doc_id", "p", "u").orderBy("doc_id").toPandas()
-    drop_scratch(sampled)
-    drop_scratch(telling)
-    order = np.argsort(features["key"].to_numpy(np.int64).view(np.uint64))
-    keys, scales = features["key"].to_numpy(np.int64).view(np.uint64)[order], features["scale"].to_numpy(float)[order]
-    row = np.searchsorted(rows["doc_id"].to_numpy(np.int64), held["doc_id"].to_numpy(np.int64))
-    column = np.searchsorted(keys, held["key"].to_numpy(np.int64).view(np.uint64))
+    scaled = written(exploded.groupBy("key").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).select("key", scale.alias("scale")), "scales")
+    most = scaled.agg(F.max("scale")).first()[0] or 1.0
+    telling = written(scaled.withColumn("scale", F.col("scale") / most).where(F.col("scale") >= settings.least_scale), "telling")
+    features = collected(telling)  # of a bounded sample
+    held = collected(exploded.join(F.broadcast(telling.select("key")), "key").select("doc_id", "key"))
+    rows = collected(sampled.select("doc_id", "p", "u").orderBy("doc_id"))
+    for done in (sampled, scaled, telling):
+        drop_scratch(done)
+    order = np.argsort(features["key"].view(np.uint64))
+    keys, scales = features["key"].view(np.uint64)[order], features["scale"][order]
+    row, column = np.searchsorted(rows["doc_id"], held["doc_id"]), np.searchsorted(keys, held["key"].view(np.uint64))
     order = np.lexsort((column, row))  # sums in one order, whatever the order of the rows that came
-    weights, bias = train(row[order], column[order], rows["p"].to_numpy(bool), rows["u"].to_numpy(bool), scales, prior, settings)
+    weights, bias = train(row[order], column[order], rows["p"] > 0, rows["u"] > 0, scales, prior, settings)
     return Model(keys, weights, bias)
 
 

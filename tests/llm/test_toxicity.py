@@ -115,9 +115,10 @@ def plain_scores(docs, labels, s):
     scale = {}
     for f in u:
         share = (p[f] + u[f]) / (n_p + n_u)
-        z = abs(p[f] / n_p - u[f] / n_u) / max(share * (1 - share) * (1 / n_p + 1 / n_u), 1e-12) ** 0.5
-        if z**4 / (z**4 + s.half_z**4) >= s.least_scale:
-            scale[f] = z**4 / (z**4 + s.half_z**4)
+        ratio = 2 * sum(c * np.log(c / (share * n)) for c, n in ((p[f], n_p), (u[f], n_u)) if c)
+        scale[f] = ratio**2 / (ratio**2 + s.half_z**4)
+    most = max(scale.values())
+    scale = {f: x / most for f, x in scale.items() if x / most >= s.least_scale}
     names = sorted(scale, key=repr)
     x = np.array([[scale[f] * (f in d) for f in names] for d in sets])
     w, bias, m, v = np.zeros(len(names)), np.log(prior / (1 - prior)), np.zeros(len(names) + 1), np.zeros(len(names) + 1)

@@ -66,16 +66,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str, wide: bool = False, by: str | None = None) -> DataFrame:
     """``df`` as a table in the shared folder: cuts the lineage and survives lost executors.
 
     ``wide`` rows, with arrays of hashes, get small row groups and no dictionaries, which hashes don't gain from.
+    ``by`` is a column with few values, each of which gets a folder.
     """
     path = scratch_path(df.sparkSession, name)
     writer = df.write.option("compression", "zstd")
     if wide:
         writer = writer.option("parquet.block.size", WIDE_BYTES).option("parquet.enable.dictionary", False)
-    writer.parquet(path)
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -83,10 +84,9 @@ def drop_scratch(df: DataFrame) -> None:
     """Deletes the files of a table that ``written`` made."""
     spark = df.sparkSession
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/orrery/" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+    for folder in {m.group() for f in df.inputFiles() if (m := re.match(r".*/orrery/[^/]+", f))}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def collected(df: DataFrame) -> dict:

@@ -1,78 +1,135 @@
 """Line deduplication with levelled sorted runs of line hashes (operator 4). DataFrame functions only.
 
 A line's key is the line without ``[\\x20\\x09-\\x0D]`` at its ends, A-Z lower-cased; keys of at least
-``least_chars`` code points take part, as 128-bit hashes. Documents come in batches. A batch's hashes, with
-the number of its documents and its largest id that hold them, become a sorted run of level 0; when a
-level has ``fanout`` runs they are merged into one run of the next. Then each batch's lines are merge-joined
-with the runs: a line goes if its key is in ``least_docs`` documents or more and the document isn't the
-largest id that holds it (the anti-join's complement, as few lines go). Runs are tables in the shared folder.
+``least_chars`` code points take part, as 128-bit hashes. Documents come in batches, those with the largest ids first. A
+batch's keys, with the number of its documents that hold them and its largest id, are merge-joined with the
+runs: keys that no run has (the anti-join) are the batch's own, and its largest id is the one that keeps the line; of the others
+only the count is new. The batch then becomes a sorted run of level 0; when a level has ``fanout`` runs they are merged into
+one of the next. Runs are tables in the shared folder, bucketed and sorted by key, so that neither the join of a
+batch nor a merge shuffles or sorts a run. A line goes if its key is in ``least_docs`` documents or more and the
+document isn't the one that keeps it. Joins are by key and not by line until then, so a line that a third of all documents
+have is one row in them.
 
 Defined results: a null or empty text is one empty line. Rows that share an id are one holder, and their
-texts lose lines separately. Rows with a null id hold nothing and keep all lines.
+texts lose lines separately; repeated rows lose the same ones. Rows with a null id hold nothing and keep all lines. An
+empty table gives an empty one. Texts and lines have any length.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm.common import drop_scratch, written
+from orrery.llm.common import drop_scratch, scratch_path, written
 
 _BLANKS = " \t\n\x0b\f\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _KEY = ["h1", "h2"]
+_ORDERED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
 
 def line_key(line: Column) -> Column:
     return F.translate(F.trim(line, F.lit(_BLANKS)), _UPPER, _LOWER)
 
 
+@contextmanager
+def _in_order(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile Spark takes the order of bucket files as given, which they have: one file a bucket."""
+    before = spark.conf.get(_ORDERED)
+    spark.conf.set(_ORDERED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_ORDERED, before)
+
+
 class LineRuns:
-    """Sorted runs ``h1, h2, n_docs, top`` by level, compacted when a level has ``fanout`` of them."""
+    """Sorted runs ``h1, h2, n_docs, top`` by level, merged when a level has ``fanout`` of them.
+
+    ``top`` is the id that keeps the line, in the run of the batch that was the first to have the key; null in others.
+    A run has as many buckets as Spark has shuffle partitions when the store is made.
+    """
 
     def __init__(self, spark: SparkSession, fanout: int = 2) -> None:
         self.spark, self.fanout = spark, fanout
-        self.levels: list[list[DataFrame]] = []
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.levels: list[list[str]] = []
+
+    def tables(self) -> list[DataFrame]:
+        return [self.spark.table(name) for level in self.levels for name in level]
+
+    def _written(self, run: DataFrame) -> str:
+        name = f"orrery_run_{uuid.uuid4().hex}"
+        writer = run.write.option("compression", "zstd").option("path", scratch_path(self.spark, "run"))
+        with _in_order(self.spark):
+            writer.bucketBy(self.buckets, *_KEY).sortBy(*_KEY).saveAsTable(name)
+        return name
+
+    def _drop(self, name: str) -> None:
+        drop_scratch(self.spark.table(name))
+        self.spark.sql(f"DROP TABLE {name}")
 
     @staticmethod
-    def _merged(runs: list[DataFrame]) -> DataFrame:
-        union = runs[0]
+    def merged(runs: list[DataFrame]) -> DataFrame:
+        """Several runs as one, by merge joins; a key's ``top`` is in one of them."""
+        out = runs[0]
         for run in runs[1:]:
-            union = union.unionByName(run)
-        return union.groupBy(*_KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("top").alias("top"))
+            new = run.select(*_KEY, F.col("n_docs").alias("n"), F.col("top").alias("t"))
+            total = F.coalesce("n_docs", F.lit(0)) + F.coalesce("n", F.lit(0))
+            out = out.join(new.hint("merge"), _KEY, "full_outer").select(*_KEY, total.alias("n_docs"), F.coalesce("top", "t").alias("top"))
+        return out
 
-    def _put(self, level: int, run: DataFrame) -> None:
+    def _put(self, level: int, name: str) -> None:
         if level == len(self.levels):
             self.levels.append([])
-        self.levels[level].append(written(run.sortWithinPartitions(*_KEY), f"run{level}"))
+        self.levels[level].append(name)
         if len(self.levels[level]) >= self.fanout:
             old, self.levels[level] = self.levels[level], []
-            self._put(level + 1, self._merged(old))
+            self._put(level + 1, self._written(self.merged([self.spark.table(x) for x in old])))
             for x in old:
-                drop_scratch(x)
+                self._drop(x)
 
-    def add(self, rows: DataFrame) -> None:
-        """Adds a batch ``h1, h2, id`` whose ids no earlier batch has."""
+    def joined(self, rows: DataFrame) -> DataFrame:
+        """``h1, h2, n_docs, top`` of a batch ``rows (h1, h2, id)``; ``top`` only for keys that no run has."""
         holders = rows.where("id is not null").select(*_KEY, "id").distinct()  # so that a hot line is counted in parts
-        self._put(0, holders.groupBy(*_KEY).agg(F.count("*").alias("n_docs"), F.max("id").alias("top")))
+        out = holders.groupBy(*_KEY).agg(F.count("*").alias("n_docs"), F.max("id").alias("top"))
+        for i, run in enumerate(self.tables()):
+            out = out.join(run.select(*_KEY, F.lit(True).alias(f"in{i}")).hint("merge"), _KEY, "left")
+            out = out.select(*_KEY, "n_docs", F.when(F.col(f"in{i}").isNull(), F.col("top")).alias("top"))
+        return out
 
-    def runs(self) -> DataFrame:
-        """All runs as one."""
-        runs = [run for level in self.levels for run in level]
-        return runs[0] if len(runs) == 1 else self._merged(runs)
+    def add(self, rows: DataFrame) -> None:
+        """Adds a batch ``h1, h2, id`` whose ids are smaller than those of all earlier batches."""
+        self._put(0, self._written(self.joined(rows)))
 
     def admit(self, rows: DataFrame) -> DataFrame:
-        """For an endless feed of batches: the rows of ``rows (h1, h2, id, ...)`` whose hash no earlier batch had; the batch is added.
-
-        So the first batch that brings a line keeps it. Each run is merge-anti-joined by itself, without merging the runs first.
-        """
+        """For an endless feed: the rows of ``rows (h1, h2, id, ...)`` whose hash no earlier batch had; the batch is added."""
         fresh = rows
-        for run in [run for level in self.levels for run in level]:
-            fresh = fresh.join(run.select(*_KEY).hint("merge"), _KEY, "left_anti")
-        fresh = written(fresh, "fresh")
+        with _in_order(self.spark):
+            for run in self.tables():
+                fresh = fresh.join(run.select(*_KEY).hint("merge"), _KEY, "left_anti")
+            fresh = written(fresh, "fresh")
         self.add(rows)
         return fresh
 
+    def repeated(self, least_docs: int) -> DataFrame:
+        """``h1, h2, top`` of the keys that so many documents hold."""
+        if not self.levels:
+            return self.spark.createDataFrame([], "h1 bigint, h2 bigint, top bigint")
+        with _in_order(self.spark):
+            return written(self.merged(self.tables()).where(F.col("n_docs") >= least_docs).select(*_KEY, "top"), "repeated")
+
+    def close(self) -> None:
+        """Deletes the runs."""
+        for level in self.levels:
+            for name in level:
+                self._drop(name)
+        self.levels = []
+
 
 def hashed_lines(docs: DataFrame, id_col: str, text_col: str, least_chars: int) -> DataFrame:
     """``id, t, pos, h1, h2`` of the lines that are long enough; t tells texts with one id apart."""
@@ -89,11 +146,15 @@ def dedup_lines(
     A column named like one of these is replaced.
     """
     spark = docs.sparkSession
-    rows = written(hashed_lines(docs, id_col, text_col, least_chars).withColumn("batch", F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int")), "lines")
+    id_ = F.col(id_col).cast("long")
+    cuts = docs.agg(F.percentile_approx(id_, [i / batches for i in range(1, batches)], 1_000)).first()[0] if batches > 1 else []
+    after = sum((F.when(F.col("id") > cut, 0).otherwise(1) for cut in cuts or []), F.lit(0))  # batch 0 has the largest ids
+    rows = written(hashed_lines(docs, id_col, text_col, least_chars).withColumn("batch", after), "lines", by="batch")
     store = LineRuns(spark, fanout)
     for b in range(batches):
-        store.add(rows.where(F.col("batch") == b))
-    repeated = store.runs().where(F.col("n_docs") >= least_docs).select(F.col("h1").alias("r1"), F.col("h2").alias("r2"), "top")
+        store.add(rows.where(F.col("batch") == b).select(*_KEY, "id"))
+    repeated = store.repeated(least_docs).select(F.col("h1").alias("r1"), F.col("h2").alias("r2"), "top")
+    store.close()
     gone = rows.join(repeated, (F.col("h1") == F.col("r1")) & (F.col("h2") == F.col("r2")) & (F.col("id") != F.col("top")), "left_semi")
     gone = gone.groupBy(F.col("id").alias("__id"), F.col("t").alias("__t")).agg(F.collect_set("pos").alias("__gone"))
 

@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from orrery.llm.line_dedup import LineRuns, dedup_lines
+from orrery.llm.line_dedup import LineRuns, _in_order, dedup_lines
 
 
 def brute(rows, least_chars, least_docs):
@@ -50,9 +50,44 @@ def test_equals_brute_force(spark, documents, batches, fanout, least_docs):
 def test_levels(spark):
     store = LineRuns(spark, fanout=2)
     for b in range(5):
-        store.add(spark.createDataFrame([(k, k, 10 * b + d) for k in range(3) for d in range(k + 1)] * 2, "h1 long, h2 long, id long"))
+        store.add(spark.createDataFrame([(k, k, 100 - 10 * b + d) for k in range(b, 3 + b) for d in range(k + 1)] * 2, "h1 long, h2 long, id long"))
     assert [len(x) for x in store.levels] == [1, 0, 1]
-    assert sorted((r["h1"], r["n_docs"], r["top"]) for r in store.runs().collect()) == [(0, 5, 40), (1, 10, 41), (2, 15, 42)]
+    got = sorted((r["h1"], r["n_docs"], r["top"]) for r in LineRuns.merged(store.tables()).collect())
+    first = {k: max(0, k - 2) for k in range(7)}  # the batch that brings a key, with the largest id
+    assert got == [(k, (k + 1) * len([b for b in range(5) if b <= k < 3 + b]), 100 - 10 * first[k] + k) for k in range(7)]
+    store.close()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("orrery_run_")]
+
+
+def test_runs_are_neither_shuffled_nor_sorted(spark):
+    """In the join of a batch and in a merge the runs come as they are; only the batch itself is shuffled and sorted."""
+    store = LineRuns(spark, fanout=3)
+    batch = lambda b: spark.createDataFrame([(k, k, 100 - b) for k in range(50)], "h1 long, h2 long, id long")
+    store.add(batch(0))
+    store.add(batch(1))
+    with _in_order(spark):
+        merge = LineRuns.merged(store.tables())
+        plan = merge._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 1 and "Exchange" not in plan and not re.search(r"\bSort\b", plan)
+        join = store.joined(batch(2))
+        join.collect()
+        plan = join._jdf.queryExecution().executedPlan().toString()
+        plan = plan[plan.index("Final Plan") : plan.index("Initial Plan")]
+        runs = [x for x in plan.split("\n") if "orrery_run_" in x and "Scan" in x]
+        assert len(runs) == 2 and plan.count("SortMergeJoin") == 2
+        at = [i for i, x in enumerate(plan.split("\n")) if "orrery_run_" in x and "Scan" in x]
+        lines = plan.split("\n")
+        depth = lambda x: len(x) - len(x.lstrip(" :+-*()0123456789"))
+        for i in at:  # from the scan up to its join
+            above, level = [], depth(lines[i])
+            for x in reversed(lines[:i]):
+                if depth(x) < level:
+                    above.append(x)
+                    level = depth(x)
+                    if "SortMergeJoin" in x:
+                        break
+            assert not any(re.search(r"\bSort \[|Exchange", x) for x in above)
+    store.close()
 
 
 def test_feed_keeps_the_first(spark):

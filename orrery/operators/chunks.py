@@ -69,12 +69,14 @@ def chunks_in_radius(chunks: DataFrame, center: Sequence[float], radius: float,
 
 
 def sol_sample(catalog: DataFrame, n: int = 3) -> DataFrame:
-    """The first ``n`` stars of the chunk at the origin, by id."""
-    return catalog.where("ix = 0 and iy = 0 and iz = 0").orderBy("source_id").limit(n)
+    """The first ``n`` stars of the chunk at the origin, by id, with ``n_planets``."""
+    n_planets = F.size("planets") if "planets" in catalog.columns else F.lit(0)
+    return catalog.where("ix = 0 and iy = 0 and iz = 0").withColumn("n_planets", n_planets.cast("bigint")).orderBy("source_id").limit(n)
 
 
 def verify(manifest: DataFrame, catalog: DataFrame) -> DataFrame:
-    """One row a chunk of either side: its counts, stars outside its box (a little slack admitted), ``count_ok``, ``aabb_ok``.
+    """One row a chunk of either side: its counts, stars outside its box (a little slack admitted), ``count_ok``, ``aabb_ok``,
+    and ``stray``, the first star outside by id with its position.
 
     The stars are joined with the box of their chunk (broadcast only if Spark finds the manifest small) and
     aggregated once; chunks that only one side has are found by the outer join.
@@ -83,13 +85,21 @@ def verify(manifest: DataFrame, catalog: DataFrame) -> DataFrame:
     outside: Column = F.lit(False)
     for c in "xyz":
         outside = outside | (F.col(c) < F.col(f"min_{c}") - AABB_SLACK) | (F.col(c) > F.col(f"max_{c}") + AABB_SLACK)
-    held = catalog.select(*KEY, "x", "y", "z").join(box, KEY, "left").groupBy(*KEY).agg(F.count("*").alias("found"), F.count_if(outside).alias("outside"))
+    stray = F.min(F.when(outside, F.struct("source_id", "x", "y", "z"))).alias("stray")
+    held = catalog.select(*KEY, "source_id", "x", "y", "z").join(box, KEY, "left").groupBy(*KEY).agg(F.count("*").alias("found"), F.count_if(outside).alias("outside"), stray)
     both = manifest.select(*KEY, "star_count").join(held, KEY, "full_outer")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
-    out = both.select(*KEY, zero("star_count").alias("star_count"), zero("found").alias("found"), zero("outside").alias("outside"))
+    out = both.select(*KEY, zero("star_count").alias("star_count"), zero("found").alias("found"), zero("outside").alias("outside"), "stray")
     return out.withColumns({"count_ok": F.col("star_count") == F.col("found"), "aabb_ok": F.col("outside") == 0})
 
 
-def verification_errors(manifest: DataFrame, catalog: DataFrame) -> DataFrame:
+def total_check(manifest: DataFrame, verified: DataFrame) -> DataFrame:
+    """One row: ``total_stars`` of the manifest, ``loaded``, the stars found in chunks that the verification knows by it, and ``total_ok``."""
+    loaded = verified.where("star_count > 0").agg(F.coalesce(F.sum("found"), F.lit(0)).cast("bigint").alias("loaded"))
+    total = manifest_totals(manifest).select("total_stars")
+    return total.join(F.broadcast(loaded), F.lit(True)).withColumn("total_ok", F.col("total_stars") == F.col("loaded"))  # one row each
+
+
+def verification_errors(verified: DataFrame) -> DataFrame:
     """Only the chunks with an error."""
-    return verify(manifest, catalog).where("not count_ok or not aabb_ok")
+    return verified.where("not count_ok or not aabb_ok")

@@ -36,27 +36,36 @@ def match_names(hosts: DataFrame, stars: DataFrame) -> DataFrame:
     return hosts.select("host").join(named, "host").groupBy("host").agg(F.min("s")["id"].alias("source_id"))
 
 
+def cells_of_a_host(config: CatalogConfig) -> int:
+    """At most so many cells of the grid meet the cube around a host's circle."""
+    chord, width = _grid(config)
+    return (int(2 * chord / width) + 2) ** 3
+
+
+def _grid(config: CatalogConfig) -> tuple[float, float]:
+    """The chord of the radius and the width of a cell."""
+    chord = 2 * math.sin(min(config.proximity_arcsec / ARCSEC_PER_RADIAN, math.pi) / 2) * 1.0001 + 1e-12
+    return chord, max(chord, 1e-4)
+
+
 def match_nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = CatalogConfig(), few: bool | None = None) -> DataFrame:
     """``host, source_id, sep_arcsec``: the nearest star within the radius (strictly), ties to the earliest.
 
-    Both sides are put on a grid of unit vectors whose cells are a little wider than the radius's chord, so
-    the match lies in the host's cell or one of its 26 neighbours: an equi-join on the cell. Unit vectors have
-    no wrap at 0 degrees and no special poles. Hosts are broadcast up to ``config.broadcast_hosts``;
-    ``few`` says whether that holds if the caller knows it already.
+    Both sides are put on a grid of unit vectors whose cells are at least as wide as the radius's chord; a host goes to the
+    cells that the cube around its circle meets, mostly one: an equi-join on the cell. Unit vectors have
+    no wrap at 0 degrees and no special poles. Hosts are broadcast if their cells are ``config.broadcast_hosts`` at most;
+    ``few`` says whether that holds if the caller knows it already (see ``cells_of_a_host``).
     """
-    theta = config.proximity_arcsec / ARCSEC_PER_RADIAN
-    width = max(2 * math.sin(min(theta, math.pi) / 2) * 1.0001, 1e-4)
+    chord, width = _grid(config)
     axes = ("gx", "gy", "gz")
-
-    def grid(df: DataFrame) -> list:
-        return [F.floor(u / width).alias(g) for u, g in zip(unit_vector(F.col("ra"), F.col("dec_deg")), axes, strict=True)]
-
-    around = hosts.select("host", F.col("ra").alias("h_ra"), F.col("dec_deg").alias("h_dec"), *grid(hosts))
+    position = lambda: zip(unit_vector(F.col("ra"), F.col("dec_deg")), axes, strict=True)
+    met = [F.sequence(F.floor((u - chord) / width), F.floor((u + chord) / width)).alias(g) for u, g in position()]
+    around = hosts.select("host", F.col("ra").alias("h_ra"), F.col("dec_deg").alias("h_dec"), *met)
     for g in axes:
-        around = around.withColumn(g, F.explode(F.sequence(F.col(g) - 1, F.col(g) + 1)))
-    if fits(hosts, config.broadcast_hosts) if few is None else few:
+        around = around.withColumn(g, F.explode(g))
+    if fits(around, config.broadcast_hosts) if few is None else few:
         around = F.broadcast(around)
-    placed = stars.select("source_id", F.col(_order(stars)).alias("ord"), "ra", "dec_deg", *grid(stars))
+    placed = stars.select("source_id", F.col(_order(stars)).alias("ord"), "ra", "dec_deg", *[F.floor(u / width).alias(g) for u, g in position()])
     sep = separation_arcsec(F.col("h_ra"), F.col("h_dec"), F.col("ra"), F.col("dec_deg"))
     near = placed.join(around, list(axes)).withColumn("sep", sep).where((F.col("sep") < config.proximity_arcsec) & ~F.isnan("sep"))
     best = near.groupBy("host").agg(F.min(F.struct("sep", "ord", "source_id")).alias("m"))

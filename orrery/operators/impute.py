@@ -24,14 +24,15 @@ def bin_medians(stars: DataFrame, config: CatalogConfig = CatalogConfig()) -> Da
     return rows.groupBy(*_CELL, "mag_bin").agg(F.count("*").alias("n"), F.median("bp_rp").cast(kind).alias("median_bp_rp"))
 
 
-def impute_colors(stars: DataFrame, config: CatalogConfig = CatalogConfig()) -> DataFrame:
+def impute_colors(stars: DataFrame, config: CatalogConfig = CatalogConfig(), medians: DataFrame | None = None) -> DataFrame:
     """Stars with ``filled_bp_rp``: observed, else the median of its bin, the bin above, the bin below, else null.
 
     The bins are few (a row a cell and half magnitude) and offer their values beforehand, so that the stars are joined
-    once; Spark broadcasts the bins if it finds them small, else both sides shuffle on cell and bin.
+    once; Spark broadcasts the bins if it finds them small, else both sides shuffle on cell and bin. ``medians`` are those of
+    ``bin_medians``, if the caller has them from a cheaper table of the same stars.
     """
     placed = with_cells(stars, config).withColumn("mag_bin", magnitude_bin(F.col("magnitude")))
-    medians = bin_medians(stars, config)
+    medians = bin_medians(stars, config) if medians is None else medians
     # One row a bin with its own and its neighbours' values, so that the stars join once.
     offered = medians.select(*_CELL, F.explode(F.array(*[F.struct((F.col("mag_bin") - d).alias("mag_bin"), F.lit(i).alias("rank"), F.col("median_bp_rp").alias("v")) for i, d in enumerate((0, 1, -1))])).alias("o"))
     offered = offered.groupBy(*_CELL, F.col("o.mag_bin").alias("mag_bin")).agg(F.min_by("o.v", "o.rank").alias("guess"))
@@ -50,13 +51,13 @@ def _planet(p: Column, color: Column) -> Column:
     )
 
 
-def infer(stars: DataFrame, config: CatalogConfig = CatalogConfig()) -> DataFrame:
+def infer(stars: DataFrame, config: CatalogConfig = CatalogConfig(), medians: DataFrame | None = None) -> DataFrame:
     """Catalog stars from stars with ``planets``; planets are mapped within their array, without a shuffle.
 
     ``quality`` counts a colour filled from a bin as observed, as catalogs of this form do; ``color_quality`` doesn't.
     Planet temperatures use the filled colour, not the fallback.
     """
-    filled = impute_colors(stars, config)
+    filled = impute_colors(stars, config, medians)
     color = F.col("filled_bp_rp")
     return filled.select(
         "source_id", "x", "y", "z", "magnitude",
@@ -82,12 +83,14 @@ def without_planets(stars: DataFrame, config: CatalogConfig = CatalogConfig()) -
     )
 
 
-def inference_counters(stars: DataFrame, catalog: DataFrame) -> DataFrame:
-    """One row of counts: inferred colours, and over attached planets inferred radii and temperatures, and failures."""
-    planets = stars.select("source_id", F.explode("planets").alias("raw"))
-    done = catalog.select(F.explode("planets").alias("p"))
-    colors = catalog.agg(F.count_if((F.col("color_quality") == INFERRED) & (F.col("quality") == OBSERVED)).alias("bp_rp_inferred"))
-    radii = planets.agg(F.count_if(F.col("raw.radius_earth").isNull()).alias("radius_inferred"), F.lit(0).cast("bigint").alias("radius_unresolvable"))
-    missing = (F.col("p.eq_temp_quality") == INFERRED) & F.col("p.eq_temp_kelvin").isNull()
-    temps = done.agg(F.count_if((F.col("p.eq_temp_quality") == INFERRED) & F.col("p.eq_temp_kelvin").isNotNull()).alias("temp_inferred"), F.count_if(missing).alias("temp_unresolvable"))
-    return colors.join(F.broadcast(radii), F.lit(True)).join(F.broadcast(temps), F.lit(True))  # one row each
+def inference_counters(catalog: DataFrame) -> DataFrame:
+    """One row of counts: inferred colours, and over attached planets inferred radii and temperatures, and failures; one pass."""
+    planets = lambda cond: F.coalesce(F.sum(F.size(F.filter("planets", cond))), F.lit(0)).cast("bigint")
+    guessed = lambda p: p["eq_temp_quality"] == INFERRED
+    return catalog.agg(
+        F.count_if((F.col("color_quality") == INFERRED) & (F.col("quality") == OBSERVED)).alias("bp_rp_inferred"),
+        planets(lambda p: p["quality"] == INFERRED).alias("radius_inferred"),
+        F.lit(0).cast("bigint").alias("radius_unresolvable"),  # every period has a radius
+        planets(lambda p: guessed(p) & p["eq_temp_kelvin"].isNotNull()).alias("temp_inferred"),
+        planets(lambda p: guessed(p) & p["eq_temp_kelvin"].isNull()).alias("temp_unresolvable"),
+    )

@@ -66,9 +66,17 @@ def parse_stars(text_rows: DataFrame, config: CatalogConfig = CatalogConfig()) -
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
-    """``file, line, field, reason`` of skipped rows. Lines count from 2, by file in one task; used for the log only."""
-    order = Window.partitionBy("file").orderBy("block", "in_scan")
-    return parsed.withColumn("line", F.row_number().over(order) + 1).where("skip_reason is not null").select("file", F.col("line").cast("bigint"), F.col("skip_field").alias("field"), F.col("skip_reason").alias("reason"))
+    """``file, line, field, reason`` of skipped rows; lines count from 2.
+
+    Rows of a split are numbered consecutively, so a line number is the rows of the file's earlier splits plus the place in
+    its own: only one row a split is put in order, not the file.
+    """
+    splits = parsed.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("in_scan").alias("first"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "block", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    skipped = parsed.where("skip_reason is not null").select("file", "block", "in_scan", "skip_field", "skip_reason")
+    line = F.col("before") + F.col("in_scan") - F.col("first") + 2
+    return skipped.join(splits, ["file", "block"]).select("file", line.cast("bigint").alias("line"), F.col("skip_field").alias("field"), F.col("skip_reason").alias("reason"))
 
 
 def kept_stars(parsed: DataFrame) -> DataFrame:

@@ -51,8 +51,8 @@ def build(stars: DataFrame, planets: DataFrame | None = None, config: CatalogCon
     if planets is None:
         return Catalog(impute.without_planets(placed, config))
     placed = require_coordinates(placed)
-    few = True if crossmatch.fits(planets, config.broadcast_hosts) else None  # few planets have few hosts
+    few = True if crossmatch.fits(planets, config.broadcast_hosts // crossmatch.cells_of_a_host(config)) else None  # few planets have few hosts
     hosts = crossmatch.group_hosts(planets)
     matches = crossmatch.match_hosts(hosts, placed, config, few)
     enriched = crossmatch.attach_planets(placed, planets, matches, config, bool(few))
-    return Catalog(impute.infer(enriched, config), hosts, matches, enriched)
+    return Catalog(impute.infer(enriched, config, impute.bin_medians(placed, config)), hosts, matches, enriched)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from orrery.plans import sinks
 from orrery.plans.catalog import require_coordinates, with_coordinates
 from orrery.plans.checkpoint import staged
 from orrery.sources.csv_files import planet_counts, planet_rows, read_planet_csv, read_star_csv
+from orrery.sources.storage import file_states
 
 
 def parser() -> argparse.ArgumentParser:
@@ -27,7 +29,7 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("--proximity-arcsec", type=float, default=default.proximity_arcsec)
     build.add_argument("--proximity-mag-tolerance", type=float, default=default.proximity_mag_tolerance)
     build.add_argument("--chunk-size", type=float, default=default.chunk_size)
-    build.add_argument("--resume", action="store_true", help="take up stages that are complete for the same parameters and inputs")
+    build.add_argument("--resume", action="store_true", help="take up stages that are complete for the same parameters and inputs (paths, lengths, times of change)")
     build.add_argument("--stats", action="store_true")
     check = commands.add_parser("verify")
     check.add_argument("--output-path", required=True)
@@ -37,33 +39,74 @@ def parser() -> argparse.ArgumentParser:
 def build_catalog(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """Runs all stages, writes the outputs and returns one row of statistics."""
     config = CatalogConfig(args.parallax_snr, args.proximity_arcsec, args.proximity_mag_tolerance, args.chunk_size)
-    out, mark = args.output_path.rstrip("/"), config.fingerprint(args.gaia_path, args.exoplanet_path or "")
+    out = args.output_path.rstrip("/")
+    inputs = [file_states(spark, p) for p in (args.gaia_path, args.exoplanet_path) if p]
+    mark = config.fingerprint(json.dumps([args.gaia_path, args.exoplanet_path, inputs]))
     parsed = staged(spark, out, "parsed", mark, args.resume, lambda: quality.parse_stars(read_star_csv(spark, args.gaia_path), config))
     sinks.write_rejects(quality.rejects(parsed), f"{out}/rejects")
     placed = require_coordinates(with_coordinates(quality.kept_stars(parsed)))
-    stats = parsed.agg(F.count("*").alias("total_rows"), F.count("skip_reason").alias("skipped_rows"))
+    kept = F.col("skip_reason").isNull()
+    stats = parsed.agg(F.count("*").alias("total_rows"), F.count("skip_reason").alias("skipped_rows"), F.count_if(kept).alias("stars"), F.count_if(kept & F.col("bp_rp").isNotNull()).alias("stars_with_color"))
+    stats = stats.withColumn("percent_with_color", F.round(100.0 * F.col("stars_with_color") / F.greatest("stars", F.lit(1)), 1))
     if args.exoplanet_path:
         planets = read_planet_csv(spark, args.exoplanet_path)
         hosts = crossmatch.group_hosts(planets)
         matches = staged(spark, out, "matches", mark, args.resume, lambda: crossmatch.match_hosts(hosts, placed, config))
         sinks.write_unmatched(crossmatch.unmatched_hosts(hosts, matches), f"{out}/unmatched_hosts.txt")
         enriched = crossmatch.attach_planets(placed, planets, matches, config)
-        catalog = staged(spark, out, "catalog", mark, args.resume, lambda: impute.infer(enriched, config))
+        catalog = staged(spark, out, "catalog", mark, args.resume, lambda: impute.infer(enriched, config, impute.bin_medians(placed, config)))
         stats = stats.join(planet_counts(planet_rows(spark, args.exoplanet_path)), F.lit(True))
-        stats = stats.join(crossmatch.match_statistics(hosts, matches), F.lit(True)).join(impute.inference_counters(enriched, catalog), F.lit(True))  # one row each
+        stats = stats.join(crossmatch.match_statistics(hosts, matches), F.lit(True)).join(impute.inference_counters(catalog), F.lit(True))  # one row each
     else:
         catalog = staged(spark, out, "catalog", mark, args.resume, lambda: impute.without_planets(placed, config))
-    sinks.write_chunks(catalog, f"{out}/chunks", config)
-    manifest = chunks.chunk_metadata(catalog)
-    totals = chunks.manifest_totals(manifest).first().asDict()
-    sinks.write_manifest(manifest, totals, f"{out}/manifest.json", config)
-    return stats.join(chunks.manifest_totals(manifest), F.lit(True))
+    sinks.write_catalog(catalog, out, config)
+    return stats.join(chunks.manifest_totals(spark.read.parquet(f"{out}/manifest.parquet")), F.lit(True))
 
 
 def verify_catalog(spark: SparkSession, output_path: str) -> DataFrame:
-    """The errors of a written catalog against its manifest, none if it is sound."""
+    """Every chunk of a written catalog against its manifest, see ``chunks.verify``."""
     out = output_path.rstrip("/")
-    return chunks.verification_errors(sinks.read_manifest(spark, f"{out}/manifest.json"), sinks.read_chunks(spark, f"{out}/chunks"))
+    return chunks.verify(sinks.read_manifest(spark, f"{out}/manifest.json"), sinks.read_chunks(spark, f"{out}/chunks"))
+
+
+def print_manifest(spark: SparkSession, out: str) -> None:
+    head, manifest = sinks.read_manifest_head(spark, f"{out}/manifest.json"), sinks.read_manifest(spark, f"{out}/manifest.json")
+    print(f"Manifest: {head['total_stars']} stars, {manifest.count()} chunks of {head['chunk_size_parsecs']} pc")
+    for r in chunks.quality_distribution(manifest).collect():  # three rows
+        print(f"{r['quality']}: {r['n']} ({r['percent']:.1f} %)")
+    sol = chunks.chunk_by_id(manifest, 0, 0, 0).collect()
+    print(f"Sol chunk: {sol[0]['star_count']} stars, {sol[0]['planet_star_count']} with planets" if sol else "Sol chunk: not in the manifest")
+
+
+def run_verify(spark: SparkSession, out: str) -> int:
+    """Prints every error and what was verified; 1 if there is any."""
+    head = sinks.read_manifest_head(spark, f"{out}/manifest.json")
+    verified = verify_catalog(spark, out).persist()
+    try:
+        found = 0
+        for found, r in enumerate(chunks.verification_errors(verified).orderBy(*chunks.KEY).toLocalIterator(), start=1):
+            name = f"chunk {r['ix']}_{r['iy']}_{r['iz']}"
+            if not r["count_ok"]:
+                print(f"{name}: manifest {r['star_count']}, found {r['found']}")
+            if not r["aabb_ok"]:
+                s = r["stray"]
+                print(f"{name}: {r['outside']} stars outside its box, the first {s['source_id']} at ({s['x']:.3f}, {s['y']:.3f}, {s['z']:.3f})")
+        if found:
+            print(f"{found} faulty chunks")
+            return 1
+        n, loaded = verified.agg(F.count("*"), F.coalesce(F.sum("found"), F.lit(0))).first()
+    finally:
+        verified.unpersist()
+    if loaded != head["total_stars"]:
+        print(f"total: manifest {head['total_stars']}, found {loaded}")
+        return 1
+    print(f"{n} chunks verified, {loaded} stars")
+    sample = chunks.sol_sample(sinks.read_chunks(spark, f"{out}/chunks")).collect()  # three rows
+    for r in sample:
+        print(f"Sol chunk: star {r['source_id']} at ({r['x']:.3f}, {r['y']:.3f}, {r['z']:.3f}), magnitude {r['magnitude']:.2f}, colour {r['color_index']:.2f}, {r['n_planets']} planets")
+    if not sample:
+        print("Sol chunk: not in this catalog")
+    return 0
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -74,23 +117,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if args.stats:
             for name, value in stats.first().asDict().items():
                 print(f"{name}: {value}")
-            manifest = sinks.read_manifest(spark, f"{args.output_path.rstrip('/')}/manifest.json")
-            for r in chunks.quality_distribution(manifest).collect():  # three rows
-                print(f"{r['quality']}: {r['n']} ({r['percent']:.1f} %)")
-            for r in chunks.chunk_by_id(manifest, 0, 0, 0).collect():
-                print(f"Sol chunk: {r['star_count']} stars, {r['planet_star_count']} with planets")
+            print_manifest(spark, args.output_path.rstrip("/"))
         return 0
-    errors = verify_catalog(spark, args.output_path)
-    found = 0
-    for found, r in enumerate(errors.orderBy("ix", "iy", "iz").toLocalIterator(), start=1):
-        print(f"chunk {r['ix']}_{r['iy']}_{r['iz']}: manifest {r['star_count']}, found {r['found']}, outside {r['outside']}")
-    if found:
-        print(f"{found} faulty chunks")
-        return 1
-    out = args.output_path.rstrip("/")
-    for r in chunks.sol_sample(sinks.read_chunks(spark, f"{out}/chunks")).collect():
-        print(f"Sol chunk: star {r['source_id']} at ({r['x']:.3f}, {r['y']:.3f}, {r['z']:.3f})")
-    return 0
+    return run_verify(spark, args.output_path.rstrip("/"))
 
 
 if __name__ == "__main__":

@@ -49,6 +49,8 @@ _CELLED = [*_STARS, "placed", "celled"]
 _MATCH = ["raw_stars", "kept", "raw_planets", "hosts", "near"]
 _CATALOG = ["raw_stars", "kept", "placed", "celled", "raw_planets", "hosts", "near", "colored", "catalog"]
 _CHUNKS = [*_CATALOG, "chunks"]
+_CTES["damaged"] = "damaged AS (SELECT ix, iy, iz, star_count + CASE WHEN ix % 3 = 0 THEN 1 ELSE 0 END AS star_count, min_x, min_y, min_z, max_x - CASE WHEN iy % 4 = 0 THEN 0.5 ELSE 0 END AS max_x, max_y, max_z FROM chunks WHERE iz <> 2)"
+_OUTSIDE = "x < min_x - 0.001 OR x > max_x + 0.001 OR y < min_y - 0.001 OR y > max_y + 0.001 OR z < min_z - 0.001 OR z > max_z + 0.001"
 
 
 def _with(names: list[str], select: str) -> str:
@@ -112,7 +114,24 @@ ORACLE_SQL: dict[str, str] = {
     "q_manifest_totals": _with(_CHUNKS, "SELECT CAST(sum(star_count) AS BIGINT) AS total_stars, CAST(sum(planet_star_count) AS BIGINT) AS total_planets, count(*) AS n_chunks FROM chunks"),
     "q_chunks_in_radius": _with(_CHUNKS, "SELECT ix, iy, iz, star_count FROM chunks WHERE min_x <= 140 AND max_x >= -100 AND min_y <= 90 AND max_y >= -150 AND min_z <= 130 AND max_z >= -110"),
     "q_chunk_lookup": _with(_CHUNKS, "SELECT ix, iy, iz, star_count, planet_star_count FROM chunks WHERE ix = 0 AND iy = 0 AND iz = 0"),
-    "q_verify_counts": _with(_CHUNKS, "SELECT ix, iy, iz, star_count, count(*) AS found, star_count = count(*) AS count_ok FROM chunks JOIN catalog USING (ix, iy, iz) GROUP BY ix, iy, iz, star_count"),
-    "q_verify_aabb": _with(_CHUNKS, "SELECT ix, iy, iz, count(*) FILTER (x < min_x - 0.001 OR x > max_x + 0.001 OR y < min_y - 0.001 OR y > max_y + 0.001 OR z < min_z - 0.001 OR z > max_z + 0.001) AS outside, count(*) FILTER (x < min_x - 0.001 OR x > max_x + 0.001 OR y < min_y - 0.001 OR y > max_y + 0.001 OR z < min_z - 0.001 OR z > max_z + 0.001) = 0 AS aabb_ok FROM chunks JOIN catalog USING (ix, iy, iz) GROUP BY ix, iy, iz"),
-    "q_sol_sample": _with(_CATALOG, "SELECT source_id, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z, round(coalesce(filled, 0.82), 6) AS color_index, quality, has_planets FROM catalog WHERE ix = 0 AND iy = 0 AND iz = 0 ORDER BY source_id LIMIT 3"),
+    "q_verify_counts": _with([*_CHUNKS, "damaged"], "SELECT ix, iy, iz, coalesce(star_count, 0) AS star_count, count(*) AS found, coalesce(star_count, 0) = count(*) AS count_ok FROM catalog LEFT JOIN damaged USING (ix, iy, iz) GROUP BY ix, iy, iz, star_count"),
+    "q_verify_aabb": _with(
+        [*_CHUNKS, "damaged"],
+        f"SELECT ix, iy, iz, count(*) FILTER ({_OUTSIDE}) AS outside, count(*) FILTER ({_OUTSIDE}) = 0 AS aabb_ok, coalesce(min(source_id) FILTER ({_OUTSIDE}), -1) AS stray_id, round(coalesce(arg_min(x, source_id) FILTER ({_OUTSIDE}), 0), 6) AS stray_x FROM catalog LEFT JOIN damaged USING (ix, iy, iz) GROUP BY ix, iy, iz",
+    ),
+    "q_verify_total": _with(
+        [*_CHUNKS, "damaged"],
+        "SELECT total_stars, loaded, total_stars = loaded AS total_ok FROM (SELECT CAST(sum(star_count) AS BIGINT) AS total_stars FROM chunks), (SELECT count(*) AS loaded FROM catalog JOIN damaged USING (ix, iy, iz))",
+    ),
+    "q_csv_stars": _with(
+        ["raw_stars"],
+        f"SELECT source_id, round(ra, 6) AS ra, round(parallax, 6) AS parallax, round(bp_rp, 6) AS bp_rp, CASE WHEN ra IS NULL THEN 'ra' WHEN parallax IS NULL THEN 'parallax' WHEN bad_mag THEN 'magnitude' WHEN {_SKIP} IS NOT NULL THEN 'parallax' END AS skip_field, "
+        f"CASE WHEN ra IS NULL OR parallax IS NULL OR bad_mag THEN 'parse failure' ELSE {_SKIP} END AS skip_reason FROM (SELECT source_id, CASE WHEN source_id % 11 <> 0 THEN ra END AS ra, CASE WHEN source_id % 13 <> 0 THEN parallax END AS parallax, parallax_error, source_id % 17 = 0 AS bad_mag, CASE WHEN source_id % 5 <> 0 THEN bp_rp END AS bp_rp FROM raw_stars)",
+    ),
+    "q_csv_planets": _with(
+        ["raw_planets"],
+        "SELECT planet_name, CASE WHEN row_ord % 7 <> 0 THEN host END AS host, CASE WHEN row_ord % 11 <> 0 THEN round(semi_major_au, 6) END AS semi_major_au, round(radius_earth, 6) AS radius_earth, row_ord % 7 <> 0 AND row_ord % 11 <> 0 AND row_ord % 13 <> 0 AS usable FROM raw_planets",
+    ),
+    "q_chunk_files": _with(_CELLED, f"SELECT source_id, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z, round(coalesce(bp_rp, 0.82), 6) AS color_index, {_TAG.format('bp_rp')} AS quality FROM celled WHERE ix = 0 AND iy = 0 AND iz = 0"),
+    "q_sol_sample": _with([*_CATALOG, "attached"], "SELECT source_id, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z, magnitude, round(coalesce(filled, 0.82), 6) AS color_index, quality, has_planets, (SELECT count(*) FROM attached a WHERE a.source_id = catalog.source_id) AS n_planets FROM catalog WHERE ix = 0 AND iy = 0 AND iz = 0 ORDER BY source_id LIMIT 3"),
 }

@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orrery.config import CatalogConfig
 from orrery.functions.astro import chunk_file, distance_pc, normal_name, separation_arcsec
 from orrery.functions.inference import effective_temperature, radius, tag, temperature
 from orrery.operators import chunks, crossmatch, impute, quality
+from orrery.plans import sinks
 from orrery.plans.catalog import Catalog, build, with_coordinates
 from orrery.sources import tables
+from orrery.sources.csv_files import planet_rows, read_star_csv
+from orrery.sources.storage import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -115,7 +119,7 @@ def planet_estimates(spark, sf):
 @_query
 def stage4_counters(spark, sf):
     c = _catalog(spark, sf)
-    return impute.inference_counters(c.enriched, c.stars)
+    return impute.inference_counters(c.stars)
 
 
 @_query
@@ -191,19 +195,67 @@ def chunk_lookup(spark, sf):
     return chunks.chunk_by_id(_catalog(spark, sf).manifest, 0, 0, 0).select("ix", "iy", "iz", "star_count", "planet_star_count")
 
 
+def _damaged(manifest: DataFrame) -> DataFrame:
+    """A manifest with faults to find: wrong counts where ix is a multiple of 3, too small a box where iy is one of 4, no chunk where iz is 2."""
+    return manifest.where("iz <> 2").withColumns({"star_count": F.col("star_count") + F.when(F.col("ix") % 3 == 0, 1).otherwise(0), "max_x": F.col("max_x") - F.when(F.col("iy") % 4 == 0, 0.5).otherwise(0.0)})
+
+
 @_query
 def verify_counts(spark, sf):
     c = _catalog(spark, sf)
-    return chunks.verify(c.manifest, c.stars).select("ix", "iy", "iz", "star_count", "found", "count_ok")
+    return chunks.verify(_damaged(c.manifest), c.stars).select("ix", "iy", "iz", "star_count", "found", "count_ok")
 
 
 @_query
 def verify_aabb(spark, sf):
     c = _catalog(spark, sf)
-    return chunks.verify(c.manifest, c.stars).select("ix", "iy", "iz", "outside", "aabb_ok")
+    out = chunks.verify(_damaged(c.manifest), c.stars)
+    return out.select("ix", "iy", "iz", "outside", "aabb_ok", F.coalesce("stray.source_id", F.lit(-1)).alias("stray_id"), _r(F.coalesce("stray.x", F.lit(0.0)), "stray_x"))
+
+
+@_query
+def verify_total(spark, sf):
+    """The manifest's total against the stars that its chunks hold."""
+    c = _catalog(spark, sf)
+    return chunks.total_check(c.manifest, chunks.verify(_damaged(c.manifest), c.stars))
+
+
+@_query
+def csv_stars(spark, sf):
+    """Stars written as CSV, some of them damaged, and read again: what is kept, and why the others aren't."""
+    folder = scratch_folder(spark, "stars.csv")
+    raw = tables.stars(spark, sf)
+    at = lambda k, c, wrong: F.when(F.col("source_id") % k == 0, F.lit(wrong)).otherwise(F.col(c).cast("string"))
+    text = raw.select("source_id", at(11, "ra", "12h").alias("ra"), F.col("dec_deg").alias("dec"), at(13, "parallax", "").alias("parallax"), "parallax_error", at(17, "magnitude", "1e400x").alias("phot_g_mean_mag"), at(5, "bp_rp", " none").alias("bp_rp"))
+    text.write.csv(folder, header=True)
+    parsed = quality.parse_stars(read_star_csv(spark, folder))
+    return parsed.select("source_id", _r("ra", "ra"), _r("parallax", "parallax"), _r(F.col("bp_rp").cast("double"), "bp_rp"), "skip_field", "skip_reason")
+
+
+@_query
+def csv_planets(spark, sf):
+    """Planets written as CSV, some of them damaged, and read again: the usable ones."""
+    folder = scratch_folder(spark, "planets.csv")
+    raw = tables.planets(spark, sf)
+    lost = lambda k, c: F.when(F.col("row_ord") % k != 0, F.col(c))
+    text = raw.select(F.col("planet_name").alias("PL_NAME"), lost(7, "hostname").alias("hostname"), "ra", F.col("dec_deg").alias("dec"), lost(11, "semi_major_au").alias("pl_orbsmax"), lost(13, "period_days").alias("pl_orbper"), F.col("radius_earth").alias("pl_rade"), F.col("eq_temp_kelvin").alias("pl_eqt"), F.lit("Transit").alias("discoverymethod"))
+    text.write.csv(folder, header=True)
+    rows = planet_rows(spark, folder)
+    return rows.select("planet_name", normal_name(F.col("hostname")).alias("host"), _r(F.col("semi_major_au").cast("double"), "semi_major_au"), _r(F.col("radius_earth").cast("double"), "radius_earth"), "usable")
+
+
+@_query
+def chunk_files(spark, sf):
+    """A catalog written by regions with its manifest, and the chunk at the origin opened by its file name."""
+    folder = scratch_folder(spark, "catalog")
+    config = CatalogConfig()
+    stars = build(tables.stars(spark, sf)).stars
+    sinks.write_catalog(stars, folder, config)
+    out = sinks.open_chunk(spark, folder, "catalog_0_0_0.bin")
+    return out.select("source_id", _r("x", "x"), _r("y", "y"), _r("z", "z"), _r("color_index", "color_index"), "quality")
 
 
 @_query
 def sol_sample(spark, sf):
     out = chunks.sol_sample(_catalog(spark, sf).stars)
-    return out.select("source_id", _r("x", "x"), _r("y", "y"), _r("z", "z"), _r("color_index", "color_index"), "quality", "has_planets")
+    return out.select("source_id", _r("x", "x"), _r("y", "y"), _r("z", "z"), "magnitude", _r("color_index", "color_index"), "quality", "has_planets", "n_planets")

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.config import CatalogConfig
-from orrery.operators.chunks import KEY
+from orrery.operators.chunks import KEY, chunk_metadata, manifest_totals
 from orrery.schemas import MANIFEST_VERSION
-from orrery.sources.storage import write_text
+from orrery.sources.csv_files import SourceError
+from orrery.sources.storage import read_text, write_text
 
 REGION = ["rx", "ry", "rz"]
 _COUNTS = ["star_count", "planet_star_count", "observed_count", "inferred_count", "synthetic_count"]
@@ -22,27 +23,36 @@ def with_regions(rows: DataFrame, config: CatalogConfig) -> DataFrame:
     return rows.withColumns({r: F.floor(F.col(i) / config.chunks_per_partition_axis).cast("int") for r, i in zip(REGION, KEY, strict=True)})
 
 
+_LAYOUT = "_layout.json"  # Spark's readers pass by names that begin so
+
+
 def write_chunks(catalog: DataFrame, path: str, config: CatalogConfig) -> None:
     """Parquet by region, every chunk's stars together and ordered, so that a chunk reads a few row groups.
 
-    Large regions are split over tasks by Spark's rebalancing rather than meeting in one.
+    Large regions are split over tasks by Spark's rebalancing rather than meeting in one. The layout is stored beside.
     """
     rows = with_regions(catalog, config).hint("rebalance", *REGION).sortWithinPartitions(*REGION, *KEY, "source_id")
     rows.write.mode("overwrite").partitionBy(*REGION).parquet(path)
+    write_text(catalog.sparkSession, f"{path}/{_LAYOUT}", [json.dumps({"chunk_size_parsecs": config.chunk_size, "chunks_per_partition_axis": config.chunks_per_partition_axis})])
 
 
-def read_chunks(spark: SparkSession, path: str, chunk: tuple[int, int, int] | None = None, config: CatalogConfig = CatalogConfig()) -> DataFrame:
-    """The catalog, or one chunk of it: folder pruning by region, row-group pruning by chunk."""
+def read_chunks(spark: SparkSession, path: str, chunk: tuple[int, int, int] | None = None) -> DataFrame:
+    """The catalog, or one chunk of it: folder pruning by region as it was written, row-group pruning by chunk."""
     rows = spark.read.parquet(path)
     if chunk is not None:
+        layout = read_text(spark, f"{path}/{_LAYOUT}")
+        if layout is None:
+            raise SourceError(f"{path} has no {_LAYOUT}")
+        axis = json.loads(layout)["chunks_per_partition_axis"]
         for r, i, at in zip(REGION, KEY, chunk, strict=True):
-            rows = rows.where((F.col(r) == at // config.chunks_per_partition_axis) & (F.col(i) == at))
+            rows = rows.where((F.col(r) == at // axis) & (F.col(i) == at))
     return rows.drop(*REGION)
 
 
 def manifest_json(manifest: DataFrame, totals: dict, config: CatalogConfig) -> Iterator[str]:
     """The manifest document in parts; chunks come in order, one at a time."""
-    yield "{\n" + f'  "version": {MANIFEST_VERSION},\n  "chunk_size_parsecs": {json.dumps(config.chunk_size)},\n  "total_stars": {totals["total_stars"]},\n  "total_planets": {totals["total_planets"]},\n  "chunks": ['
+    head = {"version": MANIFEST_VERSION, "chunk_size_parsecs": config.chunk_size, "chunks_per_partition_axis": config.chunks_per_partition_axis, "total_stars": totals["total_stars"], "total_planets": totals["total_planets"]}
+    yield "{\n" + "".join(f"  {json.dumps(k)}: {json.dumps(v)},\n" for k, v in head.items()) + '  "chunks": ['
     separator = "\n"
     for r in manifest.orderBy(*KEY).toLocalIterator():
         chunk = {"id": [r[k] for k in KEY]} | {c: r[c] for c in _COUNTS} | {f"aabb_{m}": [r[f"{m}_{c}"] for c in "xyz"] for m in ("min", "max")} | {"file_name": r["file_name"]}
@@ -51,20 +61,52 @@ def manifest_json(manifest: DataFrame, totals: dict, config: CatalogConfig) -> I
     yield "\n  ]\n}\n"
 
 
-def write_manifest(manifest: DataFrame, totals: dict, path: str, config: CatalogConfig) -> None:
-    write_text(manifest.sparkSession, path, manifest_json(manifest, totals, config))
+def write_manifest(manifest: DataFrame, path: str, config: CatalogConfig) -> None:
+    """The manifest as a Parquet table beside the document, and the document from it, so that it is computed once."""
+    spark, table = manifest.sparkSession, path.removesuffix(".json") + ".parquet"
+    manifest.write.mode("overwrite").parquet(table)
+    done = spark.read.parquet(table)
+    write_text(spark, path, manifest_json(done, manifest_totals(done).first().asDict(), config))
+
+
+def _document(spark: SparkSession, path: str) -> DataFrame:
+    chunk = ", ".join(["id:array<int>", *[f"{c}:bigint" for c in _COUNTS], "aabb_min:array<double>", "aabb_max:array<double>", "file_name:string"])
+    return spark.read.json(path, multiLine=True, schema=f"version bigint, chunk_size_parsecs double, chunks_per_partition_axis bigint, total_stars bigint, total_planets bigint, chunks array<struct<{chunk}>>")
+
+
+def read_manifest_head(spark: SparkSession, path: str) -> dict:
+    """What a manifest document says of the whole: version, chunk size, chunks along a region, totals."""
+    rows = _document(spark, path).drop("chunks").collect()  # one row
+    if len(rows) != 1 or rows[0]["version"] is None:
+        raise SourceError(f"{path} is no manifest")
+    return rows[0].asDict()
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """One row a chunk of a manifest document, in the columns of ``chunk_metadata``."""
-    chunk = ", ".join(["id:array<int>", *[f"{c}:bigint" for c in _COUNTS], "aabb_min:array<double>", "aabb_max:array<double>", "file_name:string"])
-    document = spark.read.json(path, multiLine=True, schema=f"version bigint, chunk_size_parsecs double, total_stars bigint, total_planets bigint, chunks array<struct<{chunk}>>")
-    rows = document.select(F.explode("chunks").alias("c"))
+    rows = _document(spark, path).select(F.explode("chunks").alias("c"))
     ids = [F.col("c.id")[i].alias(k) for i, k in enumerate(KEY)]
     boxes = [F.col(f"c.aabb_{m}")[i].alias(f"{m}_{c}") for m in ("min", "max") for i, c in enumerate("xyz")]
     return rows.select(*ids, *[f"c.{c}" for c in _COUNTS], *boxes, "c.file_name")
 
 
+def write_catalog(catalog: DataFrame, path: str, config: CatalogConfig) -> None:
+    """Chunk table, manifest table and manifest document under one folder."""
+    write_chunks(catalog, f"{path}/chunks", config)
+    write_manifest(chunk_metadata(catalog.sparkSession.read.parquet(f"{path}/chunks")), f"{path}/manifest.json", config)
+
+
+def open_chunk(spark: SparkSession, path: str, file_name: str) -> DataFrame:
+    """The stars of the chunk that a manifest calls ``file_name``, of the catalog in the folder ``path``.
+
+    Chunks share files (see ``with_regions``), so a name stands for its rows. Unknown names raise ``SourceError``.
+    """
+    found = read_manifest(spark, f"{path}/manifest.json").where(F.col("file_name") == file_name).limit(1).collect()
+    if not found:
+        raise SourceError(f"the manifest of {path} has no chunk {file_name}")
+    return read_chunks(spark, f"{path}/chunks", tuple(found[0][k] for k in KEY))
+
+
 def write_rejects(rejects: DataFrame, path: str) -> None:
     """One line of text a skipped row."""
     line = F.format_string("SKIP line=%d field=%s reason=%s", "line", "field", "reason")

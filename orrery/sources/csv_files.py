@@ -74,16 +74,19 @@ def _scan(spark: SparkSession, files: list[_File], fields: dict[str, str], fold_
         raise SourceError(f"{files[0].path} lacks the columns {', '.join(missing)}")
     schema = ", ".join([f"c{i} string" for i in range(len(names))] + ["bad string"])
     rows = spark.read.option("columnPruning", False).csv([f.path for f in files], schema=schema, header=True, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord="bad", quote='"', escape='"', multiLine=multi_line, **options)
-    ordinals = F.create_map(*[x for f in files for x in (F.lit(f.path.rsplit("/", 1)[-1]), F.lit(f.ordinal))])
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    names_ = [(str(jvm_path(f.path).toUri().getRawPath()).rsplit("/", 1)[-1], f.ordinal) for f in files]  # encoded, as in the metadata
+    ordinals = F.broadcast(spark.createDataFrame(names_, "file_key string, file_ord int"))  # the files that the driver has listed
     picked = [F.col(f"c{known.index(f)}").alias(name) for f, name in fields.items()]  # the first of that name
-    return rows.select(
+    placed = rows.select(
         *picked,
         F.col("bad").isNotNull().alias("malformed"),
         F.col("_metadata.file_path").alias("file"),
-        ordinals[F.col("_metadata.file_name")].alias("file_ord"),
+        F.col("_metadata.file_name").alias("file_key"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("in_scan"),
     )
+    return placed.join(ordinals, "file_key", "left").drop("file_key")
 
 
 def _read(spark: SparkSession, path: str, fields: dict[str, str], fold_case: bool, skip: str | None, multi_line: bool, **options) -> DataFrame:
@@ -111,7 +114,7 @@ def planet_rows(spark: SparkSession, path: str) -> DataFrame:
     rows = _read(spark, path, PLANET_FIELDS, True, "#", False, comment="#", ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
     real = lambda c, kind="float": parse_real(F.col(c), kind).alias(c)
     parsed = rows.select(
-        (F.col("file_ord").cast("bigint") * F.lit(1 << 48) + F.col("in_scan")).alias("row_ord"),
+        F.struct("file_ord", "block", "in_scan").alias("row_ord"),
         trimmed(F.col("planet_name")).alias("planet_name"),
         trimmed(F.col("hostname")).alias("hostname"),
         real("ra", "double"),

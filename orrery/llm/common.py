@@ -146,7 +146,7 @@ def map_texts(docs: DataFrame, text_col: str, make, fields: str, keep: list[str]
     kept = [n for n in (docs.columns if keep is None else keep) if n.lower() not in names]
     schema = StructType([docs.schema[n] for n in kept] + list(new))
     also = also or []
-    read = docs.select(*[F.col(f"`{n}`") for n in kept], *[F.col(f"`{n}`").alias(f"__{i}") for i, n in enumerate([text_col, *also])])
+    read = docs.select(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate([*kept, text_col, *also])])  # by place, whatever their names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()

@@ -133,17 +133,20 @@ class LineRuns:
 
 def hashed_lines(docs: DataFrame, id_col: str, text_col: str, least_chars: int) -> DataFrame:
     """``id, t, pos, h1, h2`` of the lines that are long enough; t tells texts with one id apart."""
-    lines = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("t"), F.posexplode(F.split(text_col, "\n")).alias("pos", "line"))
+    lines = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("t"), F.posexplode(F.split(F.col(f"`{text_col}`"), "\n")).alias("pos", "line"))
     keyed = lines.select("id", "t", "pos", line_key(F.col("line")).alias("key")).where(F.length("key") >= least_chars)
     return keyed.select("id", "t", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), "key").alias("h2"))
 
 
+NAMES = ("kept_text", "n_lines", "n_dropped")
+
+
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = 20, least_docs: int = 3, batches: int = 4, fanout: int = 2, keep: list[str] | None = None
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = 20, least_docs: int = 3, batches: int = 4, fanout: int = 2, keep: list[str] | None = None, names: tuple[str, str, str] = NAMES
 ) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with ``kept_text``, ``n_lines`` and ``n_dropped``.
+    """``docs`` (or its columns ``keep``) with ``kept_text``, ``n_lines`` and ``n_dropped``, or other ``names`` for these.
 
-    A column named like one of these is replaced.
+    A column named like one of them is replaced.
     """
     spark = docs.sparkSession
     id_ = F.col(id_col).cast("long")
@@ -158,16 +161,11 @@ def dedup_lines(
     gone = rows.join(repeated, (F.col("h1") == F.col("r1")) & (F.col("h2") == F.col("r2")) & (F.col("id") != F.col("top")), "left_semi")
     gone = gone.groupBy(F.col("id").alias("__id"), F.col("t").alias("__t")).agg(F.collect_set("pos").alias("__gone"))
 
-    new = {"kept_text", "n_lines", "n_dropped"}
-    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
-    whole = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(id_col).cast("long").alias("__did"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"), F.xxhash64(text_col).alias("__dt"))
-    joined = whole.join(gone, (F.col("__did") == F.col("__id")) & (F.col("__dt") == F.col("__t")), "left")
-    lines = F.split("__text", "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
-    text = F.when(F.col("__gone").isNull(), F.col("__text")).otherwise(F.array_join(F.transform(left, lambda p: F.get(F.col("__lines"), p)), "\n"))
-    return joined.withColumn("__lines", lines).select(
-        *[F.col(f"`{c}`") for c in kept],
-        text.alias("kept_text"),
-        F.size("__lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"),
-    )
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in {n.lower() for n in names}]
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")  # apart from the names used here
+    whole = docs.select(row, id_.alias("did"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), F.xxhash64(F.col(f"`{text_col}`")).alias("dt"))
+    joined = whole.join(gone, (F.col("did") == F.col("__id")) & (F.col("dt") == F.col("__t")), "left").withColumn("lines", F.split("text", "\n"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("__gone"))
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda p: F.get(F.col("lines"), p)), "\n"))
+    new = [text, F.size("lines").cast("long"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long")]
+    return joined.select(*[F.col("row").getField(c).alias(c) for c in kept], *[x.alias(n) for x, n in zip(new, names, strict=True)])

@@ -220,8 +220,8 @@ class Merger:
         return [raw[a + (raw[a : a + 1] == b" ") : b].decode("utf-8", "replace") for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
-def encode_decode(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with ``ids array<int>`` and ``decoded string``, the text that the ids decode to."""
+def encode_decode(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", keep: list[str] | None = None, names: tuple[str, str] = ("ids", "decoded")) -> DataFrame:
+    """``docs`` with ``ids array<int>`` and ``decoded string``, the text that the ids decode to, or other ``names`` for these."""
     shared = docs.sparkSession.sparkContext.broadcast(vocab)  # the vocabulary: a fixed table
 
     def make():
@@ -235,7 +235,7 @@ def encode_decode(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", ke
 
         return compute
 
-    return map_texts(docs, text_col, make, "ids array<int>, decoded string", keep)
+    return map_texts(docs, text_col, make, f"`{names[0]}` array<int>, `{names[1]}` string", keep)
 
 
 def digests(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:

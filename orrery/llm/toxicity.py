@@ -14,7 +14,8 @@ Bounds, all parameters of :class:`Settings`: documents in either sample. The sam
 the smallest hash of their id; features are counted over whole texts, however long.
 
 Defined results: a null or empty text gets the score of a text without any feature of the model. Without
-confirmed toxic documents, or without training texts, every score is 0; one confirmed document is enough to learn from.
+confirmed toxic documents, or without training texts, every score is 0; one confirmed document is enough to learn from. Without
+confirmed clean ones the prior is the share of confirmed toxic documents among all training rows, a lower bound.
 Rows with a null or repeated id are scored like others; an empty table gives an empty one. A column named like a
 result is replaced.
 """
@@ -39,7 +40,7 @@ class Settings:
     unlabelled: int = 12_000
     half_z: float = 5.0  # standard errors between the two samples at which a feature counts half
     least_scale: float = 0.1
-    prior: float | None = None  # of toxic documents; None: their share among the training rows with a label
+    prior: float | None = None  # of toxic documents; None: their share among the labelled training rows, or among all training rows if none is labelled clean
     steps: int = 300
     rate: float = 0.1
     decay: float = 1e-4
@@ -102,7 +103,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     counts = labels.groupBy().agg(F.count("toxic").alias("n"), F.count_if(F.col("toxic") == 1).alias("toxic")).first()
     if not counts["toxic"]:
         return None
-    prior = settings.prior if settings.prior is not None else counts["toxic"] / counts["n"]
+    prior = settings.prior
+    if prior is None:  # without a row that is labelled clean, labels say nothing of the share
+        prior = counts["toxic"] / (counts["n"] if counts["n"] > counts["toxic"] else max(docs.count(), counts["toxic"]))
     prior = min(max(prior, 1e-3), 0.9)
     ids = _sample(labels.where("toxic = 1"), settings.positives).select("doc_id", F.lit(1).alias("p"), F.lit(0).alias("u"))
     ids = ids.unionByName(_sample(docs, settings.unlabelled).select("doc_id", F.lit(0).alias("p"), F.lit(1).alias("u")))
@@ -183,7 +186,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", keep: li
 
         return compute
 
-    return map_texts(docs, text_col, make, f"{name} double", keep)
+    return map_texts(docs, text_col, make, f"`{name}` double", keep)
 
 
 def fit_on_folds(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:

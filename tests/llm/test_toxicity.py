@@ -176,6 +176,15 @@ def test_risk_is_corrected_by_the_prior():
     assert b + w[0] > 0 > b
 
 
+def test_only_toxic_rows_have_labels(spark, documents):
+    """Positives and unlabelled texts alone: clean documents aren't rejected."""
+    docs, labels, truth = corpus(900)
+    model = fit_on_folds(documents(docs), spark.createDataFrame([x for x in labels if x[2] == 1], SCHEMA))
+    got = {r["doc_id"]: r["score"] for r in score(documents(docs), model, keep=["doc_id"]).collect()}
+    assert sum(got[i] >= 0.5 for i, x in truth.items() if not x) <= 5
+    assert sum(got[i] >= 0.5 for i, x in truth.items() if x) >= 0.3 * sum(truth.values())
+
+
 def test_attached_characters_do_not_hide_a_word(spark, documents):
     docs, labels, _ = corpus(900)
     model = fit_on_folds(documents(docs), spark.createDataFrame(labels, SCHEMA))

@@ -11,9 +11,4 @@ RAW_PLANET = (
     "row_ord bigint, planet_name string, hostname string, ra double, dec_deg double, semi_major_au float, period_days float, "
     "radius_earth float, eq_temp_kelvin float, discovery_method string"
 )
-STAR = (
-    "source_id bigint, x double, y double, z double, magnitude float, color_index float, has_planets boolean, quality string, "
-    "color_quality string, planets array<struct<planet_name:string,semi_major_au:float,period_days:float,radius_earth:float,"
-    "eq_temp_kelvin:float,quality:string,eq_temp_quality:string>>"
-)
 MANIFEST_VERSION = 1

@@ -4,7 +4,7 @@ Template: every turn is ``<s>[role]``, a newline, the text, ``</s>``. Control st
 get a backslash after their first character (one more if there are some already), so markers never occur
 in them and unescaping gives back the exact text.
 
-Windows: a turn costs ``(bytes + 3) div 4 + 4`` tokens. Prefix sums of the costs, taken in blocks of turns so
+Windows: a turn costs ``(bytes + 3) div 4 + 4`` tokens, or what a column says, such as a tokenizer's count. Prefix sums of the costs, taken in blocks of turns so
 that a very long conversation is summed by many tasks, cut a conversation into turn-aligned spans: span k
 has the turns that lie between k and k + 1 times the usable budget; a turn across the upper limit is a span
 of its own. Every window starts with the leading system turn, then repeats up to ``history_turns``
@@ -13,7 +13,8 @@ single turn (or system turn) that alone exceeds it; no text is ever cut. Only th
 in the span itself are under the loss mask: each once over all windows; repeated ones are masked.
 
 Defined results: turns come in the order of turn (nulls first), role, text; repeated rows stay; null roles
-and texts count as empty; rows with a null conversation id form one conversation.
+and texts count as empty; rows with a null conversation id form one conversation. An empty table gives an empty one. Texts
+have any length and are never cut; other columns aren't read, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ class Settings:
     history_tokens: int = 256
     history_turns: int = 2
     block: int = 1_024  # turns that are summed in one group
+    tokens: str | None = None  # a column with each turn's number of tokens; None, or a null in it: from its bytes
 
 
 def escape(text: Column) -> Column:
@@ -66,13 +68,19 @@ def _span(start: Column, cost: Column, usable: Column) -> Column:
     return k * 2 + F.when(start + cost > (k + 1) * usable, 1).otherwise(0)
 
 
+def _block(s: Settings) -> Column:
+    """Turns that are summed together, in the order of turns; those without a number by role and the front of the text."""
+    lone = F.col("turn").isNull()
+    return F.struct(F.coalesce(F.floor(F.col("turn") / s.block), F.lit(-(1 << 60))).alias("turns"), F.when(lone, F.col("role")).otherwise("").alias("role"), F.when(lone, F.substring("text", 1, 2)).otherwise("").alias("front"))
+
+
 def _placed(turns: DataFrame, s: Settings) -> DataFrame:
     """Every turn with its number ``i``, its offset, its span and, at the head of a span, the system turn."""
     order = ["turn", "role", "text"]
     rows = turns.select(
-        "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
+        "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), (F.col(f"`{s.tokens}`") if s.tokens else F.lit(None)).cast("long").alias("cost")
     )
-    rows = rows.withColumn("cost", token_cost(F.col("text"))).withColumn("block", F.coalesce(F.floor(F.col("turn") / s.block), F.lit(-(1 << 60))))
+    rows = rows.withColumn("cost", F.coalesce("cost", token_cost(F.col("text")))).withColumn("block", _block(s))
     rows = rows.withColumn("cid", F.coalesce(F.col("conv_id").cast("string"), F.lit("")))  # joins by a value without nulls
     inside = Window.partitionBy("cid", "block").orderBy(*order)
     rows = rows.withColumns({

@@ -8,10 +8,13 @@ are coded whole, after a fixed start context; the language with the shortest cod
 smaller name. The score is the posterior under equal priors.
 
 The trees are fitted on a bounded sample: whole documents, chosen by a hash of their id, of about
-``train_bytes`` bytes a language (a parameter); their n-grams are counted on the executors.
+``train_bytes`` bytes a language (a parameter); their n-grams are counted on the executors. A model has a code length for each
+n-gram and language, so with many languages each gets a smaller sample: ``model_bytes`` over 4 bytes and the square of the
+number of languages, which matters from 12 languages on.
 
 Defined results: ``und`` with score 0 for a text that is null or has no letter, and for every text if
-nothing was learnt. Rows with a null id are predicted and never learnt from.
+nothing was learnt. Rows with a null id are predicted and never learnt from; rows that share an id are predicted each by its
+own text, repeated rows alike. Texts have any length and are coded whole; a column named like a result is replaced.
 """
 
 from __future__ import annotations
@@ -24,11 +27,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import flat_bytes, fold, map_texts, ship
+from orrery.llm.common import flat_bytes, fold, map_texts, ship, written
 from orrery.llm.hashtable import HashTable
 
 ORDER = 3
 TRAIN_BYTES = 2_000_000
+MODEL_BYTES = 1 << 30
 _START = 10  # the byte before a text
 _UNIT = 4096  # code lengths count in 1/4096 bit, so that sums are exact
 _PIECE = 1 << 20
@@ -94,15 +98,17 @@ def build(langs: list[str], lang: np.ndarray, keys: np.ndarray, counts: np.ndarr
     return Model(langs, order, np.concatenate(gram_keys), units(gram_costs), np.concatenate(context_keys), units(context_costs))
 
 
-def fit(docs: DataFrame, order: int = ORDER, train_bytes: int = TRAIN_BYTES) -> Model | None:
+def fit(docs: DataFrame, order: int = ORDER, train_bytes: int = TRAIN_BYTES, model_bytes: int = MODEL_BYTES) -> Model | None:
     """Learns from the rows of ``docs (doc_id, text, lang)``; those with a null in any are left out."""
     if not 1 <= order <= 6:
         raise ValueError("order is 1 to 6 bytes")
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text", "lang").dropna().where("lang <> 'und'")
-    sizes = docs.groupBy("lang").agg(F.sum(F.octet_length("text").cast("double")).alias("size"))
+    sizes = written(docs.groupBy("lang").agg(F.sum(F.octet_length("text").cast("double")).alias("size")), "sizes")
+    languages = sizes.count()
+    each = min(train_bytes, model_bytes // (4 * max(1, languages) ** 2))
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = docs.join(F.broadcast(sizes), "lang").where(chance * F.col("size") < train_bytes)  # one row a language
+    sample = docs.join(F.broadcast(sizes), "lang").where(chance * F.col("size") < each)  # one row a language
 
     def count(batches):
         for batch in batches:

@@ -1,17 +1,24 @@
-"""Quality classifier: an interpolated modified Kneser-Ney n-gram model of trusted text (operator 8).
-
-The model is over UTF-8 bytes, of order 4. One pass counts the 4-grams of all documents and, apart, those of
-the trusted ones. The trusted counts give the model: raw counts at the highest order, continuation counts
-below, three discounts an order from the counts of counts, joined by context and by suffix, all sharded by
-n-gram. Every 4-gram of the corpus then gets its probability, backing off where trusted text lacks it. A
-document's 4-grams are scored in its task where they are among the ``head`` most frequent ones (a table of
-that fixed size, broadcast); the others, counted per document, are joined with the sharded
-probabilities. A document is kept if its perplexity per byte is at most the ``quantile`` of the trusted
-documents of its language.
-
-Defined results: a null or empty text has no perplexity and isn't kept. A language without trusted
-documents, or none, has the threshold of all trusted documents; without any of those nothing has a perplexity and
-nothing is kept. Rows that share an id are scored separately.
+"""Quality classifier: an interpolated modified Kneser-Ney word trigram model of trusted text (operator 8).
+
+Tokens are runs of letters, digits and non-ASCII bytes, and runs of other ASCII bytes but white space; case counts.
+The trigrams of trusted documents are counted, sharded by n-gram: raw counts at the highest order,
+continuation counts below, three discounts an order from the counts of counts. The lowest order is interpolated
+with equal chances of the known tokens and one more, which is the estimate of an unknown token.
+
+In backing-off form a text's log probability is a constant a token plus one value for each seen n-gram in it: what the
+n-gram's own probability adds to that of backing off, and its weight as a context. So all orders are one table of
+n-gram and value, as large as the trusted text, sharded by n-gram; documents' n-grams are joined with it. Two tables of
+fixed size save work without changing a result: the values of the ``head`` most frequent n-grams are added in the document's
+task, as these would be hot keys of the join, and a bitmap leaves out n-grams that the table can't hold.
+
+A model of words knows the text it learnt from far too well. So it learns from the trusted documents outside the
+held-out fold, and a document is kept if its perplexity per token is at most the ``quantile`` of the held-out trusted
+documents of its language. Where either part is empty, all trusted documents stand in for it.
+
+Defined results: a null text, or one without tokens, has no perplexity and isn't kept. A language without held-out trusted
+documents, or none, has the threshold of all held-out trusted documents; without trusted text nothing has a
+perplexity and nothing is kept. Rows that share an id are scored separately. An empty table
+gives an empty one; texts have any length, and other columns aren't read, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,47 +31,78 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import flat_bytes, ship, text_slices, written
+from orrery.llm.common import collected, drop_scratch, flat_bytes, fold, ship, text_slices, written
 from orrery.llm.hashtable import HashTable
-from orrery.llm.language_id import _grams
-
-ORDER = 4
-_COUNT_SLICE = 8 << 20
+from orrery.llm.words import _SPACE, EXACT, NOT_ALNUM, mix, run_hashes
 
 
 @dataclass(frozen=True)
 class Settings:
-    head: int = 1 << 18  # most frequent 4-grams that are scored in place
+    head: int = 1 << 18  # most frequent n-grams that are scored in place
+    bits: int = 28  # the bitmap of n-grams has 2 ** bits
     quantile: float = 0.99
     broadcast_ids: int = 500_000  # trusted ids up to this number are broadcast; beyond it they are joined by a shuffle
 
 
+_KIND = np.where(_SPACE, 0, np.where(NOT_ALNUM, 2, 1)).astype(np.uint8)
+_START, _END = np.uint64(1), np.uint64(2)
+_WORD, _HALF = 42, 21  # bits of a token; a trigram is two longs: a and half of b, half of b and c
+_LOW_WORD, _LOW_HALF = (1 << _WORD) - 1, (1 << _HALF) - 1
+
+
+def tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code of each token, and for each text the number of its first one."""
+    kind = _KIND[raw]
+    first = np.ones(len(raw), bool)
+    first[1:] = kind[1:] != kind[:-1]
+    first[offsets[offsets < len(raw)]] = True
+    starts = np.flatnonzero(first)
+    ends = np.r_[starts[1:], len(raw)] if len(starts) else starts
+    told = kind[starts] > 0
+    starts, ends = starts[told], ends[told]
+    return run_hashes(raw, starts, ends, EXACT) & np.uint64(_LOW_WORD), np.searchsorted(starts, offsets)
+
+
+def _grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+    """Tokens of each text; then for each prediction, the end of a text among them, its text, and ``hi, lo`` of its trigram."""
+    codes, firsts = tokens(*flat_bytes(column))
+    sizes = np.diff(firsts)
+    some = sizes > 0
+    lengths = np.where(some, sizes + 3, 0)
+    begins = np.r_[0, np.cumsum(lengths)]
+    seq = np.full(begins[-1], _START, np.uint64)
+    row = np.repeat(np.arange(len(sizes)), lengths)
+    place = np.arange(len(seq)) - begins[row]
+    seq[(place >= 2) & (place < lengths[row] - 1)] = codes
+    seq[begins[1:][some] - 1] = _END
+    at = np.flatnonzero(place >= 2)
+    a, b, c = seq[at - 2], seq[at - 1], seq[at]
+    hi, lo = a << np.uint64(_HALF) | b >> np.uint64(_HALF), (b & np.uint64(_LOW_HALF)) << np.uint64(_WORD) | c
+    return sizes, row[at], hi, lo
+
+
+def _key(order: int, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    return mix(mix(lo + np.uint64(order << 62 & (1 << 64) - 1)) + hi)
+
+
 def _flagged(docs: DataFrame, trusted: DataFrame, s: Settings) -> DataFrame:
+    """``doc_id, text, lang, trusted``."""
     ids = trusted.select(F.col("doc_id").alias("t_id")).where("t_id is not null").distinct()
     if ids.limit(s.broadcast_ids + 1).count() <= s.broadcast_ids:
         ids = F.broadcast(ids)
     return docs.select("doc_id", "text", "lang").join(ids, F.col("doc_id") == F.col("t_id"), "left").select("doc_id", "text", "lang", F.col("t_id").isNotNull().alias("trusted"))
 
 
-def _count(flagged: DataFrame) -> DataFrame:
-    """``gram, n_all, n_trusted`` of all 4-grams."""
+def _count(docs: DataFrame) -> DataFrame:
+    """``hi, lo, c`` of the trigrams of ``docs (text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flags = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            for a, b in text_slices(batch.column(0), _COUNT_SLICE):
-                for row, keys in _grams(*flat_bytes(batch.column(0)[a:b]), ORDER - 1):
-                    tagged, n = np.unique(keys << np.uint64(1) | flags[a:b][row].astype(np.uint64), return_counts=True)
-                    trusted = (tagged & np.uint64(1)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array((tagged >> np.uint64(1)).view(np.int64)), pa.array(n), pa.array(n * trusted)], ["gram", "n_all", "n_trusted"])
-
-    rows = flagged.select("text", "trusted").mapInArrow(run, "gram bigint, n_all bigint, n_trusted bigint")
-    return rows.groupBy("gram").agg(F.sum("n_all").alias("n_all"), F.sum("n_trusted").alias("n_trusted"))
+            for a, b in text_slices(batch.column(0)):
+                _, _, hi, lo = _grams(batch.column(0)[a:b])
+                yield pa.RecordBatch.from_arrays([pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64))], ["hi", "lo"])
 
-
-def _low(gram, n: int):
-    """The last ``n`` bytes."""
-    return gram.bitwiseAND(F.lit((1 << 8 * n) - 1))
+    return docs.select("text").mapInArrow(run, "hi bigint, lo bigint").groupBy("hi", "lo").agg(F.count("*").alias("c"))
 
 
 def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
@@ -78,83 +116,129 @@ def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
     return tuple(out)
 
 
-def estimate(counts: DataFrame) -> list[DataFrame]:
-    """For the orders 1 to 4 ``gram, p`` of seen n-grams and ``context, rest`` (the weight of the lower order): [(grams, contexts), ...]."""
-    by_order = {ORDER: counts.where("n_trusted > 0").select("gram", F.col("n_trusted").alias("c"))}
-    for order in range(ORDER - 1, 0, -1):  # continuation counts: distinct n-grams one longer
-        by_order[order] = written(by_order[order + 1].groupBy(_low(F.col("gram"), order).alias("gram")).agg(F.count("*").alias("c")), f"grams{order}")
-    out, lower = [], None
-    for order in range(1, ORDER + 1):
-        grams = by_order[order]
-        d = discounts({r["c"]: r["count"] for r in grams.where("c <= 4").groupBy("c").count().collect()})
-        discount = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-        context = F.shiftright("gram", 8).alias("context")
-        contexts = grams.groupBy(context).agg(F.sum("c").alias("total"), F.sum(discount).alias("given"))
-        contexts = contexts.select("context", "total", (F.col("given") / F.col("total")).alias("rest"))
-        seen = grams.select("gram", "c", context, _low(F.col("gram"), order - 1).alias("suffix")).join(contexts, "context")
-        if lower is None:
-            seen = seen.withColumn("p_low", F.lit(1 / 256))
-        else:
-            seen = seen.join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("p_low")), "suffix")
-        seen = written(seen.select("gram", ((F.col("c") - discount) / F.col("total") + F.col("rest") * F.col("p_low")).alias("p")), f"model{order}")
-        out.append((seen, written(contexts.select("context", "rest"), f"contexts{order}")))
-        lower = seen
+def _low(column: str, mask: int):
+    return F.col(column).bitwiseAND(F.lit(mask))
+
+
+def _discount(counts: DataFrame):
+    d = discounts({r["c"]: r["count"] for r in counts.where("c <= 4").groupBy("c").count().collect()})
+    return F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
+
+
+def estimate(tri: DataFrame) -> tuple[DataFrame, float]:
+    """``gram, c, v``: the value of every seen n-gram of orders 1 to 3; and the log probability of an unknown token."""
+    bi = written(tri.groupBy(_low("hi", _LOW_HALF).alias("hi"), "lo").agg(F.count("*").alias("c")), "bigrams")
+    uni = written(bi.groupBy(_low("lo", _LOW_WORD).alias("w")).agg(F.count("*").alias("c")), "unigrams")
+    cut = {n: _discount(t) for n, t in ((1, uni), (2, bi), (3, tri))}
+    total, given, n = uni.agg(F.sum("c"), F.sum(cut[1]), F.count("*")).first()
+    unknown = given / total / (n + 1)
+    p1 = uni.select("w", "c", ((F.col("c") - cut[1]) / total + unknown).alias("p1"))
+    before = F.shiftleft("hi", _HALF).bitwiseOR(F.shiftright("lo", _WORD)).alias("b")  # of a bigram
+    rests = lambda cut: [F.sum("c").alias("total"), (F.sum(cut) / F.sum("c")).alias("rest")]
+    context1 = written(bi.groupBy(before).agg(*rests(cut[2])), "contexts1")
+    p2 = bi.select("hi", "lo", "c", before, _low("lo", _LOW_WORD).alias("w")).join(context1, "b").join(p1.select("w", "p1"), "w")
+    p2 = p2.withColumn("p2", (F.col("c") - cut[2]) / F.col("total") + F.col("rest") * F.col("p1"))
+    p2 = written(p2.select("hi", "lo", "c", "p2", (F.log("p2") - F.log("rest") - F.log("p1")).alias("v")), "model2")
+    middle = F.shiftleft(_low("hi", _LOW_HALF), _HALF).bitwiseOR(F.shiftright("lo", _WORD))
+    first = [F.shiftright("hi", _WORD).alias("x"), F.shiftleft(F.shiftright("hi", _HALF).bitwiseAND(F.lit(_LOW_HALF)), _WORD).bitwiseOR(middle).alias("y")]  # the bigram that a trigram begins with
+    context2 = written(tri.groupBy(*first).agg(*rests(cut[3])), "contexts2")
+    p3 = tri.select("hi", "lo", "c", *first, _low("hi", _LOW_HALF).alias("s")).join(context2, ["x", "y"])
+    p3 = p3.join(p2.select(F.col("hi").alias("s"), "lo", "p2"), ["s", "lo"])
+    p3 = p3.withColumn("p3", (F.col("c") - cut[3]) / F.col("total") + F.col("rest") * F.col("p2"))
+    none = F.lit(0.0)
+    values = [
+        p1.join(context1, F.col("w") == F.col("b"), "full").select(F.lit(0).alias("hi"), F.coalesce("w", "b").alias("lo"), F.coalesce("c", F.lit(1)), F.coalesce(F.log(F.col("p1") / unknown), none) + F.coalesce(F.log("rest"), none)),
+        p2.join(context2, (F.col("hi") == F.col("x")) & (F.col("lo") == F.col("y")), "full").select(F.coalesce("hi", "x"), F.coalesce("lo", "y"), F.coalesce("c", F.lit(1)), F.coalesce("v", none) + F.coalesce(F.log("rest"), none)),
+        p3.select("hi", "lo", "c", F.log("p3") - F.log("rest") - F.log("p2")),
+    ]
+
+    def keyed(order: int, rows: DataFrame) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hi, lo = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(_key(order, hi, lo).view(np.int64)), batch.column(2), batch.column(3)], ["gram", "c", "v"])
+
+        return rows.toDF("hi", "lo", "c", "v").withColumn("hi", F.col("hi").cast("long")).mapInArrow(run, "gram bigint, c bigint, v double")
+
+    rows = [keyed(i, x) for i, x in enumerate(values, start=1)]
+    out = written(rows[0].unionByName(rows[1]).unionByName(rows[2]), "values", wide=True)
+    for done in (bi, uni, context1, p2, context2):
+        drop_scratch(done)
+    return out, float(np.log(unknown))
+
+
+def _bitmap(values: DataFrame, bits: int) -> np.ndarray:
+    at = F.shiftrightunsigned("gram", 64 - bits)
+    rows = values.groupBy(F.shiftright(at, 5).cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(31)).cast("int"))).alias("set"))
+    rows = collected(rows)  # 2 ** (bits - 5) at most
+    out = np.zeros(1 << (bits - 5), np.uint32)
+    out[rows["word"]] = rows["set"].astype(np.uint32)
     return out
 
 
-def resolve(grams: DataFrame, model: list) -> DataFrame:
-    """``gram, logp`` of any 4-grams: the longest seen suffix, times the weights of the longer contexts that are seen."""
-    out = grams.select("gram", F.lit(1 / 256).alias("p"))
-    for order, (seen, contexts) in enumerate(model, start=1):
-        out = out.withColumn("k", _low(F.col("gram"), order)).withColumn("ctx", F.shiftright("k", 8))
-        out = out.join(seen.select(F.col("gram").alias("k"), F.col("p").alias("own")), "k", "left")
-        out = out.join(contexts.withColumnRenamed("context", "ctx"), "ctx", "left")
-        out = out.select("gram", F.coalesce("own", F.col("p") * F.coalesce("rest", F.lit(1.0))).alias("p"))
-    return out.select("gram", F.log("p").alias("logp"))
-
-
-def perplexities(flagged: DataFrame, probabilities: DataFrame, s: Settings) -> DataFrame:
-    """``doc_id, lang, trusted, perplexity`` per byte."""
-    head = probabilities.orderBy(F.desc("n_all"), "gram").select("gram", "logp").limit(s.head).toPandas()  # of fixed size
-    shared = flagged.sparkSession.sparkContext.broadcast((head["gram"].to_numpy(np.int64).view(np.uint64), head["logp"].to_numpy(float)))
+def perplexities(flagged: DataFrame, values: DataFrame, unknown: float, s: Settings) -> DataFrame:
+    """``doc_id, lang, role, perplexity`` per token."""
+    head = collected(values.orderBy(F.desc("c"), "gram").select("gram", "v").limit(s.head))  # of fixed size
+    shared = flagged.sparkSession.sparkContext.broadcast((head["gram"].view(np.uint64), head["v"], _bitmap(values, s.bits)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys_, values = shared.value
+        keys_, values_, bitmap = shared.value
         table = HashTable(keys_)
+
+        def held(keys):
+            at = (keys >> np.uint64(64 - s.bits)).astype(np.int64)
+            return (bitmap[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
+
         for batch in batches:
             for a, b in text_slices(batch.column(1)):
-                raw, offsets = flat_bytes(batch.column(1)[a:b])
-                sums, tails = np.zeros(b - a), []
-                for row, keys in _grams(raw, offsets, ORDER - 1):
+                sizes, row, hi, lo = _grams(batch.column(1)[a:b])
+                some = np.flatnonzero(sizes)
+                zero, start = np.zeros(len(some), np.uint64), np.full(len(some), _START)
+                word, half = np.uint64(_LOW_WORD), np.uint64(_LOW_HALF)
+                pair = hi & half, lo
+                sums, tails = np.where(sizes > 0, (sizes + 1) * unknown, 0.0), []
+                both = np.r_[row, some]  # the start of a text and the pair of starts are contexts too
+                for order, rows, keys in (
+                    (1, both, _key(1, np.uint64(0), np.r_[lo & word, start])),
+                    (2, both, _key(2, np.r_[pair[0], zero], np.r_[pair[1], start << np.uint64(_WORD) | start])),
+                    (3, row, _key(3, hi, lo)),
+                ):
+                    may = np.flatnonzero(held(keys))
+                    rows, keys = rows[may], keys[may]
                     at = table.find(keys)
                     known = at >= 0
-                    sums += np.bincount(row[known], values[at[known]], b - a)
-                    tails.append(np.stack([row[~known].astype(np.uint64), keys[~known]], axis=1))
-                tail = np.concatenate(tails) if tails else np.zeros((0, 2), np.uint64)
-                packed, n = np.unique(tail[:, 0] << np.uint64(32) | tail[:, 1], return_counts=True)
-                ends = np.r_[0, np.cumsum(np.bincount((packed >> np.uint64(32)).astype(np.int64), minlength=b - a))]
-                pairs = pa.StructArray.from_arrays([pa.array((packed & np.uint64(0xFFFFFFFF)).view(np.int64)), pa.array(n.astype(np.int32))], ["gram", "n"])
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(2)[a:b], batch.column(3)[a:b], pa.array(np.diff(offsets)), pa.array(sums), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)], ["doc_id", "lang", "trusted", "size", "head", "tail"])
-
-    rows = flagged.select(F.col("doc_id").cast("long"), "text", "lang", "trusted").mapInArrow(run, "doc_id bigint, lang string, trusted boolean, size bigint, head double, tail array<struct<gram:bigint,n:int>>")
+                    sums += np.bincount(rows[known], values_[at[known]], b - a)
+                    tails.append((rows[~known], keys[~known]))
+                rows, keys = (np.concatenate(x) for x in zip(*tails, strict=True))
+                ends = np.r_[0, np.cumsum(np.bincount(rows, minlength=b - a))]
+                grams = pa.array(keys[np.argsort(rows, kind="stable")].view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(2)[a:b], batch.column(3)[a:b], pa.array(sizes), pa.array(sums), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), grams)], ["doc_id", "lang", "role", "size", "head", "tail"])
+
+    rows = flagged.select(F.col("doc_id").cast("long"), "text", "lang", "role").mapInArrow(run, "doc_id bigint, lang string, role int, size bigint, head double, tail array<bigint>")
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "scored")
-    tails = rows.select("row", F.explode("tail").alias("x")).select("row", "x.gram", "x.n").join(probabilities.select("gram", "logp"), "gram")
-    tails = tails.groupBy("row").agg(F.sum(F.col("n") * F.col("logp")).alias("rest"))
+    tails = rows.select("row", F.explode("tail").alias("gram")).join(values.select("gram", "v"), "gram")
+    tails = tails.groupBy("row").agg(F.sum("v").alias("rest"))
     out = rows.drop("tail").join(tails, "row", "left")
-    return out.select("doc_id", "lang", "trusted", F.when(F.col("size") > 0, F.exp(-(F.col("head") + F.coalesce("rest", F.lit(0.0))) / F.col("size"))).alias("perplexity"))
+    return out.select("doc_id", "lang", "role", F.when(F.col("size") > 0, F.exp(-(F.col("head") + F.coalesce("rest", F.lit(0.0))) / (F.col("size") + 1))).alias("perplexity"))
 
 
 def classify(docs: DataFrame, trusted: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, perplexity, threshold, kept`` of ``docs (doc_id, text, lang)``, given ``trusted (doc_id)``."""
     ship(docs.sparkSession)
-    flagged = _flagged(docs, trusted, settings)
-    counts = written(_count(flagged), "counts")
-    if counts.where("n_trusted > 0").isEmpty():
+    role = F.when(~F.col("trusted"), 0).when(fold("doc_id") == 0, 2).otherwise(1)  # 2: held out
+    flagged = _flagged(docs, trusted, settings).select("doc_id", "text", "lang", role.alias("role"))
+    counts = written(_count(flagged.where("role = 1")), "counts")
+    if counts.isEmpty():
+        counts = written(_count(flagged.where("role > 0")), "counts")
+    if counts.isEmpty():
         return docs.select(F.col("doc_id").cast("long"), F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), F.lit(False).alias("kept"))
-    model = estimate(counts)
-    probabilities = written(resolve(counts, model).join(counts.select("gram", "n_all"), "gram"), "probabilities")
-    scored = written(perplexities(flagged, probabilities, settings), "perplexities")
-    known = scored.where("trusted and perplexity is not null")
+    values, unknown = estimate(counts)
+    drop_scratch(counts)
+    scored = written(perplexities(flagged, values, unknown, settings), "perplexities")
+    drop_scratch(values)
+    known = scored.where("role = 2 and perplexity is not null")
+    if known.isEmpty():
+        known = scored.where("role > 0 and perplexity is not null")
     cut = F.percentile_approx("perplexity", settings.quantile, 10_000)
     by_lang = written(known.where("lang is not null").groupBy("lang").agg(cut.alias("own")), "thresholds")  # so that Spark knows its size
     overall = known.agg(cut).first()[0]

@@ -22,6 +22,7 @@ result is replaced.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,7 +37,7 @@ from orrery.llm.words import NOT_ALNUM, mix, run_hashes, word_bounds
 
 @dataclass(frozen=True)
 class Settings:
-    positives: int = 4_000
+    positives: int = 2_000
     unlabelled: int = 12_000
     half_z: float = 5.0  # standard errors between the two samples at which a feature counts half
     least_scale: float = 0.1
@@ -98,6 +99,21 @@ def _feature_sets():
     return compute
 
 
+def _held(sampled: DataFrame, keys: np.ndarray) -> DataFrame:
+    """``doc_id, p, u, at``: the places in ``keys`` of each document's features."""
+    shared = sampled.sparkSession.sparkContext.broadcast(keys)  # of bounded samples
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = HashTable(shared.value)
+        for batch in batches:
+            lists = batch.column(3)
+            at = table.find(lists.flatten().to_numpy().view(np.uint64))
+            held = np.r_[0, np.cumsum(at >= 0)][np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.ListArray.from_arrays(pa.array(held, pa.int32()), pa.array(at[at >= 0], pa.int32()))], ["doc_id", "p", "u", "at"])
+
+    return sampled.select(F.col("doc_id").cast("long"), "p", "u", "keys").mapInArrow(run, "doc_id bigint, p int, u int, at array<int>")
+
+
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:
     """Learns from ``docs (doc_id, text)`` and ``labels (doc_id, toxic)``, the training rows of both."""
     counts = labels.groupBy().agg(F.count("toxic").alias("n"), F.count_if(F.col("toxic") == 1).alias("toxic")).first()
@@ -125,34 +141,44 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     scaled = written(exploded.groupBy("key").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).select("key", scale.alias("scale")), "scales")
     most = scaled.agg(F.max("scale")).first()[0] or 1.0
     telling = written(scaled.withColumn("scale", F.col("scale") / most).where(F.col("scale") >= settings.least_scale), "telling")
-    features = collected(telling)  # of a bounded sample
-    held = collected(exploded.join(F.broadcast(telling.select("key")), "key").select("doc_id", "key"))
-    rows = collected(sampled.select("doc_id", "p", "u").orderBy("doc_id"))
-    for done in (sampled, scaled, telling):
-        drop_scratch(done)
+    features = collected(telling)  # of bounded samples
     order = np.argsort(features["key"].view(np.uint64))
     keys, scales = features["key"].view(np.uint64)[order], features["scale"][order]
-    row, column = np.searchsorted(rows["doc_id"], held["doc_id"]), np.searchsorted(keys, held["key"].view(np.uint64))
-    order = np.lexsort((column, row))  # sums in one order, whatever the order of the rows that came
-    weights, bias = train(row[order], column[order], rows["p"] > 0, rows["u"] > 0, scales, prior, settings)
+    rows = _held(sampled, keys).toArrow().sort_by("doc_id")  # the documents of the samples, each with the numbers of its features
+    for done in (sampled, scaled, telling):
+        drop_scratch(done)
+    lists = rows["at"].combine_chunks()
+    row = np.repeat(np.arange(rows.num_rows), lists.value_lengths().to_numpy())
+    weights, bias = train(row, lists.flatten().to_numpy(), rows["p"].to_numpy() > 0, rows["u"].to_numpy() > 0, scales, prior, settings)
     return Model(keys, weights, bias)
 
 
 def train(row: np.ndarray, column: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, scales: np.ndarray, prior: float, settings: Settings) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative risk over features of these scales, by Adam on the whole sample."""
+    """Weights and bias that minimise the non-negative risk over features of these scales, by Adam on the whole sample.
+
+    ``row`` (ascending) and ``column`` say which document has which feature.
+    """
     n, size = len(positive), len(scales)
     w, bias = np.zeros(size), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(size + 1), np.zeros(size + 1)
     share_p, share_u = positive / positive.sum(), unlabelled / unlabelled.sum()
+    by_column = np.argsort(column, kind="stable")
+    rows, row_starts = np.unique(row, return_index=True)  # rows come in order
+    columns, column_starts = np.unique(column[by_column], return_index=True)
+    row_by_column = row[by_column]
     for step in range(1, settings.steps + 1):
-        g = bias + np.bincount(row, (w * scales)[column], n)
+        g = np.full(n, bias)
+        if len(row):
+            g[rows] += np.add.reduceat((w * scales)[column], row_starts)
         p = 1 / (1 + np.exp(-np.clip(g, -40, 40)))
         below = np.logaddexp(0, g)  # the loss of calling a document clean
         rest = (share_u - prior * share_p) @ below
         slope = -prior * share_p * (1 - p)
         clean = (share_u - prior * share_p) * p
         slope = slope + clean if rest >= 0 else -clean
-        grad = np.r_[np.bincount(column, slope[row], size) * scales + settings.decay * w, slope.sum()]
+        grad = np.r_[settings.decay * w, slope.sum()]
+        if len(row):
+            grad[columns] += np.add.reduceat(slope[row_by_column], column_starts) * scales[columns]
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
         move = settings.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)

@@ -25,6 +25,7 @@ def test_windows(spark):
     for k in range(40):
         rows += [(1, 2 * k + 1, "user", f"question {k} " * 3), (1, 2 * k + 2, "assistant", f"answer {k} </s> " * (k % 7))]
     rows += [(2, 0, "user", "x" * 5000), (2, 1, "assistant", "long " * 3000), (3, 0, None, None), (3, 0, None, None), (4, None, "assistant", ""), (None, 0, "user", "no id"), (5, 0, "system", "s" * 3000), (5, 1, "user", "u"), (5, 2, "assistant", "a")]
+    rows += [(6, None, r, t) for r in ("user", "assistant", None) for t in ("b", "é1", "é2", "", "a" * 400, "ab", None)] + [(6, 0, "user", "numbered"), (7, 0, "assistant", "y" * 200_000)]
     s = Settings(budget=300, history_tokens=60, history_turns=2, block=8)
     windows = format_windows(spark.createDataFrame(rows, SCHEMA), s)
     got = {}
@@ -57,6 +58,16 @@ def test_blocks_do_not_matter(spark):
     assert one == many
 
 
+def test_tokens_from_a_column(spark):
+    rows = [(1, k, "user" if k % 2 == 0 else "assistant", f"text {k}", 100 if k != 3 else None) for k in range(12)]
+    turns = spark.createDataFrame(rows, SCHEMA + ", n_tokens int")
+    s = Settings(budget=400, history_tokens=0, history_turns=1, tokens="n_tokens")
+    sizes = sorted((w["span"], w["n_turns"]) for w in format_windows(turns, s).collect())
+    # Turns of 100 tokens (turn 3: 6, from its bytes) in spans of 400; one across a limit is a span of its own.
+    assert sum(n for _, n in sizes) == 12 and max(n for _, n in sizes) == 4 and len(sizes) >= 3
+    assert format_windows(turns, Settings(budget=400, history_tokens=0, history_turns=1)).count() == 1
+
+
 def test_empty_and_extra_columns(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert digests(format_windows(empty)).count() == 0

@@ -1,9 +1,10 @@
 import random
+import re
 
 import numpy as np
 import pytest
 
-from orrery.llm.decontaminate import GAP, MATCH, MISMATCH, Settings, align, contaminated, smith_waterman
+from orrery.llm.decontaminate import GAP, MATCH, MISMATCH, Settings, admits, align, contaminated, enough, smith_waterman
 
 
 def brute_sw(a, b):
@@ -89,3 +90,86 @@ def test_edited_copy_beside_an_exact_one(spark, documents, offset):
     tests = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
     found = {(r["doc_id"], r["item_id"]) for r in contaminated(documents(docs), tests).collect()}
     assert found == {(k, k) for k in items} | {(100 + k, k) for k in items}
+
+
+def edited(r, w, share):
+    """A copy with that share of its words replaced, left out, or with a word put in after them."""
+    out = []
+    for x in w:
+        if r.random() >= share:
+            out.append(x)
+        else:
+            out += r.choice([words(r, 1), [], [x, *words(r, 1)]])
+    return out
+
+
+def recall_by_share(spark, documents, items, shares, seed):
+    """For each share (pairs found, pairs that aligning every document with every item finds)."""
+    r = random.Random(seed)
+    docs = [(1000 * k + i, " ".join([*words(r, 20), *edited(r, w, share), *words(r, 20)]), "en") for k, share in enumerate(shares) for i, w in enumerate(items.values())]
+    tests = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    found = {(x["doc_id"], x["item_id"]) for x in contaminated(documents(docs), tests).collect()}
+    code, s, wanted = {}, Settings(), set()
+    number = lambda w: np.array([code.setdefault(x, len(code)) for x in w])
+    coded = {k: number(w) for k, w in items.items()}
+    for i, text, _ in docs:
+        passage = number(text.split())
+        wanted |= {(i, k) for k, w in coded.items() if enough(smith_waterman(w, passage)[0], len(w), s)}
+    assert found <= wanted
+    return [(len({x for x in found if x[0] // 1000 == k}), len({x for x in wanted if x[0] // 1000 == k})) for k in range(len(shares))]
+
+
+def test_recall_against_all_pairs(spark, documents):
+    """Over all pairs aligned in full, by the share of edited words up to where copies stop being finds."""
+    r = random.Random(12)
+    items = {k: words(r, r.randint(12, 60)) for k in range(60)}
+    got = recall_by_share(spark, documents, items, (0.0, 0.1, 0.2, 0.3), 5)
+    assert got[0] == (60, 60) and all(a >= 0.9 * b and b > 20 for a, b in got)
+
+
+def test_texts_of_one_item_id(spark, documents):
+    """Each text of a repeated item id is looked for, and each text of a repeated document id is searched."""
+    r = random.Random(21)
+    a, b, c = (words(r, 20) for _ in range(3))
+    tests = spark.createDataFrame([(1, " ".join(a)), (1, " ".join([*b, *words(r, 9)])), (1, " ".join(b)), (2, " ".join(c))], "item_id long, text string")
+    docs = documents([(1, " ".join(a), "en"), (2, " ".join(b), "en"), (3, " ".join(words(r, 30)), "en"), (4, " ".join(words(r, 30)), "en"), (4, " ".join(c), "en"), (5, " ".join([*a, *b]), "en")])
+    got = {(x["doc_id"], x["item_id"]): x["similarity"] for x in contaminated(docs, tests).collect()}
+    assert got == {(1, 1): 1.0, (2, 1): 1.0, (4, 2): 1.0, (5, 1): 1.0}
+
+
+def test_common_ngrams_are_no_seeds_but_items_of_them_are_found(spark, documents):
+    r = random.Random(22)
+    phrase = ["one", "of", "the", "most"]
+    item, plain = [*words(r, 10), *phrase, *words(r, 10)], [*phrase, "of", *phrase, "and", *phrase]
+    docs = [(i, " ".join([*words(r, 10), *phrase, *words(r, 10)]), "en") for i in range(300)] + [(1000, " ".join(item), "en"), (1001, " ".join(plain), "en")]
+    tests = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(plain))], "item_id long, text string")
+    assert {(x["doc_id"], x["item_id"]) for x in contaminated(documents(docs), tests).collect()} == {(1000, 1), (1001, 2)}
+
+
+def test_bound_is_exact():
+    """The bound never rules out a passage that makes a find."""
+    rng = np.random.default_rng(2)
+    s, ruled = Settings(), 0
+    for _ in range(3000):
+        item, passage = rng.integers(0, 12, rng.integers(3, 14)), rng.integers(0, 30, rng.integers(0, 60))
+        if not admits(item, passage, s):
+            ruled += 1
+            assert not enough(smith_waterman(item, passage)[0], len(item), s)
+    assert ruled > 100
+
+
+def test_query_against_all_pairs(spark):
+    """The registered query over its whole tables, and every document aligned with every item in full."""
+    from orrery.llm.queries import op6_decontaminate
+
+    folder, code, s = "/root/testdata/sf0.001", {}, Settings()
+    split = lambda t: np.array([code.setdefault(w, len(code)) for w in re.findall(rb"[0-9a-z\x80-\xff]+", (t or "").encode().translate(bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))))])
+    items = {r["item_id"]: split(r["text"]) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()}
+    wanted = {}
+    for r in spark.read.parquet(f"{folder}/documents.parquet").collect():
+        text = split(r["text"])
+        for k, w in items.items():
+            if len(w) >= s.n and enough(MATCH * int(np.isin(text, w).sum()), len(w), s) and enough(score := smith_waterman(w, text)[0], len(w), s):
+                wanted[r["doc_id"], k] = score
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in op6_decontaminate(spark, folder).collect()}
+    assert got.items() <= wanted.items() and len(got) >= 0.9 * len(wanted) > 2

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from orrery.llm.common import collected, drop_scratch, flat_bytes, fold, ship, text_slices, written
 from orrery.llm.hashtable import HashTable
-from orrery.llm.words import _SPACE, EXACT, NOT_ALNUM, mix, run_hashes
+from orrery.llm.words import _SPACE, EXACT, NOT_ALNUM, run_hashes
 
 
 @dataclass(frozen=True)
@@ -81,8 +81,27 @@ def _grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
     return sizes, row[at], hi, lo
 
 
+#: The multipliers of XXH64.
+_XX = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
+
+
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return x << np.uint64(bits) | x >> np.uint64(64 - bits)
+
+
+def _xx64(values: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """XXH64 of 8-byte integers, as Spark's ``xxhash64`` has it."""
+    h = _turned(values * _XX[1], 31) * _XX[0] ^ (seed + (_XX[4] + np.uint64(8)))
+    h = _turned(h, 27) * _XX[0] + _XX[3]
+    h = (h ^ h >> np.uint64(33)) * _XX[1]
+    h = (h ^ h >> np.uint64(29)) * _XX[2]
+    return h ^ h >> np.uint64(32)
+
+
 def _key(order: int, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
-    return mix(mix(lo + np.uint64(order << 62 & (1 << 64) - 1)) + hi)
+    """``xxhash64(order, hi, lo)`` of longs."""
+    seed = _xx64(np.array([order], np.uint64), np.array([42], np.uint64))
+    return _xx64(lo, _xx64(np.atleast_1d(hi), seed))
 
 
 def _flagged(docs: DataFrame, trusted: DataFrame, s: Settings) -> DataFrame:
@@ -153,12 +172,8 @@ def estimate(tri: DataFrame) -> tuple[DataFrame, float]:
     ]
 
     def keyed(order: int, rows: DataFrame) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                hi, lo = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(_key(order, hi, lo).view(np.int64)), batch.column(2), batch.column(3)], ["gram", "c", "v"])
-
-        return rows.toDF("hi", "lo", "c", "v").withColumn("hi", F.col("hi").cast("long")).mapInArrow(run, "gram bigint, c bigint, v double")
+        rows = rows.toDF("hi", "lo", "c", "v")
+        return rows.select(F.xxhash64(F.lit(order).cast("long"), F.col("hi").cast("long"), "lo").alias("gram"), "c", "v")
 
     rows = [keyed(i, x) for i, x in enumerate(values, start=1)]
     out = written(rows[0].unionByName(rows[1]).unionByName(rows[2]), "values", wide=True)

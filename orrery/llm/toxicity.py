@@ -140,12 +140,12 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     exploded = sampled.select("doc_id", "p", "u", F.explode("keys").alias("key"))
     scaled = written(exploded.groupBy("key").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).select("key", scale.alias("scale")), "scales")
     most = scaled.agg(F.max("scale")).first()[0] or 1.0
-    telling = written(scaled.withColumn("scale", F.col("scale") / most).where(F.col("scale") >= settings.least_scale), "telling")
+    telling = scaled.withColumn("scale", F.col("scale") / most).where(F.col("scale") >= settings.least_scale)
     features = collected(telling)  # of bounded samples
     order = np.argsort(features["key"].view(np.uint64))
     keys, scales = features["key"].view(np.uint64)[order], features["scale"][order]
     rows = _held(sampled, keys).toArrow().sort_by("doc_id")  # the documents of the samples, each with the numbers of its features
-    for done in (sampled, scaled, telling):
+    for done in (sampled, scaled):
         drop_scratch(done)
     lists = rows["at"].combine_chunks()
     row = np.repeat(np.arange(rows.num_rows), lists.value_lengths().to_numpy())

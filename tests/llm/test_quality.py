@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from orrery.llm.quality import Settings, classify, discounts
+from orrery.llm.quality import Settings, _key, classify, discounts
 
 
 def split(text):
@@ -98,6 +98,14 @@ def test_few_or_no_trusted_documents(spark, documents):
     assert classify(documents([]), ids).count() == 0
 
 
+def test_keys_are_those_of_spark(spark):
+    rng = np.random.default_rng(1)
+    rows = [(int(a), int(b)) for a, b in rng.integers(-(1 << 63), 1 << 63, (50, 2))] + [(0, 0), (-1, 1)]
+    hi, lo = (np.array(x, np.int64).view(np.uint64) for x in zip(*rows, strict=True))
+    got = spark.createDataFrame(rows, "hi long, lo long").selectExpr("xxhash64(3L, hi, lo) k").collect()
+    assert [r["k"] for r in got] == _key(3, hi, lo).view(np.int64).tolist()
+
+
 def test_discounts():
     assert discounts({}) == (0.5, 0.5, 0.5)
     n = {1: 100, 2: 40, 3: 20, 4: 12}

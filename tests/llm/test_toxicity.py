@@ -133,7 +133,8 @@ def plain_scores(docs, labels, s):
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = s.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, bias = w - move[:-1], bias - move[-1]
-    return {i: 1 / (1 + np.exp(-bias - sum(w[k] * scale[f] for k, f in enumerate(names) if f in plain_features(t)))) for i, t in docs}
+    value = {f: w[k] * scale[f] for k, f in enumerate(names)}
+    return {i: 1 / (1 + np.exp(-bias - sum(value[f] for f in plain_features(t) & value.keys()))) for i, t in docs}
 
 
 def test_query_equals_a_plain_version(spark):

@@ -5,6 +5,7 @@ Headers are bound by name and file: files with the same header line are one scan
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,9 @@ PLANET_FIELDS = {
 }
 
 
+_HEADERS_AT_ONCE = 32  # files that the driver opens together
+
+
 class SourceError(ValueError):
     """An input that can't be read at all."""
 
@@ -90,7 +94,10 @@ def _scan(spark: SparkSession, files: list[_File], fields: dict[str, str], fold_
 
 
 def _read(spark: SparkSession, path: str, fields: dict[str, str], fold_case: bool, skip: str | None, multi_line: bool, **options) -> DataFrame:
-    files = [_File(p, _header(spark, p, skip), i) for i, p in enumerate(collect_files(spark, path))]
+    paths = collect_files(spark, path)
+    with ThreadPoolExecutor(_HEADERS_AT_ONCE) as pool:
+        headers = pool.map(lambda p: _header(spark, p, skip), paths)
+        files = [_File(p, h, i) for i, (p, h) in enumerate(zip(paths, headers, strict=True))]
     out = None
     for header in dict.fromkeys(f.header for f in files):
         part = _scan(spark, [f for f in files if f.header == header], fields, fold_case, multi_line, **options)

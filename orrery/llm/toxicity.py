@@ -39,8 +39,8 @@ from orrery.llm.words import NOT_ALNUM, mix, run_hashes, word_bounds
 class Settings:
     positives: int = 2_000
     unlabelled: int = 12_000
-    half_z: float = 5.0  # standard errors between the two samples at which a feature counts half
-    least_scale: float = 0.1
+    half_z: float = 8.0  # standard errors between the two samples at which a feature counts half; millions of features are tried
+    least_scale: float = 0.3
     prior: float | None = None  # of toxic documents; None: their share among the labelled training rows, or among all training rows if none is labelled clean
     steps: int = 300
     rate: float = 0.1

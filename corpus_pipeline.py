@@ -18,7 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm.common import scratch_path, table, written
+from orrery.llm.common import drop_scratch, scratch_path, table, written
 from orrery.llm.decontaminate import contaminated_keys
 from orrery.llm.line_dedup import NAMES, dedup_lines
 from orrery.llm.minhash import Settings as NearDuplicates
@@ -94,9 +94,11 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before is not None:
+            drop_scratch(before)  # read for the last time
+        docs = before = spark.read.parquet(path)
     return docs

@@ -154,10 +154,12 @@ def dedup_lines(
     after = sum((F.when(F.col("id") > cut, 0).otherwise(1) for cut in cuts or []), F.lit(0))  # batch 0 has the largest ids
     rows = written(hashed_lines(docs, id_col, text_col, least_chars).withColumn("batch", after), "lines", by="batch")
     store = LineRuns(spark, fanout)
-    for b in range(batches):
-        store.add(rows.where(F.col("batch") == b).select(*_KEY, "id"))
-    repeated = store.repeated(least_docs).select(F.col("h1").alias("r1"), F.col("h2").alias("r2"), "top")
-    store.close()
+    try:
+        for b in range(batches):
+            store.add(rows.where(F.col("batch") == b).select(*_KEY, "id"))
+        repeated = store.repeated(least_docs).select(F.col("h1").alias("r1"), F.col("h2").alias("r2"), "top")
+    finally:
+        store.close()
     gone = rows.join(repeated, (F.col("h1") == F.col("r1")) & (F.col("h2") == F.col("r2")) & (F.col("id") != F.col("top")), "left_semi")
     gone = gone.groupBy(F.col("id").alias("__id"), F.col("t").alias("__t")).agg(F.collect_set("pos").alias("__gone"))
 

@@ -18,6 +18,20 @@ def _held_out():
     return F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out")
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; of the documents whose crc32 of the id is a multiple of 10 the words from one of them on repeat a cycle."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    picked = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), F.floor(h / 10).alias("g"))
+    n = F.size("words")
+    picked = picked.select("doc_id", "text", "words", "g", n.alias("n"), F.when(n > 0, (F.col("g") % n).cast("int")).alias("a"))
+    rest = F.col("n") - F.col("a")
+    picked = picked.withColumn("p", (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int"))
+    cycle = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    changed = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(cycle, F.lit(1), rest))
+    return picked.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orrery.llm.chat import digests, format_windows
 
@@ -95,6 +109,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("pii_text").alias("text"), "n_pii", *map(count, KINDS))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.periodic import digests, periodic_runs
+
+    return digests(periodic_runs(with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from orrery.llm.token_counts import Tokenizer, count_tokens
+
+    tokenizer = Tokenizer.load(public_tokenizers.path(PIECE_MODEL))
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer, keep=["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_language_id": op2_language_id,
@@ -106,4 +135,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_counts": op13_token_counts,
 }

@@ -11,10 +11,10 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
-@pytest.mark.parametrize("name", ["op2_language_id", "op7_sentencepiece", "op8_quality", "op9_toxicity", "op10_pii"])
+@pytest.mark.parametrize("name", ["op2_language_id", "op7_sentencepiece", "op8_quality", "op9_toxicity", "op10_pii", "op12_periodic_runs", "op13_token_counts"])
 def test_one_row_a_document(spark, name):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     out = QUERIES[name](spark, DATA)

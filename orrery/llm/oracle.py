@@ -85,9 +85,69 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.d
 FROM documents d JOIN parts USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
+# crc32 by half bytes; the 16 remainders are fixed values.
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(range(1, length({0}) + 1), lambda i: [CAST(ascii(substr({0}, i, 1)) & 15 AS BIGINT), CAST(ascii(substr({0}, i, 1)) >> 4 AS BIGINT)]))),
+    lambda c, x: xor([0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, 3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108][CAST(xor(c, x) & 15 AS INTEGER) + 1], c >> 4)), CAST(4294967295 AS BIGINT))"""
+_OP11 = f"""
+WITH RECURSIVE filled AS (
+  SELECT coalesce('=' || conv_id, '') AS cid, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations
+), kinds AS (
+  SELECT *, {_CRC.format("key")} % 20 AS kind FROM filled
+), damaged AS (
+  SELECT cid, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, text, copy) AS i, left(role, 1) AS letter,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM damaged
+), marked AS (
+  SELECT *, bare = '' AS blank, bare <> '' AND row_number() OVER (PARTITION BY cid, role, text ORDER BY i) > 1 AS again,
+    bare <> '' AND right(bare, 1) NOT IN ('.', '!', '?') AS cut, lag(letter) OVER (PARTITION BY cid ORDER BY i) || letter AS pair FROM numbered
+), rows AS (
+  SELECT *, blank OR again AS gone, CASE WHEN cut AND NOT again THEN 1 ELSE 0 END AS t FROM marked
+), sizes AS (
+  SELECT cid, count(*) AS n FROM rows GROUP BY cid
+), back(cid, i, f0, f1, f2, f3) AS (
+  SELECT cid, n + 1, 0, 4, 2, 0 FROM sizes
+  UNION ALL
+  SELECT cid, i, least(g0, 2 + least(g2, 2 + g3)), least(g1, 2 + least(g2, 2 + g3)), least(g2, 2 + g3), least(g3, 2 + g2) FROM (
+    SELECT cid, i, least(3 + f0, ku, ks) AS g0, least(3 + f1, ku) AS g1, least(3 + f2, ka) AS g2, least(3 + f3, ku) AS g3 FROM (
+      SELECT b.cid, r.i, f0, f1, f2, f3, CASE WHEN gone THEN 99999999 WHEN letter = 'u' THEN f2 + t ELSE f2 + t + 2 END AS ku,
+        CASE WHEN gone THEN 99999999 WHEN letter = 'a' THEN f3 + t ELSE f3 + t + 2 END AS ka, CASE WHEN NOT gone AND letter = 's' THEN f1 + t ELSE 99999999 END AS ks
+      FROM back b JOIN rows r ON r.cid = b.cid AND r.i = b.i - 1))
+), ahead AS (
+  SELECT cid, i, [f0, f1, f2, f3] AS f FROM back
+), walk(cid, i, q, audit, said) AS (
+  SELECT cid, 1, 0, '', CAST([] AS VARCHAR[]) FROM sizes
+  UNION ALL
+  SELECT cid, CASE WHEN edit = 'I' THEN i ELSE i + 1 END, CASE edit WHEN 'D' THEN q WHEN 'K' THEN kq ELSE nq END, audit || edit,
+    CASE edit WHEN 'D' THEN said WHEN 'K' THEN list_append(said, role || ':' || text) WHEN 'R' THEN list_append(said, named || ':' || text) ELSE list_append(said, named || ':') END
+  FROM (
+    SELECT *, CASE WHEN role IS NOT NULL AND 3 + g[q + 1] = f[q + 1] THEN 'D' WHEN 2 + f[nq + 1] = f[q + 1] THEN 'I' WHEN kq IS NOT NULL AND t + g[kq + 1] = f[q + 1] THEN 'K' ELSE 'R' END AS edit
+    FROM (
+      SELECT w.*, here.f, after.f AS g, r.role, r.text, r.t, CASE WHEN q = 2 THEN 3 ELSE 2 END AS nq, CASE WHEN q = 2 THEN 'assistant' ELSE 'user' END AS named,
+        CASE WHEN gone THEN NULL WHEN letter = 's' AND q = 0 THEN 1 WHEN letter = 'u' AND q <> 2 THEN 2 WHEN letter = 'a' AND q = 2 THEN 3 END AS kq
+      FROM walk w JOIN ahead here ON here.cid = w.cid AND here.i = w.i LEFT JOIN ahead after ON after.cid = w.cid AND after.i = w.i + 1
+        LEFT JOIN rows r ON r.cid = w.cid AND r.i = w.i
+      WHERE r.role IS NOT NULL OR q IN (1, 2)))
+), done AS (
+  SELECT w.cid, audit, said FROM walk w JOIN sizes s ON s.cid = w.cid AND w.i = s.n + 1 WHERE q IN (0, 3)
+), counts AS (
+  SELECT cid, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate,
+    count(*) FILTER (t = 1) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM rows GROUP BY cid
+)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(f0, 0) AS BIGINT) AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce('=' || conv_id, '') AS cid FROM conversations) c
+LEFT JOIN counts USING (cid) LEFT JOIN done USING (cid) LEFT JOIN (SELECT cid, f0 FROM back WHERE i = 1) USING (cid)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": _OP1,
     "op3_top_k": _OP3,
     "op4_line_dedup": _OP4,
     "op5_minhash": _OP5,
+    "op11_turn_repair": _OP11,
 }

@@ -109,6 +109,24 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("pii_text").alias("text"), "n_pii", *map(count, KINDS))
 
 
+def with_damage(turns: DataFrame) -> DataFrame:
+    """Turns with faults by the crc32 of ``conv_id:turn``: dropped, emptied, without ends of sentences, repeated or of role user; nulls count as one space."""
+    space = F.lit(" ")
+    text_of = lambda c: F.coalesce(F.col(c).cast("string"), space)
+    kind = F.crc32(F.concat(text_of("conv_id"), F.lit(":"), text_of("turn")).cast("binary")) % 20
+    rows = turns.select("conv_id", "turn", text_of("role").alias("role"), text_of("text").alias("text"), kind.alias("kind")).where("kind <> 0")
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.array_repeat(F.lit(1), F.when(F.col("kind") == 3, 2).otherwise(1))
+    return rows.select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), F.explode(copies).alias("copy")).drop("copy")
+
+
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from orrery.llm.turn_repair import digests, repair
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return digests(repair(with_damage(turns)), turns)
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orrery.llm.periodic import digests, periodic_runs
 
@@ -135,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
+    "op11_turn_repair": op11_turn_repair,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_token_counts": op13_token_counts,
 }

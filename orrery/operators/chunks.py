@@ -14,20 +14,25 @@ KEY = ["ix", "iy", "iz"]
 AABB_SLACK = 0.001  # parsecs
 
 
-def chunk_metadata(catalog: DataFrame) -> DataFrame:
-    """One row a chunk, from one aggregation: counts and the bounding box. NaN coordinates don't widen a box."""
+def metadata_aggregates() -> list[Column]:
+    """Counts and the bounding box of a chunk's stars. NaN coordinates don't widen a box."""
     real = lambda c: F.when(~F.isnan(c), F.col(c))
     count = lambda cond, name: F.count_if(cond).alias(name)
-    return (
-        catalog.groupBy(*KEY)
-        .agg(
-            F.count("*").alias("star_count"),
-            count(F.col("has_planets"), "planet_star_count"),
-            *[count(F.col("quality") == q, f"{q.lower()}_count") for q in (OBSERVED, INFERRED, SYNTHETIC)],
-            *[f(real(c)).alias(f"{name}_{c}") for name, f in (("min", F.min), ("max", F.max)) for c in "xyz"],
-        )
-        .withColumn("file_name", chunk_file(*map(F.col, KEY)))
-    )
+    return [
+        F.count("*").alias("star_count"),
+        count(F.col("has_planets"), "planet_star_count"),
+        *[count(F.col("quality") == q, f"{q.lower()}_count") for q in (OBSERVED, INFERRED, SYNTHETIC)],
+        *[f(real(c)).alias(f"{name}_{c}") for name, f in (("min", F.min), ("max", F.max)) for c in "xyz"],
+    ]
+
+
+def with_file_names(chunks: DataFrame) -> DataFrame:
+    return chunks.withColumn("file_name", chunk_file(*map(F.col, KEY)))
+
+
+def chunk_metadata(catalog: DataFrame) -> DataFrame:
+    """One row a chunk, from one aggregation: counts and the bounding box."""
+    return with_file_names(catalog.groupBy(*KEY).agg(*metadata_aggregates()))
 
 
 def manifest_totals(chunks: DataFrame) -> DataFrame:

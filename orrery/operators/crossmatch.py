@@ -49,7 +49,12 @@ def _grid(config: CatalogConfig) -> tuple[float, float]:
 
 
 def match_nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = CatalogConfig(), few: bool | None = None) -> DataFrame:
-    """``host, source_id, sep_arcsec``: the nearest star within the radius (strictly), ties to the earliest.
+    """``host, source_id, sep_arcsec``: the nearest star within the radius (strictly), ties to the earliest."""
+    return nearest(hosts, stars, config, few).select("host", F.col("m.source_id").alias("source_id"), F.col("m.sep").alias("sep_arcsec"))
+
+
+def nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = CatalogConfig(), few: bool | None = None) -> DataFrame:
+    """``host, m``: separation, order and id of the nearest star within the radius. The least ``m`` of two sets of stars is that of both.
 
     Both sides are put on a grid of unit vectors whose cells are at least as wide as the radius's chord; a host goes to the
     cells that the cube around its circle meets, mostly one: an equi-join on the cell. Unit vectors have
@@ -68,8 +73,7 @@ def match_nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = Ca
     placed = stars.select("source_id", F.col(_order(stars)).alias("ord"), "ra", "dec_deg", *[F.floor(u / width).alias(g) for u, g in position()])
     sep = separation_arcsec(F.col("h_ra"), F.col("h_dec"), F.col("ra"), F.col("dec_deg"))
     near = placed.join(around, list(axes)).withColumn("sep", sep).where((F.col("sep") < config.proximity_arcsec) & ~F.isnan("sep"))
-    best = near.groupBy("host").agg(F.min(F.struct("sep", "ord", "source_id")).alias("m"))
-    return best.select("host", F.col("m.source_id").alias("source_id"), F.col("m.sep").alias("sep_arcsec"))
+    return near.groupBy("host").agg(F.min(F.struct("sep", "ord", "source_id")).alias("m"))
 
 
 def match_hosts(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = CatalogConfig(), few: bool | None = None) -> DataFrame:
@@ -100,11 +104,18 @@ def attach_planets(stars: DataFrame, planets: DataFrame, matches: DataFrame, con
 
     Up to ``config.broadcast_hosts`` planets are broadcast, so that the stars don't shuffle; beyond it both sides do.
     """
+    return attach_lists(stars, planet_lists(planets, matches), fits(planets, config.broadcast_hosts) if few is None else few)
+
+
+def planet_lists(planets: DataFrame, matches: DataFrame) -> DataFrame:
+    """``source_id, planets`` of the matched stars, planets ordered by host and row."""
     rows = planets.withColumn("host", normal_name(F.col("hostname"))).join(matches.select("host", "source_id"), "host")
     lists = rows.groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("host", "row_ord", *_PLANET))).alias("p"))
-    lists = lists.select("source_id", F.transform("p", lambda x: F.struct(*[x[c].alias(c) for c in _PLANET])).alias("planets"))
+    return lists.select("source_id", F.transform("p", lambda x: F.struct(*[x[c].alias(c) for c in _PLANET])).alias("planets"))
+
+
+def attach_lists(stars: DataFrame, lists: DataFrame, few: bool) -> DataFrame:
+    """Stars with the ``planets`` of ``lists``, which are broadcast if they are ``few``."""
     planet_type = lists.schema["planets"].dataType
-    if fits(planets, config.broadcast_hosts) if few is None else few:
-        lists = F.broadcast(lists)
-    out = stars.join(lists, "source_id", "left")
+    out = stars.join(F.broadcast(lists) if few else lists, "source_id", "left")
     return out.withColumn("planets", F.coalesce("planets", F.array().cast(planet_type)))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orrery.config import CatalogConfig
 from orrery.functions.astro import cell, magnitude_bin
 from orrery.functions.inference import FALLBACK_COLOR, radius, tag, temperature
+from orrery.operators.selection import grouped_median
 from orrery.schemas import INFERRED, OBSERVED
 
 _CELL = ["ix", "iy", "iz"]
@@ -17,9 +18,14 @@ def with_cells(stars: DataFrame, config: CatalogConfig = CatalogConfig()) -> Dat
     return stars.withColumns({i: cell(F.col(c), config.chunk_size) for i, c in zip(_CELL, "xyz", strict=True)})
 
 
-def bin_medians(stars: DataFrame, config: CatalogConfig = CatalogConfig()) -> DataFrame:
-    """``ix, iy, iz, mag_bin, n, median_bp_rp``: exact medians of the observed colours by cell and half magnitude."""
+def bin_medians(stars: DataFrame, config: CatalogConfig = CatalogConfig(), by_selection: bool = False) -> DataFrame:
+    """``ix, iy, iz, mag_bin, n, median_bp_rp``: exact medians of the observed colours by cell and half magnitude.
+
+    The aggregate holds a bin's different colours in one task; ``by_selection`` doesn't, see ``grouped_median``.
+    """
     rows = with_cells(stars, config).where("bp_rp is not null and not isnan(bp_rp)").withColumn("mag_bin", magnitude_bin(F.col("magnitude")))
+    if by_selection:
+        return grouped_median(rows, [*_CELL, "mag_bin"], "bp_rp").withColumnRenamed("median", "median_bp_rp")
     kind = stars.schema["bp_rp"].dataType
     return rows.groupBy(*_CELL, "mag_bin").agg(F.count("*").alias("n"), F.median("bp_rp").cast(kind).alias("median_bp_rp"))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orrery.sources.storage import read_text, write_text
+from orrery.sources.storage import delete, read_text, write_text
 
 
 def is_complete(spark: SparkSession, folder: str, stage: str, fingerprint: str) -> bool:
@@ -14,9 +14,13 @@ def is_complete(spark: SparkSession, folder: str, stage: str, fingerprint: str)
 
 
 def staged(spark: SparkSession, folder: str, stage: str, fingerprint: str, resume: bool, make: Callable[[], DataFrame]) -> DataFrame:
-    """The stage's table: read if ``resume`` and its marker fits, else made, written and marked."""
-    path = f"{folder}/{stage}.parquet"
+    """The stage's table: read if ``resume`` and its marker fits, else made, written and marked.
+
+    The marker goes before its table is replaced, so a run that fails leaves a stage to be made again and never a marked half.
+    """
+    path, marker = f"{folder}/{stage}.parquet", f"{folder}/{stage}.checkpoint"
     if not (resume and is_complete(spark, folder, stage, fingerprint)):
+        delete(spark, marker)
         make().write.mode("overwrite").parquet(path)
-        write_text(spark, f"{folder}/{stage}.checkpoint", [fingerprint])
+        write_text(spark, marker, [fingerprint])
     return spark.read.parquet(path)

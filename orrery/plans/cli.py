@@ -1,4 +1,4 @@
-"""Command line: ``python -m orrery.plans.cli build ...`` and ``... verify ...``."""
+"""Command line: ``python -m orrery.plans.cli build ...``, ``... ingest ...``, ``... verify ...`` and ``... diff ...``."""
 
 from __future__ import annotations
 
@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from orrery.config import CatalogConfig
 from orrery.operators import chunks, crossmatch, impute, quality
-from orrery.plans import sinks
+from orrery.plans import compare, sinks
 from orrery.plans.catalog import require_coordinates, with_coordinates
 from orrery.plans.checkpoint import staged
+from orrery.plans.incremental import ingest
 from orrery.sources.csv_files import planet_counts, planet_rows, read_planet_csv, read_star_csv
 from orrery.sources.storage import file_states
 
@@ -22,23 +23,33 @@ def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="orrery", description="Builds and verifies a chunked star catalog.")
     commands = out.add_subparsers(dest="command", required=True)
     build, default = commands.add_parser("build"), CatalogConfig()
-    build.add_argument("--gaia-path", required=True, help="a CSV file or a folder of them")
-    build.add_argument("--output-path", required=True)
-    build.add_argument("--exoplanet-path")
-    build.add_argument("--parallax-snr", type=float, default=default.parallax_snr)
-    build.add_argument("--proximity-arcsec", type=float, default=default.proximity_arcsec)
-    build.add_argument("--proximity-mag-tolerance", type=float, default=default.proximity_mag_tolerance)
-    build.add_argument("--chunk-size", type=float, default=default.chunk_size)
+    ingest_ = commands.add_parser("ingest", help="bring a catalog up to its input files; writes only regions that new, changed or removed files touch")
+    for command in (build, ingest_):
+        command.add_argument("--gaia-path", required=True, help="a CSV file or a folder of them")
+        command.add_argument("--output-path", required=True)
+        command.add_argument("--exoplanet-path")
+        command.add_argument("--parallax-snr", type=float, default=default.parallax_snr)
+        command.add_argument("--proximity-arcsec", type=float, default=default.proximity_arcsec)
+        command.add_argument("--proximity-mag-tolerance", type=float, default=default.proximity_mag_tolerance)
+        command.add_argument("--chunk-size", type=float, default=default.chunk_size)
     build.add_argument("--resume", action="store_true", help="take up stages that are complete for the same parameters and inputs (paths, lengths, times of change)")
     build.add_argument("--stats", action="store_true")
     check = commands.add_parser("verify")
     check.add_argument("--output-path", required=True)
+    check.add_argument("--content", action="store_true", help="also compare every chunk's stars with the digest that it was written with")
+    diff = commands.add_parser("diff", help="list the stars that differ between two catalogs; reads only regions whose digests differ")
+    diff.add_argument("--output-path", required=True)
+    diff.add_argument("--other", required=True)
     return out
 
 
+def _config(args: argparse.Namespace) -> CatalogConfig:
+    return CatalogConfig(args.parallax_snr, args.proximity_arcsec, args.proximity_mag_tolerance, args.chunk_size)
+
+
 def build_catalog(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """Runs all stages, writes the outputs and returns one row of statistics."""
-    config = CatalogConfig(args.parallax_snr, args.proximity_arcsec, args.proximity_mag_tolerance, args.chunk_size)
+    config = _config(args)
     out = args.output_path.rstrip("/")
     inputs = [file_states(spark, p) for p in (args.gaia_path, args.exoplanet_path) if p]
     mark = config.fingerprint(json.dumps([args.gaia_path, args.exoplanet_path, inputs]))
@@ -54,7 +65,7 @@ def build_catalog(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         matches = staged(spark, out, "matches", mark, args.resume, lambda: crossmatch.match_hosts(hosts, placed, config))
         sinks.write_unmatched(crossmatch.unmatched_hosts(hosts, matches), f"{out}/unmatched_hosts.txt")
         enriched = crossmatch.attach_planets(placed, planets, matches, config)
-        catalog = staged(spark, out, "catalog", mark, args.resume, lambda: impute.infer(enriched, config, impute.bin_medians(placed, config)))
+        catalog = staged(spark, out, "catalog", mark, args.resume, lambda: impute.infer(enriched, config, impute.bin_medians(placed, config, by_selection=True)))
         stats = stats.join(planet_counts(planet_rows(spark, args.exoplanet_path)), F.lit(True))
         stats = stats.join(crossmatch.match_statistics(hosts, matches), F.lit(True)).join(impute.inference_counters(catalog), F.lit(True))  # one row each
     else:
@@ -109,6 +120,27 @@ def run_verify(spark: SparkSession, out: str) -> int:
     return 0
 
 
+def run_content_check(spark: SparkSession, out: str) -> int:
+    """Prints every chunk whose stars aren't those that were written; 1 if there is any."""
+    found = 0
+    for found, r in enumerate(compare.damaged_chunks(spark, out).orderBy(*chunks.KEY).toLocalIterator(), start=1):
+        print(f"chunk {r['ix']}_{r['iy']}_{r['iz']}: other stars than were written")
+    for r in compare.damaged_nodes(spark, out).toLocalIterator():
+        found += 1
+        print(f"tree: level {r['level']}, node {r['ix']}_{r['iy']}_{r['iz']} doesn't follow from the chunks")
+    print("content verified" if not found else f"{found} faults of content")
+    return int(found > 0)
+
+
+def run_diff(spark: SparkSession, out: str, other: str) -> int:
+    """Prints every star that differs; 1 if there is any."""
+    found = 0
+    for found, r in enumerate(compare.unequal_stars(spark, out, other).orderBy("source_id", *chunks.KEY).toLocalIterator(), start=1):
+        print(f"{r['kind']}: star {r['source_id']} of chunk {r['ix']}_{r['iy']}_{r['iz']}")
+    print(f"{found} stars differ" if found else "no star differs")
+    return int(found > 0)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("orrery").getOrCreate()
@@ -119,7 +151,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 print(f"{name}: {value}")
             print_manifest(spark, args.output_path.rstrip("/"))
         return 0
-    return run_verify(spark, args.output_path.rstrip("/"))
+    if args.command == "ingest":
+        for name, value in ingest(spark, args.gaia_path, args.output_path, args.exoplanet_path, _config(args)).items():
+            print(f"{name}: {value}")
+        return 0
+    out = args.output_path.rstrip("/")
+    if args.command == "diff":
+        return run_diff(spark, out, args.other.rstrip("/"))
+    faults = run_verify(spark, out)
+    return run_content_check(spark, out) or faults if args.content else faults
 
 
 if __name__ == "__main__":

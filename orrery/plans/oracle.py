@@ -135,3 +135,16 @@ ORACLE_SQL: dict[str, str] = {
     "q_chunk_files": _with(_CELLED, f"SELECT source_id, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z, round(coalesce(bp_rp, 0.82), 6) AS color_index, {_TAG.format('bp_rp')} AS quality FROM celled WHERE ix = 0 AND iy = 0 AND iz = 0"),
     "q_sol_sample": _with([*_CATALOG, "attached"], "SELECT source_id, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z, magnitude, round(coalesce(filled, 0.82), 6) AS color_index, quality, has_planets, (SELECT count(*) FROM attached a WHERE a.source_id = catalog.source_id) AS n_planets FROM catalog WHERE ix = 0 AND iy = 0 AND iz = 0 ORDER BY source_id LIMIT 3"),
 }
+
+ORACLE_SQL["q_incremental_manifest"] = ORACLE_SQL["q_manifest"]  # what one build over all files gives
+ORACLE_SQL["q_bin_median_selection"] = _with([*_CELLED, "colored"], "SELECT ix, iy, iz, mag_bin, n, round(CAST(CAST(v AS FLOAT) AS DOUBLE), 6) AS median_bp_rp FROM medians")
+ORACLE_SQL["q_magnitude_medians"] = _with(_CELLED, "SELECT mag_bin, count(*) AS n, round(median(parallax), 6) AS median_parallax FROM celled GROUP BY mag_bin")
+_DISTANCE = "sqrt((x - 20) * (x - 20) + (y + 30) * (y + 30) + (z - 10) * (z - 10))"
+ORACLE_SQL["q_content_diff"] = _with(
+    _CELLED,
+    "SELECT source_id, ix, iy, iz, CASE WHEN source_id % 101 = 7 THEN 'removed' ELSE 'changed' END AS kind FROM celled WHERE source_id % 101 = 7 OR source_id % 97 = 5 "
+    "UNION ALL SELECT -source_id, ix, iy, iz, 'added' FROM celled WHERE source_id % 89 = 11",
+)
+ORACLE_SQL["q_content_damage"] = _with(_CELLED, "SELECT DISTINCT ix, iy, iz FROM celled WHERE source_id % 1009 = 3")
+ORACLE_SQL["q_stars_in_radius"] = _with([*_STARS, "placed"], f"SELECT source_id, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z, round({_DISTANCE}, 6) AS distance FROM placed WHERE {_DISTANCE} <= 120")
+ORACLE_SQL["q_nearest_to_point"] = _with([*_STARS, "placed"], f"SELECT source_id, round({_DISTANCE}, 6) AS distance FROM placed ORDER BY {_DISTANCE}, source_id LIMIT 25")

@@ -8,11 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.config import CatalogConfig
-from orrery.functions.astro import chunk_file, distance_pc, normal_name, separation_arcsec
+from orrery.functions.astro import chunk_file, distance_pc, magnitude_bin, normal_name, separation_arcsec
 from orrery.functions.inference import effective_temperature, radius, tag, temperature
 from orrery.operators import chunks, crossmatch, impute, quality
-from orrery.plans import sinks
+from orrery.operators.selection import grouped_median
+from orrery.plans import compare, sinks
 from orrery.plans.catalog import Catalog, build, with_coordinates
+from orrery.plans.incremental import ingest
+from orrery.plans.sky import nearest_stars, write_sky
+from orrery.plans.sky import stars_in_radius as sky_radius
 from orrery.sources import tables
 from orrery.sources.csv_files import planet_rows, read_star_csv
 from orrery.sources.storage import scratch_folder
@@ -140,6 +144,21 @@ def bin_median(spark, sf):
     return impute.bin_medians(_placed(spark, sf)).select("ix", "iy", "iz", "mag_bin", "n", _r("median_bp_rp", "median_bp_rp"))
 
 
+@_query
+def bin_median_selection(spark, sf):
+    """The same medians by distributed selection, over floats as catalogs store them."""
+    placed = _placed(spark, sf).withColumn("bp_rp", F.col("bp_rp").cast("float"))
+    out = impute.bin_medians(placed, by_selection=True)
+    return out.select("ix", "iy", "iz", "mag_bin", "n", _r(F.col("median_bp_rp").cast("double"), "median_bp_rp"))
+
+
+@_query
+def magnitude_medians(spark, sf):
+    """Medians of doubles over very large groups: of the parallaxes of each magnitude bin, whatever the cell."""
+    rows = _placed(spark, sf).withColumn("mag_bin", magnitude_bin(F.col("magnitude")))
+    return grouped_median(rows, ["mag_bin"], "parallax").select("mag_bin", "n", _r("median", "median_parallax"))
+
+
 @_query
 def color_impute(spark, sf):
     out = impute.impute_colors(_placed(spark, sf))
@@ -255,6 +274,73 @@ def chunk_files(spark, sf):
     return out.select("source_id", _r("x", "x"), _r("y", "y"), _r("z", "z"), _r("color_index", "color_index"), "quality")
 
 
+def _star_csv(stars: DataFrame) -> DataFrame:
+    """Stars in the columns of their CSV files."""
+    return stars.select(
+        "source_id", "ra", F.col("dec_deg").alias("dec"), "parallax", "parallax_error", F.col("magnitude").alias("phot_g_mean_mag"), "bp_rp"
+    )
+
+
+def _planet_csv(planets: DataFrame) -> DataFrame:
+    """Planets in the columns of their CSV file, in order."""
+    named = {"planet_name": "pl_name", "hostname": "hostname", "ra": "ra", "dec_deg": "dec", "semi_major_au": "pl_orbsmax", "period_days": "pl_orbper", "radius_earth": "pl_rade", "eq_temp_kelvin": "pl_eqt"}
+    return planets.orderBy("row_ord").select(*[F.col(c).alias(name) for c, name in named.items()], F.lit("Transit").alias("discoverymethod"))
+
+
+@_query
+def incremental_manifest(spark, sf):
+    """A catalog ingested in two batches of files: near stars first, then all others; its manifest is that of one build."""
+    folder = scratch_folder(spark, "incremental")
+    _planet_csv(tables.planets(spark, sf)).write.csv(f"{folder}/planets", header=True)
+    raw, near = tables.stars(spark, sf), F.col("parallax") >= 40
+    for part in (raw.where(near), raw.where(~near)):
+        _star_csv(part).write.mode("append").csv(f"{folder}/stars", header=True)
+        ingest(spark, f"{folder}/stars", f"{folder}/catalog", f"{folder}/planets")
+    bounds = [_r(f"{m}_{c}", f"{m}_{c}") for m in ("min", "max") for c in "xyz"]
+    out = spark.read.parquet(f"{folder}/catalog/manifest.parquet")
+    return out.select("ix", "iy", "iz", "star_count", "planet_star_count", "observed_count", "inferred_count", "synthetic_count", *bounds, "file_name")
+
+
+@_query
+def content_diff(spark, sf):
+    """A catalog against another with fainter, missing and new stars, found by their trees of digests."""
+    folder, config = scratch_folder(spark, "content"), CatalogConfig()
+    stars = build(tables.stars(spark, sf)).stars
+    by = lambda k: F.col("source_id") % k
+    other = stars.where(by(101) != 7).withColumn("magnitude", F.col("magnitude") + F.when(by(97) == 5, 0.25).otherwise(0.0))
+    new = stars.where(by(89) == 11).withColumn("source_id", -F.col("source_id"))
+    sinks.write_catalog(stars, f"{folder}/one", config)
+    sinks.write_catalog(other.unionByName(new), f"{folder}/other", config)
+    return compare.unequal_stars(spark, f"{folder}/one", f"{folder}/other")
+
+
+@_query
+def content_damage(spark, sf):
+    """Chunks of a written catalog whose stars were replaced by others with the same counts and boxes."""
+    folder, config = scratch_folder(spark, "damage"), CatalogConfig()
+    stars = build(tables.stars(spark, sf)).stars
+    sinks.write_catalog(stars, folder, config)
+    swapped = stars.withColumn("color_index", F.col("color_index") + F.when(F.col("source_id") % 1009 == 3, 0.01).otherwise(0.0))
+    sinks.write_chunks(swapped, f"{folder}/chunks", config)
+    return compare.damaged_chunks(spark, folder)
+
+
+@_query
+def stars_in_radius(spark, sf):
+    """Stars along a Morton curve, and those of a sphere by ranges of keys."""
+    folder = scratch_folder(spark, "sky")
+    write_sky(build(tables.stars(spark, sf)).stars, folder)
+    out = sky_radius(spark, folder, (20.0, -30.0, 10.0), 120.0)
+    return out.select("source_id", _r("x", "x"), _r("y", "y"), _r("z", "z"), _r("distance", "distance"))
+
+
+@_query
+def nearest_to_point(spark, sf):
+    folder = scratch_folder(spark, "sky")
+    write_sky(build(tables.stars(spark, sf)).stars, folder)
+    return nearest_stars(spark, folder, (20.0, -30.0, 10.0), 25).select("source_id", _r("distance", "distance"))
+
+
 @_query
 def sol_sample(spark, sf):
     out = chunks.sol_sample(_catalog(spark, sf).stars)

@@ -5,16 +5,21 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.config import CatalogConfig
-from orrery.operators.chunks import KEY, chunk_metadata, manifest_totals
+from orrery.operators import content
+from orrery.operators.chunks import KEY, manifest_totals
 from orrery.schemas import MANIFEST_VERSION
 from orrery.sources.csv_files import SourceError
 from orrery.sources.storage import read_text, write_text
 
 REGION = ["rx", "ry", "rz"]
+STATES = (
+    "ix int, iy int, iz int, star_count bigint, planet_star_count bigint, observed_count bigint, inferred_count bigint, synthetic_count bigint, "
+    "min_x double, min_y double, min_z double, max_x double, max_y double, max_z double, d1 bigint, d2 bigint, file_name string, region string"
+)
 _COUNTS = ["star_count", "planet_star_count", "observed_count", "inferred_count", "synthetic_count"]
 
 
@@ -26,13 +31,14 @@ def with_regions(rows: DataFrame, config: CatalogConfig) -> DataFrame:
 _LAYOUT = "_layout.json"  # Spark's readers pass by names that begin so
 
 
-def write_chunks(catalog: DataFrame, path: str, config: CatalogConfig) -> None:
+def write_chunks(catalog: DataFrame, path: str, config: CatalogConfig, only_its_regions: bool = False) -> None:
     """Parquet by region, every chunk's stars together and ordered, so that a chunk reads a few row groups.
 
     Large regions are split over tasks by Spark's rebalancing rather than meeting in one. The layout is stored beside.
+    With ``only_its_regions`` the files of regions that ``catalog`` has no star of stay.
     """
     rows = with_regions(catalog, config).hint("rebalance", *REGION).sortWithinPartitions(*REGION, *KEY, "source_id")
-    rows.write.mode("overwrite").partitionBy(*REGION).parquet(path)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only_its_regions else "static").partitionBy(*REGION).parquet(path)
     write_text(catalog.sparkSession, f"{path}/{_LAYOUT}", [json.dumps({"chunk_size_parsecs": config.chunk_size, "chunks_per_partition_axis": config.chunks_per_partition_axis})])
 
 
@@ -65,8 +71,12 @@ def write_manifest(manifest: DataFrame, path: str, config: CatalogConfig) -> Non
     """The manifest as a Parquet table beside the document, and the document from it, so that it is computed once."""
     spark, table = manifest.sparkSession, path.removesuffix(".json") + ".parquet"
     manifest.write.mode("overwrite").parquet(table)
-    done = spark.read.parquet(table)
-    write_text(spark, path, manifest_json(done, manifest_totals(done).first().asDict(), config))
+    write_manifest_document(spark.read.parquet(table), path, config)
+
+
+def write_manifest_document(manifest: DataFrame, path: str, config: CatalogConfig) -> None:
+    """The document of a manifest that is stored already."""
+    write_text(manifest.sparkSession, path, manifest_json(manifest, manifest_totals(manifest).first().asDict(), config))
 
 
 def _document(spark: SparkSession, path: str) -> DataFrame:
@@ -90,10 +100,30 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(*ids, *[f"c.{c}" for c in _COUNTS], *boxes, "c.file_name")
 
 
+def region_name() -> Column:
+    return F.concat_ws("_", *REGION)
+
+
+def write_states(chunks: DataFrame, path: str, config: CatalogConfig, only_its_regions: bool = False) -> DataFrame:
+    """The states of the chunks of a stored chunk table, by region, and from them all the content tree's nodes; gives the states."""
+    spark = chunks.sparkSession
+    states = with_regions(content.chunk_states(chunks), config).withColumn("region", region_name()).drop(*REGION)
+    writer = states.hint("rebalance", "region").sortWithinPartitions("region", *KEY).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic" if only_its_regions else "static").partitionBy("region").parquet(f"{path}/states")
+    states = read_states(spark, path)
+    content.nodes(states, config.chunks_per_partition_axis).write.mode("overwrite").partitionBy("level").parquet(f"{path}/nodes")
+    return states
+
+
+def read_states(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STATES).parquet(f"{path}/states")
+
+
 def write_catalog(catalog: DataFrame, path: str, config: CatalogConfig) -> None:
-    """Chunk table, manifest table and manifest document under one folder."""
+    """Chunk table, chunk states with their tree, manifest table and manifest document under one folder."""
     write_chunks(catalog, f"{path}/chunks", config)
-    write_manifest(chunk_metadata(catalog.sparkSession.read.parquet(f"{path}/chunks")), f"{path}/manifest.json", config)
+    states = write_states(catalog.sparkSession.read.parquet(f"{path}/chunks"), path, config)
+    write_manifest(states.drop("region", *content.DIGEST), f"{path}/manifest.json", config)
 
 
 def open_chunk(spark: SparkSession, path: str, file_name: str) -> DataFrame:
@@ -101,7 +131,7 @@ def open_chunk(spark: SparkSession, path: str, file_name: str) -> DataFrame:
 
     Chunks share files (see ``with_regions``), so a name stands for its rows. Unknown names raise ``SourceError``.
     """
-    found = read_manifest(spark, f"{path}/manifest.json").where(F.col("file_name") == file_name).limit(1).collect()
+    found = spark.read.parquet(f"{path}/manifest.parquet").where(F.col("file_name") == file_name).limit(1).collect()
     if not found:
         raise SourceError(f"the manifest of {path} has no chunk {file_name}")
     return read_chunks(spark, f"{path}/chunks", tuple(found[0][k] for k in KEY))

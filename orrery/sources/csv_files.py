@@ -78,8 +78,7 @@ def _scan(spark: SparkSession, files: list[_File], fields: dict[str, str], fold_
         raise SourceError(f"{files[0].path} lacks the columns {', '.join(missing)}")
     schema = ", ".join([f"c{i} string" for i in range(len(names))] + ["bad string"])
     rows = spark.read.option("columnPruning", False).csv([f.path for f in files], schema=schema, header=True, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord="bad", quote='"', escape='"', multiLine=multi_line, **options)
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    names_ = [(str(jvm_path(f.path).toUri().getRawPath()).rsplit("/", 1)[-1], f.ordinal) for f in files]  # encoded, as in the metadata
+    names_ = [(encoded_name(spark, f.path), f.ordinal) for f in files]
     ordinals = F.broadcast(spark.createDataFrame(names_, "file_key string, file_ord int"))  # the files that the driver has listed
     picked = [F.col(f"c{known.index(f)}").alias(name) for f, name in fields.items()]  # the first of that name
     placed = rows.select(
@@ -93,8 +92,13 @@ def _scan(spark: SparkSession, files: list[_File], fields: dict[str, str], fold_
     return placed.join(ordinals, "file_key", "left").drop("file_key")
 
 
-def _read(spark: SparkSession, path: str, fields: dict[str, str], fold_case: bool, skip: str | None, multi_line: bool, **options) -> DataFrame:
-    paths = collect_files(spark, path)
+def encoded_name(spark: SparkSession, path: str) -> str:
+    """A file's name without its folder, as Spark's file metadata has it."""
+    return str(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().getRawPath()).rsplit("/", 1)[-1]
+
+
+def _read(spark: SparkSession, path: str | list[str], fields: dict[str, str], fold_case: bool, skip: str | None, multi_line: bool, **options) -> DataFrame:
+    paths = collect_files(spark, path) if isinstance(path, str) else path
     with ThreadPoolExecutor(_HEADERS_AT_ONCE) as pool:
         headers = pool.map(lambda p: _header(spark, p, skip), paths)
         files = [_File(p, h, i) for i, (p, h) in enumerate(zip(paths, headers, strict=True))]
@@ -105,8 +109,8 @@ def _read(spark: SparkSession, path: str, fields: dict[str, str], fold_case: boo
     return out
 
 
-def read_star_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Star rows as text with ``malformed`` and their place; column names are case-sensitive.
+def read_star_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Star rows of a file, a folder or a list of files as text with ``malformed`` and their place; column names are case-sensitive.
 
     ``multi_line`` admits line ends inside quotes, at the price of unsplittable files.
     """

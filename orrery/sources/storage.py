@@ -20,6 +20,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, sorted; none if there is no such folder."""
+    hadoop, fs = _path(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop)) if fs.exists(hadoop) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """A file or a folder with all in it; nothing if there is none."""
+    hadoop, fs = _path(spark, path)
+    fs.delete(hadoop, True)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """The file's text, or None if there is none."""
     hadoop, fs = _path(spark, path)

@@ -303,7 +303,7 @@ def repair(turns: DataFrame, settings: Settings = Settings()) -> DataFrame:
     conv_type = blocks.schema["conv_id"].dataType.simpleString()
     counts = blocks.groupBy("cid").agg(F.count("*").alias("n")).where("n > 1").select("cid")
     long = counts if counts.isEmpty() else written(counts, "long-conversations")
-    fields = f"conv_id {conv_type}, cid string, block {block_type}, alone boolean, {_FACTS}, cost bigint, audit string, turns {TURN}"
+    fields = f"conv_id {conv_type}, cid string, block {block_type}, {_FACTS}, cost bigint, audit string, turns {TURN}"
 
     def walk():
         walker = Walker()
@@ -314,20 +314,21 @@ def repair(turns: DataFrame, settings: Settings = Settings()) -> DataFrame:
             letters, q, cost = walker.through(facts.codes, row["entry"], end)
             more = ("", "II", "I", "")[q] if row["final"] else ""
             done = _apply(facts.rows, letters, row["entry"], more)
-            return {k: row[k] for k in ("conv_id", "cid", "block", "alone")} | facts.fields | {"cost": cost + _INSERT * len(more), "audit": "".join(letters) + more, "turns": done}
+            return {k: row[k] for k in ("conv_id", "cid", "block")} | facts.fields | {"cost": cost + _INSERT * len(more), "audit": "".join(letters) + more, "turns": done}
 
         return one
 
-    def walked(rows: DataFrame) -> DataFrame:
-        return _mapped(rows.select("conv_id", "cid", "block", "alone", "turns", "seen", "entry", "ahead", "final"), fields, walk)
+    def walked(rows: DataFrame, alone: bool) -> DataFrame:
+        out = _mapped(rows.select("conv_id", "cid", "block", "turns", "seen", "entry", "ahead", "final"), fields, walk)
+        return out.withColumn("alone", F.lit(alone))  # not by the function, so that a filter by it leaves out a whole branch
 
-    none = {"alone": F.lit(True), "seen": F.lit(None).cast("array<string>"), "entry": F.lit(_START), "ahead": F.lit(None).cast("array<bigint>"), "final": F.lit(True)}
+    none = {"seen": F.lit(None).cast("array<string>"), "entry": F.lit(_START), "ahead": F.lit(None).cast("array<bigint>"), "final": F.lit(True)}
     if long.isEmpty():
-        return walked(blocks.withColumns(none))
+        return walked(blocks.withColumns(none), True)
     many = blocks.join(long, "cid", "left_semi")
     many = written(many.join(_seen(many), ["cid", "block"], "left"), "long-blocks", wide=True)
-    few = walked(blocks.join(long, "cid", "left_anti").withColumns(none))
-    return few.unionByName(walked(many.join(_entered(many, block_type), ["cid", "block"]).withColumn("alone", F.lit(False))))
+    few = walked(blocks.join(long, "cid", "left_anti").withColumns(none), True)
+    return few.unionByName(walked(many.join(_entered(many, block_type), ["cid", "block"]), False))
 
 
 def _said(turns: Column | str) -> Column:

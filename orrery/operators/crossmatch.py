@@ -59,7 +59,8 @@ def nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = CatalogC
     Both sides are put on a grid of unit vectors whose cells are at least as wide as the radius's chord; a host goes to the
     cells that the cube around its circle meets, mostly one: an equi-join on the cell. Unit vectors have
     no wrap at 0 degrees and no special poles. Hosts are broadcast if their cells are ``config.broadcast_hosts`` at most;
-    ``few`` says whether that holds if the caller knows it already (see ``cells_of_a_host``).
+    ``few`` says whether that holds if the caller knows it already (see ``cells_of_a_host``). Beyond it both sides shuffle, and a
+    cell with more than ``config.dense_cell`` stars, such as a cluster that is narrower than a cell, is split, see ``split_dense``.
     """
     chord, width = _grid(config)
     axes = ("gx", "gy", "gz")
@@ -68,14 +69,30 @@ def nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = CatalogC
     around = hosts.select("host", F.col("ra").alias("h_ra"), F.col("dec_deg").alias("h_dec"), *met)
     for g in axes:
         around = around.withColumn(g, F.explode(g))
+    placed = stars.select("source_id", F.col(_order(stars)).alias("ord"), "ra", "dec_deg", *[F.floor(u / width).alias(g) for u, g in position()])
+    on = list(axes)
     if fits(around, config.broadcast_hosts) if few is None else few:
         around = F.broadcast(around)
-    placed = stars.select("source_id", F.col(_order(stars)).alias("ord"), "ra", "dec_deg", *[F.floor(u / width).alias(g) for u, g in position()])
+    else:
+        around, placed = split_dense(around, placed, on, config.dense_cell)
+        on.append("part")
     sep = separation_arcsec(F.col("h_ra"), F.col("h_dec"), F.col("ra"), F.col("dec_deg"))
-    near = placed.join(around, list(axes)).withColumn("sep", sep).where((F.col("sep") < config.proximity_arcsec) & ~F.isnan("sep"))
+    near = placed.join(around, on).withColumn("sep", sep).where((F.col("sep") < config.proximity_arcsec) & ~F.isnan("sep"))
     return near.groupBy("host").agg(F.min(F.struct("sep", "ord", "source_id")).alias("m"))
 
 
+def split_dense(around: DataFrame, placed: DataFrame, axes: list[str], most: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``part``: the stars of a cell that has more than ``most`` are dealt to parts of about so many, and each host goes to all parts of its cells.
+
+    The nearest star of a cell is the nearest of its parts' nearest. Dense cells are at most one for ``most`` stars, which bounds what is broadcast.
+    """
+    dense = placed.groupBy(*axes).agg(F.count("*").alias("n")).where(F.col("n") > most).select(*axes, F.ceil(F.col("n") / most).alias("parts"))
+    dealt = F.pmod(F.xxhash64("source_id", "ra", "dec_deg"), F.col("parts"))
+    placed = placed.join(F.broadcast(dense), axes, "left").withColumn("part", F.coalesce(dealt, F.lit(0))).drop("parts")
+    around = around.join(F.broadcast(dense), axes, "left")
+    return around.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1)) - 1))).drop("parts"), placed
+
+
 def match_hosts(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = CatalogConfig(), few: bool | None = None) -> DataFrame:
     """``host, source_id, match_pass`` (1 name, 2 position) of all matched hosts."""
     if "designation" not in stars.columns:

@@ -89,14 +89,19 @@ def without_planets(stars: DataFrame, config: CatalogConfig = CatalogConfig()) -
     )
 
 
-def inference_counters(catalog: DataFrame) -> DataFrame:
-    """One row of counts: inferred colours, and over attached planets inferred radii and temperatures, and failures; one pass."""
+def counter_metrics() -> list[Column]:
+    """Counts over catalog stars: inferred colours, and over attached planets inferred radii and temperatures, and failures."""
     planets = lambda cond: F.coalesce(F.sum(F.size(F.filter("planets", cond))), F.lit(0)).cast("bigint")
     guessed = lambda p: p["eq_temp_quality"] == INFERRED
-    return catalog.agg(
+    return [
         F.count_if((F.col("color_quality") == INFERRED) & (F.col("quality") == OBSERVED)).alias("bp_rp_inferred"),
         planets(lambda p: p["quality"] == INFERRED).alias("radius_inferred"),
-        F.lit(0).cast("bigint").alias("radius_unresolvable"),  # every period has a radius
+        F.coalesce(F.sum(F.lit(0)), F.lit(0)).cast("bigint").alias("radius_unresolvable"),  # every period has a radius
         planets(lambda p: guessed(p) & p["eq_temp_kelvin"].isNotNull()).alias("temp_inferred"),
         planets(lambda p: guessed(p) & p["eq_temp_kelvin"].isNull()).alias("temp_unresolvable"),
-    )
+    ]
+
+
+def inference_counters(catalog: DataFrame) -> DataFrame:
+    """One row of ``counter_metrics``, by one pass."""
+    return catalog.agg(*counter_metrics())

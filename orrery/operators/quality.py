@@ -65,6 +65,17 @@ def parse_stars(text_rows: DataFrame, config: CatalogConfig = CatalogConfig()) -
     return out.withColumns({"skip_field": F.when(bad, "row").otherwise(F.col("skip_field")), "skip_reason": F.when(bad, "malformed row").otherwise(F.col("skip_reason"))})
 
 
+def parse_metrics() -> list[Column]:
+    """Counts over the rows of ``parse_stars``."""
+    kept = F.col("skip_reason").isNull()
+    return [
+        F.count("*").alias("total_rows"),
+        F.count("skip_reason").alias("skipped_rows"),
+        F.count_if(kept).alias("stars"),
+        F.count_if(kept & F.col("bp_rp").isNotNull()).alias("stars_with_color"),
+    ]
+
+
 def rejects(parsed: DataFrame) -> DataFrame:
     """``file, line, field, reason`` of skipped rows; lines count from 2.
 

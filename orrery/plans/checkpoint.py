@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from orrery.sources.storage import delete, read_text, write_text
 
@@ -24,3 +24,21 @@ def staged(spark: SparkSession, folder: str, stage: str, fingerprint: str, resum
         make().write.mode("overwrite").parquet(path)
         write_text(spark, marker, [fingerprint])
     return spark.read.parquet(path)
+
+
+def staged_with_counts(
+    spark: SparkSession, folder: str, stage: str, fingerprint: str, resume: bool, make: Callable[[], DataFrame], metrics: list[Column]
+) -> tuple[DataFrame, DataFrame]:
+    """The stage's table as ``staged`` has it, and one row of ``metrics`` over it.
+
+    They are observed while the table is written, in its last step, where a task that is run again counts once; only a table that was taken up is scanned for them.
+    """
+    seen, made = Observation(), []
+
+    def observed() -> DataFrame:
+        made.append(True)
+        return make().observe(seen, *metrics)
+
+    table = staged(spark, folder, stage, fingerprint, resume, observed)
+    counts = table.agg(*metrics)
+    return table, spark.createDataFrame([tuple(seen.get[c] for c in counts.columns)], counts.schema) if made else counts

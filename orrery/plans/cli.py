@@ -13,7 +13,7 @@ from orrery.config import CatalogConfig
 from orrery.operators import chunks, crossmatch, impute, quality
 from orrery.plans import compare, sinks
 from orrery.plans.catalog import require_coordinates, with_coordinates
-from orrery.plans.checkpoint import staged
+from orrery.plans.checkpoint import staged, staged_with_counts
 from orrery.plans.incremental import ingest
 from orrery.sources.csv_files import planet_counts, planet_rows, read_planet_csv, read_star_csv
 from orrery.sources.storage import file_states
@@ -53,11 +53,10 @@ def build_catalog(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     out = args.output_path.rstrip("/")
     inputs = [file_states(spark, p) for p in (args.gaia_path, args.exoplanet_path) if p]
     mark = config.fingerprint(json.dumps([args.gaia_path, args.exoplanet_path, inputs]))
-    parsed = staged(spark, out, "parsed", mark, args.resume, lambda: quality.parse_stars(read_star_csv(spark, args.gaia_path), config))
+    read = lambda: quality.parse_stars(read_star_csv(spark, args.gaia_path), config)
+    parsed, stats = staged_with_counts(spark, out, "parsed", mark, args.resume, read, quality.parse_metrics())
     sinks.write_rejects(quality.rejects(parsed), f"{out}/rejects")
     placed = require_coordinates(with_coordinates(quality.kept_stars(parsed)))
-    kept = F.col("skip_reason").isNull()
-    stats = parsed.agg(F.count("*").alias("total_rows"), F.count("skip_reason").alias("skipped_rows"), F.count_if(kept).alias("stars"), F.count_if(kept & F.col("bp_rp").isNotNull()).alias("stars_with_color"))
     stats = stats.withColumn("percent_with_color", F.round(100.0 * F.col("stars_with_color") / F.greatest("stars", F.lit(1)), 1))
     if args.exoplanet_path:
         planets = read_planet_csv(spark, args.exoplanet_path)
@@ -65,9 +64,10 @@ def build_catalog(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         matches = staged(spark, out, "matches", mark, args.resume, lambda: crossmatch.match_hosts(hosts, placed, config))
         sinks.write_unmatched(crossmatch.unmatched_hosts(hosts, matches), f"{out}/unmatched_hosts.txt")
         enriched = crossmatch.attach_planets(placed, planets, matches, config)
-        catalog = staged(spark, out, "catalog", mark, args.resume, lambda: impute.infer(enriched, config, impute.bin_medians(placed, config, by_selection=True)))
+        inferred = lambda: impute.infer(enriched, config, impute.bin_medians(placed, config, by_selection=True))
+        catalog, counters = staged_with_counts(spark, out, "catalog", mark, args.resume, inferred, impute.counter_metrics())
         stats = stats.join(planet_counts(planet_rows(spark, args.exoplanet_path)), F.lit(True))
-        stats = stats.join(crossmatch.match_statistics(hosts, matches), F.lit(True)).join(impute.inference_counters(catalog), F.lit(True))  # one row each
+        stats = stats.join(crossmatch.match_statistics(hosts, matches), F.lit(True)).join(counters, F.lit(True))  # one row each
     else:
         catalog = staged(spark, out, "catalog", mark, args.resume, lambda: impute.without_planets(placed, config))
     sinks.write_catalog(catalog, out, config)
@@ -81,8 +81,10 @@ def verify_catalog(spark: SparkSession, output_path: str) -> DataFrame:
 
 
 def print_manifest(spark: SparkSession, out: str) -> None:
-    head, manifest = sinks.read_manifest_head(spark, f"{out}/manifest.json"), sinks.read_manifest(spark, f"{out}/manifest.json")
-    print(f"Manifest: {head['total_stars']} stars, {manifest.count()} chunks of {head['chunk_size_parsecs']} pc")
+    """Totals, qualities and the chunk at the origin, by the manifest's table; no star is read."""
+    manifest, size = spark.read.parquet(f"{out}/manifest.parquet"), sinks.layout(spark, f"{out}/chunks")["chunk_size_parsecs"]
+    totals = chunks.manifest_totals(manifest).first()
+    print(f"Manifest: {totals['total_stars']} stars, {totals['n_chunks']} chunks of {size} pc")
     for r in chunks.quality_distribution(manifest).collect():  # three rows
         print(f"{r['quality']}: {r['n']} ({r['percent']:.1f} %)")
     sol = chunks.chunk_by_id(manifest, 0, 0, 0).collect()

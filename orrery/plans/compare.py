@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,14 +9,11 @@ from orrery.operators import content
 from orrery.operators.chunks import KEY
 from orrery.plans import sinks
 from orrery.sources.csv_files import SourceError
-from orrery.sources.storage import read_text, scratch_folder
+from orrery.sources.storage import scratch_folder
 
 
 def _axis(spark: SparkSession, path: str) -> int:
-    layout = read_text(spark, f"{path}/chunks/_layout.json")
-    if layout is None:
-        raise SourceError(f"{path} has no chunk table")
-    return json.loads(layout)["chunks_per_partition_axis"]
+    return sinks.layout(spark, f"{path}/chunks")["chunks_per_partition_axis"]
 
 
 def _kept(df: DataFrame, folder: str, name: str) -> DataFrame:

@@ -146,5 +146,23 @@ ORACLE_SQL["q_content_diff"] = _with(
     "UNION ALL SELECT -source_id, ix, iy, iz, 'added' FROM celled WHERE source_id % 89 = 11",
 )
 ORACLE_SQL["q_content_damage"] = _with(_CELLED, "SELECT DISTINCT ix, iy, iz FROM celled WHERE source_id % 1009 = 3")
-ORACLE_SQL["q_stars_in_radius"] = _with([*_STARS, "placed"], f"SELECT source_id, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z, round({_DISTANCE}, 6) AS distance FROM placed WHERE {_DISTANCE} <= 120")
+ORACLE_SQL["q_stars_in_radius"] = _with([*_STARS, "placed"], f"SELECT source_id, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z, round({_DISTANCE}, 6) AS distance FROM placed WHERE {_DISTANCE} <= 40")
 ORACLE_SQL["q_nearest_to_point"] = _with([*_STARS, "placed"], f"SELECT source_id, round({_DISTANCE}, 6) AS distance FROM placed ORDER BY {_DISTANCE}, source_id LIMIT 25")
+_DENSE = """
+stars AS (
+  SELECT source_id, CASE WHEN source_id % 2 = 0 THEN 150 + source_id * 7919 % 100003 * 1e-8 ELSE ra END AS ra,
+    CASE WHEN source_id % 2 = 0 THEN 2 + source_id * 104729 % 100003 * 1e-8 ELSE dec_deg END AS dec_deg FROM kept
+), near_planets AS (
+  SELECT row_ord, CASE WHEN row_ord % 5 = 0 THEN 'dense ' || row_ord ELSE host END AS host, CASE WHEN row_ord % 5 = 0 THEN 150 + row_ord * 31337 % 100003 * 1e-8 ELSE ra END AS ra,
+    CASE WHEN row_ord % 5 = 0 THEN 2 + row_ord * 27644437 % 100003 * 1e-8 ELSE dec_deg END AS dec_deg FROM raw_planets WHERE row_ord % 5 IN (0, 1)
+), near_hosts AS (
+  SELECT host, arg_min(ra, row_ord) AS h_ra, arg_min(dec_deg, row_ord) AS h_dec FROM near_planets GROUP BY host
+)"""
+ORACLE_SQL["q_proximity_dense"] = (
+    "WITH " + ",\n".join([_CTES[c] for c in ("raw_stars", "kept", "raw_planets")] + [_DENSE.strip()])
+    + f"\nSELECT host, source_id, round(sep, 6) AS sep_arcsec FROM (SELECT host, source_id, {_sep('h_ra', 'h_dec')} AS sep FROM near_hosts, stars WHERE abs(h_dec - dec_deg) < 0.001) "
+    "WHERE sep < 2 QUALIFY row_number() OVER (PARTITION BY host ORDER BY sep, source_id) = 1"
+)
+ORACLE_SQL["q_sql_chunks_in_radius"] = ORACLE_SQL["q_chunks_in_radius"]
+ORACLE_SQL["q_sql_angular_sep"] = ORACLE_SQL["q_angular_sep"]
+ORACLE_SQL["q_sql_cone_search"] = _with(_CELLED, f"SELECT source_id, round(sep, 3) AS angle_arcsec, ix, iy, iz FROM (SELECT *, {_sep('150.0', '20.0')} AS sep FROM celled) WHERE sep < 36000")

@@ -17,6 +17,7 @@ from orrery.plans.catalog import Catalog, build, with_coordinates
 from orrery.plans.incremental import ingest
 from orrery.plans.sky import nearest_stars, write_sky
 from orrery.plans.sky import stars_in_radius as sky_radius
+from orrery.plans.sql_functions import register
 from orrery.sources import tables
 from orrery.sources.csv_files import planet_rows, read_star_csv
 from orrery.sources.storage import scratch_folder
@@ -90,6 +91,24 @@ def proximity_match(spark, sf):
     return out.select("host", "source_id", _r("sep_arcsec", "sep_arcsec"))
 
 
+@_query
+def proximity_dense(spark, sf):
+    """The nearest star where half of all stars, and every fifth planet, lie in one field of a few arc seconds; both sides shuffle, dense cells are split."""
+    config = CatalogConfig(broadcast_hosts=0, dense_cell=500)
+    at = lambda k, c: F.col(c) * k % 100_003 * 1e-8
+    half, fifth = F.col("source_id") % 2 == 0, F.col("row_ord") % 5 == 0
+    stars = quality.filter_stars(tables.stars(spark, sf))
+    stars = stars.withColumns({"ra": F.when(half, 150 + at(7919, "source_id")).otherwise(F.col("ra")), "dec_deg": F.when(half, 2 + at(104_729, "source_id")).otherwise(F.col("dec_deg"))})
+    planets = tables.planets(spark, sf).where(fifth | (F.col("row_ord") % 5 == 1))
+    planets = planets.withColumns({
+        "hostname": F.when(fifth, F.concat(F.lit("Dense "), F.col("row_ord").cast("string"))).otherwise(F.col("hostname")),
+        "ra": F.when(fifth, 150 + at(31_337, "row_ord")).otherwise(F.col("ra")),
+        "dec_deg": F.when(fifth, 2 + at(27_644_437, "row_ord")).otherwise(F.col("dec_deg")),
+    })
+    out = crossmatch.match_nearest(crossmatch.group_hosts(planets), stars, config, few=False)
+    return out.select("host", "source_id", _r("sep_arcsec", "sep_arcsec"))
+
+
 @_query
 def two_pass_match(spark, sf):
     return crossmatch.match_hosts(crossmatch.group_hosts(tables.planets(spark, sf)), _designated(_placed(spark, sf)))
@@ -330,7 +349,7 @@ def stars_in_radius(spark, sf):
     """Stars along a Morton curve, and those of a sphere by ranges of keys."""
     folder = scratch_folder(spark, "sky")
     write_sky(build(tables.stars(spark, sf)).stars, folder)
-    out = sky_radius(spark, folder, (20.0, -30.0, 10.0), 120.0)
+    out = sky_radius(spark, folder, (20.0, -30.0, 10.0), 40.0)
     return out.select("source_id", _r("x", "x"), _r("y", "y"), _r("z", "z"), _r("distance", "distance"))
 
 
@@ -341,6 +360,30 @@ def nearest_to_point(spark, sf):
     return nearest_stars(spark, folder, (20.0, -30.0, 10.0), 25).select("source_id", _r("distance", "distance"))
 
 
+@_query
+def sql_chunks_in_radius(spark, sf):
+    """The radius query in SQL alone, by a table function."""
+    register(_catalog(spark, sf), spark)
+    return spark.sql("SELECT * FROM chunks_in_radius(20D, -30D, 10D, 120D)")
+
+
+@_query
+def sql_angular_sep(spark, sf):
+    """Separations and distances in SQL alone."""
+    register(build(tables.stars(spark, sf)), spark)
+    tables.stars(spark, sf).createOrReplaceTempView("raw_stars")
+    return spark.sql("SELECT source_id, round(angle_between(ra, dec_deg, 180D, 10D), 3) AS sep_arcsec FROM raw_stars")
+
+
+@_query
+def sql_cone_search(spark, sf):
+    """The stars in a cone of ten degrees, joined with their chunk, in SQL alone."""
+    register(build(tables.stars(spark, sf)), spark)
+    return spark.sql(
+        "SELECT source_id, round(angle_arcsec, 3) AS angle_arcsec, ix, iy, iz FROM cone_search(150D, 20D, 36000D) JOIN catalog_stars USING (source_id)"
+    )
+
+
 @_query
 def sol_sample(spark, sf):
     out = chunks.sol_sample(_catalog(spark, sf).stars)

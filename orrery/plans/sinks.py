@@ -42,14 +42,19 @@ def write_chunks(catalog: DataFrame, path: str, config: CatalogConfig, only_its_
     write_text(catalog.sparkSession, f"{path}/{_LAYOUT}", [json.dumps({"chunk_size_parsecs": config.chunk_size, "chunks_per_partition_axis": config.chunks_per_partition_axis})])
 
 
+def layout(spark: SparkSession, path: str) -> dict:
+    """How a chunk table was laid out: size of a chunk, chunks along a region."""
+    text = read_text(spark, f"{path}/{_LAYOUT}")
+    if text is None:
+        raise SourceError(f"{path} has no {_LAYOUT}")
+    return json.loads(text)
+
+
 def read_chunks(spark: SparkSession, path: str, chunk: tuple[int, int, int] | None = None) -> DataFrame:
     """The catalog, or one chunk of it: folder pruning by region as it was written, row-group pruning by chunk."""
     rows = spark.read.parquet(path)
     if chunk is not None:
-        layout = read_text(spark, f"{path}/{_LAYOUT}")
-        if layout is None:
-            raise SourceError(f"{path} has no {_LAYOUT}")
-        axis = json.loads(layout)["chunks_per_partition_axis"]
+        axis = layout(spark, path)["chunks_per_partition_axis"]
         for r, i, at in zip(REGION, KEY, chunk, strict=True):
             rows = rows.where((F.col(r) == at // axis) & (F.col(i) == at))
     return rows.drop(*REGION)

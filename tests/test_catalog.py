@@ -1,5 +1,6 @@
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,6 +105,23 @@ def test_nearest_star(spark):
     assert {r["host"] for r in crossmatch.match_nearest(h, s, small).collect()} == {"wrap", "north", "south", "tie", "near", "tie again"}
 
 
+def test_dense_fields_are_split(spark):
+    """Half of all stars in one cell: the same matches as by brute force, and no join key with many more stars than the bound."""
+    r, bound = random.Random(11), 40
+    rows = [(i, r.uniform(0, 360), r.uniform(-89, 89)) for i in range(600)] + [(600 + i, 80.0 + r.uniform(0, 1e-3), 20.0 + r.uniform(0, 1e-3)) for i in range(600)]
+    rows += [(1_200, 80.0005, 20.0005), (1_201, 80.0005, 20.0005)]
+    hosts = spark.createDataFrame([(f"h{k}", 80.0 + r.uniform(-2e-4, 1.2e-3), 20.0 + r.uniform(0, 1e-3)) for k in range(30)] + [("tie", 80.0005, 20.0005), ("lone", 200.0, 0.0)], "host string, ra double, dec_deg double")
+    table = spark.createDataFrame(rows, "source_id long, ra double, dec_deg double").repartition(5)
+    config = CatalogConfig(broadcast_hosts=0, dense_cell=bound)
+    got = {x["host"]: x["source_id"] for x in crossmatch.match_nearest(hosts, table, config).collect()}
+    assert got == {x["host"]: x["source_id"] for x in crossmatch.match_nearest(hosts, table).collect()} and got["tie"] == 1_200 and "lone" not in got and len(got) > 25
+    placed = table.select("source_id", "ra", "dec_deg", F.floor("ra").alias("g"))
+    around, split = crossmatch.split_dense(placed.select("g").distinct(), placed, ["g"], bound)
+    sizes = {(x["g"], x["part"]): x["count"] for x in split.groupBy("g", "part").count().collect()}
+    assert sum(sizes.values()) == len(rows) and max(sizes.values()) <= 2 * bound and len([k for k in sizes if k[0] == 80]) >= 600 // (2 * bound)
+    assert set(sizes) <= {(x["g"], x["part"]) for x in around.collect()}
+
+
 def test_threshold_is_strict(spark):
     s, h = stars(spark, [(1, 0, 0, 10, 5, 1.0)]), crossmatch.group_hosts(planets(spark, [("a", 0, 1 / 3600)]))
     exact = spark.range(1).select(crossmatch.separation_arcsec(F.lit(0.0), F.lit(1 / 3600), F.lit(0.0), F.lit(0.0))).first()[0]
@@ -217,6 +235,27 @@ def rewrite(path, change):
     path.write_text(json.dumps(doc))
 
 
+def test_statistics_come_from_the_writing_pass(spark, tmp_path):
+    """The counts of a build are observed while its tables are written: its statistics scan none of them; a resumed one has to."""
+    from argparse import Namespace
+
+    src, out = tmp_path / "in", tmp_path / "out"
+    src.mkdir()
+    (src / "a.csv").write_text(HEADER + "".join(f"{i},{i * 7 % 360},{i % 90},{10 + i % 5},0.1,{i % 12},{'' if i % 3 else 0.5}\n" for i in range(1, 40)) + star_line("bad"))
+    (tmp_path / "p.csv").write_text(PLANETS + "b,H1,7,1,0.5,10,,,Transit\n")
+    args = cli.parser().parse_args(["build", "--gaia-path", str(src), "--output-path", str(out), "--exoplanet-path", str(tmp_path / "p.csv"), "--chunk-size", "40"])
+    assert isinstance(args, Namespace)
+    built = cli.build_catalog(spark, args)
+    scanned = lambda df: {part for f in df.inputFiles() for part in f.split("/") if part.endswith(".parquet") and not part.startswith("part-")}
+    assert not scanned(built) & {"parsed.parquet", "catalog.parquet"}
+    row = built.first()
+    args.resume = True
+    resumed = cli.build_catalog(spark, args)
+    assert scanned(resumed) >= {"parsed.parquet", "catalog.parquet"}
+    assert row == resumed.first()
+    assert (row["total_rows"], row["skipped_rows"], row["stars"], row["stars_with_color"], row["radius_inferred"], row["temp_inferred"] + row["temp_unresolvable"]) == (40, 1, 39, 13, 1, 1)
+
+
 def test_verifier_reports_every_fault(spark, tmp_path, capsys):
     out = build_catalog_folder(spark, tmp_path)
     told = capsys.readouterr().out

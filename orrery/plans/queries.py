@@ -270,6 +270,21 @@ def csv_stars(spark, sf):
     return parsed.select("source_id", _r("ra", "ra"), _r("parallax", "parallax"), _r(F.col("bp_rp").cast("double"), "bp_rp"), "skip_field", "skip_reason")
 
 
+@_query
+def csv_rejects(spark, sf):
+    """Stars written as CSV, some lines with a field too many and some stars beyond 100 kpc, and read again: rows by what became of them."""
+    folder = scratch_folder(spark, "rejects.csv")
+    every = lambda k: F.col("source_id") % k == 0
+    text = _star_csv(tables.stars(spark, sf)).withColumns({
+        "parallax": F.when(every(29), 0.005).otherwise(F.col("parallax")),
+        "parallax_error": F.when(every(29), 0.0005).otherwise(F.col("parallax_error")),
+        "dec": F.when(every(23), F.concat(F.col("dec").cast("string"), F.lit(",7"))).otherwise(F.col("dec").cast("string")),
+    })
+    text.write.option("quote", "\u0000").csv(folder, header=True)
+    parsed = quality.parse_stars(read_star_csv(spark, folder))
+    return parsed.groupBy(F.coalesce("skip_field", F.lit("kept")).alias("field"), F.coalesce("skip_reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
+
+
 @_query
 def csv_planets(spark, sf):
     """Planets written as CSV, some of them damaged, and read again: the usable ones."""

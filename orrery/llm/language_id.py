@@ -8,12 +8,14 @@ are coded whole, after a fixed start context; the language with the shortest cod
 smaller name. The score is the posterior under equal priors.
 
 The trees are fitted on a bounded sample: whole documents, chosen by a hash of their id, of about
-``train_bytes`` bytes a language (a parameter); their n-grams are counted on the executors. A model has a code length for each
-n-gram and language, so with many languages each gets a smaller sample: ``model_bytes`` over 4 bytes and the square of the
-number of languages, which matters from 12 languages on.
+``train_bytes`` bytes a language (a parameter), or one document where a single one is longer; their n-grams are counted on the executors.
+A language of fewer than ``least_documents`` documents isn't learnt, as that few can't be told from mislabelled ones; of more than
+``most_languages`` those with the most documents are (ties to the smaller name). Languages share trees in blocks of 16, so the model
+and the time of a prediction grow with their number and not with its square; where all samples together would exceed ``model_bytes``, the largest are made
+smaller, all to the same size.
 
 Defined results: ``und`` with score 0 for a text that is null or has no letter, and for every text if
-nothing was learnt. Rows with a null id are predicted and never learnt from; rows that share an id are predicted each by its
+nothing was learnt; an empty table gives an empty one. Rows with a null id are predicted and never learnt from; rows that share an id are predicted each by its
 own text, repeated rows alike. Texts have any length and are coded whole; a column named like a result is replaced.
 """
 
@@ -27,12 +29,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import flat_bytes, fold, map_texts, ship, written
+from orrery.llm.common import collected, flat_bytes, fold, map_texts, ship, written
 from orrery.llm.hashtable import HashTable
 
 ORDER = 3
 TRAIN_BYTES = 2_000_000
 MODEL_BYTES = 1 << 30
+LEAST_DOCUMENTS = 3
+MOST_LANGUAGES = 1024
+BLOCK = 16  # languages that share a table of code lengths
 _START = 10  # the byte before a text
 _UNIT = 4096  # code lengths count in 1/4096 bit, so that sums are exact
 _PIECE = 1 << 20
@@ -54,8 +59,10 @@ def _grams(raw: np.ndarray, offsets: np.ndarray, order: int):
 
 
 @dataclass
-class Model:
-    langs: list[str]
+class Block:
+    """The trees of up to ``BLOCK`` languages: dense in these, sparse over all."""
+
+    size: int
     order: int
     gram_keys: np.ndarray  # the length in the high byte
     gram_costs: np.ndarray  # by language
@@ -63,13 +70,26 @@ class Model:
     context_costs: np.ndarray
 
 
+@dataclass
+class Model:
+    langs: list[str]
+    blocks: list[Block]
+
+
 def _tag(keys: np.ndarray, length: int) -> np.ndarray:
     return keys | np.uint64(length << 56)
 
 
 def build(langs: list[str], lang: np.ndarray, keys: np.ndarray, counts: np.ndarray, order: int = ORDER) -> Model:
     """The code lengths of all seen n-grams and escapes, from the counts of (order+1)-grams by language."""
-    n_langs = len(langs)
+    blocks = []
+    for first in range(0, len(langs), BLOCK):
+        here = (lang >= first) & (lang < first + BLOCK)
+        blocks.append(_block(min(BLOCK, len(langs) - first), lang[here] - first, keys[here], counts[here], order))
+    return Model(langs, blocks)
+
+
+def _block(n_langs: int, lang: np.ndarray, keys: np.ndarray, counts: np.ndarray, order: int) -> Block:
     by_length = {}
     for length in range(order + 1, 0, -1):
         uniq, back = np.unique(keys & np.uint64((1 << 8 * length) - 1), return_inverse=True)
@@ -95,20 +115,39 @@ def build(langs: list[str], lang: np.ndarray, keys: np.ndarray, counts: np.ndarr
         context_costs.append(escape)
         shorter_keys, shorter = uniq, cost
     units = lambda x: np.rint(np.concatenate(x) * _UNIT).astype(np.int32)
-    return Model(langs, order, np.concatenate(gram_keys), units(gram_costs), np.concatenate(context_keys), units(context_costs))
+    return Block(n_langs, order, np.concatenate(gram_keys), units(gram_costs), np.concatenate(context_keys), units(context_costs))
+
+
+def _languages(docs: DataFrame, least_documents: int, most_languages: int) -> DataFrame:
+    """``lang, size`` of the languages to learn, ``most_languages`` rows at most."""
+    sizes = docs.groupBy("lang").agg(F.sum(F.octet_length("text").cast("double")).alias("size"), F.count("*").alias("n"))
+    return sizes.where(F.col("n") >= least_documents).orderBy(F.desc("n"), "lang").limit(most_languages).select("lang", "size")
+
 
+def _share(sizes: np.ndarray, train_bytes: int, budget: int) -> float:
+    """The most bytes a language, up to ``train_bytes``, with which all samples together keep to ``budget``."""
+    left = float(budget)
+    for i, size in enumerate(np.sort(np.minimum(sizes, train_bytes))):
+        if size * (len(sizes) - i) > left:
+            return left / (len(sizes) - i)
+        left -= size
+    return float(train_bytes)
 
-def fit(docs: DataFrame, order: int = ORDER, train_bytes: int = TRAIN_BYTES, model_bytes: int = MODEL_BYTES) -> Model | None:
+
+def fit(docs: DataFrame, order: int = ORDER, train_bytes: int = TRAIN_BYTES, model_bytes: int = MODEL_BYTES, least_documents: int = LEAST_DOCUMENTS, most_languages: int = MOST_LANGUAGES) -> Model | None:
     """Learns from the rows of ``docs (doc_id, text, lang)``; those with a null in any are left out."""
     if not 1 <= order <= 6:
         raise ValueError("order is 1 to 6 bytes")
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text", "lang").dropna().where("lang <> 'und'")
-    sizes = written(docs.groupBy("lang").agg(F.sum(F.octet_length("text").cast("double")).alias("size")), "sizes")
-    languages = sizes.count()
-    each = min(train_bytes, model_bytes // (4 * max(1, languages) ** 2))
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = docs.join(F.broadcast(sizes), "lang").where(chance * F.col("size") < each)  # one row a language
+    sizes = written(_languages(docs, least_documents, most_languages), "sizes")
+    each = _share(collected(sizes)["size"], train_bytes, model_bytes // (4 * BLOCK))  # most_languages rows at most
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    docs = docs.join(F.broadcast(sizes), "lang").withColumn("place", place)  # most_languages rows at most
+    # A language all of whose sampled places are empty would not be learnt: its first document that fits goes in whatever its place.
+    order_of = F.struct((F.octet_length("text") > each).alias("long"), "place")
+    firsts = written(docs.groupBy("lang").agg(F.min(order_of).alias("first")), "firsts")
+    sample = docs.join(F.broadcast(firsts), "lang").where((F.col("place") / float(1 << 30) * F.col("size") < each) | (order_of == F.col("first")))
 
     def count(batches):
         for batch in batches:
@@ -127,18 +166,18 @@ def fit(docs: DataFrame, order: int = ORDER, train_bytes: int = TRAIN_BYTES, mod
     return build(langs, code, rows["gram"].to_numpy().view(np.uint64), rows["n"].to_numpy(), order)
 
 
-class Coder:
-    """Code lengths under a model's trees."""
+class BlockCoder:
+    """Code lengths under the trees of a block."""
 
-    def __init__(self, model: Model) -> None:
-        self.model = model
-        self.grams, self.contexts = HashTable(model.gram_keys), HashTable(model.context_keys)
-        self.context_costs = np.concatenate([model.context_costs, np.zeros((1, len(model.langs)), np.int32)])
+    def __init__(self, block: Block) -> None:
+        self.block = block
+        self.grams, self.contexts = HashTable(block.gram_keys), HashTable(block.context_keys)
+        self.context_costs = np.concatenate([block.context_costs, np.zeros((1, block.size), np.int32)])
 
     def _costs(self, keys: np.ndarray, length: int) -> np.ndarray:
         keys = keys & np.uint64((1 << 8 * length) - 1)
         row = self.grams.find(_tag(keys, length))
-        out = self.model.gram_costs[row]
+        out = self.block.gram_costs[row]
         if len(miss := np.flatnonzero(row < 0)):
             rest = self._costs(keys[miss], length - 1) if length > 1 else np.int32(8 * _UNIT)
             out[miss] = self.context_costs[self.contexts.find(_tag(keys[miss] >> np.uint64(8), length))] + rest
@@ -146,13 +185,37 @@ class Coder:
 
     def lengths(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """In 1/4096 bit, by text and language."""
-        out = np.zeros((len(offsets) - 1, len(self.model.langs)), np.int64)
-        for row, keys in _grams(raw, offsets, self.model.order):
+        out = np.zeros((len(offsets) - 1, self.block.size), np.int64)
+        for row, keys in _grams(raw, offsets, self.block.order):
             starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-            out[row[starts]] += np.add.reduceat(self._costs(keys, self.model.order + 1), starts, axis=0, dtype=np.int64)
+            out[row[starts]] += np.add.reduceat(self._costs(keys, self.block.order + 1), starts, axis=0, dtype=np.int64)
         return out
 
 
+class Coder:
+    """Code lengths under a model's trees."""
+
+    def __init__(self, model: Model) -> None:
+        self.model, self.blocks = model, [BlockCoder(b) for b in model.blocks]
+
+    def lengths(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """In 1/4096 bit, by text and language."""
+        return np.concatenate([b.lengths(raw, offsets) for b in self.blocks], axis=1)
+
+    def best(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The language with the shortest code and its posterior, by text; one block's lengths are held at a time."""
+        n = len(offsets) - 1
+        least, found, odds = np.full(n, np.inf), np.zeros(n, np.int64), np.zeros(n)
+        for k, coder in enumerate(self.blocks):
+            bits = coder.lengths(raw, offsets) / _UNIT
+            here = bits.min(axis=1)
+            now = np.minimum(least, here)
+            odds = odds * np.exp2(np.maximum(now - least, -1000.0)) + np.exp2(np.maximum(now[:, None] - bits, -1000.0)).sum(axis=1)
+            found = np.where(here < least, k * BLOCK + bits.argmin(axis=1), found)
+            least = now
+        return found, 1 / odds
+
+
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``lang_pred string`` and ``score double``; only the text is read."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of a bounded sample
@@ -164,11 +227,9 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
             letters = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
             if coder is None:
                 return [pa.array(["und"] * len(texts), pa.string()), pa.array(np.zeros(len(texts)))]
-            bits = coder.lengths(*flat_bytes(texts)) / _UNIT
-            best = bits.argmin(axis=1)
-            odds = np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000.0))
+            best, chance = coder.best(*flat_bytes(texts))
             names = np.where(letters, np.array(coder.model.langs, object)[best], "und")
-            return [pa.array(names, pa.string()), pa.array(np.where(letters, 1 / odds.sum(axis=1), 0.0))]
+            return [pa.array(names, pa.string()), pa.array(np.where(letters, chance, 0.0))]
 
         return compute
 

@@ -43,7 +43,7 @@ TRAIN = {"de": ["der hund und die katze schlafen", "über die straße"], "en": [
 
 def test_code_lengths_equal_brute_force(spark):
     rows = [(i, d, x) for i, (x, d) in enumerate((x, d) for x, ds in TRAIN.items() for d in ds)]
-    model = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), order=3, train_bytes=10**9)
+    model = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), order=3, train_bytes=10**9, least_documents=1)
     texts = ["the hund", "", "Z\U0001f600", "a\nb", "the cat " * 50, "über"]
     got = Coder(model).lengths(*flat_bytes(pa.array(texts))) / 4096
     for t, g in zip(texts, got, strict=True):
@@ -79,3 +79,44 @@ def test_nothing_learnt(spark, documents):
 def test_build_is_exact_for_one_symbol():
     model = build(["x"], np.zeros(1, int), np.array([0x0A0A0A61], np.uint64), np.array([3]), 3)
     assert Coder(model).lengths(np.frombuffer(b"a", np.uint8), np.array([0, 1]))[0, 0] == round(-math.log2(3 / 4) * 4096)
+
+
+def test_blocks_of_languages_equal_brute_force(spark):
+    """40 languages: three blocks of shared trees, with the same code lengths as one table would have."""
+    words = ["ab", "ba", "cd", "dc", "ée"]
+    train = {f"l{i:02}": [f"{words[i % 5]} {words[i // 5 % 5]} {i}", words[i % 3] * (1 + i % 4)] for i in range(40)}
+    rows = [(100 * i + j, d, x) for i, (x, docs) in enumerate(train.items()) for j, d in enumerate(docs)]
+    model = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), train_bytes=10**9, least_documents=1)
+    assert model.langs == sorted(train) and [b.size for b in model.blocks] == [16, 16, 8]
+    texts = ["ab ba 7", "ée", "cd dc 39 ab"]
+    coder = Coder(model)
+    got = coder.lengths(*flat_bytes(pa.array(texts))) / 4096
+    found, chance = coder.best(*flat_bytes(pa.array(texts)))
+    for t, g, f, c in zip(texts, got, found, chance, strict=True):
+        wanted = np.array(brute_costs(train, t, 3))
+        assert np.allclose(g, wanted, atol=0.05)
+        assert f == g.argmin() and math.isclose(c, 1 / np.exp2(g.min() - g).sum(), rel_tol=1e-9)
+
+
+def test_many_dirty_languages(spark):
+    """Values of ``lang`` that one or two documents have are not learnt and take nothing from those that are."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    dirty = spark.range(5_000).selectExpr("1000000 + id AS doc_id", "concat('tag ', id, ' the der la') AS text", "concat('x', id) AS lang")
+    model = fit(docs.unionByName(dirty))
+    known = [r[0] for r in docs.select("lang").distinct().orderBy("lang").collect()]
+    assert model.langs == known
+    out = predict(docs, model)
+    wrong = out.where("lang_pred <> 'und' AND lang_pred <> lang").count()
+    assert wrong <= 2 and out.count() == 1_000
+
+
+def test_many_learnt_languages(spark):
+    """300 more languages of three documents: the four large ones are told apart as before, and one document of each is in the sample."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    letters = "concat_ws(' ', transform(sequence(0, 30), j -> concat(chr(cast(97 + (id div 3 * 7 + j * j) % 26 AS int)), chr(cast(97 + (id div 3 * 11 + j) % 26 AS int)), 'qx')))"
+    more = spark.range(900).selectExpr("1000000 + id AS doc_id", f"{letters} AS text", "concat('y', id div 3) AS lang")
+    model = fit(docs.unionByName(more), model_bytes=1 << 22)  # each sample is smaller than most documents
+    assert len(model.langs) == 304
+    out = predict(docs, fit(docs.unionByName(more)))
+    assert out.where("lang_pred <> 'und' AND lang_pred <> lang").count() <= 2
+    assert fit(docs.unionByName(more), most_languages=4).langs == sorted(r[0] for r in docs.select("lang").distinct().collect())

@@ -1,17 +1,20 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment (operator 6).
 
-Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. The n-grams of a test item that training
+Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased; in scripts without blanks (ideographs, kana, Thai, Lao,
+Burmese, Khmer) each code point is one. The n-grams of a test item that training
 rows hold are counted over all rows. Those that are ``common`` times as frequent as the item's median
 n-gram say little and are no seeds; all others are, at least half of them, so that no n-gram is left out for one a little
-rarer, which could be the very one that an edited copy lost. The text around seeds in a training row is a passage; it is
-joined with every item that has one of its seeds. A passage that in no stretch as long as an alignment can be has
+rarer, which could be the very one that an edited copy lost. Items are classed by the power of two of their length. The text around seeds of one class in a training row is
+a passage, as wide as an alignment with an item of that class can be and no wider, whatever other items there are; it is
+joined with every item of the class that has one of its seeds. A passage that in no stretch as long as an alignment can be has
 enough words of the item can't reach the score and goes; the others are aligned (match +2, mismatch and gap -1).
-The best score over twice the item's words is the similarity. Rows scan the texts against a Bloom filter whose size
-follows from the number of n-grams, ``most_bits`` at most, beyond which it only lets more through; joins by n-gram are exact.
+The best score over twice the item's words is the similarity. Rows scan the texts against Bloom filters, one of all seeds and one a class, whose size
+follows from the number of n-grams, ``most_bits`` at most, beyond which they only let more through; joins by n-gram are exact.
 
 Defined results: pairs below ``similarity``, or whose score is below that of ``least_words`` words (or of all
-words of a shorter item), aren't returned; nor are items of fewer words than an n-gram, null or empty
-texts, and rows with a null id on either side. Rows that share an id are one document or item, with every one of its
+words of a shorter item), aren't returned; an item of fewer words than an n-gram is found only in rows that consist of
+just these words, as a common word or two alone say nothing; null or empty
+texts and rows with a null id on either side are never returned. Rows that share an id are one document or item, with every one of its
 texts; the best alignment counts, ties to the earliest. Empty tables give an empty one. Texts have any length;
 other columns aren't read, whatever their names.
 """
@@ -27,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery.llm.common import collected, flat_bytes, ship, text_slices, written
-from orrery.llm.words import NOT_ALNUM, combine, word_hashes
+from orrery.llm.words import NOT_ALNUM, combine, run_hashes, unit_bounds
 
 
 @dataclass(frozen=True)
@@ -36,7 +39,7 @@ class Settings:
     common: float = 64.0  # an n-gram that so many times more rows hold than the item's median n-gram isn't a seed
     similarity: float = 0.5
     least_words: int = 6
-    most_bits: int = 27  # the Bloom filter has 2 ** 20 bits, or 16 for each n-gram, but 2 ** most_bits at most
+    most_bits: int = 27  # a Bloom filter has 2 ** 20 bits, or 16 for each n-gram, but 2 ** most_bits at most
 
 
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -71,35 +74,65 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return score, end - back, end
 
 
+def threshold(length: int, s: Settings) -> float:
+    """The score that makes a find of an item of so many words."""
+    return max(2 * s.similarity * length, MATCH * min(s.least_words, length))
+
+
 def enough(score: int, length: int, s: Settings) -> bool:
     """Whether an alignment's score with an item of so many words makes a find."""
-    return score >= max(2 * s.similarity * length, MATCH * min(s.least_words, length))
+    return score >= threshold(length, s)
 
 
-def admits(item: np.ndarray, passage: np.ndarray, s: Settings) -> bool:
-    """False only if no alignment of the passage can make a find: too few of the item's words in any stretch.
+def span(length: int, s: Settings) -> int:
+    """The most words of a passage that an alignment which makes a find covers.
 
     An alignment with m matches and o other steps scores 2 m - o. To make a find, 2 m - o >= t with m <= length, so o <= 2 length - t
-    and it covers 3 length - t words of the passage at most.
+    and it covers 3 length - t words at most.
     """
-    t = max(2 * s.similarity * len(item), MATCH * min(s.least_words, len(item)))
-    reach = int(3 * len(item) - t)
+    return int(3 * length - threshold(length, s))
+
+
+def admits(item: np.ndarray, passage: np.ndarray, s: Settings) -> bool:
+    """False only if no alignment of the passage can make a find: too few of the item's words in any stretch that one covers."""
+    reach = span(len(item), s)
     held = np.r_[0, np.cumsum(np.isin(passage, item))]
     most = int((held[reach:] - held[:-reach]).max()) if 0 < reach < len(held) - 1 else int(held[-1])
-    return MATCH * most >= t
+    return MATCH * most >= threshold(len(item), s)
 
 
 def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw, offsets = flat_bytes(column)
-    return word_hashes(raw, offsets, NOT_ALNUM)
+    starts, ends, firsts = unit_bounds(raw, offsets, NOT_ALNUM)
+    return run_hashes(raw, starts, ends), firsts
 
 
-def _grams(hashes: np.ndarray, firsts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The n-grams within the texts, the place of each in its text, and its text."""
+def _short(hashes: np.ndarray, firsts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each text of 1 to n - 1 words the number of its first word and one gram of all its words."""
+    sizes, at, grams = np.diff(firsts), [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for k in range(1, n):
+        if len(first := firsts[:-1][sizes == k]):
+            at.append(first)
+            grams.append(combine(hashes[(first[:, None] + np.arange(k)).ravel()], k)[::k])
+    return np.concatenate(at), np.concatenate(grams)
+
+
+def _grams(hashes: np.ndarray, firsts: np.ndarray, n: int, keep=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The n-grams within the texts, the number of the first word of each, and its text; those that ``keep`` gives the places of."""
     grams = combine(hashes, n)
-    text = np.searchsorted(firsts, np.arange(len(grams)), side="right") - 1
-    whole = np.arange(len(grams)) + n <= firsts[text + 1]
-    return grams[whole], (np.arange(len(grams)) - firsts[text])[whole], text[whole]
+    at = np.arange(len(grams)) if keep is None else keep(grams)
+    grams = grams[at]
+    text = np.searchsorted(firsts, at, side="right") - 1
+    whole = at + n <= firsts[text + 1]
+    first, short = _short(hashes, firsts, n)
+    if keep is not None:
+        kept = keep(short)
+        first, short = first[kept], short[kept]
+    grams, at = np.r_[grams[whole], short], np.r_[at[whole], first]
+    if len(short):
+        order = np.argsort(at, kind="stable")
+        grams, at = grams[order], at[order]
+    return grams, at, np.searchsorted(firsts, at, side="right") - 1
 
 
 def _items(items: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFrame:
@@ -136,53 +169,74 @@ def _in_bloom(bloom: np.ndarray, bits: int, grams: np.ndarray) -> np.ndarray:
     return found[(bloom[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool)]
 
 
-def _scan(rows: DataFrame, grams: DataFrame, s: Settings, reach: int | None) -> DataFrame:
-    """Of ``rows (key, text)``, without ``reach`` the grams in the filter of ``grams (gram)``, once a row: ``gram``.
-    With it the passages around them, ``reach`` words to either side: ``key, start, words, grams``."""
-    count = grams.distinct().count()
-    bits = min(s.most_bits, max(20, (16 * count).bit_length()))
-    shared = rows.sparkSession.sparkContext.broadcast(_bloom(grams, bits))  # 2 ** most_bits bits at most
+def _filter(grams: DataFrame, s: Settings) -> tuple[np.ndarray, int]:
+    """A Bloom filter of ``grams (gram)`` and its bits."""
+    grams = grams.distinct()
+    bits = min(s.most_bits, max(20, (16 * grams.count()).bit_length()))
+    return _bloom(grams, bits), bits
+
+
+def _held(rows: DataFrame, grams: DataFrame, s: Settings) -> DataFrame:
+    """Of ``rows (key, text)`` the grams in the filter of ``grams (gram)``, once a row: ``gram``."""
+    shared = rows.sparkSession.sparkContext.broadcast(_filter(grams, s))  # 2 ** most_bits bits at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in text_slices(batch.column(1)):
                 hashes, firsts = _words(batch.column(1)[a:b])
-                if len(hashes) < s.n:
-                    continue
-                grams = combine(hashes, s.n)
-                hit = _in_bloom(shared.value, bits, grams)
-                text = np.searchsorted(firsts, hit, side="right") - 1
-                whole = hit + s.n <= firsts[text + 1]
-                hit, text = hit[whole], text[whole]
-                if not len(hit):
+                grams, _, text = _grams(hashes, firsts, s.n, lambda g: _in_bloom(*shared.value, g))
+                if not len(grams):
                     continue
-                if reach is None:
-                    order = np.lexsort((grams[hit], text))
-                    hit, text = hit[order], text[order]
-                    once = np.r_[True, (text[1:] != text[:-1]) | (grams[hit[1:]] != grams[hit[:-1]])]
-                    yield pa.RecordBatch.from_arrays([pa.array(grams[hit[once]].view(np.int64))], ["gram"])
-                    continue
-                cut = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (hit[1:] - hit[:-1] > 2 * reach)])
-                rows = []
-                for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(hit)], strict=True):
-                    t = int(text[x])
-                    start, end = max(int(firsts[t]), int(hit[x]) - reach), min(int(firsts[t + 1]), int(hit[y - 1]) + s.n + reach)
-                    rows.append((start - int(firsts[t]), hashes[start:end].view(np.int64), np.unique(grams[hit[x:y]]).view(np.int64)))
-                types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-                keys = batch.column(0)[a:b].take(pa.array(text[cut]))
-                yield pa.RecordBatch.from_arrays([keys, *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True))], ["key", "start", "words", "grams"])
+                order = np.lexsort((grams, text))
+                grams, text = grams[order], text[order]
+                once = np.r_[True, (text[1:] != text[:-1]) | (grams[1:] != grams[:-1])]
+                yield pa.RecordBatch.from_arrays([pa.array(grams[once].view(np.int64))], ["gram"])
+
+    return rows.mapInArrow(run, "gram bigint")
+
+
+def _passages(rows: DataFrame, seeds: DataFrame, classes: list[tuple[int, int, int]], s: Settings) -> DataFrame:
+    """Of ``rows (key, text)`` the passages around ``seeds (gram, class)``: ``key, class, start, words, grams``.
+
+    ``classes`` has for each class of items (class, words to either side of a seed, least words of a passage).
+    """
+    each = [(*c, *_filter(seeds.where(F.col("class") == c[0]).select("gram"), s)) for c in classes]
+    shared = rows.sparkSession.sparkContext.broadcast((_filter(seeds.select("gram"), s), each))  # a filter a class, of which there are some dozen
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        union, by_class = shared.value
+        for batch in batches:
+            for a, b in text_slices(batch.column(1)):
+                hashes, firsts = _words(batch.column(1)[a:b])
+                all_grams, all_hits, all_texts = _grams(hashes, firsts, s.n, lambda g: _in_bloom(*union, g))
+                rows, texts = [], []
+                for number, reach, least, bloom, bits in by_class:
+                    mine = _in_bloom(bloom, bits, all_grams)
+                    grams, hit, text = all_grams[mine], all_hits[mine], all_texts[mine]
+                    cut = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (hit[1:] - hit[:-1] > 2 * reach)]) if len(hit) else []
+                    for x, y in zip(cut, [*cut[1:], len(hit)], strict=True) if len(hit) else ():
+                        first, last = int(firsts[text[x]]), int(firsts[text[x] + 1])
+                        start, end = max(first, int(hit[x]) - reach), min(last, int(hit[y - 1]) + s.n + reach)
+                        if end - start >= least:
+                            texts.append(text[x])
+                            rows.append((number, start - first, hashes[start:end].view(np.int64), np.unique(grams[x:y]).view(np.int64)))
+                if rows:
+                    types = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)]
+                    keys = batch.column(0)[a:b].take(pa.array(texts, pa.int64()))
+                    yield pa.RecordBatch.from_arrays([keys, *columns], ["key", "class", "start", "words", "grams"])
 
     key = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, "gram bigint" if reach is None else f"key {key}, start bigint, words array<bigint>, grams array<bigint>")
+    return rows.mapInArrow(run, f"key {key}, class int, start bigint, words array<bigint>, grams array<bigint>")
 
 
 def _seeds(tests: DataFrame, rows: DataFrame, s: Settings) -> DataFrame:
-    """``gram, iid``: the n-grams of each item text that rows hold, without those far more frequent than its median one."""
-    grams = tests.select("iid", F.explode("grams").alias("gram")).distinct()
-    counted = _scan(rows, grams.select("gram"), s, None).groupBy("gram").agg(F.count("*").alias("df"))
+    """``gram, iid, class``: the n-grams of each item text that rows hold, without those far more frequent than its median one."""
+    grams = tests.select("iid", "class", F.explode("grams").alias("gram")).distinct()
+    counted = _held(rows, grams.select("gram"), s).groupBy("gram").agg(F.count("*").alias("df"))
     held = written(grams.join(counted, "gram"), "held")
     median = held.groupBy("iid").agg(F.median("df").alias("median"))  # an item's n-grams are bounded by its text
-    return written(held.join(median, "iid").where(F.col("df") <= F.col("median") * s.common).select("gram", "iid"), "seeds")
+    return written(held.join(median, "iid").where(F.col("df") <= F.col("median") * s.common).select("gram", "iid", "class"), "seeds")
 
 
 def _best(pairs: DataFrame, s: Settings) -> DataFrame:
@@ -216,11 +270,14 @@ def contaminated_keys(docs: DataFrame, key: Column, items: DataFrame, settings:
     ship(docs.sparkSession)
     s = settings
     rows = docs.select(key.alias("key"), F.col(f"`{text_col}`").alias("text")).where("key is not null")
-    tests = written(_items(items, s, item_id_col, item_text_col).withColumn("iid", F.monotonically_increasing_id()), "items")
-    reach = tests.agg(F.max(F.size("words"))).first()[0] or 0
+    size = F.size("words")
+    tests = _items(items, s, item_id_col, item_text_col).withColumns({"class": F.ceil(F.log2(size)).cast("int"), "iid": F.monotonically_increasing_id()})
+    tests = written(tests, "items")
+    lengths = tests.groupBy("class").agg(F.min(size).alias("least"), F.max(size).alias("most")).collect()  # some dozen rows
+    classes = [(r["class"], max(0, span(r["most"], s) - s.n), int(np.ceil(threshold(r["least"], s) / MATCH))) for r in lengths]
     seeds = _seeds(tests, rows, s)
-    passages = written(_scan(rows, seeds.select("gram"), s, reach).withColumn("pid", F.monotonically_increasing_id()), "passages", wide=True)
-    pairs = passages.select("pid", F.explode("grams").alias("gram")).join(seeds, "gram").select("pid", "iid").distinct()
+    passages = written(_passages(rows, seeds, classes, s).withColumn("pid", F.monotonically_increasing_id()), "passages", wide=True)
+    pairs = passages.select("pid", "class", F.explode("grams").alias("gram")).join(seeds, ["gram", "class"]).select("pid", "iid").distinct()
     pairs = pairs.join(passages.select("pid", "key", "start", "words"), "pid").join(tests.select("iid", "item_id", F.col("words").alias("item_words")), "iid")
     return _best(pairs.select("key", "item_id", "start", "words", "item_words"), s)
 

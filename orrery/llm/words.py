@@ -40,6 +40,36 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def _alone(raw: np.ndarray) -> np.ndarray | None:
+    """Where a code point of a script without blanks begins: Thai, Lao, Burmese, Khmer, kana, ideographs; None if nowhere."""
+    if not (raw >= 0xE0).any():
+        return None
+    then = np.r_[raw[1:], np.uint8(0)]
+    out = (raw >= 0xE3) & (raw <= 0xE9)
+    out |= (raw == 0xE0) & (then >= 0xB8) & (then <= 0xBB)
+    out |= (raw == 0xE1) & ((then <= 0x82) & (then >= 0x80) | (then == 0x9E) | (then == 0x9F))
+    out |= (raw == 0xEF) & (then >= 0xA4) & (then <= 0xAB)
+    out |= (raw == 0xF0) & (then >= 0xA0) & (then <= 0xB3)
+    return out if out.any() else None
+
+
+def unit_bounds(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``word_bounds``, but each code point of a script without blanks is a word of its own."""
+    starts, ends, firsts = word_bounds(raw, offsets, separators)
+    alone = _alone(raw)
+    if alone is None:
+        return starts, ends, firsts
+    at = np.flatnonzero(alone)
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[at] = True
+    edge[np.minimum(at + np.where(raw[at] >= 0xF0, 4, 3), len(raw))] = True  # of the next code point
+    edge[starts] = edge[ends] = False
+    cuts = np.flatnonzero(edge)
+    cuts = cuts[np.searchsorted(starts, cuts, side="right") > np.searchsorted(ends, cuts, side="right")]  # inside a word
+    starts, ends = np.sort(np.r_[starts, cuts]), np.sort(np.r_[ends, cuts])
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
 def word_bounds(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each word, and for each text the number of its first word."""
     inside = ~separators[raw]

@@ -173,3 +173,73 @@ def test_query_against_all_pairs(spark):
                 wanted[r["doc_id"], k] = score
     got = {(r["doc_id"], r["item_id"]): r["score"] for r in op6_decontaminate(spark, folder).collect()}
     assert got.items() <= wanted.items() and len(got) >= 0.9 * len(wanted) > 2
+
+
+def test_scripts_without_blanks(spark, documents):
+    """Items of ideographs, kana and Thai inside other text of their script, whole and with one code point changed."""
+    chinese = "床前明月光疑是地上霜举头望明月低头思故乡"
+    kana = "いろはにほへとちりぬるをわかよたれそつねならむ"
+    thai = "ภาษาไทยเป็นภาษาที่มีระดับเสียง"
+    tests = spark.createDataFrame([(1, chinese), (2, kana), (3, thai), (4, "𠀀𠀁𠀂𠀃𠀄𠀅𠀆")], "item_id long, text string")
+    docs = [
+        (1, "他说道" + chinese + "然后离开了"), (2, "彼は" + kana + "と言った"), (3, "เขาพูดว่า" + thai + "แล้วไป"), (4, "今天天气很好我们去公园"), (5, "é" * 30),
+        (6, "abc" + chinese.replace("霜", "雪") + "xyz"), (7, "x𠀀𠀁𠀂𠀃𠀄𠀅𠀆y"), (8, "床前"),
+    ]
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in contaminated(documents([(i, t, "zh") for i, t in docs]), tests).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (6, 1), (7, 4)}
+    assert got[1, 1] == got[2, 2] == got[3, 3] == 1 and 0.9 < got[6, 1] < 1
+
+
+def test_units_of_mixed_texts():
+    """Bounds against a plain split of each text into code points of scripts without blanks and runs of other words."""
+    from orrery.llm.words import NOT_ALNUM, unit_bounds
+
+    r = random.Random(3)
+    alphabet = ["a", "Z", "7", " ", "\n", "-", "é", "ß", "한", "月", "い", "ท", "က", "ក", "𠀀", "😀", "\uf900"]
+    alone = set("月いทကក𠀀\uf900")
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 30))) for _ in range(300)]
+    wanted = []
+    for t in texts:
+        parts = re.findall("[" + "".join(alone) + "]|[^" + "".join(alone) + r" \n\-]+", t)
+        wanted.append([p.encode() for p in parts])
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    starts, ends, firsts = unit_bounds(raw, offsets, NOT_ALNUM)
+    got = [[raw[a:b].tobytes() for a, b in zip(starts[x:y], ends[x:y], strict=True)] for x, y in zip(firsts[:-1], firsts[1:], strict=True)]
+    assert got == wanted
+
+
+def test_short_items_are_found_as_whole_texts(spark, documents):
+    """An item of one or two words is found where a text consists of just these words, not where it is part of a longer one."""
+    tests = spark.createDataFrame([(1, "Yes."), (2, "not sure"), (3, "one two three")], "item_id long, text string")
+    docs = [(1, "yes"), (2, "Not sure!"), (3, "yes it is"), (4, "I am not sure"), (5, "sure not"), (6, "so one two three go"), (7, "not"), (8, "!!"), (9, "YES\n")]
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in contaminated(documents([(i, t, "en") for i, t in docs]), tests).collect()}
+    assert got == {(1, 1): 2, (9, 1): 2, (2, 2): 4, (6, 3): 6}
+
+
+def test_a_long_item_changes_no_other_passage(spark, documents):
+    """Items of 12 and of 10,000 words: the passages of the short one are as without the long one, and both are found."""
+    from pyspark.sql import functions as F
+
+    from orrery.llm import decontaminate as d
+
+    r = random.Random(31)
+    short, long, filler = words(r, 12), words(r, 10_000), words(r, 30_000)
+    docs = documents([(1, " ".join([*filler[:20_000], *short, *filler[20_000:]]), "en"), (2, " ".join([*filler[:100], *edited(r, long, 0.1), *filler[:100]]), "en"), (3, " ".join(long[:4000]), "en")])
+    seen = []
+    plain = d._passages
+
+    def record(*args):
+        out = plain(*args)
+        seen.append({(x["key"], x["class"], x["n"]) for x in out.select("key", "class", F.size("words").alias("n")).collect()})
+        return out
+
+    d._passages = record
+    try:
+        for items in ([(1, " ".join(short))], [(1, " ".join(short)), (2, " ".join(long))]):
+            got = contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    finally:
+        d._passages = plain
+    assert {(x["doc_id"], x["item_id"]) for x in got} == {(1, 1), (2, 2)}
+    assert seen[0] == {x for x in seen[1] if x[1] == 4} and max(n for *_, n in seen[0]) < 60  # class 4: up to 16 words
+    assert not [x for x in seen[1] if x[0] == 3]  # too short for the long item

@@ -60,6 +60,11 @@ def parse_stars(text_rows: DataFrame, config: CatalogConfig = CatalogConfig()) -
         "block",
         "in_scan",
     )
+    return judged(typed, config)
+
+
+def judged(typed: DataFrame, config: CatalogConfig = CatalogConfig()) -> DataFrame:
+    """Typed star rows with ``malformed`` and their place, as typed stars with ``skip_field`` and ``skip_reason``."""
     out = checked(typed, config)
     bad = F.col("malformed")
     return out.withColumns({"skip_field": F.when(bad, "row").otherwise(F.col("skip_field")), "skip_reason": F.when(bad, "malformed row").otherwise(F.col("skip_reason"))})

@@ -16,6 +16,7 @@ from orrery.plans.catalog import require_coordinates, with_coordinates
 from orrery.plans.checkpoint import staged, staged_with_counts
 from orrery.plans.incremental import ingest
 from orrery.sources.csv_files import planet_counts, planet_rows, read_planet_csv, read_star_csv
+from orrery.sources.fits_files import read_star_fits
 from orrery.sources.storage import file_states
 
 
@@ -34,6 +35,7 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--chunk-size", type=float, default=default.chunk_size)
     build.add_argument("--resume", action="store_true", help="take up stages that are complete for the same parameters and inputs (paths, lengths, times of change)")
     build.add_argument("--stats", action="store_true")
+    build.add_argument("--gaia-format", choices=["csv", "fits"], default="csv", help="fits: binary tables with the columns of the CSV files")
     check = commands.add_parser("verify")
     check.add_argument("--output-path", required=True)
     check.add_argument("--content", action="store_true", help="also compare every chunk's stars with the digest that it was written with")
@@ -47,13 +49,19 @@ def _config(args: argparse.Namespace) -> CatalogConfig:
     return CatalogConfig(args.parallax_snr, args.proximity_arcsec, args.proximity_mag_tolerance, args.chunk_size)
 
 
+def _stars(spark: SparkSession, args: argparse.Namespace, config: CatalogConfig) -> DataFrame:
+    if args.gaia_format == "fits":
+        return quality.judged(read_star_fits(spark, args.gaia_path), config)
+    return quality.parse_stars(read_star_csv(spark, args.gaia_path), config)
+
+
 def build_catalog(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """Runs all stages, writes the outputs and returns one row of statistics."""
     config = _config(args)
     out = args.output_path.rstrip("/")
     inputs = [file_states(spark, p) for p in (args.gaia_path, args.exoplanet_path) if p]
     mark = config.fingerprint(json.dumps([args.gaia_path, args.exoplanet_path, inputs]))
-    read = lambda: quality.parse_stars(read_star_csv(spark, args.gaia_path), config)
+    read = lambda: _stars(spark, args, config)
     parsed, stats = staged_with_counts(spark, out, "parsed", mark, args.resume, read, quality.parse_metrics())
     sinks.write_rejects(quality.rejects(parsed), f"{out}/rejects")
     placed = require_coordinates(with_coordinates(quality.kept_stars(parsed)))

@@ -171,3 +171,4 @@ ORACLE_SQL["q_csv_rejects"] = _with(
     "SELECT CASE WHEN source_id % 23 = 0 THEN 'row' WHEN r IS NULL THEN 'kept' ELSE 'parallax' END AS field, CASE WHEN source_id % 23 = 0 THEN 'malformed row' ELSE coalesce(r, 'kept') END AS reason, count(*) AS n "
     f"FROM (SELECT source_id, {_SKIP} AS r FROM (SELECT source_id, CASE WHEN source_id % 29 = 0 THEN 0.005 ELSE parallax END AS parallax, CASE WHEN source_id % 29 = 0 THEN 0.0005 ELSE parallax_error END AS parallax_error FROM raw_stars)) GROUP BY ALL",
 )
+ORACLE_SQL["q_fits_stars"] = ORACLE_SQL["q_csv_stars"]  # the same values are missing

@@ -20,6 +20,8 @@ from orrery.plans.sky import stars_in_radius as sky_radius
 from orrery.plans.sql_functions import register
 from orrery.sources import tables
 from orrery.sources.csv_files import planet_rows, read_star_csv
+from orrery.sources.fits_files import read_star_fits
+from orrery.sources.fits_files import register as register_fits
 from orrery.sources.storage import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -285,6 +287,26 @@ def csv_rejects(spark, sf):
     return parsed.groupBy(F.coalesce("skip_field", F.lit("kept")).alias("field"), F.coalesce("skip_reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
 
 
+@_query
+def fits_stars(spark, sf):
+    """Stars written as FITS binary tables, some of their values missing, and read again by ranges of rows: what is kept, and why the others aren't."""
+    folder = scratch_folder(spark, "stars.fits")
+    register_fits(spark)
+    lost = lambda k, c: F.when(F.col("source_id") % k != 0, F.col(c))
+    rows = tables.stars(spark, sf).select(
+        "source_id",
+        lost(11, "ra").alias("ra"),
+        F.col("dec_deg").alias("dec"),
+        lost(13, "parallax").alias("parallax"),
+        "parallax_error",
+        lost(17, "magnitude").cast("float").alias("phot_g_mean_mag"),
+        lost(5, "bp_rp").cast("float").alias("bp_rp"),
+    )
+    rows.write.format("fits").mode("append").save(folder)
+    judged = quality.judged(read_star_fits(spark, folder))
+    return judged.select("source_id", _r("ra", "ra"), _r("parallax", "parallax"), _r(F.col("bp_rp").cast("double"), "bp_rp"), "skip_field", "skip_reason")
+
+
 @_query
 def csv_planets(spark, sf):
     """Planets written as CSV, some of them damaged, and read again: the usable ones."""

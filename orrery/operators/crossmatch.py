@@ -53,8 +53,12 @@ def match_nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = Ca
     return nearest(hosts, stars, config, few).select("host", F.col("m.source_id").alias("source_id"), F.col("m.sep").alias("sep_arcsec"))
 
 
-def nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = CatalogConfig(), few: bool | None = None) -> DataFrame:
-    """``host, m``: separation, order and id of the nearest star within the radius. The least ``m`` of two sets of stars is that of both.
+#: Which of equally near stars a host takes: the earliest, or the one with the least id.
+EARLIEST, LEAST_ID = ("ord", "source_id"), ("source_id", "ord")
+
+
+def nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = CatalogConfig(), few: bool | None = None, ties: tuple[str, str] = EARLIEST) -> DataFrame:
+    """``host, m``: separation, then by ``ties`` order and id of the nearest star within the radius. The least ``m`` of two sets of stars is that of both.
 
     Both sides are put on a grid of unit vectors whose cells are at least as wide as the radius's chord; a host goes to the
     cells that the cube around its circle meets, mostly one: an equi-join on the cell. Unit vectors have
@@ -78,7 +82,7 @@ def nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = CatalogC
         on.append("part")
     sep = separation_arcsec(F.col("h_ra"), F.col("h_dec"), F.col("ra"), F.col("dec_deg"))
     near = placed.join(around, on).withColumn("sep", sep).where((F.col("sep") < config.proximity_arcsec) & ~F.isnan("sep"))
-    return near.groupBy("host").agg(F.min(F.struct("sep", "ord", "source_id")).alias("m"))
+    return near.groupBy("host").agg(F.min(F.struct("sep", *ties)).alias("m"))
 
 
 def split_dense(around: DataFrame, placed: DataFrame, axes: list[str], most: int) -> tuple[DataFrame, DataFrame]:

@@ -11,7 +11,7 @@ Under the catalog's folder, beside the chunk table, chunk states and manifest of
 | ``pending.json`` | the batch that is being written, and the table of regions that it replaces |
 
 What a batch touches: the regions of its stars; by the ledger, those of files that changed or went; and those of stars whose planets change because a host has a
-nearer star now. Colour medians belong to a cell, and a cell to one region. A host's nearest star is the least of (separation, place in the files)
+nearer star now. Colour medians belong to a cell, and a cell to one region. A host's nearest star is the least of (separation, place in the files, or id)
 over all stars, so the one of a batch is merged with the one before; only hosts that are new or whose star's file changed are
 searched for in all stars.
 
@@ -96,16 +96,16 @@ def _incoming(spark: SparkSession, work: str, out: str, batch: int, paths: list[
     return placed.withColumn("region", sinks.region_name()).drop(*sinks.REGION)
 
 
-def _merged_matches(spark: SparkSession, out: str, state: dict, hosts: DataFrame, kept: DataFrame, incoming: DataFrame, gone: DataFrame, config: CatalogConfig) -> DataFrame:
+def _merged_matches(spark: SparkSession, out: str, state: dict, hosts: DataFrame, kept: DataFrame, incoming: DataFrame, gone: DataFrame, config: CatalogConfig, ties: tuple[str, str]) -> DataFrame:
     """``host, ra, dec_deg, m``: each host's nearest of the stars ``kept`` and ``incoming``. ``gone`` are the files whose stars aren't as they were."""
-    here = crossmatch.nearest(hosts, incoming, config)
+    here = crossmatch.nearest(hosts, incoming, config, ties=ties)
     if not state.get("batch"):
         return hosts.select("host", "ra", "dec_deg").join(here, "host", "left")
     old = spark.read.parquet(f"{out}/matches-{state['batch']}")
     old = old.withColumn("file", F.col("m.ord.file")).join(gone.select("file", F.lit(True).alias("lost")), "file", "left").where("lost is null")
     known = hosts.join(old.select("host", "ra", "dec_deg", F.col("m").alias("before"), F.lit(True).alias("known")), ["host", "ra", "dec_deg"], "left")
     searched = known.where("known is null").select("host", "ra", "dec_deg")
-    everywhere = None if searched.isEmpty() else crossmatch.nearest(searched, kept, config)
+    everywhere = None if searched.isEmpty() else crossmatch.nearest(searched, kept, config, ties=ties)
     best = known.select("host", "ra", "dec_deg", "before").join(here, "host", "left")
     if everywhere is None:
         return best.select("host", "ra", "dec_deg", F.least("before", "m").alias("m"))
@@ -130,15 +130,17 @@ def _drop_emptied(spark: SparkSession, out: str, touched: DataFrame, rows: DataF
             delete(spark, folder)
 
 
-def ingest(spark: SparkSession, gaia_path: str, out: str, exoplanet_path: str | None = None, config: CatalogConfig = CatalogConfig()) -> dict:
+def ingest(spark: SparkSession, gaia_path: str, out: str, exoplanet_path: str | None = None, config: CatalogConfig = CatalogConfig(), by_id: bool = False) -> dict:
     """Brings the catalog in the folder ``out`` up to the files of ``gaia_path`` (a CSV file or a folder of them) and planets; says what was done.
 
-    The result equals a build from all files. A file counts as changed if its length or time of change has.
+    The result equals a build from all files. Of stars that are equally near to a host it takes the earliest in the files, or with ``by_id``, where
+    the names of files say nothing about the order of stars, the one with the least id. A file counts as changed if its length or time of change has.
     Raises ``SourceError`` if the catalog was made with other parameters, if a folder holds one that wasn't made so, or if no star is left.
     """
     out = out.rstrip("/")
     state = _document(spark, f"{out}/state.json")
-    mark = config.fingerprint("planets" if exoplanet_path else "no planets")
+    ties = crossmatch.LEAST_ID if by_id else crossmatch.EARLIEST
+    mark = config.fingerprint("planets" if exoplanet_path else "no planets", *(["ties by id"] if by_id else []))
     if state and state["parameters"] != mark:
         raise SourceError(f"{out} was made with other parameters")
     if not state and children(spark, f"{out}/chunks") and not children(spark, f"{out}/base"):
@@ -185,7 +187,7 @@ def ingest(spark: SparkSession, gaia_path: str, out: str, exoplanet_path: str |
     if planets is not None:
         hosts = crossmatch.group_hosts(planets)
         everything = kept.unionByName(incoming)
-        _merged_matches(spark, out, state, hosts, everything, incoming, gone, config).write.mode("overwrite").parquet(f"{out}/matches-{batch}")
+        _merged_matches(spark, out, state, hosts, everything, incoming, gone, config, ties).write.mode("overwrite").parquet(f"{out}/matches-{batch}")
         matches = spark.read.parquet(f"{out}/matches-{batch}").where("m is not null").select("host", F.col("m.source_id").alias("source_id"))
         crossmatch.planet_lists(planets, matches).write.mode("overwrite").parquet(f"{out}/attached-{batch}")
         attached = spark.read.parquet(f"{out}/attached-{batch}")

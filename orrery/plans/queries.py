@@ -345,13 +345,13 @@ def _planet_csv(planets: DataFrame) -> DataFrame:
 
 @_query
 def incremental_manifest(spark, sf):
-    """A catalog ingested in two batches of files: near stars first, then all others; its manifest is that of one build."""
+    """A catalog ingested in two batches of files: near stars first, then all others; its manifest is that of one build. Spark's names of files are no order of stars, so equally near ones go by their id."""
     folder = scratch_folder(spark, "incremental")
     _planet_csv(tables.planets(spark, sf)).write.csv(f"{folder}/planets", header=True)
     raw, near = tables.stars(spark, sf), F.col("parallax") >= 40
     for part in (raw.where(near), raw.where(~near)):
         _star_csv(part).write.mode("append").csv(f"{folder}/stars", header=True)
-        ingest(spark, f"{folder}/stars", f"{folder}/catalog", f"{folder}/planets")
+        ingest(spark, f"{folder}/stars", f"{folder}/catalog", f"{folder}/planets", by_id=True)
     bounds = [_r(f"{m}_{c}", f"{m}_{c}") for m in ("min", "max") for c in "xyz"]
     out = spark.read.parquet(f"{folder}/catalog/manifest.parquet")
     return out.select("ix", "iy", "iz", "star_count", "planet_star_count", "observed_count", "inferred_count", "synthetic_count", *bounds, "file_name")

@@ -9,7 +9,10 @@ from orrery.operators import quality
 from orrery.plans import cli, compare, incremental, sinks
 from orrery.plans.catalog import build
 from orrery.plans.incremental import ingest, ledger, of_regions
+from orrery.plans.oracle import ORACLE_SQL
+from orrery.plans.queries import QUERIES
 from orrery.sources.csv_files import SourceError, read_star_csv
+from tests.conftest import assert_same
 
 HEADER = "source_id,ra,dec,parallax,parallax_error,phot_g_mean_mag,bp_rp\n"
 PLANETS = "pl_name,hostname,ra,dec,pl_orbsmax,pl_orbper,pl_rade,pl_eqt,discoverymethod\n"
@@ -148,3 +151,16 @@ def test_a_failed_stage_is_made_again(spark, tmp_path):
         staged(spark, folder, "s", "two", True, broken)
     assert staged(spark, folder, "s", "one", True, make(4)).count() == 4  # its marker went before its table
     assert staged(spark, folder, "s", "one", True, make(5)).count() == 4
+
+
+def test_equally_near_stars_go_by_id(spark, tmp_path):
+    """Stars at the same place, the larger ids first in the files and in the first batch or the last: the query's manifest is SQL's."""
+    import duckdb
+
+    ids = f"(SELECT 3 * k + {360_000} * j AS id FROM range(1, 500) a(k), range(4) b(j))"
+    sql = duckdb.connect()
+    sql.execute(f"COPY (SELECT id AS o_orderkey, CAST(0 AS BIGINT) AS o_custkey FROM {ids} ORDER BY id DESC) TO '{tmp_path}/orders.parquet'")
+    sql.execute(f"COPY (SELECT k AS p_partkey, k % 50 AS p_size FROM range(1, 500) a(k)) TO '{tmp_path}/part.parquet'")
+    for t in ("orders", "part"):
+        sql.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    assert_same(QUERIES["q_incremental_manifest"](spark, str(tmp_path)), ORACLE_SQL["q_incremental_manifest"], sql)

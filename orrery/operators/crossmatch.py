@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery.config import CatalogConfig
@@ -36,16 +36,38 @@ def match_names(hosts: DataFrame, stars: DataFrame) -> DataFrame:
     return hosts.select("host").join(named, "host").groupBy("host").agg(F.min("s")["id"].alias("source_id"))
 
 
+#: The cell of a grid of unit vectors.
+AXES = ["gx", "gy", "gz"]
+#: In dense cells the radius of the search grows by this factor, in so many steps.
+FINER, STEPS = 8, 3
+
+
 def cells_of_a_host(config: CatalogConfig) -> int:
     """At most so many cells of the grid meet the cube around a host's circle."""
-    chord, width = _grid(config)
+    chord, width = _grid(config.proximity_arcsec)
     return (int(2 * chord / width) + 2) ** 3
 
 
-def _grid(config: CatalogConfig) -> tuple[float, float]:
-    """The chord of the radius and the width of a cell."""
-    chord = 2 * math.sin(min(config.proximity_arcsec / ARCSEC_PER_RADIAN, math.pi) / 2) * 1.0001 + 1e-12
-    return chord, max(chord, 1e-4)
+def _grid(radius: float, least: float = 1e-4) -> tuple[float, float]:
+    """The chord of a radius in arc seconds and the width of a cell."""
+    chord = 2 * math.sin(min(radius / ARCSEC_PER_RADIAN, math.pi) / 2) * 1.0001 + 1e-12
+    return chord, max(chord, least)
+
+
+def _in_cells(stars: DataFrame, width: float) -> DataFrame:
+    return stars.withColumns({g: F.floor(u / width) for u, g in zip(unit_vector(F.col("ra"), F.col("dec_deg")), AXES, strict=True)})
+
+
+def _around(hosts: DataFrame, chord: float, width: float, done: Column | None = None) -> DataFrame:
+    """``hosts (h_ra, h_dec)`` in each cell that the cube around their circle meets; those ``done`` in one row without a cell."""
+    for u, g in zip(unit_vector(F.col("h_ra"), F.col("h_dec")), AXES, strict=True):
+        met = F.sequence(F.floor((u - chord) / width), F.floor((u + chord) / width))
+        hosts = hosts.withColumn(g, F.explode(met if done is None else F.when(done, F.array(F.lit(None).cast("bigint"))).otherwise(met)))
+    return hosts
+
+
+def _within(radius: float) -> Column:
+    return (F.col("sep") < radius) & ~F.isnan("sep")
 
 
 def match_nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = CatalogConfig(), few: bool | None = None) -> DataFrame:
@@ -63,26 +85,45 @@ def nearest(hosts: DataFrame, stars: DataFrame, config: CatalogConfig = CatalogC
     Both sides are put on a grid of unit vectors whose cells are at least as wide as the radius's chord; a host goes to the
     cells that the cube around its circle meets, mostly one: an equi-join on the cell. Unit vectors have
     no wrap at 0 degrees and no special poles. Hosts are broadcast if their cells are ``config.broadcast_hosts`` at most;
-    ``few`` says whether that holds if the caller knows it already (see ``cells_of_a_host``). Beyond it both sides shuffle, and a
-    cell with more than ``config.dense_cell`` stars, such as a cluster that is narrower than a cell, is split, see ``split_dense``.
+    ``few`` says whether that holds if the caller knows it already (see ``cells_of_a_host``). Beyond it both sides shuffle, and
+    cells with more than ``config.dense_cell`` stars, such as a cluster that is narrower than a cell, are searched by growing radii, see ``_nearest_of_many``.
     """
-    chord, width = _grid(config)
-    axes = ("gx", "gy", "gz")
-    position = lambda: zip(unit_vector(F.col("ra"), F.col("dec_deg")), axes, strict=True)
-    met = [F.sequence(F.floor((u - chord) / width), F.floor((u + chord) / width)).alias(g) for u, g in position()]
-    around = hosts.select("host", F.col("ra").alias("h_ra"), F.col("dec_deg").alias("h_dec"), *met)
-    for g in axes:
-        around = around.withColumn(g, F.explode(g))
-    placed = stars.select("source_id", F.col(_order(stars)).alias("ord"), "ra", "dec_deg", *[F.floor(u / width).alias(g) for u, g in position()])
-    on = list(axes)
-    if fits(around, config.broadcast_hosts) if few is None else few:
-        around = F.broadcast(around)
-    else:
-        around, placed = split_dense(around, placed, on, config.dense_cell)
-        on.append("part")
+    chord, width = _grid(config.proximity_arcsec)
+    around = _around(hosts.select("host", F.col("ra").alias("h_ra"), F.col("dec_deg").alias("h_dec")), chord, width)
+    placed = _in_cells(stars.select("source_id", F.col(_order(stars)).alias("ord"), "ra", "dec_deg"), width)
     sep = separation_arcsec(F.col("h_ra"), F.col("h_dec"), F.col("ra"), F.col("dec_deg"))
-    near = placed.join(around, on).withColumn("sep", sep).where((F.col("sep") < config.proximity_arcsec) & ~F.isnan("sep"))
-    return near.groupBy("host").agg(F.min(F.struct("sep", *ties)).alias("m"))
+    best = lambda pairs: pairs.withColumn("sep", sep).where(_within(config.proximity_arcsec)).groupBy("host").agg(F.min(F.struct("sep", *ties)).alias("m"))
+    if fits(around, config.broadcast_hosts) if few is None else few:
+        return best(placed.join(F.broadcast(around), AXES))
+    dense = F.broadcast(_dense(placed, AXES, config.dense_cell).select(*AXES))
+    near = best(placed.join(dense, AXES, "left_anti").join(around.hint("merge"), AXES))
+    left = around.join(dense, AXES, "left_semi").select("host", "h_ra", "h_dec").distinct().withColumn("m", F.lit(None).cast(near.schema["m"].dataType))
+    of_many = _nearest_of_many(left, placed.join(dense, AXES, "left_semi"), config, ties).where("m is not null")
+    return near.unionByName(of_many.select("host", "m")).groupBy("host").agg(F.min("m").alias("m"))
+
+
+def _nearest_of_many(hosts: DataFrame, stars: DataFrame, config: CatalogConfig, ties: tuple[str, str]) -> DataFrame:
+    """``host, m`` over the stars of dense cells.
+
+    Of stars at one position only the first by ``ties`` can be the nearest. A small radius is searched first, on a grid as fine;
+    who has a star within it has its nearest one, and only the others are searched with the next larger radius. So what a host is compared with doesn't
+    grow with the density of its field. What is denser than the finest grid is dealt to parts.
+    """
+    stars = stars.groupBy("ra", "dec_deg").agg(F.min(F.struct(*ties)).alias("star")).select("ra", "dec_deg", "star.*")
+    for step in range(STEPS, -1, -1):
+        radius, found = config.proximity_arcsec / FINER**step, F.col("m").isNotNull()
+        chord, _ = _grid(radius)
+        around, placed = split_dense(_around(hosts, chord, 2 * chord, found), _in_cells(stars, 2 * chord), AXES, config.dense_cell)
+        around = around.withColumn("part", F.when(found, -1 - F.pmod(F.xxhash64("host"), F.lit(1 << 31))).otherwise(F.col("part")))  # spread, as they meet no star
+        pairs = around.join(placed.hint("merge"), [*AXES, "part"], "left")
+        pairs = pairs.withColumn("sep", separation_arcsec(F.col("h_ra"), F.col("h_dec"), F.col("ra"), F.col("dec_deg")))
+        hosts = pairs.groupBy("host", "h_ra", "h_dec").agg(F.min(F.coalesce("m", F.when(_within(radius), F.struct("sep", *ties)))).alias("m"))
+    return hosts
+
+
+def _dense(placed: DataFrame, axes: list[str], most: int) -> DataFrame:
+    """``n``, the stars of the cells that have more than ``most``: at most one cell for ``most`` stars."""
+    return placed.groupBy(*axes).agg(F.count("*").alias("n")).where(F.col("n") > most)
 
 
 def split_dense(around: DataFrame, placed: DataFrame, axes: list[str], most: int) -> tuple[DataFrame, DataFrame]:
@@ -90,7 +131,7 @@ def split_dense(around: DataFrame, placed: DataFrame, axes: list[str], most: int
 
     The nearest star of a cell is the nearest of its parts' nearest. Dense cells are at most one for ``most`` stars, which bounds what is broadcast.
     """
-    dense = placed.groupBy(*axes).agg(F.count("*").alias("n")).where(F.col("n") > most).select(*axes, F.ceil(F.col("n") / most).alias("parts"))
+    dense = _dense(placed, axes, most).select(*axes, F.ceil(F.col("n") / most).alias("parts"))
     dealt = F.pmod(F.xxhash64("source_id", "ra", "dec_deg"), F.col("parts"))
     placed = placed.join(F.broadcast(dense), axes, "left").withColumn("part", F.coalesce(dealt, F.lit(0))).drop("parts")
     around = around.join(F.broadcast(dense), axes, "left")

@@ -122,6 +122,31 @@ def test_dense_fields_are_split(spark):
     assert set(sizes) <= {(x["g"], x["part"]) for x in around.collect()}
 
 
+def rows_of(plan, node):
+    """Rows that the nodes of a plan that has run put out, by the name of their kind."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return rows_of(plan.executedPlan(), node)
+    if plan.nodeName().endswith("QueryStage"):
+        return rows_of(plan.plan(), node)
+    metric = plan.metrics().get("numOutputRows") if node in plan.nodeName() else None
+    below = plan.children()
+    return (metric.get().value() if metric is not None and metric.isDefined() else 0) + sum(rows_of(below.apply(i), node) for i in range(below.size()))
+
+
+def test_hosts_of_a_dense_field_are_few_rows(spark):
+    """A field with 4,000 stars, in groups at one place, and 500 hosts: neither hosts nor pairs grow with the number of its parts."""
+    r = random.Random(12)
+    at = [(80.0 + r.uniform(0, 1e-3), 20.0 + r.uniform(0, 1e-3)) for _ in range(1_000)]
+    table = spark.createDataFrame([(4 * i + k, *p) for i, p in enumerate(at) for k in range(4)], "source_id long, ra double, dec_deg double")
+    far = [("edge", 80.0, 20.0015), ("sparse", 80.0, 20.0019)]  # within the radius of a few stars, of none
+    hosts = spark.createDataFrame([(f"h{k}", 80.0 + r.uniform(0, 1e-3), 20.0 + r.uniform(0, 1e-3)) for k in range(500)] + far, "host string, ra double, dec_deg double")
+    out = crossmatch.match_nearest(hosts, table, CatalogConfig(dense_cell=20), few=False)
+    got = {x["host"]: (x["source_id"], x["sep_arcsec"]) for x in out.collect()}
+    assert got == {x["host"]: (x["source_id"], x["sep_arcsec"]) for x in crossmatch.match_nearest(hosts, table).collect()} and len(got) >= 501
+    plan = out._jdf.queryExecution().executedPlan()
+    assert rows_of(plan, "Generate") < 100 * 500 and rows_of(plan, "SortMergeJoin") < 200 * 500
+
+
 def test_threshold_is_strict(spark):
     s, h = stars(spark, [(1, 0, 0, 10, 5, 1.0)]), crossmatch.group_hosts(planets(spark, [("a", 0, 1 / 3600)]))
     exact = spark.range(1).select(crossmatch.separation_arcsec(F.lit(0.0), F.lit(1 / 3600), F.lit(0.0), F.lit(0.0))).first()[0]

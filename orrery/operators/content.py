@@ -72,10 +72,15 @@ def below(rows: DataFrame, parents: DataFrame, axis: int, root: bool = False) ->
     return keyed.join(wanted, [f"p{i}" for i in KEY], "left_semi").drop(*[f"p{i}" for i in KEY])
 
 
-def star_changes(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``source_id, ix, iy, iz, kind``: stars by chunk that are ``added``, ``removed`` or ``changed`` in ``b``. Repeated rows count."""
+def star_changes(a: DataFrame, b: DataFrame, parts: int | None = None) -> DataFrame:
+    """``source_id, ix, iy, iz, kind``: stars by chunk that are ``added``, ``removed`` or ``changed`` in ``b``. Repeated rows count.
+
+    With ``parts`` both sides are dealt to so many tasks, by star, so that the memory of one doesn't grow with the catalogs.
+    """
     columns = content_columns(a)
     sided = a.select(*columns, F.lit(-1).alias("side")).unionByName(b.select(*columns, F.lit(1).alias("side")))
+    if parts is not None:
+        sided = sided.repartition(parts, "source_id", *KEY)
     left = sided.groupBy(*columns).agg(F.sum("side").alias("side")).where("side <> 0")
     kind = F.when(F.max("side") < 0, "removed").when(F.min("side") > 0, "added").otherwise("changed")
     return left.groupBy("source_id", *KEY).agg(kind.alias("kind"))

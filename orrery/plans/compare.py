@@ -55,10 +55,19 @@ def _stars(spark: SparkSession, path: str, chunks: DataFrame, regions: DataFrame
     return rows.join(chunks, KEY, "left_semi").drop(*sinks.REGION)
 
 
-def unequal_stars(spark: SparkSession, first: str, second: str) -> DataFrame:
-    """``source_id, ix, iy, iz, kind`` of the stars that were added, removed or changed from the first catalog to the second."""
+def _tasks(spark: SparkSession, paths: list[str], chunks: DataFrame, most: int) -> int:
+    """In how many tasks the stars of ``chunks`` are compared, about ``most`` a task; counted by the chunks' states."""
+    n = 0
+    for path in paths:
+        n += sinks.read_states(spark, path).join(chunks, KEY, "left_semi").agg(F.sum("star_count")).first()[0] or 0
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // most))
+
+
+def unequal_stars(spark: SparkSession, first: str, second: str, most: int = 250_000) -> DataFrame:
+    """``source_id, ix, iy, iz, kind`` of the stars that were added, removed or changed from the first catalog to the second; a task compares about ``most``."""
     chunks, regions = unequal_chunks(spark, first, second)
-    return content.star_changes(_stars(spark, first, chunks, regions), _stars(spark, second, chunks, regions))
+    tasks = _tasks(spark, [first, second], chunks, most)
+    return content.star_changes(_stars(spark, first, chunks, regions), _stars(spark, second, chunks, regions), tasks)
 
 
 def damaged_chunks(spark: SparkSession, path: str) -> DataFrame:

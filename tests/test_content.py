@@ -71,6 +71,14 @@ def test_equal_catalogs_in_another_order(spark, first, tmp_path):
     assert chunks.isEmpty() and regions.isEmpty() and compare.unequal_stars(spark, first, second).isEmpty()
 
 
+def test_tasks_that_compare_stars_grow_in_number_not_in_size(spark, first, tmp_path):
+    second = str(tmp_path / "second")
+    sinks.write_catalog(catalog(spark).withColumn("magnitude", F.col("magnitude") + 1), second, CONFIG)
+    out = compare.unequal_stars(spark, first, second, most=10)  # of 60 stars a side
+    assert out.rdd.getNumPartitions() == 12 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert same(out, ["source_id", "kind"]) == [(i, "changed") for i in range(60)]
+
+
 def test_added_removed_moved_and_repeated_stars(spark, first, tmp_path):
     second = str(tmp_path / "second")
     stars = catalog(spark).where("source_id not in (5, 6)")

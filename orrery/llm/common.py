@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
@@ -89,6 +90,17 @@ def drop_scratch(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+@contextlib.contextmanager
+def session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Sets a session's setting for a while."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def collected(df: DataFrame) -> dict:
     """The columns of a small ``df`` as numpy arrays, by Arrow, without a Python object for each row."""
     rows = df.toArrow()

@@ -5,11 +5,12 @@ The trigrams of trusted documents are counted, sharded by n-gram: raw counts at
 continuation counts below, three discounts an order from the counts of counts. The lowest order is interpolated
 with equal chances of the known tokens and one more, which is the estimate of an unknown token.
 
-In backing-off form a text's log probability is a constant a token plus one value for each seen n-gram in it: what the
-n-gram's own probability adds to that of backing off, and its weight as a context. So all orders are one table of
-n-gram and value, as large as the trusted text, sharded by n-gram; documents' n-grams are joined with it. Two tables of
-fixed size save work without changing a result: the values of the ``head`` most frequent n-grams are added in the document's
-task, as these would be hot keys of the join, and a bitmap leaves out n-grams that the table can't hold.
+The job is done in rounds, each over the trigrams of its share of the middle words, as shuffles of all at once take 12 times
+the input. A trigram ``abc`` needs the counts of ``bc``, ``ab`` and ``b``, which all lie in the round of ``b``. A round deals learnt trigrams
+and those that texts ask for by ``bc``, where bigrams are counted and asked trigrams get the counts of ``bc`` and ``c``; then by ``ab``,
+where they get those of ``abc``, ``ab`` and ``b`` and their log probabilities are summed by text. Parts go by the rare word of a pair, which the word's own counts are
+sent to, and by the pair where that word is one of the ``head`` most frequent ones, whose counts are broadcast. What is asked passes a part in pieces. Before the rounds all is counted once, for the discounts and
+the words' counts. A round reads and tokenises all texts again, and its shuffles are deleted when it ends.
 
 A model of words knows the text it learnt from far too well. So it learns from the trusted documents outside the
 held-out fold, and a document is kept if its perplexity per token is at most the ``quantile`` of the held-out trusted
@@ -31,19 +32,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import collected, drop_scratch, flat_bytes, fold, ship, text_slices, written
+from orrery.llm.common import collected, drop_scratch, flat_bytes, fold, session_setting, ship, text_slices, written
 from orrery.llm.hashtable import HashTable
-from orrery.llm.words import _SPACE, EXACT, NOT_ALNUM, run_hashes
+from orrery.llm.words import _SPACE, EXACT, NOT_ALNUM, mix, run_hashes
 
 
 @dataclass(frozen=True)
 class Settings:
-    head: int = 1 << 18  # most frequent n-grams that are scored in place
-    bits: int = 28  # the bitmap of n-grams has 2 ** bits
+    head: int = 1 << 18  # most frequent words, whose n-grams are dealt by pairs of words
+    shards: int = 14  # most rounds, each over the trigrams of its share of the middle words
+    shard_bytes: int = 12 << 20  # text for which a round more is made
+    count_shards: int = 2  # most rounds of counting
+    bits: int = 28  # of a bitmap that is no longer made; kept for callers that name it
     quantile: float = 0.99
     broadcast_ids: int = 500_000  # trusted ids up to this number are broadcast; beyond it they are joined by a shuffle
 
 
+#: The multipliers of XXH64.
+_XX = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
+_LONG, _CACHED, _FULL = 32, 1 << 18, np.uint64(0xFFFFFFFFFFFFFFFF)
 _KIND = np.where(_SPACE, 0, np.where(NOT_ALNUM, 2, 1)).astype(np.uint8)
 _START, _END = np.uint64(1), np.uint64(2)
 _WORD, _HALF = 42, 21  # bits of a token; a trigram is two longs: a and half of b, half of b and c
@@ -52,37 +59,76 @@ _LOW_WORD, _LOW_HALF = (1 << _WORD) - 1, (1 << _HALF) - 1
 
 def tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The code of each token, and for each text the number of its first one."""
-    kind = _KIND[raw]
-    first = np.ones(len(raw), bool)
-    first[1:] = kind[1:] != kind[:-1]
-    first[offsets[offsets < len(raw)]] = True
-    starts = np.flatnonzero(first)
-    ends = np.r_[starts[1:], len(raw)] if len(starts) else starts
-    told = kind[starts] > 0
-    starts, ends = starts[told], ends[told]
-    return run_hashes(raw, starts, ends, EXACT) & np.uint64(_LOW_WORD), np.searchsorted(starts, offsets)
-
-
-def _grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
-    """Tokens of each text; then for each prediction, the end of a text among them, its text, and ``hi, lo`` of its trigram."""
+    kind = _KIND.take(raw)
+    edge = np.ones(len(raw) + 1, bool)
+    edge[1:-1] = kind[1:] != kind[:-1]
+    edge[offsets] = True
+    inside = kind > 0
+    starts, ends = np.flatnonzero(edge[:-1] & inside), np.flatnonzero(edge[1:] & inside) + 1
+    return _hashes(raw, starts, ends) & np.uint64(_LOW_WORD), np.searchsorted(starts, offsets)
+
+
+def _hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each run of bytes, eight bytes at a time; of long ones as elsewhere."""
+    words = np.zeros(len(raw) // 8 + 2, np.uint64)
+    words.view(np.uint8)[: len(raw)] = raw
+    sizes = ends - starts
+    out = sizes.astype(np.uint64)
+    at, begin, size = slice(None), starts, sizes
+    for step in range(0, _LONG, 8):
+        if step:
+            at = np.flatnonzero((sizes > step) & (sizes <= _LONG))
+            begin, size = starts[at] + step, sizes[at] - step
+        place, shift = begin >> 3, (begin & 7).astype(np.uint64) << np.uint64(3)
+        value = words[place] >> shift | words[place + 1] << np.uint64(1) << (np.uint64(63) - shift)
+        value &= _FULL >> ((8 - np.minimum(size, 8)).astype(np.uint64) << np.uint64(3))
+        out[at] = mix(out[at] * _XX[0] + value)
+    at = np.flatnonzero(sizes > _LONG)
+    out[at] = run_hashes(raw, starts[at], ends[at], EXACT)
+    return out
+
+
+@dataclass(frozen=True)
+class Split:
+    """Words to shards: by a hash, but the last shards have a word of their own."""
+
+    shards: int = 1
+    salt: int = 0
+    own: tuple[int, ...] = ()
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        hashed = self.shards - len(self.own)
+        out = ((words * np.uint64(2 * self.salt + 1) & np.uint64(0xFFFFFFFF)) * np.uint64(hashed) >> np.uint64(32)).astype(np.int32)
+        for i, word in enumerate(self.own, start=hashed):
+            out[words == np.uint64(word)] = i
+        return out
+
+
+def even_split(words: np.ndarray, counts: np.ndarray, shards: int) -> Split:
+    """Words that fill half of an even shard get one of their own, at most half of the shards; the hash is the best of a few. ``words`` by falling counts."""
+    own = words[: shards // 2][counts[: shards // 2] * 2 * shards >= counts.sum()] if shards > 1 else words[:0]
+    splits = [Split(shards, salt, tuple(own.tolist())) for salt in range(64 if shards > 1 else 1)]
+    return min(splits, key=lambda x: _sum(x.of(words), counts, shards).max())
+
+
+def _grams(column: pa.Array, split: Split = Split(), taken: range = range(1)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each prediction after a word of the shards ``taken`` its text, and ``hi, lo`` of its trigram."""
     codes, firsts = tokens(*flat_bytes(column))
     sizes = np.diff(firsts)
-    some = sizes > 0
-    lengths = np.where(some, sizes + 3, 0)
-    begins = np.r_[0, np.cumsum(lengths)]
+    some = np.flatnonzero(sizes)
+    begins = np.r_[0, np.cumsum(sizes[some] + 3)]
     seq = np.full(begins[-1], _START, np.uint64)
-    row = np.repeat(np.arange(len(sizes)), lengths)
-    place = np.arange(len(seq)) - begins[row]
-    seq[(place >= 2) & (place < lengths[row] - 1)] = codes
-    seq[begins[1:][some] - 1] = _END
-    at = np.flatnonzero(place >= 2)
+    seq[np.arange(len(codes)) + np.repeat(3 * np.arange(len(some)) + 2, sizes[some])] = codes
+    seq[begins[1:] - 1] = _END
+    here = np.ones(len(seq), bool)
+    here[begins[:-1]] = here[begins[:-1] + 1] = False
+    if split.shards > 1:
+        shard = split.of(seq[:-1])
+        here[1:] &= (shard >= taken.start) & (shard < taken.stop)
+    at = np.flatnonzero(here)
     a, b, c = seq[at - 2], seq[at - 1], seq[at]
     hi, lo = a << np.uint64(_HALF) | b >> np.uint64(_HALF), (b & np.uint64(_LOW_HALF)) << np.uint64(_WORD) | c
-    return sizes, row[at], hi, lo
-
-
-#: The multipliers of XXH64.
-_XX = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
+    return some[np.searchsorted(begins, at, side="right") - 1], hi, lo
 
 
 def _turned(x: np.ndarray, bits: int) -> np.ndarray:
@@ -112,18 +158,6 @@ def _flagged(docs: DataFrame, trusted: DataFrame, s: Settings) -> DataFrame:
     return docs.select("doc_id", "text", "lang").join(ids, F.col("doc_id") == F.col("t_id"), "left").select("doc_id", "text", "lang", F.col("t_id").isNotNull().alias("trusted"))
 
 
-def _count(docs: DataFrame) -> DataFrame:
-    """``hi, lo, c`` of the trigrams of ``docs (text)``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in text_slices(batch.column(0)):
-                _, _, hi, lo = _grams(batch.column(0)[a:b])
-                yield pa.RecordBatch.from_arrays([pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64))], ["hi", "lo"])
-
-    return docs.select("text").mapInArrow(run, "hi bigint, lo bigint").groupBy("hi", "lo").agg(F.count("*").alias("c"))
-
-
 def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
     """D1, D2, D3+ of modified Kneser-Ney, kept within (0, count); 0.5 each where the estimate lacks counts."""
     n = [counts_of_counts.get(i, 0) for i in range(1, 5)]
@@ -135,106 +169,294 @@ def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
     return tuple(out)
 
 
-def _low(column: str, mask: int):
-    return F.col(column).bitwiseAND(F.lit(mask))
+#: Rows of an exchange: many n-grams or words of one part. ``runs`` are the lengths of stretches of one text, ``rows`` their texts.
+_LISTS = {"hi": pa.int64(), "lo": pa.int64(), "n": pa.int32(), "k": pa.int32(), "d": pa.float64(), "rows": pa.int64(), "runs": pa.int32()}
+_SENT = "part int, tag int, hi array<bigint>, lo array<bigint>, n array<int>, k array<int>, d array<double>, rows array<bigint>, runs array<int>"
+_LEARNT, _WORDS, _ASKED = 0, 1, 2  # tags, in the order in which a part reads them
+_COUNTED = "kind int, w bigint, c bigint, total bigint, n1 bigint, n2 bigint, n3 bigint, raw bigint"
+
+
+def _dealt(part: np.ndarray, tag: int, rows: np.ndarray | None = None, **lists: np.ndarray) -> pa.RecordBatch:
+    """A row for each part, with its elements of ``lists`` in their order."""
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    at = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, np.int64)
+    ends = np.r_[at, len(part)].astype(np.int32)
+    columns = {k: (v[order], ends) for k, v in lists.items()}
+    if rows is not None:
+        rows = rows[order]
+        new = np.r_[True, rows[1:] != rows[:-1]] if len(rows) else np.zeros(0, bool)
+        new[at] = True
+        starts = np.flatnonzero(new)
+        cut = np.searchsorted(starts, ends).astype(np.int32)
+        columns |= {"rows": (rows[starts], cut), "runs": (np.diff(np.r_[starts, len(rows)]), cut)}
+    none = np.zeros(0), np.zeros(len(at) + 1, np.int32)
+    out = [pa.array(part[at].astype(np.int32)), pa.array(np.full(len(at), tag, np.int32))]
+    for name, kind in _LISTS.items():
+        values, cut = columns.get(name, none)
+        values = values.view(np.int64) if values.dtype == np.uint64 else values
+        out.append(pa.ListArray.from_arrays(pa.array(cut), pa.array(values.astype(kind.to_pandas_dtype(), copy=False))))
+    return pa.RecordBatch.from_arrays(out, ["part", "tag", *_LISTS])
 
 
-def _discount(counts: DataFrame):
-    d = discounts({r["c"]: r["count"] for r in counts.where("c <= 4").groupBy("c").count().collect()})
-    return F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
+def _received(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, dict[str, np.ndarray]]]:
+    """Part, tag and lists of what was sent to a task, part after part."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        part, tag = (batch.column(i).to_numpy() for i in (0, 1))
+        at = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (tag[1:] != tag[:-1])])
+        for a, b in zip(at, np.r_[at[1:], len(part)], strict=True):
+            lists = {k: batch.column(i).slice(a, b - a).flatten().to_numpy(zero_copy_only=False) for i, k in enumerate(_LISTS, start=2)}
+            yield int(part[a]), int(tag[a]), lists | {k: lists[k].view(np.uint64) for k in ("hi", "lo")}
 
 
-def estimate(tri: DataFrame) -> tuple[DataFrame, float]:
-    """``gram, c, v``: the value of every seen n-gram of orders 1 to 3; and the log probability of an unknown token."""
-    bi = written(tri.groupBy(_low("hi", _LOW_HALF).alias("hi"), "lo").agg(F.count("*").alias("c")), "bigrams")
-    uni = written(bi.groupBy(_low("lo", _LOW_WORD).alias("w")).agg(F.count("*").alias("c")), "unigrams")
-    cut = {n: _discount(t) for n, t in ((1, uni), (2, bi), (3, tri))}
-    total, given, n = uni.agg(F.sum("c"), F.sum(cut[1]), F.count("*")).first()
-    unknown = given / total / (n + 1)
-    p1 = uni.select("w", "c", ((F.col("c") - cut[1]) / total + unknown).alias("p1"))
-    before = F.shiftleft("hi", _HALF).bitwiseOR(F.shiftright("lo", _WORD)).alias("b")  # of a bigram
-    rests = lambda cut: [F.sum("c").alias("total"), (F.sum(cut) / F.sum("c")).alias("rest")]
-    context1 = written(bi.groupBy(before).agg(*rests(cut[2])), "contexts1")
-    p2 = bi.select("hi", "lo", "c", before, _low("lo", _LOW_WORD).alias("w")).join(context1, "b").join(p1.select("w", "p1"), "w")
-    p2 = p2.withColumn("p2", (F.col("c") - cut[2]) / F.col("total") + F.col("rest") * F.col("p1"))
-    p2 = written(p2.select("hi", "lo", "c", "p2", (F.log("p2") - F.log("rest") - F.log("p1")).alias("v")), "model2")
-    middle = F.shiftleft(_low("hi", _LOW_HALF), _HALF).bitwiseOR(F.shiftright("lo", _WORD))
-    first = [F.shiftright("hi", _WORD).alias("x"), F.shiftleft(F.shiftright("hi", _HALF).bitwiseAND(F.lit(_LOW_HALF)), _WORD).bitwiseOR(middle).alias("y")]  # the bigram that a trigram begins with
-    context2 = written(tri.groupBy(*first).agg(*rests(cut[3])), "contexts2")
-    p3 = tri.select("hi", "lo", "c", *first, _low("hi", _LOW_HALF).alias("s")).join(context2, ["x", "y"])
-    p3 = p3.join(p2.select(F.col("hi").alias("s"), "lo", "p2"), ["s", "lo"])
-    p3 = p3.withColumn("p3", (F.col("c") - cut[3]) / F.col("total") + F.col("rest") * F.col("p2"))
-    none = F.lit(0.0)
-    values = [
-        p1.join(context1, F.col("w") == F.col("b"), "full").select(F.lit(0).alias("hi"), F.coalesce("w", "b").alias("lo"), F.coalesce("c", F.lit(1)), F.coalesce(F.log(F.col("p1") / unknown), none) + F.coalesce(F.log("rest"), none)),
-        p2.join(context2, (F.col("hi") == F.col("x")) & (F.col("lo") == F.col("y")), "full").select(F.coalesce("hi", "x"), F.coalesce("lo", "y"), F.coalesce("c", F.lit(1)), F.coalesce("v", none) + F.coalesce(F.log("rest"), none)),
-        p3.select("hi", "lo", "c", F.log("p3") - F.log("rest") - F.log("p2")),
-    ]
-
-    def keyed(order: int, rows: DataFrame) -> DataFrame:
-        rows = rows.toDF("hi", "lo", "c", "v")
-        return rows.select(F.xxhash64(F.lit(order).cast("long"), F.col("hi").cast("long"), "lo").alias("gram"), "c", "v")
-
-    rows = [keyed(i, x) for i, x in enumerate(values, start=1)]
-    out = written(rows[0].unionByName(rows[1]).unionByName(rows[2]), "values", wide=True)
-    for done in (bi, uni, context1, p2, context2):
-        drop_scratch(done)
-    return out, float(np.log(unknown))
+def _exchange(sent: DataFrame) -> DataFrame:
+    return sent.repartition("part").sortWithinPartitions("part", "tag")
 
 
-def _bitmap(values: DataFrame, bits: int) -> np.ndarray:
-    at = F.shiftrightunsigned("gram", 64 - bits)
-    rows = values.groupBy(F.shiftright(at, 5).cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(31)).cast("int"))).alias("set"))
-    rows = collected(rows)  # 2 ** (bits - 5) at most
-    out = np.zeros(1 << (bits - 5), np.uint32)
-    out[rows["word"]] = rows["set"].astype(np.uint32)
-    return out
+def _work(batches: Iterator[pa.RecordBatch], build, answer) -> Iterator[pa.RecordBatch]:
+    """For each part ``build(learnt, words)``, a state and what it sends, then ``answer(state, asked)``; what is asked passes in pieces."""
+    now, kept, state = None, {}, None
 
+    def built():
+        joined = {t: {k: np.concatenate([x[k] for x in kept[t]]) for k in _LISTS} if t in kept else {k: np.zeros(0, np.uint64 if k in ("hi", "lo") else v.to_pandas_dtype()) for k, v in _LISTS.items()} for t in (_LEARNT, _WORDS)}
+        kept.clear()
+        return build(joined[_LEARNT], joined[_WORDS])
 
-def perplexities(flagged: DataFrame, values: DataFrame, unknown: float, s: Settings) -> DataFrame:
-    """``doc_id, lang, role, perplexity`` per token."""
-    head = collected(values.orderBy(F.desc("c"), "gram").select("gram", "v").limit(s.head))  # of fixed size
-    shared = flagged.sparkSession.sparkContext.broadcast((head["gram"].view(np.uint64), head["v"], _bitmap(values, s.bits)))
+    for part, tag, lists in _received(batches):
+        if part != now:
+            if now is not None and state is None:
+                yield from built()[1]
+            now, state = part, None
+            kept.clear()
+        if tag != _ASKED:
+            kept.setdefault(tag, []).append(lists)
+            continue
+        if state is None:
+            state, sends = built()
+            yield from sends
+        yield from answer(state, lists)
+    if now is not None and state is None:
+        yield from built()[1]
+
+
+def _place(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Place of each asked key among sorted ``keys``; their number where it is absent."""
+    if not len(keys):
+        return np.zeros(len(asked), np.int64)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, at, len(keys))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys_, values_, bitmap = shared.value
-        table = HashTable(keys_)
 
-        def held(keys):
-            at = (keys >> np.uint64(64 - s.bits)).astype(np.int64)
-            return (bitmap[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
+def _predicted(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """Key of the bigram that a trigram ends with."""
+    return _key(2, hi & np.uint64(_LOW_HALF), lo)
 
+
+def _context(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """Key of the bigram that a trigram begins with."""
+    return _key(4, hi, lo >> np.uint64(_WORD))
+
+
+def _middle(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    return (hi & np.uint64(_LOW_HALF)) << np.uint64(_HALF) | lo >> np.uint64(_WORD)
+
+
+def _part(word: np.ndarray, pair: np.ndarray, head: np.ndarray | None, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Part of each n-gram, by its word, or by its pair if the word is a frequent one; and the word's place in the head, -1 if absent."""
+    place = head.find(word) if head is not None else np.zeros(len(word), np.int32)
+    return mix(np.where(place >= 0, pair, word)) % np.uint64(parts), place
+
+
+def _sum(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(at, values, n)
+
+
+def _trigrams(learnt: dict) -> tuple[np.ndarray, ...]:
+    """``key, hi, lo, c`` of distinct trigrams, by key."""
+    keys, first, at = np.unique(_key(3, learnt["hi"], learnt["lo"]), return_index=True, return_inverse=True)
+    return keys, learnt["hi"][first], learnt["lo"][first], _sum(at, learnt["n"], len(keys)).astype(np.int64)
+
+
+def _send(docs: DataFrame, split: Split, taken: range, parts: int, head, ask: bool) -> DataFrame:
+    """Trigrams of ``docs (text, row, learnt)`` with a middle word of the shards ``taken``: counted if learnt, and each as a question."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = HashTable(head.value[0]) if head is not None else None
+        for batch in batches:
+            found = []
+            for a, b in text_slices(batch.column(0), _CACHED):
+                row, hi, lo = _grams(batch.column(0)[a:b], split, taken)
+                found.append((row + a, hi, lo))
+            if not found:
+                continue
+            row, hi, lo = (np.concatenate(x) for x in zip(*found, strict=True))
+            part, _ = _part(lo & np.uint64(_LOW_WORD), _predicted(hi, lo), table, parts)
+            learnt = np.flatnonzero(batch.column(2).to_numpy(zero_copy_only=False)[row])
+            _, first, n = np.unique(_key(3, hi[learnt], lo[learnt]), return_index=True, return_counts=True)
+            learnt = learnt[first]
+            yield _dealt(part[learnt], _LEARNT, hi=hi[learnt], lo=lo[learnt], n=n)
+            if ask:
+                yield _dealt(part, _ASKED, rows=batch.column(1).to_numpy()[row], hi=hi, lo=lo)
+
+    return docs.select("text", "row", "learnt").mapInArrow(run, _SENT)
+
+
+def _send_words(words: DataFrame, value: str, parts: int, head, split: Split = Split(), taken: int = 0) -> DataFrame:
+    """The words outside the head with one of their counts, to the part of their n-grams; those of one shard only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = HashTable(head.value[0])
         for batch in batches:
-            for a, b in text_slices(batch.column(1)):
-                sizes, row, hi, lo = _grams(batch.column(1)[a:b])
-                some = np.flatnonzero(sizes)
-                zero, start = np.zeros(len(some), np.uint64), np.full(len(some), _START)
-                word, half = np.uint64(_LOW_WORD), np.uint64(_LOW_HALF)
-                pair = hi & half, lo
-                sums, tails = np.where(sizes > 0, (sizes + 1) * unknown, 0.0), []
-                both = np.r_[row, some]  # the start of a text and the pair of starts are contexts too
-                for order, rows, keys in (
-                    (1, both, _key(1, np.uint64(0), np.r_[lo & word, start])),
-                    (2, both, _key(2, np.r_[pair[0], zero], np.r_[pair[1], start << np.uint64(_WORD) | start])),
-                    (3, row, _key(3, hi, lo)),
-                ):
-                    may = np.flatnonzero(held(keys))
-                    rows, keys = rows[may], keys[may]
-                    at = table.find(keys)
-                    known = at >= 0
-                    sums += np.bincount(rows[known], values_[at[known]], b - a)
-                    tails.append((rows[~known], keys[~known]))
-                rows, keys = (np.concatenate(x) for x in zip(*tails, strict=True))
-                ends = np.r_[0, np.cumsum(np.bincount(rows, minlength=b - a))]
-                grams = pa.array(keys[np.argsort(rows, kind="stable")].view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(2)[a:b], batch.column(3)[a:b], pa.array(sizes), pa.array(sums), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), grams)], ["doc_id", "lang", "role", "size", "head", "tail"])
-
-    rows = flagged.select(F.col("doc_id").cast("long"), "text", "lang", "role").mapInArrow(run, "doc_id bigint, lang string, role int, size bigint, head double, tail array<bigint>")
-    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "scored")
-    tails = rows.select("row", F.explode("tail").alias("gram")).join(values.select("gram", "v"), "gram")
-    tails = tails.groupBy("row").agg(F.sum("v").alias("rest"))
-    out = rows.drop("tail").join(tails, "row", "left")
-    return out.select("doc_id", "lang", "role", F.when(F.col("size") > 0, F.exp(-(F.col("head") + F.coalesce("rest", F.lit(0.0))) / (F.col("size") + 1))).alias("perplexity"))
+            w, counts, rest = (batch.column(i).to_numpy() for i in range(3))
+            w = w.view(np.uint64)
+            at = np.flatnonzero((split.of(w) == taken) & (table.find(w) < 0))
+            yield _dealt(mix(w[at]) % np.uint64(parts), _WORDS, hi=w[at], lo=counts[at], d=rest[at])
+
+    return words.select("w", value, "rest").mapInArrow(run, _SENT)
+
+
+def _count(docs: DataFrame, shards: int, parts: int) -> DataFrame:
+    """Counts of counts of trigrams (kind 3) and bigrams (kind 2); for each word (kind 1) its counts as the last word and as the first one of bigrams."""
+
+    def build(learnt: dict, _: dict):
+        _, hi, lo, c3 = _trigrams(learnt)
+        _, first, at, c2 = np.unique(_predicted(hi, lo), return_index=True, return_inverse=True, return_counts=True)
+        raw = _sum(at, c3, len(c2))
+        b, c = _middle(hi, lo)[first], (lo & np.uint64(_LOW_WORD))[first]
+        w, at = np.unique(np.r_[b, c], return_inverse=True)
+        at_b, at_c = at[: len(b)], at[len(b) :]
+        of = [np.bincount(at_c, minlength=len(w)), _sum(at_b, c2, len(w)), *(_sum(at_b, (c2 == i) if i < 3 else (c2 >= 3), len(w)) for i in (1, 2, 3)), _sum(at_b, raw, len(w))]
+        rows = [np.ones(len(w)), w.view(np.int64), *of]
+        few = np.arange(1, 5)
+        for kind, counts in ((2, c2), (3, c3)):
+            more = [np.full(4, kind), few, np.bincount(np.minimum(counts, 5), minlength=6)[1:5], *[np.zeros(4)] * 5]
+            rows = [np.r_[x.astype(np.int64), y.astype(np.int64)] for x, y in zip(rows, more, strict=True)]
+        names = [x.split()[0] for x in _COUNTED.split(", ")]
+        return None, [pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32) if i == 0 else x) for i, x in enumerate(rows)], names)]
+
+    out = []
+    for shard in range(shards):
+        sent = _exchange(_send(docs, Split(shards), range(shard, shard + 1), parts, None, False))
+        counted = sent.mapInArrow(lambda batches: _work(batches, build, None), _COUNTED)
+        out.append(written(counted.groupBy("kind", "w").agg(*(F.sum(x).alias(x) for x in ("c", "total", "n1", "n2", "n3", "raw"))), "counted"))
+    rows = out[0]
+    for more in out[1:]:
+        rows = rows.unionByName(more)
+    rows = written(rows.groupBy("kind", "w").agg(*(F.sum(x).alias(x) for x in ("c", "total", "n1", "n2", "n3", "raw"))), "counts")
+    for done in out:
+        drop_scratch(done)
+    return rows
+
+
+def _cuts(counts: DataFrame, kind: int) -> tuple[float, float, float]:
+    if kind > 1:
+        return discounts({r["w"]: r["c"] for r in counts.where(F.col("kind") == kind).collect()})
+    return discounts({r["c"]: r["count"] for r in counts.where("kind = 1 and c between 1 and 4").groupBy("c").count().collect()})
+
+
+def _scores(docs: DataFrame, counts: DataFrame, head_words: int, shards: int, parts: int) -> DataFrame:
+    """``row, s, n``: sums of log probabilities and numbers of tokens of ``docs (text, row, learnt)``, in one row a text and shard."""
+    cut = {kind: np.array([0.0, *_cuts(counts, kind)]) for kind in (1, 2, 3)}
+    words = counts.where("kind = 1")
+    d = cut[2].tolist()
+    words = written(words.select("w", "c", "total", F.when(F.col("total") > 0, (F.col("n1") * d[1] + F.col("n2") * d[2] + F.col("n3") * d[3]) / F.col("total")).otherwise(1.0).alias("rest"), "raw"), "words")
+    d = cut[1].tolist()
+    total, given, n = words.where("c > 0").agg(F.sum("c"), F.sum(F.when(F.col("c") == 1, d[1]).when(F.col("c") == 2, d[2]).otherwise(d[3])), F.count("*")).first()
+    unknown = given / total / (n + 1)
+    first = collected(words.orderBy(F.desc("raw"), "w").limit(head_words))  # of fixed size
+    split = even_split(first["w"].view(np.uint64), first["raw"], shards)
+    head = docs.sparkSession.sparkContext.broadcast((first["w"].view(np.uint64), first["c"], first["total"], first["rest"]))
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, head_c = HashTable(head.value[0]), head.value[1]
+
+        def part(hi, lo):
+            return _part(_middle(hi, lo), _context(hi, lo), table, parts)[0]
+
+        def build(learnt: dict, tail: dict):
+            _, hi, lo, c3 = _trigrams(learnt)
+            keys, c2 = np.unique(_predicted(hi, lo), return_counts=True)
+            order = np.argsort(tail["hi"])
+            return (keys, np.r_[c2, 0], tail["hi"][order], np.r_[tail["lo"][order].view(np.int64), 0]), [_dealt(part(hi, lo), _LEARNT, hi=hi, lo=lo, n=c3)]
+
+        def answer(state, asked: dict):
+            keys, c2, tail, tail_c = state
+            hi, lo = asked["hi"], asked["lo"]
+            w = lo & np.uint64(_LOW_WORD)
+            place = table.find(w)
+            c1 = head_c[place]
+            rare = np.flatnonzero(place < 0)
+            c1[rare] = tail_c[_place(tail, w[rare])]
+            yield _dealt(part(hi, lo), _ASKED, rows=np.repeat(asked["rows"], asked["runs"]), hi=hi, lo=lo, n=c2[_place(keys, _predicted(hi, lo))], k=c1)
+
+        yield from _work(batches, build, answer)
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, (_, _, head_total, head_rest) = HashTable(head.value[0]), head.value
+
+        def build(learnt: dict, tail: dict):
+            hi, lo, c3 = learnt["hi"], learnt["lo"], learnt["n"]
+            keys = _key(3, hi, lo)
+            order = np.argsort(keys)
+            contexts, at = np.unique(_context(hi, lo), return_inverse=True)
+            totals = _sum(at, c3, len(contexts))
+            rests = _sum(at, cut[3][np.minimum(c3, 3)], len(contexts)) / totals
+            by_word = np.argsort(tail["hi"])
+            of_tail = np.r_[tail["lo"][by_word].view(np.int64), 0], np.r_[tail["d"][by_word], 1.0]
+            return (keys[order], np.r_[c3[order], 0], contexts, np.r_[totals, 1.0], np.r_[rests, 1.0], tail["hi"][by_word], *of_tail), []
+
+        def answer(state, asked: dict):
+            keys, counts3, contexts, totals, rests, tail, tail_total, tail_rest = state
+            hi, lo, c2, c1 = asked["hi"], asked["lo"], asked["n"], asked["k"]
+            c3, context, b = counts3[_place(keys, _key(3, hi, lo))], _place(contexts, _context(hi, lo)), _middle(hi, lo)
+            place = table.find(b)
+            total1, rest1 = head_total[place], head_rest[place]
+            rare = np.flatnonzero(place < 0)
+            at = _place(tail, b[rare])
+            total1[rare], rest1[rare] = tail_total[at], tail_rest[at]
+            less = lambda c, order: c - cut[order][np.minimum(c, 3)]
+            p = np.where(c1 > 0, less(c1, 1) / total, 0.0) + unknown
+            p = less(c2, 2) / np.maximum(total1, 1) + rest1 * p
+            p = less(c3, 3) / totals[context] + rests[context] * p
+            if len(p):
+                sums = np.add.reduceat(np.log(p), np.r_[0, np.cumsum(asked["runs"])[:-1]])
+                rows, at = np.unique(asked["rows"], return_inverse=True)
+                n = _sum(at, asked["runs"], len(rows)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(_sum(at, sums, len(rows))), pa.array(n)], ["row", "s", "n"])
+
+        yield from _work(batches, build, answer)
+
+    out = None
+    for shard in range(shards):
+        sent = _send(docs, split, range(shard, shard + 1), parts, head, True).unionByName(_send_words(words, "c", parts, head))
+        sent = _exchange(sent).mapInArrow(predict, _SENT).unionByName(_send_words(words, "total", parts, head, split, shard))
+        sums = _exchange(sent).mapInArrow(combine, "row bigint, s double, n bigint").groupBy("row").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+        sums = written(sums, "sums")
+        out = sums if out is None else out.unionByName(sums)
+    drop_scratch(words)
+    return out
+
+
+def perplexities(flagged: DataFrame, s: Settings) -> DataFrame | None:
+    """``doc_id, lang, role, perplexity`` per token; None without trusted text."""
+    parts = max(int(flagged.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 3, 12)
+    docs = flagged.withColumn("row", F.xxhash64("text", "doc_id"))  # the same in each round; rows with equal ids and texts share their sums
+    size = flagged.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = min(s.shards, 1 + size // s.shard_bytes)
+    for learnt in ("role = 1", "role > 0"):
+        counts = _count(docs.where(learnt).withColumn("learnt", F.lit(True)), min(s.count_shards, shards), parts)
+        if not counts.where("kind = 1").isEmpty():
+            break
+    else:
+        return None
+    rounds = _scores(docs.withColumn("learnt", F.expr(learnt)), counts, s.head, shards, parts)
+    sums = rounds.groupBy("row").agg((F.sum("s") / F.sum("n")).alias("mean"))
+    out = written(docs.drop("text").join(sums, "row", "left").select("doc_id", "lang", "role", F.exp(-F.col("mean")).alias("perplexity")), "perplexities")
+    for done in (counts, rounds):
+        drop_scratch(done)
+    return out
 
 
 def classify(docs: DataFrame, trusted: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -242,15 +464,10 @@ def classify(docs: DataFrame, trusted: DataFrame, settings: Settings = Settings(
     ship(docs.sparkSession)
     role = F.when(~F.col("trusted"), 0).when(fold("doc_id") == 0, 2).otherwise(1)  # 2: held out
     flagged = _flagged(docs, trusted, settings).select("doc_id", "text", "lang", role.alias("role"))
-    counts = written(_count(flagged.where("role = 1")), "counts")
-    if counts.isEmpty():
-        counts = written(_count(flagged.where("role > 0")), "counts")
-    if counts.isEmpty():
+    with session_setting(docs.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):  # a round's shuffles go with it
+        scored = perplexities(flagged.withColumn("doc_id", F.col("doc_id").cast("long")), settings)
+    if scored is None:
         return docs.select(F.col("doc_id").cast("long"), F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), F.lit(False).alias("kept"))
-    values, unknown = estimate(counts)
-    drop_scratch(counts)
-    scored = written(perplexities(flagged, values, unknown, settings), "perplexities")
-    drop_scratch(values)
     known = scored.where("role = 2 and perplexity is not null")
     if known.isEmpty():
         known = scored.where("role > 0 and perplexity is not null")

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from orrery.llm.quality import Settings, _key, classify, discounts
+from orrery.llm.quality import Settings, Split, _key, classify, discounts, even_split, tokens
 
 
 def split(text):
@@ -111,3 +111,30 @@ def test_discounts():
     n = {1: 100, 2: 40, 3: 20, 4: 12}
     y = 100 / 180
     assert discounts(n) == pytest.approx((1 - 2 * y * 0.4, 2 - 3 * y * 0.5, 3 - 4 * y * 0.6))
+
+
+def test_rounds_equal_brute_force(spark, documents):
+    """A part of the middle words at a time, of which some have a round of their own; few words are in the head."""
+    test_equals_brute_force(spark, documents, Settings(head=7, shards=5, shard_bytes=1000))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"  # as before
+
+
+def test_even_split():
+    words = np.arange(1, 2001, dtype=np.uint64) << np.uint64(20) ^ np.arange(7, 2007, dtype=np.uint64) * np.uint64(0x9E3779B1)
+    counts = np.r_[1000, 700, np.ones(1998, np.int64)]
+    split = even_split(words, counts, 8)
+    shares = np.bincount(split.of(words), counts, 8)
+    assert split.own == tuple(words[:2].tolist()) and shares[-2:].tolist() == [1000, 700] and shares[:-2].max() < 500
+    assert not Split().of(words).any()
+
+
+def test_codes_of_tokens_of_any_length_and_place():
+    rng = random.Random(5)
+    words = [("x" * n + rng.choice("abcé")) * k for n in range(40) for k in (1, 2)]
+    texts = [" ".join(rng.sample(words, len(words))) for _ in range(5)]
+    raw = [t.encode() for t in texts]
+    offsets = np.r_[0, np.cumsum([len(t) for t in raw])]
+    codes, firsts = tokens(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    said = [w for t in texts for w in split(t)]
+    assert len(codes) == firsts[-1] == len(said)
+    assert len(set(zip(said, codes.tolist(), strict=True))) == len(set(said)) == len(set(codes.tolist()))

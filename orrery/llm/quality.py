@@ -181,7 +181,7 @@ _TAIL = np.uint64(1 << _WORD)  # of the id of a word outside the head, which is
 _RARE = np.uint64((1 << 24) - 1)  # stands for such a word among ranks
 _ZSTD = pa.Codec("zstd", 1)
 _AT_ONCE = 1 << 19  # trigrams that a task deals at once
-_KEYS = 1 << 20  # sums that a task holds at least before it sends them
+_KEYS = 1 << 18  # sums that a task holds at least before it sends them
 
 
 def _planes(values: np.ndarray, width: int) -> np.ndarray:
@@ -258,7 +258,7 @@ def _work(batches: Iterator[pa.RecordBatch], build, answer) -> Iterator[pa.Recor
     now, kept, state = None, {}, None
 
     def built():
-        joined = {t: {k: np.concatenate([x[k] for x in kept[t]]) if t in kept else np.zeros(0, kind) for k, kind in _LISTS.items()} for t in (_LEARNT, _PAIRS, _WORDS)}
+        joined = {t: {k: np.concatenate([np.zeros(0, kind), *(x.pop(k) for x in kept.get(t, ()))]) for k, kind in _LISTS.items()} for t in (_LEARNT, _PAIRS, _WORDS)}
         kept.clear()
         return build(joined)
 
